@@ -3,11 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quern.llm import simhash
+from quern.llm import licenses, linededup, packing, rules, secrets, simhash, substrings
 from quern.llm.base import table
 
-ORACLE_SQL: dict[str, str] = {}
+
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sites are the documents' sources."""
+    return linededup.drop_boilerplate(table(spark, sf_dir, "documents"), site="source").select("doc_id", "source", "text", "n_chars")
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.find_licenses(table(spark, sf_dir, "documents"))
+    joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
+    return found.withColumns(joined)
+
+
+def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.span_list("base"), 256).alias("base_sha256"),
+        secrets.span_list("spans").alias("spans"),
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rules.ledger(table(spark, sf_dir, "documents"))
+    base = F.col("failed").bitwiseAND(F.lit(rules.mask(rules.BASE))) != 0
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & rules.keeps()).alias("kept"))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("row")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,4 +52,43 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, radius=4)
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_near_dedup,)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_line_dedup, op2_best_fit_packing, op3_license_scans, op7_secret_scans, op8_quality_rules, op9_substring_dedup, op10_simhash_near_dedup)
+}
+
+_TRIMMED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_line_dedup": f"""
+        WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
+        line AS (SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS at FROM split),
+        keyed AS (SELECT *, {_TRIMMED} AS body FROM line),
+        total AS (SELECT source, count(*) AS pages FROM documents GROUP BY source),
+        boiler AS (
+            SELECT k.source, k.body FROM keyed k JOIN total t ON k.source IS NOT DISTINCT FROM t.source WHERE k.body <> ''
+            GROUP BY k.source, k.body, t.pages HAVING count(DISTINCT doc_id) >= {linededup.LEAST_PAGES} AND count(DISTINCT doc_id) > {linededup.RATIO} * t.pages),
+        kept AS (
+            SELECT k.doc_id, string_agg(k.line, chr(10) ORDER BY k.at) AS text FROM keyed k
+            WHERE NOT EXISTS (SELECT 1 FROM boiler b WHERE b.source IS NOT DISTINCT FROM k.source AND b.body = k.body) GROUP BY k.doc_id)
+        SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+            CASE WHEN d.text IS NULL THEN NULL ELSE length(coalesce(k.text, '')) END AS n_chars
+        FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op8_quality_rules": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+        word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM d),
+        win AS (SELECT doc_id, i, i + 7 <= n AS whole, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS s FROM word),
+        rep AS (SELECT doc_id, i, whole AND count(*) OVER (PARTITION BY doc_id, whole, s) > 1 AS again FROM win),
+        cov AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM rep),
+        r AS (SELECT doc_id, count(*) FILTER (WHERE covered) AS n_repeat_words FROM cov GROUP BY doc_id),
+        m AS (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+            (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            length(regexp_replace(text, '[^\pL]+', '', 'g'))::BIGINT AS n_letters, len(lines) AS n_lines,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+            FROM d LEFT JOIN r USING (doc_id)),
+        v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+            NOT base_failed AND NOT (10 * n_symbols > n_words) AND word_chars >= 2 * greatest(n_words, 1) AND word_chars <= 15 * greatest(n_words, 1)
+            AND NOT (10 * n_dup_lines > 3 * n_lines) AND NOT (n_letters * 5 < word_chars * 3) AS kept FROM v""",
+}
