@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import licenses, linededup, packing, rules, secrets, simhash, substrings
+from quern.llm import classlm, decontaminate, langid, licenses, linededup, packing, rules, secrets, simhash, substrings
 from quern.llm.base import table
 
 
@@ -24,6 +24,25 @@ def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns(joined)
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def _held_out(parts: int):
+    """Whether a document is kept from learning: by the CRC of its doc_id as text; a null doc_id is not held out."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)) == 2, F.lit(False))
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = classlm.score_texts(table(spark, sf_dir, "documents"), ~_held_out(7))
+    return scored.select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents"), ~_held_out(4))
+    return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
+
+
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
@@ -54,7 +73,10 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_best_fit_packing, op3_license_scans, op7_secret_scans, op8_quality_rules, op9_substring_dedup, op10_simhash_near_dedup)
+    for f in (
+        *(op1_line_dedup, op2_best_fit_packing, op3_license_scans, op4_benchmark_decontamination, op5_lm_scoring),
+        *(op6_language_id, op7_secret_scans, op8_quality_rules, op9_substring_dedup, op10_simhash_near_dedup),
+    )
 }
 
 _TRIMMED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
