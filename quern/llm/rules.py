@@ -87,7 +87,9 @@ def ledger(docs: DataFrame, carry: Sequence[Column] = ()) -> DataFrame:
     A null or empty text has no words and fails ``few_words``. Repeated rows each get their row.
     """
     bits = sum((F.when(r.fails, F.lit(1 << r.bit)).otherwise(0) for r in rules()), F.lit(0))
-    return measure(docs, carry).withColumn("failed", bits.cast("long"))
+    made = measure(docs, carry).withColumn("failed", bits.cast("long"))
+    # One generated row each: a filter on the ledger then stays above it, where it would otherwise measure once more for each rule.
+    return made.select(F.explode(F.array(F.struct(*made.columns))).alias("__m")).select("__m.*")
 
 
 def keeps(policy: str = CURRENT) -> Column:

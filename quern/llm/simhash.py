@@ -227,11 +227,13 @@ def similar_links(links_: DataFrame, docs: DataFrame, words_per_shingle: int, si
     return links_.join(a, "src").join(b, "dst").filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("src", "dst")
 
 
-def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4, similarity: float | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4, similarity: float | None = None, verify_words: int = 5) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
-    Prints link at ``radius`` or fewer differing bits. With ``similarity`` a link also needs that Jaccard similarity of
-    shingle sets, and texts of the same words are one from the start. ``component_id`` is the smallest doc_id reachable.
+    Prints link at ``radius`` or fewer differing bits. With ``similarity`` a link also needs that Jaccard similarity of the
+    sets of ``verify_words``-word shingles, and texts of the same words are one from the start; prints of shorter shingles then
+    find more of those links at the same radius, as a changed word changes fewer of them. ``component_id`` is the smallest
+    doc_id reachable.
     Null and word-less texts have fingerprint zero and link like others. Repeated rows each get their row. A row with a
     null doc_id joins the component of its fingerprint, and has a null component if no doc_id shares it.
     """
@@ -239,7 +241,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4
     classes = stage(prints.groupBy("fp", "digest").agg(F.min("doc_id").alias("node")), "classes")
     found = candidate_links(classes.filter(F.col("node").isNotNull()).select("node", "fp"), radius, similarity is not None)
     if similarity is not None:
-        found = similar_links(stage(found, "links"), docs, words_per_shingle, similarity)
+        found = similar_links(stage(found, "links"), docs, verify_words, similarity)
     parts = connected_components(found)
     named = classes.join(parts, "node", "left").select("fp", "digest", F.coalesce("component", "node").alias("component_id"))
     return prints.join(named, ["fp", "digest"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
