@@ -2,6 +2,591 @@
 
 from __future__ import annotations
 
-QUERIES = {}
-ORACLE_SQL = {}
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quern.functions import text
+from quern.operators import aggregates, curation, duplicates, filters, fuzzy, joins, responses, rules, sampling, schema, windows
+from quern.operators.graph import shared_folder
+from quern.plans.records import over_records, records, table
+from quern.sources import tables as sources
+from quern.streaming import ingest
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "d1_exact_duplicates"
+
+
+def query(sql: str | None = None):
+    """Register a function under its own name, with the SQL of the same result."""
+
+    def put(f):
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return put
+
+
+# Views that several oracles use
+
+_HIDDEN = "validation_action IN ('remove', 'hide_incomplete_recipe', 'hide_single_tf', 'mark_duplicate')"
+_KEYED = """kr AS (SELECT *, regexp_replace(lower(source_cell), '[-_/]+', ' ', 'g') AS sk, regexp_replace(lower(target_cell), '[-_/]+', ' ', 'g') AS tk,
+    CASE WHEN factors = 'not specified' THEN factors ELSE array_to_string(list_sort(list_transform(string_split(factors, ', '), lambda x: upper(x))), ' | ') END AS fk FROM rec)"""
+_ORDER = f"""({_HIDDEN})::INT, CASE paper_type WHEN 'research' THEN 0 WHEN 'review' THEN 1 ELSE 2 END, CAST(year AS INT), CASE source WHEN 'fulltext' THEN 0 ELSE 1 END,
+    CASE confidence WHEN 'high' THEN 0 WHEN 'medium' THEN 1 ELSE 2 END, (trim(evidence_sentence) = '')::INT, pmid, row_id"""
+
+
+def _groups_sql(a: str, b: str) -> tuple[str, str, str]:
+    return (
+        f"g AS (SELECT {a}, {b}, fk, row_number() OVER (ORDER BY min(row_id)) AS group_no FROM kr GROUP BY {a}, {b}, fk HAVING count(*) > 1)",
+        f"rk AS (SELECT group_no, row_id, pmid, {_HIDDEN} AS hid, row_number() OVER (PARTITION BY {a}, {b}, fk ORDER BY {_ORDER}) AS rn FROM kr JOIN g USING ({a}, {b}, fk))",
+        f"x AS (SELECT kr.*, group_no, k.row_id AS keeper, k.pmid AS keep_pmid, k.hid AS keep_hidden FROM kr LEFT JOIN g USING ({a}, {b}, fk) LEFT JOIN (SELECT * FROM rk WHERE rn = 1) k USING (group_no))",
+    )
+
+
+@query(over_records("""SELECT row_id, loser OR (marked AND NOT clear) AS is_duplicate,
+        CASE WHEN loser THEN 'same_standardized_recipe' WHEN marked AND NOT clear THEN 'manual_adjudication' ELSE '' END AS duplicate_reason,
+        CASE WHEN loser THEN keep_pmid WHEN marked AND NOT clear THEN pmid ELSE '' END AS preferred_pmid,
+        CASE WHEN loser THEN 'recipe_' || CASE WHEN group_no < 10000 THEN lpad(group_no::VARCHAR, 4, '0') ELSE group_no::VARCHAR END
+            WHEN marked AND NOT clear THEN 'manual' ELSE '' END AS duplicate_group_id FROM y""",
+    _KEYED, *_groups_sql("sk", "tk"),
+    """y AS (SELECT *, validation_action = 'mark_duplicate' AS marked, coalesce(row_id <> keeper, false) AS loser,
+        coalesce(row_id = keeper AND NOT keep_hidden, false) AS clear FROM x)"""))
+def d1_exact_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.exact_duplicates(records(spark, sf_dir)).select("row_id", "is_duplicate", "duplicate_reason", "preferred_pmid", "duplicate_group_id")
+
+
+@query(over_records("""SELECT row_id, loser OR orphan AS is_broad_duplicate,
+        CASE WHEN loser THEN 'same_broad_cell_recipe' WHEN orphan THEN 'manual_adjudication' ELSE '' END AS broad_duplicate_reason,
+        CASE WHEN loser THEN keep_pmid WHEN orphan THEN pmid ELSE '' END AS broad_preferred_pmid,
+        CASE WHEN loser THEN 'broad_recipe_' || CASE WHEN group_no < 10000 THEN lpad(group_no::VARCHAR, 4, '0') ELSE group_no::VARCHAR END
+            WHEN orphan THEN 'broad_manual_' || pmid ELSE '' END AS broad_duplicate_group_id FROM z""",
+    _KEYED, *_groups_sql("source_cell", "target_cell"),
+    "y AS (SELECT *, coalesce(row_id <> keeper, false) AS loser, coalesce(row_id = keeper, false) AS kept FROM x)",
+    "z AS (SELECT *, validation_action = 'mark_duplicate' AND NOT kept AND NOT loser AS orphan FROM y)"))
+def d2_broad_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = records(spark, sf_dir).withColumns({"source_cell_std": F.col("source_cell"), "target_cell_std": F.col("target_cell")})
+    return duplicates.broad_duplicates(named).select("row_id", "is_broad_duplicate", "broad_duplicate_reason", "broad_preferred_pmid", "broad_duplicate_group_id")
+
+
+@query(over_records("""SELECT kr.row_id, n AS supporting_paper_count, ids AS supporting_pmids,
+        CASE WHEN n > 12 THEN array_to_string(l[1:12], '; ') || '; ... (+' || (n - 12) || ' more)' ELSE array_to_string(l, '; ') END AS pmids_preview
+        FROM kr JOIN c USING (sk, tk, fk)""",
+    _KEYED, "p AS (SELECT sk, tk, fk, pmid, min(CAST(year AS INT)) AS y FROM kr GROUP BY ALL)",
+    "c AS (SELECT sk, tk, fk, count(*) AS n, string_agg(pmid, ', ' ORDER BY y, pmid) AS ids, list(pmid ORDER BY y, pmid) AS l FROM p GROUP BY ALL)"))
+def w5_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.support(records(spark, sf_dir), "source_cell", "target_cell").drop("papers_preview")
+
+
+@query(over_records("SELECT pmid, row_id, factors, title FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY row_id) AS n FROM rec) WHERE n = 1"))
+def w6_first_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return duplicates.first_rows(records(spark, sf_dir).select("pmid", "row_id", "factors", "title"), ["pmid"])
+
+
+@query("""WITH e AS (SELECT user_id, CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 WHEN 'purchase' THEN 3 ELSE 4 END AS query_no, event_id FROM events)
+    SELECT user_id, query_no FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY query_no, event_id) AS n FROM e) WHERE n = 1""")
+def w7_first_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.when(F.col("event_type") == "click", 1).when(F.col("event_type") == "view", 2).when(F.col("event_type") == "purchase", 3).otherwise(4)
+    return windows.first_claims(table(spark, sf_dir, "events").select("user_id", "event_id", number.alias("query_no")), "user_id", "query_no", "event_id")
+
+
+@query("SELECT event_type, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY event_id) AS n FROM events) WHERE n <= 50")
+def w8_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.capped(table(spark, sf_dir, "events").select("event_type", "event_id"), "event_type", "event_id", 50)
+
+
+@query(over_records("""SELECT rec.row_id, l.peers FROM rec JOIN (SELECT pmid, string_agg(row_id || ' ' || target_cell, chr(10) ORDER BY row_id) AS peers FROM
+    (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY row_id) AS n FROM rec) WHERE n <= 10 GROUP BY pmid) l USING (pmid)"""))
+def w10_peers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.peers(records(spark, sf_dir), "pmid", F.concat_ws(" ", F.col("row_id").cast("string"), "target_cell"))
+
+
+@query(over_records("SELECT confidence AS value, count(*) AS n FROM rec GROUP BY confidence"))
+def a1_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.value_counts(records(spark, sf_dir), "confidence")
+
+
+@query(over_records("SELECT trim(item) AS item, count(*) AS n FROM (SELECT unnest(string_split(factors, ',')) AS item FROM rec) GROUP BY trim(item)"))
+def a3_item_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.item_counts(records(spark, sf_dir), "factors")
+
+
+@query(over_records("""SELECT y AS year, count(row_id) AS n FROM (SELECT unnest(generate_series((SELECT min(CAST(year AS INT)) FROM rec), (SELECT max(CAST(year AS INT)) FROM rec)))::INT AS y)
+    LEFT JOIN (SELECT * FROM rec WHERE row_id % 3 <> 0 OR year <> '1995') r ON CAST(r.year AS INT) = y GROUP BY y"""))
+def a5_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.histogram(records(spark, sf_dir).filter("row_id % 3 <> 0 or year <> '1995'"), "year")
+
+
+@query(over_records("""SELECT count(*) FILTER (WHERE paper_type <> 'review') AS broad_unique, count(*) FILTER (WHERE validation_action <> 'mark_duplicate') AS exact_unique,
+    count(*) AS raw, min(CAST(year AS INT)) AS first_year, max(CAST(year AS INT)) AS last_year FROM rec"""))
+def a6_header(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flagged = records(spark, sf_dir).withColumns({"is_broad_duplicate": F.col("paper_type") == "review", "is_duplicate": F.col("validation_action") == "mark_duplicate"})
+    return aggregates.header(flagged)
+
+
+_TYPES = {0: "TF", 1: "small_molecule", 2: "TF, Small molecule", 3: "", 4: "cytokine, TF", 5: "compound,chemical"}
+_TYPES_SQL = "CASE row_id % 6 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _TYPES.items()) + " END"
+
+
+def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).withColumn("factor_type", F.expr(_TYPES_SQL))
+
+
+@query(over_records("""SELECT count(*) FILTER (WHERE row_id % 6 = 0) AS tf_only, count(*) FILTER (WHERE row_id % 6 IN (1, 5)) AS small_only,
+    count(*) FILTER (WHERE row_id % 6 = 2) AS mixed, count(*) FILTER (WHERE row_id % 6 IN (3, 4)) AS other FROM rec"""))
+def a7_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.composition(_typed(spark, sf_dir), "factor_type")
+
+
+@query(over_records("SELECT count(*) AS records, count(DISTINCT pmid) AS papers, count(DISTINCT target_cell) AS targets, count(DISTINCT source_cell) AS sources FROM rec"))
+def a8_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.metrics(records(spark, sf_dir), "source_cell", "target_cell")
+
+
+@query(over_records("SELECT count(DISTINCT id) AS papers FROM (SELECT unnest([pmid, CAST(row_id % 100 AS VARCHAR)]) AS id FROM rec)"))
+def a4_papers_represented(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = records(spark, sf_dir).withColumn("ids", F.concat("pmid", F.lit(", "), (F.col("row_id") % 100).cast("string")))
+    return aggregates.papers_represented(listed, "ids")
+
+
+_JUDGED_SQL = """j AS (SELECT d.lang, d.source, CASE WHEN quality IS NULL THEN '' WHEN quality = 1 AND toxic = 0 THEN 'yes' WHEN quality = 1 THEN 'partial' WHEN toxic = 0 THEN 'no' ELSE 'unclear' END AS recipe_valid,
+    CASE WHEN quality = 1 THEN 'yes' WHEN quality = 0 THEN 'no' ELSE '' END AS source_valid, CASE WHEN toxic = 0 THEN 'yes' WHEN toxic = 1 THEN 'partial' ELSE '' END AS target_valid
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+
+def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = table(spark, sf_dir, "documents").select("doc_id", "lang", "source").join(table(spark, sf_dir, "labels"), "doc_id", "left")
+    good, toxic = F.col("quality"), F.col("toxic")
+    return both.withColumns({
+        "recipe_valid": F.when(good.isNull(), "").when((good == 1) & (toxic == 0), "yes").when(good == 1, "partial").when(toxic == 0, "no").otherwise("unclear"),
+        "source_valid": F.when(good == 1, "yes").when(good == 0, "no").otherwise(""),
+        "target_valid": F.when(toxic == 0, "yes").when(toxic == 1, "partial").otherwise(""),
+    })
+
+
+def _pct_sql(part: str, whole: str) -> str:
+    return f"CASE WHEN {whole} > 0 THEN round_even({part}::DOUBLE / {whole} * 100, 1) ELSE 0.0 END"
+
+
+@query(f"""WITH {_JUDGED_SQL}, s AS (SELECT CASE WHEN grouping(lang) = 0 THEN 'lang=' || lang WHEN grouping(source) = 0 THEN 'source=' || source ELSE 'overall' END AS label, count(*) AS n,
+    count(*) FILTER (WHERE recipe_valid = 'yes') AS yes, count(*) FILTER (WHERE recipe_valid = 'partial') AS "partial", count(*) FILTER (WHERE recipe_valid = 'no') AS "no",
+    count(*) FILTER (WHERE recipe_valid = 'unclear') AS unclear FROM j WHERE recipe_valid <> '' GROUP BY GROUPING SETS ((), (lang), (source)))
+    SELECT *, {_pct_sql('yes', 'n')} AS strict_pct, {_pct_sql('(yes + "partial")', 'n')} AS relaxed_pct FROM s""")
+def a9_validation_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.validation_scores(_judged(spark, sf_dir), ["lang", "source"])
+
+
+@query(f"""WITH {_JUDGED_SQL}, c AS (SELECT 'source_valid' AS component, source_valid AS a FROM j UNION ALL SELECT 'target_valid', target_valid FROM j),
+    s AS (SELECT component, count(*) AS n, count(*) FILTER (WHERE a = 'yes') AS y, count(*) FILTER (WHERE a = 'partial') AS p FROM c WHERE a <> '' GROUP BY component)
+    SELECT component, n, {_pct_sql('y', 'n')} AS strict_pct, {_pct_sql('(y + p)', 'n')} AS relaxed_pct FROM s""")
+def a10_component_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.component_accuracy(_judged(spark, sf_dir), ["source_valid", "target_valid"])
+
+
+@query(over_records("""SELECT h.pmid, h.source_cell, h.n, l.target_cell FROM (SELECT pmid, arg_min(source_cell, row_id) AS source_cell, count(*) AS n FROM rec GROUP BY pmid) h
+    JOIN (SELECT pmid, string_agg(target_cell, '; ' ORDER BY place) AS target_cell FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY place) AS k FROM
+    (SELECT pmid, target_cell, min(row_id) AS place FROM rec GROUP BY ALL)) WHERE k <= 3 GROUP BY pmid) l USING (pmid)"""))
+def a12_group_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.group_summary(records(spark, sf_dir), "pmid", "source_cell", "target_cell", 3)
+
+
+@query("SELECT l_returnflag, sum(l_quantity) AS total FROM lineitem GROUP BY l_returnflag")
+def a13_category_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.category_sums(table(spark, sf_dir, "lineitem"), "l_returnflag", "l_quantity")
+
+
+_MAJORITY = (
+    "v AS (SELECT pmid, species, count(*) AS n FROM rec WHERE species <> '' GROUP BY ALL)",
+    "m AS (SELECT pmid, min(species) AS majority FROM (SELECT *, max(n) OVER (PARTITION BY pmid) AS top FROM v) WHERE n = top GROUP BY pmid HAVING count(*) = 1)",
+)
+
+
+@query(over_records("SELECT pmid, majority FROM m", *_MAJORITY))
+def a14_majority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.majority(records(spark, sf_dir), "pmid", text.species(F.col("species")))
+
+
+@query("""WITH v AS (SELECT conv_id, role, lower(left(trim(text), 1)) AS v FROM conversations)
+    SELECT conv_id, min(CASE WHEN role = 'user' THEN v END) AS "user", min(CASE WHEN role = 'assistant' THEN v END) AS assistant,
+    CASE count(DISTINCT CASE WHEN v <> '' THEN v END) WHEN 0 THEN 'n/a' WHEN 1 THEN 'yes' ELSE 'no' END AS agree FROM v GROUP BY conv_id""")
+def r7_source_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.source_agreement(table(spark, sf_dir, "conversations"), "conv_id", "role", F.lower(F.left(F.trim("text"), F.lit(1))), ["user", "assistant"])
+
+
+@query(over_records("SELECT target_cell AS old, regexp_replace(lower(target_cell), '[-_/]+', ' ', 'g') AS new, count(*) AS n FROM rec GROUP BY ALL"))
+def a20_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keyed = records(spark, sf_dir).withColumn("key", text.key_text(F.col("target_cell")))
+    return aggregates.changes(keyed, "target_cell", "key")
+
+
+@query(over_records("SELECT row_id, count(*) OVER (PARTITION BY pmid) AS group_size FROM rec"))
+def a21_group_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.with_group_size(records(spark, sf_dir).select("row_id", "pmid"), "pmid").drop("pmid")
+
+
+@query(over_records("""SELECT row_id, pmid, factors FROM rec WHERE confidence IN ('high', 'medium') AND paper_type = 'research' AND source_cell IN ('BUILDING', 'MACHINERY')
+    AND factors <> 'not specified' AND validation_action NOT IN ('remove', 'hide_incomplete_recipe', 'hide_single_tf', 'hide_model_adjudicated') AND validation_action <> 'mark_duplicate'
+    AND len(string_split(factors, ',')) BETWEEN 2 AND 5 AND CAST(year AS INT) BETWEEN 1993 AND 1996 AND row_id % 6 IN (0, 2, 4)"""))
+def f1_f8_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _typed(spark, sf_dir).withColumns({"validation_recipe_valid": F.lit(""), "validation_needs_review": F.lit(""), "is_broad_duplicate": F.col("validation_action") == "mark_duplicate"})
+    chosen = filters.View(
+        equal={"confidence": ["high", "medium"], "paper_type": ["research"], "source_cell": ["BUILDING", "MACHINERY"], "target_cell": []},
+        labels={"factor_type": ["TF"]}, kind="tf", factors=(2, 5, 9), years=(1993, 1996),
+    )
+    return rows.filter(chosen.column()).select("row_id", "pmid", "factors")
+
+
+@query(over_records("SELECT row_id FROM rec WHERE regexp_matches(title, '(?i)th(e|at)') AND (year = '0' OR CAST(year AS INT) >= 1995)"))
+def f5_f8_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).filter(filters.contains("title", "th(e|at)") & filters.year_between("year", 1995, 9999)).select("row_id")
+
+
+@query(r"""WITH b AS (SELECT p_partkey, trim(regexp_replace(lower(p_name), '[^a-z0-9]+', ' ', 'g')) || ' ' || trim(regexp_replace(lower(p_type), '[^a-z0-9]+', ' ', 'g')) AS blob FROM part),
+    c AS (SELECT p_partkey, blob || ' ' || replace(blob, ' ', '') AS blob FROM b)
+    SELECT p_partkey FROM c WHERE regexp_matches(blob, '\bsmall') AND regexp_matches(blob, '\bwid') AND NOT regexp_matches(blob, '\bpromo')""")
+def q1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blob = text.search_blob(F.col("p_name"), F.col("p_type"))
+    part = table(spark, sf_dir, "part").withColumn("blob", blob)
+    return part.filter(filters.search("Small WID", F.col("blob")) & ~filters.search("promo", F.col("blob"))).select("p_partkey")
+
+
+@query(over_records("SELECT row_id, pmid FROM rec WHERE pmid = '85'"))
+def q2_id_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).filter(filters.search(" 85 ", F.lit(""))).select("row_id", "pmid")
+
+
+@query(over_records("SELECT row_id, coalesce(c_name, '') AS c_name FROM rec LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 2 = 0) c ON CAST(c.c_custkey AS VARCHAR) = rec.pmid"))
+def j1_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("pmid"), "c_name")
+    return joins.enrich(records(spark, sf_dir), names, "pmid", "c_name").select("row_id", "c_name")
+
+
+@query(over_records("SELECT row_id, CASE WHEN c_custkey IS NULL THEN rec.confidence ELSE 'low' END AS confidence FROM rec LEFT JOIN (SELECT c_custkey FROM customer WHERE c_acctbal < 0) c ON CAST(c_custkey AS VARCHAR) = pmid"))
+def j3_override(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new = table(spark, sf_dir, "customer").filter("c_acctbal < 0").select(F.col("c_custkey").cast("string").alias("pmid"), F.lit("low").alias("confidence"))
+    return joins.override(records(spark, sf_dir), new, "pmid", "confidence").select("row_id", "confidence")
+
+
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 20 = 0) AND c_custkey NOT IN (SELECT user_id FROM events WHERE event_id % 50 = 0)")
+def j4_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = table(spark, sf_dir, "orders").filter("o_orderkey % 20 = 0").select(F.col("o_custkey").alias("c_custkey"))
+    active = table(spark, sf_dir, "events").filter("event_id % 50 = 0").select(F.col("user_id").alias("c_custkey"))
+    return joins.unseen(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", ordered, active)
+
+
+@query("SELECT c_custkey, c_custkey IN (SELECT o_custkey FROM orders) AS has_order, c_custkey IN (SELECT user_id FROM events) AS has_event FROM customer")
+def j6_membership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = {
+        "has_order": table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")),
+        "has_event": table(spark, sf_dir, "events").select(F.col("user_id").alias("c_custkey")),
+    }
+    return joins.membership(table(spark, sf_dir, "customer").select("c_custkey"), "c_custkey", known)
+
+
+@query("SELECT c_custkey, coalesce(CAST(o_orderkey AS VARCHAR), '') AS o_orderkey FROM customer LEFT JOIN orders ON c_custkey = o_custkey AND o_orderkey % 5 = 0")
+def j7_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    edges = table(spark, sf_dir, "orders").filter("o_orderkey % 5 = 0").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey")
+    return joins.expand(table(spark, sf_dir, "customer").select("c_custkey"), edges, "c_custkey", "o_orderkey")
+
+
+_BLANKED = "b AS (SELECT * REPLACE (CASE WHEN row_id % 3 = 0 THEN 'not specified' ELSE factors END AS factors) FROM rec)"
+
+
+@query(over_records("""SELECT b.row_id, coalesce(CASE WHEN b.factors = 'not specified' THEN d.v END, b.factors) AS factors, b.factors = 'not specified' AND d.v IS NOT NULL AS copied
+    FROM b LEFT JOIN d USING (pmid, source_cell, target_cell)""",
+    _BLANKED, "d AS (SELECT pmid, source_cell, target_cell, min(factors) AS v FROM b WHERE factors <> 'not specified' GROUP BY ALL HAVING count(DISTINCT factors) = 1)"))
+def j8_strict_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blanked = records(spark, sf_dir).withColumn("factors", F.when(F.col("row_id") % 3 == 0, "not specified").otherwise(F.col("factors")))
+    return joins.strict_copy(blanked, ["pmid", "source_cell", "target_cell"], "factors").select("row_id", "factors", "copied")
+
+
+_NOTES = "n AS (SELECT row_id AS no, pmid, target_cell, CASE row_id % 3 WHEN 0 THEN 'fix' WHEN 1 THEN 'keep' ELSE '' END AS validation_action FROM rec WHERE row_id % 40 IN (1, 3))"
+_LAST = "l AS (SELECT pmid, target_cell, arg_max(validation_action, no) AS a FROM n WHERE validation_action <> '' GROUP BY ALL)"
+
+
+def _notes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    action = F.when(F.col("row_id") % 3 == 0, "fix").when(F.col("row_id") % 3 == 1, "keep").otherwise("")
+    return records(spark, sf_dir).filter("row_id % 40 in (1, 3)").select(F.col("row_id").alias("no"), "pmid", F.concat(F.lit(" "), "target_cell").alias("target_cell"), action.alias("validation_action"))
+
+
+@query(over_records("SELECT row_id, coalesce(a, validation_action) AS validation_action FROM rec LEFT JOIN l USING (pmid, target_cell)", _NOTES, _LAST))
+def j9_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return joins.annotate(records(spark, sf_dir), _notes(spark, sf_dir), ["pmid", "target_cell"], ["validation_action"]).select("row_id", "validation_action")
+
+
+@query(over_records("SELECT rec.row_id, n.no FROM rec JOIN n ON rec.pmid = n.pmid AND (n.no % 2 = 0 OR rec.target_cell = n.target_cell) WHERE true", _NOTES.replace("IN (1, 3)", "IN (1, 2)")))
+def j10_optional_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    notes = records(spark, sf_dir).filter("row_id % 40 in (1, 2)").select(F.col("row_id").alias("no"), "pmid", F.when(F.col("row_id") % 2 == 0, "").otherwise(F.col("target_cell")).alias("target_cell"))
+    return joins.optional_match(records(spark, sf_dir), notes, "pmid", ["target_cell"], "no").select("row_id", "no")
+
+
+@query(over_records("""SELECT row_id, CASE WHEN row_id % 2 = 0 THEN coalesce(e, '') ELSE evidence_sentence END AS evidence_sentence FROM rec
+    LEFT JOIN (SELECT pmid, target_cell, arg_max(evidence_sentence, row_id) AS e FROM rec WHERE row_id % 2 = 1 GROUP BY ALL) o USING (pmid, target_cell)"""))
+def j12_restore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    emptied = rows.withColumn("evidence_sentence", F.when(F.col("row_id") % 2 == 0, "").otherwise(F.col("evidence_sentence")))
+    return joins.restore(emptied, rows.filter("row_id % 2 = 1"), ["pmid", "target_cell"], "evidence_sentence").select("row_id", "evidence_sentence")
+
+
+@query(over_records("SELECT row_id, CASE WHEN source = 'fulltext' AND c_custkey % 2 = 0 THEN 'full ' || c_name ELSE 'short ' || c_name END AS text FROM rec JOIN customer ON CAST(c_custkey AS VARCHAR) = pmid"))
+def j14_choose_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("pmid"), "c_custkey", "c_name")
+    short, full = named.withColumn("text", F.concat(F.lit("short "), "c_name")), named.filter("c_custkey % 2 = 0").withColumn("text", F.concat(F.lit("full "), "c_name"))
+    return joins.choose_text(records(spark, sf_dir), short, full).select("row_id", "text")
+
+
+@query(over_records("SELECT value, n FROM (SELECT factors AS value, count(*) AS n FROM rec GROUP BY factors) ORDER BY n DESC, value LIMIT 10"))
+def l2_top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.value_counts(records(spark, sf_dir), "factors").limit(10)
+
+
+@query(over_records("SELECT row_id, title FROM rec ORDER BY row_id LIMIT 20 OFFSET 30"))
+def l3_page_of_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", "title").orderBy("row_id").offset(30).limit(20)
+
+
+@query(over_records("SELECT row_id, (validation_action <> '')::INT * 5 + (confidence = 'low')::INT * 3 AS risk FROM rec ORDER BY risk DESC, md5('3:' || row_id), row_id LIMIT 25"))
+def l4_by_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    risk = (F.col("validation_action") != "").cast("int") * 5 + (F.col("confidence") == "low").cast("int") * 3
+    return sampling.by_risk(records(spark, sf_dir), risk, 25, seed=3).select("row_id", "risk")
+
+
+@query(over_records("""SELECT row_id, stratum, row_number() OVER (ORDER BY md5('8:' || row_id), row_id) AS no FROM
+    (SELECT row_id, confidence AS stratum, row_number() OVER (PARTITION BY confidence ORDER BY md5('7:' || row_id), row_id) AS n FROM rec)
+    WHERE (stratum = 'high' AND n <= 20) OR (stratum = 'medium' AND n <= 15) OR (stratum = 'low' AND n <= 3)"""))
+def e1_stratified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sample = sampling.stratified(records(spark, sf_dir), "confidence", {"high": 20, "medium": 15, "low": 3}, seed=7)
+    return sample.select("row_id", F.col("confidence").alias("stratum"), "no")
+
+
+@query(over_records("""SELECT row_id FROM (SELECT row_id, 0 AS f FROM r WHERE n <= e UNION ALL SELECT row_id, 1 FROM r WHERE n > e) ORDER BY f, md5('6:' || row_id), row_id LIMIT 40""",
+    """r AS (SELECT row_id, row_number() OVER (PARTITION BY source_cell ORDER BY md5('5:' || row_id), row_id) AS n, 40 // (SELECT count(DISTINCT source_cell) FROM rec) AS e FROM rec)"""))
+def e2_equal_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.equal_allocation(records(spark, sf_dir), "source_cell", 40, seed=5).select("row_id")
+
+
+@query(over_records("SELECT row_id FROM rec ORDER BY md5('2:' || row_id), row_id LIMIT 30"))
+def e4_simple_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.simple(records(spark, sf_dir), 30, seed=2).select("row_id")
+
+
+_PATCHES = "p AS (SELECT pmid, target_cell, row_id AS no, CASE WHEN row_id % 2 = 0 THEN 'fix' ELSE '' END AS action, 'note ' || row_id % 3 AS note FROM rec WHERE row_id % 25 = 4)"
+
+
+@query(over_records("""SELECT row_id, coalesce(m.a, validation_action) AS validation_action, coalesce(m.notes, '') AS validation_notes FROM rec LEFT JOIN
+    (SELECT pmid, target_cell, arg_max(action, no) FILTER (WHERE action <> '') AS a, array_to_string(list(DISTINCT note ORDER BY note), '') AS whole,
+        (SELECT string_agg(note, ' || ' ORDER BY first) FROM (SELECT q.note, min(q.no) AS first FROM p q WHERE q.pmid = p.pmid AND q.target_cell = p.target_cell GROUP BY q.note)) AS notes
+     FROM p GROUP BY pmid, target_cell) m USING (pmid, target_cell)""", _PATCHES))
+def m3_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = schema.ensure_columns(records(spark, sf_dir), {"validation_notes": ""})
+    note = F.concat(F.lit("note "), (F.col("row_id") % 3).cast("string"))
+    patches = rows.filter("row_id % 25 = 4").select("pmid", "target_cell", F.col("row_id").alias("no"), F.when(F.col("row_id") % 2 == 0, "fix").otherwise("").alias("validation_action"), note.alias("note"))
+    return curation.patch(rows, patches, ["pmid", "target_cell"], ["validation_action"]).select("row_id", "validation_action", "validation_notes")
+
+
+_DECIDED_SQL = """q AS (SELECT row_id, pmid, CASE WHEN row_id % 3 = 0 THEN 'hide' ELSE 'keep' END AS decision, confidence, CASE WHEN row_id % 2 = 0 THEN 'True' ELSE '' END AS review, validation_action FROM rec)"""
+
+
+def _proposed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir).withColumns({
+        "decision": F.when(F.col("row_id") % 3 == 0, "hide").otherwise("keep"), "model_confidence": F.col("confidence"),
+        "validation_needs_review": F.when(F.col("row_id") % 2 == 0, "True").otherwise(""),
+    })
+    return curation.proposals(rows)
+
+
+_ACTION = "CASE WHEN decision = 'hide' AND confidence = 'high' THEN 'hide' WHEN decision = 'hide' THEN 'flag_review' WHEN review = 'True' THEN 'clear_review' ELSE 'none' END"
+
+
+@query(over_records(f"""SELECT row_id, proposed_action, CASE proposed_action WHEN 'none' THEN 'none' WHEN 'hide' THEN 'high' WHEN 'flag_review' THEN 'medium' ELSE 'low' END AS write_risk,
+    CASE proposed_action WHEN 'hide' THEN '{{"validation_action":"hide_model_adjudicated","validation_needs_review":"False"}}' WHEN 'flag_review' THEN '{{"validation_needs_review":"True"}}'
+        WHEN 'clear_review' THEN '{{"validation_needs_review":"False"}}' ELSE '{{}}' END AS proposed_updates FROM (SELECT *, {_ACTION} AS proposed_action FROM q)""", _DECIDED_SQL))
+def m5_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _proposed(spark, sf_dir).select("row_id", "proposed_action", "write_risk", "proposed_updates")
+
+
+@query(over_records(f"""SELECT row_id, 'validation_needs_review' AS field, review AS before, CASE a WHEN 'flag_review' THEN 'True' ELSE 'False' END AS after,
+    CASE WHEN row_id % 11 = 0 THEN 'pmid mismatch; skipped' ELSE '' END AS error FROM (SELECT *, {_ACTION} AS a FROM q) WHERE a IN ('flag_review', 'clear_review')
+    AND (row_id % 11 = 0 OR review <> CASE a WHEN 'flag_review' THEN 'True' ELSE 'False' END)""", _DECIDED_SQL))
+def m6_proposal_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _proposed(spark, sf_dir)
+    wrong = rows.withColumn("pmid", F.when(F.col("row_id") % 11 == 0, "x").otherwise(F.col("pmid")))
+    return curation.proposal_changes(rows, wrong, "medium", ["validation_needs_review", "validation_action"])
+
+
+@query(over_records("""SELECT row_id, CASE WHEN species = '' AND m.majority IS NOT NULL THEN m.majority ELSE species END AS species,
+    CASE WHEN species = '' AND m.majority IS NOT NULL THEN 'same_pmid_vote' ELSE '' END AS species_method FROM rec LEFT JOIN m USING (pmid)""", *_MAJORITY))
+def m12_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = schema.ensure_columns(records(spark, sf_dir), {"species_method": ""})
+    return curation.vote(rows).select("row_id", "species", "species_method")
+
+
+@query(over_records("""SELECT row_id, CASE WHEN factors = 'not specified' AND f.v IS NOT NULL THEN f.v ELSE factors END AS factors,
+    CASE WHEN factors = 'not specified' AND f.v IS NOT NULL THEN 'model' ELSE '' END AS factors_method FROM b LEFT JOIN
+    (SELECT row_id, source_cell AS v FROM rec WHERE confidence = 'high') f USING (row_id)""", _BLANKED))
+def m11_gated_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    blanked = rows.withColumn("factors", F.when(F.col("row_id") % 3 == 0, "not specified").otherwise(F.col("factors")))
+    fills = rows.select("row_id", F.col("source_cell").alias("value"), "confidence")
+    return curation.gated_fill(blanked, fills, "row_id", "factors").select("row_id", "factors", "factors_method")
+
+
+@query(over_records("""SELECT row_id, 'species' AS field, species AS before, 'mouse' AS after FROM rec WHERE row_id % 5 = 0 AND species <> 'mouse'
+    UNION ALL SELECT row_id, 'confidence', confidence, 'low' FROM rec WHERE row_id % 7 = 0 AND confidence <> 'low'"""))
+def m13_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    new = rows.withColumns({"species": F.when(F.col("row_id") % 5 == 0, "mouse").otherwise(F.col("species")), "confidence": F.when(F.col("row_id") % 7 == 0, "low").otherwise(F.col("confidence"))})
+    return curation.preview(rows, new, ["species", "confidence"])
+
+
+@query(over_records("""SELECT row_id, 'research' AS paper_type, source_cell, CASE WHEN row_id % 5 = 0 THEN 'low' ELSE confidence END AS confidence
+    FROM rec WHERE row_id % 7 NOT IN (0, 1) AND row_id % 5 <> 1"""))
+def r3_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    status = F.when(F.col("row_id") % 5 == 0, "unclear").when(F.col("row_id") % 5 == 1, "failed").otherwise("positive")
+    entry = F.struct("source_cell", "target_cell", "factors", "confidence", status.alias("recipe_status"))
+    body = F.to_json(F.struct((F.col("row_id") % 7 != 0).alias("has_recipe"), F.lit("research").alias("paper_type"), F.array(entry).alias("entries")))
+    raw = F.when(F.col("row_id") % 7 == 1, "no answer {").otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```")))
+    parsed = responses.parse(records(spark, sf_dir).select("row_id", raw.alias("raw")), "raw")
+    return responses.entries(parsed, "row_id").select("row_id", "paper_type", "source_cell", "confidence")
+
+
+@query(over_records("SELECT row_id FROM rec WHERE factors = 'not specified' AND row_id % 2 = 0"))
+def r1_work_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    return responses.work_queue(rows, text.is_unspecified(F.col("factors")), rows.filter("row_id % 2 = 1"), "row_id").select("row_id")
+
+
+@query(over_records("SELECT row_id, 'Title: ' || title || chr(10) || 'Species: ' || species AS context FROM rec WHERE species <> '' AND trim(title) <> '' UNION ALL "
+    "SELECT row_id, 'Title: ' || title FROM rec WHERE species = '' AND trim(title) <> '' UNION ALL SELECT row_id, CASE WHEN species = '' THEN '' ELSE 'Species: ' || species END FROM rec WHERE trim(title) = ''"))
+def r2_context(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", responses.context(Title=F.col("title"), Species=F.col("species")).alias("context"))
+
+
+@query()
+def w11_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", responses.excerpt(F.col("text"), ["the", "of", "que", "und"], 5, 400).alias("excerpt"))
+
+
+@query()
+def s6_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = sources.sections(table(spark, sf_dir, "pages"), block="p", limit=10_000, special=r"[%$*#]", plain=r".")
+    return made.select("page_id", "special", "plain")
+
+
+@query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '),
+    '\s+', ' ', 'g')) AS body FROM pages""")
+def x27_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
+
+
+@query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(left(text, 80)), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\s+', ' ', 'g')), '^(a|an|the) ', '') AS title FROM documents")
+def x8_title_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.title_key(F.left("text", F.lit(80))).alias("title"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(lower(left(text, 200)), '[^a-z0-9]+', ' ', 'g')) AS normal FROM documents")
+def x6_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", text.search_text(F.left("text", F.lit(200))).alias("normal"))
+
+
+@query(over_records("SELECT row_id, fk AS factor_key, CASE WHEN fk = 'not specified' THEN 0 ELSE len(string_split(factors, ',')) END AS factor_count FROM kr", _KEYED))
+def x4_factor_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", text.factor_key(F.col("factors")).alias("factor_key"), text.item_count(F.col("factors")).alias("factor_count"))
+
+
+@query(over_records("SELECT row_id, pmid || '|' || source_cell || '|' || left(title, 20) AS key FROM rec"))
+def p13_row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", schema.row_key(F.col("pmid"), F.col("source_cell"), F.col("title"), limit=20).alias("key"))
+
+
+@query(over_records("SELECT row_id, CASE WHEN length(evidence_sentence) > 60 THEN left(evidence_sentence, 60) || ' ...' ELSE evidence_sentence END AS cut FROM rec"))
+def p4_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", text.truncate(F.col("evidence_sentence"), 60).alias("cut"))
+
+
+_PAIRS_SQL = """l AS (SELECT left(sha1(l_partkey || '|' || l_suppkey), 16) AS pair, CASE l_returnflag WHEN 'R' THEN 'binder' WHEN 'A' THEN 'non-binder' ELSE 'unclear' END AS label,
+    l_orderkey * 10 + l_linenumber AS row_id, CAST(l_orderkey AS VARCHAR) AS reference, CAST(l_quantity AS BIGINT) AS q FROM lineitem)"""
+
+
+@query(f"""WITH {_PAIRS_SQL}, k AS (SELECT pair, list(DISTINCT label) AS labels, arg_min(row_id, q * 1000000000 + row_id) AS row_id, arg_min(q, q * 1000000000 + row_id) AS q, count(*) - 1 AS removed FROM l GROUP BY pair)
+    SELECT pair, row_id, q, removed, len(labels) > 1 AS conflict, CASE WHEN len(labels) = 1 THEN labels[1] WHEN list_contains(labels, 'binder') AND list_contains(labels, 'non-binder') THEN 'unclear'
+        WHEN list_contains(labels, 'binder') THEN 'binder' WHEN list_contains(labels, 'non-binder') THEN 'non-binder' ELSE 'unclear' END AS label FROM k""")
+def d6_collapse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem")
+    label = F.when(F.col("l_returnflag") == "R", "binder").when(F.col("l_returnflag") == "A", "non-binder").otherwise("unclear")
+    pairs = lines.select(
+        text.pair_key(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("pair"), label.alias("label"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), F.col("l_orderkey").cast("string").alias("reference"), F.col("l_quantity").cast("int").alias("q"),
+    )
+    return duplicates.collapse_pairs(pairs, "pair", "label", [F.col("q")], "reference").drop("reference")
+
+
+_TITLES = "t AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(left(text, 80)), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents)"
+
+
+@query(f"""WITH {_TITLES} SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON left(a.t, 1) = left(b.t, 1) AND a.doc_id < b.doc_id AND a.t <> '' AND b.t <> ''
+    AND levenshtein(a.t, b.t) <= floor(0.08 * (length(a.t) + length(b.t)) + 0.000000001)""")
+def j13_title_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title"))
+    return fuzzy.candidates(titles, "doc_id", "title").select("a", "b")
+
+
+@query()
+def d3_title_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy.title_groups(table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title")), "doc_id", "title")
+
+
+@query("SELECT DISTINCT user_id FROM events")
+def i1_i2_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events table read as a stream, each user once."""
+    at = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events").select("user_id")
+    events.write.parquet(f"{at}/landed")
+    ingest.ingest(spark, f"{at}/landed", "user_id long", f"{at}/target", "user_id", f"{at}/checkpoint")
+    return spark.read.schema("user_id long").parquet(f"{at}/target")
+
+
+@query("SELECT user_id AS id FROM events UNION SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0")
+def u3_u4_id_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = table(spark, sf_dir, "events").select(F.col("user_id").alias("id")).union(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("id"))).distinct()
+    known = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").alias("id"))
+    return joins.unseen(seen, "id", known)
+
+
+@query(over_records("""SELECT row_id, pmid, CASE WHEN row_id % 2 = 0 THEN species ELSE '' END AS species FROM rec WHERE row_id % 3 = 0 UNION ALL
+    SELECT row_id, pmid, '' FROM rec WHERE row_id % 3 = 1"""))
+def u1_union_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    old = rows.filter("row_id % 3 = 0").select("row_id", "pmid", F.when(F.col("row_id") % 2 == 0, F.col("species")).alias("species"))
+    return sources.union_filled(old, rows.filter("row_id % 3 = 1").select("row_id", "pmid"))
+
+
+@query(over_records("SELECT row_id, pmid, confidence FROM (SELECT *, row_number() OVER (PARTITION BY pmid, target_cell ORDER BY row_id) AS n FROM rec) WHERE n = 1"))
+def u2_union_keep_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir).select("row_id", "pmid", "target_cell", "confidence")
+    both = sources.union_filled(rows.filter("row_id % 2 = 0"), rows.filter("row_id % 2 = 1"))
+    return duplicates.first_rows(both, ["pmid", "target_cell"]).select("row_id", "pmid", "confidence")
+
+
+@query(over_records("SELECT pmid, string_agg(evidence_sentence, '' ORDER BY row_id DESC) AS text FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY row_id DESC) AS n FROM "
+    "(SELECT row_id, pmid, source_cell || ' ' || left(target_cell, 5) AS evidence_sentence FROM rec)) WHERE n = 1 GROUP BY pmid"))
+def s3_text_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir).withColumn("short", F.left("target_cell", F.lit(5)))
+    return sources.text_lookup(rows, "pmid", ["source_cell", "short"])
+
+
+@query()
+def c4_evidence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = schema.ensure_columns(records(spark, sf_dir).withColumn("is_duplicate", F.lit(False)), {"validation_needs_review": "", "validation_resolution": "", "validation_notes": ""})
+    said = F.when(F.col("row_id") % 4 == 0, "We previously reported this.").when(F.col("row_id") % 4 == 1, "It did not convert cells.").otherwise(F.col("evidence_sentence"))
+    return rules.evidence_flags(rows.withColumn("evidence_sentence", said)).select("row_id", "validation_needs_review", "validation_action", "validation_resolution", "validation_notes")
+
+
+@query()
+def m12_impute_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curation.impute_species(records(spark, sf_dir)).select("row_id", "species", "species_method")
