@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.operators.graph import connected_components, shared_folder  # noqa: F401
+from quern.operators.graph import written as stage  # noqa: F401
+
 #: ASCII white space, the separator of words in the published contracts.
 SPACES = r"[\x20\x09-\x0D]+"
 #: Its characters, for trimming.
@@ -18,28 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It comes from ``spark.checkpoint.dir``. Only a local session without that setting gets a temporary one.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None and spark.sparkContext.master.startswith("local") and "cluster" not in spark.sparkContext.master:
-        folder = "file://" + tempfile.mkdtemp(prefix="quern-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return folder.rstrip("/")
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: the plan is cut, and lost executors lose nothing."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def texts(docs: DataFrame, binary: bool = False) -> DataFrame:
     """``doc_id`` and ``text`` alone; a null text is empty. Binary text is UTF-8."""
     text = F.coalesce(F.col("text"), F.lit(""))

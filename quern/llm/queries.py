@@ -79,6 +79,31 @@ QUERIES = {
     )
 }
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+
+def _licenses_sql() -> str:
+    """Phrases by place, and each line's share of each template, over all pairs of lines and templates."""
+    quoted = lambda words: "[" + ", ".join(f"'{w.decode()}'" for w in sorted(words)) + "]"
+    notices = ", ".join(f"('{label}', {quoted(set(licenses.words(t.encode())))})" for label, t in licenses.TEMPLATES)
+    places = [
+        (label, "list_filter(range(len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(phrase.split())) + ")") for phrase, label in licenses.PHRASES
+    ]
+    return f"""
+        WITH d AS (SELECT doc_id, {_LOWER} AS low, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents),
+        p AS (SELECT doc_id, low, len(w) AS n_words, {", ".join(f"{sql} AS p{k}" for k, (_, sql) in enumerate(places))} FROM d),
+        b AS (SELECT doc_id, low, n_words, list_concat({", ".join(f"p{k}" for k in range(len(places)))}) AS places,
+            list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (label, _) in enumerate(places))}], lambda x: x IS NOT NULL) AS base FROM p),
+        line AS (SELECT doc_id, list_distinct(regexp_extract_all(line, {_WORDS})) AS held FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d)),
+        notice(label, tokens) AS (VALUES {notices}),
+        m AS (SELECT doc_id, list(DISTINCT label) AS found, max(len(list_intersect(held, tokens)) / len(tokens)) AS best FROM line, notice
+            WHERE len(list_intersect(held, tokens)) >= ceil({licenses.CONTAINMENT} * len(tokens) - 0.000000001) GROUP BY doc_id)
+        SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+            array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
+            CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score FROM b LEFT JOIN m USING (doc_id)"""
+
+
 _TRIMMED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
 ORACLE_SQL: dict[str, str] = {
@@ -96,6 +121,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT d.doc_id, d.source, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
             CASE WHEN d.text IS NULL THEN NULL ELSE length(coalesce(k.text, '')) END AS n_chars
         FROM documents d LEFT JOIN kept k USING (doc_id)""",
+    "op3_license_scans": _licenses_sql(),
     "op8_quality_rules": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
@@ -112,5 +138,5 @@ ORACLE_SQL: dict[str, str] = {
         v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
             NOT base_failed AND NOT (10 * n_symbols > n_words) AND word_chars >= 2 * greatest(n_words, 1) AND word_chars <= 15 * greatest(n_words, 1)
-            AND NOT (10 * n_dup_lines > 3 * n_lines) AND NOT (n_letters * 5 < word_chars * 3) AS kept FROM v""",
+            AND NOT (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) AND NOT (n_letters * 5 < word_chars * 3) AS kept FROM v""",
 }

@@ -31,7 +31,7 @@ def rules() -> list[Rule]:
         Rule(2, "symbols", 10 * F.col("n_symbols") > F.col("n_words")),
         Rule(3, "short_words", F.col("word_chars") < 2 * words),
         Rule(4, "long_words", F.col("word_chars") > 15 * words),
-        Rule(5, "repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.col("n_lines")),
+        Rule(5, "repeated_lines", (F.col("n_dup_lines") >= 3) & (10 * F.col("n_dup_lines") > 3 * F.col("n_lines"))),
         Rule(6, "few_letters", F.col("n_letters") * 5 < F.col("word_chars") * 3),
         Rule(7, "one_line_of_many_words", (F.col("n_lines") <= 1) & (F.col("n_words") > 10_000)),
     ]

@@ -11,8 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import slices, stage, texts
-from quern.llm.components import connected_components
+from quern.llm.base import connected_components, slices, stage, texts
 
 BITS = 64
 #: Rows of one bucket that one task compares; larger buckets are dealt out in tiles.

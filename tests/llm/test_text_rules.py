@@ -6,7 +6,7 @@ from quern.llm import linededup, queries, rules
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_license_scans", "op8_quality_rules"])
 def test_oracle(spark, name):
     assert_same(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name])
 
