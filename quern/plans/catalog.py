@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.functions import text
-from quern.operators import aggregates, curation, duplicates, filters, fuzzy, joins, responses, rules, sampling, schema, windows
+from quern.functions import names, tables, text
+from quern.operators import aggregates, curation, duplicates, filters, fuzzy, joins, pairs, responses, review, rules, sampling, schema, windows
 from quern.operators.graph import shared_folder
 from quern.plans.records import over_records, records, table
 from quern.sources import tables as sources
@@ -590,3 +590,206 @@ def c4_evidence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def m12_impute_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.impute_species(records(spark, sf_dir)).select("row_id", "species", "species_method")
+
+
+def _picked(names: list[str]) -> str:
+    """A name for each record, by its id; the same expression in both dialects."""
+    quoted = [n.replace("'", "''") for n in names]
+    return f"CASE row_id % {len(names)} " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(quoted)) + " END"
+
+
+def _mapped(pairs: dict[str, str], name: str) -> str:
+    """Oracle: what each name must become."""
+    return over_records(f"SELECT row_id, {_picked(list(pairs))} AS given, {_picked(list(pairs.values()))} AS {name} FROM rec")
+
+
+def _given(spark: SparkSession, sf_dir: str, pairs: dict[str, str]) -> DataFrame:
+    return records(spark, sf_dir).select("row_id", F.expr(_picked(list(pairs))).alias("given"))
+
+
+_FACTOR_NAMES = {
+    "Oct3/4, Sox-2, klf4": "OCT4, SOX2, klf4", "c-Myc,cMYC": "c-MYC, c-MYC", "Neurogenin 2, HNF4α": "NGN2, HNF4A", "hepatocyte growth factor (HGF), CHIR-99021": "HGF, CHIR99021",
+    "GATA-1, GATA-12": "GATA1, GATA-12", "ascorbic acid, TGF beta": "vitamin C, TGF-β", "": "",
+}
+
+
+@query(_mapped(_FACTOR_NAMES, "standard"))
+def x9_x10_standard_factors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _FACTOR_NAMES), "given", "standard", names.standard_factors)
+
+
+_TARGET_NAMES = {
+    "iPSCs": "induced pluripotent stem cell (iPSC)", "Induced cardiomyocyte-like cells (iCM)": "cardiomyocyte", "pancreatic β-cells": "insulin-producing cell (β-cell)",
+    "induced neuron (iN)": "induced neuron (iN)", "Hair Cells": "hair cell", "kidney cell": "kidney cell",
+}
+
+
+@query(_mapped(_TARGET_NAMES, "standard"))
+def x9_standard_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _TARGET_NAMES), "given", "standard", names.standard_target)
+
+
+_SOURCE_NAMES = {
+    "human foreskin fibroblasts": "human fibroblast", "MÜLLER glia": "Müller glia", "adult human cardiac fibroblast": "cardiac fibroblast", "unspecified": "",
+    "bone marrow-derived mesenchymal stem cells (BMSC)": "mesenchymal stem cell (MSC)", "CD19+ B lymphocytes": "B cell", "neuron": "neuron",
+}
+
+
+@query(_mapped(_SOURCE_NAMES, "standard"))
+def x9_standard_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _SOURCE_NAMES), "given", "standard", names.standard_source)
+
+
+_CELL_NAMES = {
+    "T-cells": "T cell", "MEFs": "mouse embryonic fibroblast", "human embryonic stem cell (hESC)": "human embryonic stem cell (hESC)", "iPS cells": "induced pluripotent stem cell",
+    "embryonic stem cell (embryonic stem cells)": "embryonic stem cell", "pancreatic β-cell": "insulin-producing cell (β-cell)", "HSC (CD34+) niche": "hematopoietic stem cell (CD34+) niche",
+}
+
+
+@query(_mapped(_CELL_NAMES, "standard"))
+def x11_standard_cell(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _CELL_NAMES), "given", "standard", names.standard_cell)
+
+
+_PLURAL_NAMES = {"endothelial cells (ECs)": "endothelial cells (ECs)", "endothelial cells (EC)": "endothelial cell", "motor neurons": "motor neuron", "cell (not short)": "cell (not short)", "x (iNSC)": "x"}
+
+
+@query(_mapped(_PLURAL_NAMES, "standard"))
+def x12_singular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _PLURAL_NAMES), "given", "standard", lambda c: names.singular(names.without_abbreviation(c)))
+
+
+_BROAD_NAMES = {
+    "iPS cell": "induced pluripotent stem cell", "naive pluripotent stem cell": "naive pluripotent stem cell", "skin fibroblast": "fibroblast", "hepatocyte-like cell": "hepatocyte-like cell",
+    "Müller glia": "Muller glia", "GABAergic neuron": "GABAergic neuron", "inner hair cell": "hair cell", "insulin-producing cell (β-cell)": "insulin-producing cell", "": "",
+}
+
+
+@query(_mapped(_BROAD_NAMES, "broad"))
+def x14_broad_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _BROAD_NAMES), "given", "broad", lambda c: duplicates.broad_class(c, "target"))
+
+
+_CATEGORY_NAMES = {
+    "t-cell to neuron": "immune, neural", "dermal fibroblast, cardiac": "cardiac, fibroblast", "ipsc": "pluripotent/stem", "islet beta cell": "pancreatic", "nothing": "",
+    "hepatic stem cell": "hepatic, pluripotent/stem",
+}
+
+
+@query(_mapped(_CATEGORY_NAMES, "categories"))
+def x16_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lambda c: F.array_join(text.labels_found(F.lower(c), tables.CELL_CATEGORIES), ", ")
+    return names.by_distinct(_given(spark, sf_dir, _CATEGORY_NAMES), "given", "categories", found)
+
+
+_SPECIES_NAMES = {"Mice; Homo sapiens": "human, mouse", "dog/rats": "rat, dog", "": "", "pig, swine, human": "human, porcine"}
+
+
+@query(_mapped(_SPECIES_NAMES, "species"))
+def x22_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _SPECIES_NAMES), "given", "species", text.species)
+
+
+_TYPE_NAMES = {"miR-302": "miRNA", "p53 shRNA": "knockdown", "BMP4": "cytokine", "Y-27632": "small_molecule", "hOCT3/4": "TF", "c-MYC": "TF", "XYZ": "other", "": "other"}
+
+
+@query(_mapped(_TYPE_NAMES, "type"))
+def x24_factor_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _TYPE_NAMES), "given", "type", rules.factor_type)
+
+
+_ALIGNED = {"OCT4, miR-1 (a, b), BMP4": "TF, miRNA, cytokine", "SOX2": "TF", "A | VPA": "TF, small_molecule", "": "TF"}
+
+
+@query(over_records(f"SELECT row_id, {_picked(list(_ALIGNED))} AS given, CASE row_id % 4 WHEN 0 THEN 'TF, TF, TF' WHEN 2 THEN 'TF, TF' ELSE 'TF' END AS types FROM rec"))
+def x25_aligned_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _ALIGNED), "given", "types", lambda c: rules.aligned_types(F.lit("TF"), c))
+
+
+_SINGLE = {"Ngn2": "standalone_valid", "GATA4": "unclear", "Oct4": "cocktail_member", "PU.1": "standalone_valid", "FOXA2": "unclear", "sox2": "cocktail_member", "ABC": "unclear", "C/EBPα": "standalone_valid"}
+
+
+@query(_mapped(_SINGLE, "status"))
+def c3_single_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _SINGLE), "given", "status", lambda c: names.single_status(c, F.lit("liver")))
+
+
+@query(over_records("SELECT row_id, len(string_split(factors, ',')) = 1 AND factors <> 'not specified' AND row_id % 6 = 0 AS single FROM rec"))
+def c2_single_tf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(spark, sf_dir).select("row_id", rules.is_single_tf(F.col("factors"), F.col("factor_type")).alias("single"))
+
+
+@query("""WITH v AS (SELECT CASE event_id % 4 WHEN 0 THEN event_type || 's' WHEN 1 THEN upper(event_type) ELSE event_type END AS name FROM events)
+    SELECT lower(regexp_replace(name, 's+$', '')) AS low, count(*) AS n FROM v WHERE name NOT LIKE '%ss' GROUP BY ALL""")
+def x13_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.when(F.col("event_id") % 4 == 0, F.concat("event_type", F.lit("s"))).when(F.col("event_id") % 4 == 1, F.upper("event_type")).otherwise(F.col("event_type"))
+    folded = names.fold(table(spark, sf_dir, "events").select(name.alias("name")).filter("name not like '%ss'"), "name")
+    return folded.groupBy(F.col("name").alias("low")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""WITH e AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS pmid, CASE o_orderkey % 3 WHEN 0 THEN 'Direct conversion' WHEN 1 THEN 'Reprogramming: a review' ELSE 'Other' END AS title FROM orders),
+    k AS (SELECT *, o_orderkey % 3 <> 2 AS title_hit, o_orderkey % 3 = 1 AS review_like,
+        CAST(pmid AS BIGINT) NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0) AND CAST(pmid AS BIGINT) NOT IN (SELECT user_id FROM events WHERE event_id % 9 = 0) AS missing FROM e)
+    SELECT o_orderkey, title_hit, review_like, missing, CASE WHEN missing AND title_hit AND NOT review_like THEN 'high' WHEN missing AND title_hit THEN 'medium' ELSE 'low' END AS priority FROM k""")
+def c10_back_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    title = F.when(F.col("o_orderkey") % 3 == 0, "Direct conversion").when(F.col("o_orderkey") % 3 == 1, "Reprogramming: a review").otherwise("Other")
+    edges = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("pmid"), title.alias("title"), F.lit("Journal Article").alias("publication_types"))
+    master = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(F.col("c_custkey").cast("string").alias("pmid"))
+    papers = table(spark, sf_dir, "events").filter("event_id % 9 = 0").select(F.col("user_id").cast("string").alias("pmid"))
+    return review.back_check(edges, master, papers).select("o_orderkey", "title_hit", "review_like", "missing", "priority")
+
+
+@query(over_records("""SELECT row_id, array_to_string(list_filter([CASE WHEN d = 0 AND confidence <> 'high' THEN 'auto_accept_not_high' END, CASE WHEN d = 0 AND row_id % 5 = 0 THEN 'auto_accept_has_issue_flags' END,
+    CASE WHEN d = 0 AND f THEN 'auto_accept_focused' END, CASE WHEN d = 1 AND v THEN 'auto_hide_default_visible' END, CASE WHEN d = 1 AND f THEN 'auto_hide_focused' END,
+    CASE WHEN d = 1 AND confidence <> 'high' THEN 'auto_hide_not_high' END, CASE WHEN d = 2 AND f THEN 'auto_merge_focused' END, CASE WHEN d = 2 AND confidence <> 'high' THEN 'auto_merge_not_high' END],
+    lambda x: x IS NOT NULL), '; ') AS risks FROM (SELECT *, row_id % 3 AS d, row_id % 4 = 0 AS f, row_id % 7 = 0 AS v FROM rec)"""))
+def c9_audit_risks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("row_id")
+    rows = records(spark, sf_dir).withColumns({
+        "model_decision": F.when(key % 3 == 0, "auto_accept").when(key % 3 == 1, "auto_hide").otherwise("auto_merge_duplicate"), "model_confidence": F.col("confidence"),
+        "issue_flags": F.when(key % 5 == 0, "x").otherwise(""), "focused": F.when(key % 4 == 0, "yes").otherwise(""), "default_visible": F.when(key % 7 == 0, "yes").otherwise(""),
+    })
+    return rows.select("row_id", review.audit_risks().alias("risks"))
+
+
+@query(over_records("SELECT DISTINCT target_cell AS value, (CASE target_cell WHEN '2-HIGH' THEN 1 WHEN '5-LOW' THEN 2 ELSE 999 END)::INT AS place FROM rec WHERE target_cell <> ''"))
+def l5_options(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return review.options(records(spark, sf_dir), "target_cell", ["2-HIGH", "5-LOW", "absent"])
+
+
+_PAIR_ROWS = """p AS (SELECT l_orderkey * 10 + l_linenumber AS row_id, CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE translate('ACDEF' || l_partkey, '0123456789', 'GHIKLMNPQR') END AS b,
+    CASE WHEN l_orderkey % 25 = 0 THEN 'AJC' ELSE translate('CDEFG' || l_suppkey, '0123456789', 'GHIKLMNPQR') END AS t,
+    CASE l_returnflag WHEN 'R' THEN 'binder' WHEN 'A' THEN 'non-binder' ELSE 'unclear' END AS label FROM lineitem)"""
+
+
+def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digits = lambda prefix, c: F.translate(F.concat(F.lit(prefix), F.col(c).cast("string")), "0123456789", "GHIKLMNPQR")
+    word = F.when(F.col("l_returnflag") == "R", "Strong").when(F.col("l_returnflag") == "A", "no").otherwise("?")
+    rows = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), F.when(F.col("l_orderkey") % 10 == 0, "").otherwise(digits("acd ef", "l_partkey")).alias("binder_sequence"),
+        F.when(F.col("l_orderkey") % 25 == 0, "AJC").otherwise(digits("CDEFG", "l_suppkey")).alias("target_sequence"), pairs.binder_label(word).alias("interaction_label"),
+        F.lit("high").alias("confidence"), (F.col("l_linenumber") % 2).alias("source_rank"), F.col("l_orderkey").cast("string").alias("source_reference"),
+        pairs.binder_type(F.when(F.col("l_quantity") > 25, "VHH").otherwise("mini"), F.lit("")).alias("binder_type"),
+    )
+    return pairs.checked(rows)
+
+
+@query(f"""WITH {_PAIR_ROWS} SELECT row_id, label AS interaction_label, CASE WHEN b = '' OR t = 'AJC' THEN 'low' WHEN label = 'unclear' THEN 'medium' ELSE 'high' END AS confidence,
+    b = '' OR t = 'AJC' OR label = 'unclear' AS needs_review, left(sha1(b || '|' || t), 16) AS sequence_pair_key,
+    array_to_string(list_filter([CASE WHEN b = '' THEN 'missing_binder_sequence' END, CASE WHEN t = 'AJC' THEN 'invalid_target_sequence' END, CASE WHEN label = 'unclear' THEN 'unclear_interaction_label' END,
+    CASE WHEN t = 'AJC' THEN 'target_sequence_too_short' END], lambda x: x IS NOT NULL), ';') AS qa_flags FROM p""")
+def c11_pair_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pairs(spark, sf_dir).select("row_id", "interaction_label", "confidence", "needs_review", "sequence_pair_key", "qa_flags")
+
+
+@query(f"""WITH {_PAIR_ROWS}, s AS (SELECT count(*) AS n, count(*) FILTER (WHERE b <> '' AND t <> 'AJC') AS v, count(*) FILTER (WHERE b <> '') AS o, count(*) FILTER (WHERE b = '' OR t = 'AJC' OR label = 'unclear') AS r FROM p)
+    SELECT n AS rows, v AS valid_rows, {_pct_sql('v', 'n')} AS valid_pct, o AS both_rows, {_pct_sql('o', 'n')} AS both_pct, r AS review_rows, {_pct_sql('r', 'n')} AS review_pct FROM s""")
+def a17_track_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.track_metrics(_pairs(spark, sf_dir))
+
+
+@query()
+def e8_pair_pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    designed, antibodies = pairs.tracks(_pairs(spark, sf_dir))
+    each = [pairs.pilot(pairs.resolved(t), 60).select("sequence_pair_key", "interaction_label", "confidence", "needs_review", "binder_type", F.lit(n).alias("track")) for n, t in (("designed", designed), ("antibody", antibodies))]
+    return each[0].unionByName(each[1])
