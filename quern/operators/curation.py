@@ -50,31 +50,79 @@ def close_out(df: DataFrame, decided: tuple[str, ...], default: str = "resolved_
 
 
 def proposals(df: DataFrame) -> DataFrame:
-    """``df`` (decision, confidence, current state) with ``proposed_action``, ``write_risk`` and ``proposed_updates`` as JSON."""
-    hide, keep = F.col("decision") == "hide", F.col("decision") == "keep"
-    sure = F.col("model_confidence") == "high"
-    action = F.when(hide & sure, "hide").when(hide, "flag_review").when(keep & (F.col("validation_needs_review") == "True"), "clear_review").otherwise("none")
-    risk = F.when(action == "none", "none").when(action == "hide", "high").when(action == "flag_review", "medium").otherwise("low")
-    given = F.create_map(
-        F.lit("validation_action"), F.when(action == "hide", F.lit("hide_model_adjudicated")),
-        F.lit("validation_needs_review"), F.when(action.isin("hide", "clear_review"), F.lit("False")).when(action == "flag_review", F.lit("True")),
-    )
-    return df.withColumns({"proposed_action": action, "write_risk": risk, "proposed_updates": F.to_json(F.map_filter(given, lambda k, v: v.isNotNull()))})
+    """``df`` with ``proposed_action``, ``write_risk``, ``proposed_updates`` (JSON) and ``proposal_notes`` for a model's decision on a record.
 
+    Reads model_decision, model_confidence, model_rationale, manual_recommended, manual_reason, default_visible and the record's
+    current state. Every part of a decision is an action of its own; risk is that of the riskiest. What people must look at changes nothing.
+    """
+    c = lambda name: text.clean(F.col(name))
+    manual = c("manual_recommended") == "yes"
+    is_ = lambda d: ~manual & (c("model_decision") == d)
+    current = c("validation_action")
+    hide, merge, accept = is_("auto_hide"), is_("auto_merge_duplicate"), is_("auto_accept")
+    hidden_already, hide_again = hide & (current == "hide_model_adjudicated"), hide & current.isin("hide_incomplete_recipe", "remove")
+    hide_writes = hide & ~hidden_already
+    merged = text.is_true(F.col("is_broad_duplicate"))
+    merge_note = F.concat(F.lit("Model confirmed merge ("), c("model_confidence"), F.lit("): "), c("model_rationale"))
+    stale = accept & current.isin("hide_incomplete_recipe", "remove", "fix")
+    review = accept & text.is_true(F.col("validation_needs_review"))
+    single = accept & (c("single_tf_status") == "unclear") & (text.item_count(F.col("factors")) == 1)
+    kept_duplicate = accept & merged
+    nothing = accept & ~stale & ~review & ~single & ~kept_duplicate
+    pending = manual | ~(hide | merge | accept)
+    parts = [  # condition, action, note
+        (hidden_already, "confirm_existing_hide", "Already hidden by model adjudication; no database change proposed."),
+        (hide_again, "confirm_existing_hide", "Existing hide/remove action confirmed by model."),
+        (hide_writes & ~hide_again, "hide_model_adjudicated", "Hide from default/database view unless curator overrides."),
+        (merge & ~merged, "confirm_broad_duplicate", "Would newly mark this row as broad duplicate."),
+        (merge & merged, "confirm_broad_duplicate", "Already broad duplicate; model confirms merge."),
+        (stale, "accept_cleanup_clear_stale_validation_action", "Clearing an existing hide/fix/remove action can change visibility; review before writing."),
+        (review, "accept_cleanup_clear_validation_review", "Model says row is valid; candidate to clear validation review flag."),
+        (single, "accept_cleanup_mark_single_tf_valid", "Single-factor recipe judged standalone by model."),
+        (kept_duplicate, "accept_valid_but_duplicate_hidden", "Recipe appears valid, but broad duplicate flag should remain unless merge review says otherwise."),
+        (nothing, "accept_no_change", "Valid row; no database change proposed."),
+    ]
+    listed = lambda k: F.array_compact(F.array(*[F.when(p[0], F.lit(p[k])) for p in parts]))
+    resolution = F.when(hide_writes, "model_adjudicated_hide").when(stale | review, "model_adjudicated_accept").when(single, "model_adjudicated_single_tf_valid")
+    updates = {
+        "broad_duplicate_reason": F.when(merge & ~merged, F.concat(F.lit("model_adjudicated_merge: "), c("model_rationale"))),
+        "broad_duplicate_reason_append": F.when(merge & merged & ~F.contains(c("broad_duplicate_reason"), merge_note), merge_note),
+        "is_broad_duplicate": F.when(merge & ~merged, "True"),
+        "single_tf_status": F.when(single, "standalone_valid"),
+        "validation_action": F.when(hide_writes, "hide_model_adjudicated").when(stale, ""),
+        "validation_needs_review": F.when(hide_writes | review, "False"),
+        "validation_notes_append": F.when(hide_writes, F.concat(F.lit("Model adjudication ("), c("model_confidence"), F.lit("): "), c("model_rationale"))),
+        "validation_resolution": resolution,
+    }
+    given = F.create_map(*[x for k, v in updates.items() for x in (F.lit(k), v)])
+    shown = hide_writes & (c("default_visible") == "yes")
+    risk = F.when(pending, "manual").when(stale, "high").when(shown | (merge & ~merged) | review | single, "medium").otherwise("low")
+    asked = F.when(c("manual_reason") != "", c("manual_reason")).otherwise("Model requested manual review.")
+    return df.withColumns({
+        "proposed_action": F.when(pending, "manual_review_required").otherwise(F.array_join(listed(1), "; ")),
+        "write_risk": risk,
+        "proposed_updates": F.to_json(F.map_filter(given, lambda k, v: v.isNotNull())),
+        "proposal_notes": F.when(manual, asked).when(pending, "Unknown or pending model decision.").otherwise(F.array_join(listed(2), " ")),
+    })
 
-RISKS = ("none", "low", "medium", "high")
+
+#: Risks in order; what is left to people is beyond all of them.
+RISKS = ("low", "medium", "high")
 
 
 def proposal_changes(df: DataFrame, proposed: DataFrame, most_risk: str, allowed: list[str]) -> DataFrame:
     """(row_id, field, before, after, error): what proposals of at most ``most_risk`` would change in allowed fields.
 
-    A proposal whose pmid isn't the record's is an error and changes nothing; a value that is there already is no change.
+    A field named with ``_append`` gets the text after what it holds, once. A proposal whose pmid isn't the record's is an error
+    and changes nothing; a value that is there already is no change.
     """
     taken = proposed.filter(F.col("write_risk").isin(*RISKS[: RISKS.index(most_risk) + 1]))
-    each = taken.select("row_id", F.col("pmid").alias("__pmid"), F.explode(F.from_json("proposed_updates", "map<string,string>")).alias("field", "after")).filter(F.col("field").isin(*allowed))
-    now = F.create_map(*[x for f in allowed for x in (F.lit(f), F.col(f))])
-    both = each.join(df.select("row_id", "pmid", now.alias("__now")), "row_id")
-    made = both.select("row_id", "field", F.element_at("__now", F.col("field")).alias("before"), "after", F.when(F.col("pmid") != F.col("__pmid"), "pmid mismatch; skipped").otherwise("").alias("error"))
+    each = taken.select("row_id", F.col("pmid").alias("__pmid"), F.explode(F.from_json("proposed_updates", "map<string,string>")).alias("named", "value"))
+    each = each.withColumn("field", F.regexp_replace("named", "_append$", "")).filter(F.col("field").isin(*allowed))
+    now = F.create_map(*[x for f in allowed for x in (F.lit(f), F.col(f).cast("string"))])
+    both = each.join(df.select("row_id", "pmid", now.alias("__now")), "row_id").withColumn("before", F.element_at("__now", F.col("field")))
+    after = F.when(F.col("named") != F.col("field"), text.append_note(F.col("before"), F.col("value"), by=" | ")).otherwise(F.col("value"))
+    made = both.select("row_id", "field", "before", after.alias("after"), F.when(F.col("pmid") != F.col("__pmid"), "pmid mismatch; skipped").otherwise("").alias("error"))
     return made.filter((F.col("error") != "") | ~F.col("before").eqNullSafe(F.col("after")))
 
 
@@ -138,3 +186,83 @@ def evidence_update(df: DataFrame) -> DataFrame:
         "validation_needs_review": F.when(good, "False").otherwise(F.col("validation_needs_review")),
         "validation_notes": F.when(good | weak, F.col("validation_notes")).otherwise(text.append_note(F.col("validation_notes"), F.lit("No better evidence found."))),
     })
+
+
+#: An annotation's columns and the record's.
+ANNOTATED = {
+    "recipe_valid": "validation_recipe_valid", "source_cell_valid": "validation_source_cell_valid", "target_cell_valid": "validation_target_cell_valid",
+    "factors_valid": "validation_factors_valid", "standalone_recipe": "validation_standalone_recipe", "duplicate_status": "validation_duplicate_status",
+    "error_category": "validation_error_category", "action": "validation_action", "annotation_notes": "validation_notes",
+}
+REVIEW_ACTIONS = ("fix", "hide_single_tf", "mark_duplicate", "remove", "needs_fulltext")
+NO_MEMBER = "no_member_of_larger_recipe"
+
+
+def needs_review(action: Column, valid: Column, standalone: Column, error: Column) -> Column:
+    """Whether an annotation leaves a record open."""
+    low = lambda c: F.lower(text.clean(c))
+    return low(action).isin(*REVIEW_ACTIONS) | low(valid).isin("partial", "no", "unclear") | (low(standalone) == NO_MEMBER) | (text.clean(error) != "")
+
+
+def apply_annotations(df: DataFrame, notes: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` under people's annotations: their answers, the action that follows, corrected fields and review flags.
+
+    Of annotations on one record the last (by ``no``) decides each answer. Removal, hiding of single factors and duplicate marks
+    follow in that order, so a later one decides the action. Corrections are applied after the match.
+    """
+    fields = list(ANNOTATED) + ["preferred_pmid", "corrected_source_cell", "corrected_target_cell", "corrected_factors"]
+    one = notes.groupBy(*[text.clean(F.col(k)).alias(f"__{k}") for k in keys]).agg(F.max_by(F.struct(*[text.clean(F.col(f)).alias(f) for f in fields]), F.col("no")).alias("__n"))
+    full = ensure_columns(df, dict.fromkeys([*ANNOTATED.values(), "validation_needs_review", "duplicate_reason", "preferred_pmid", "single_tf_flag"], ""))
+    both = full.join(one, [text.clean(F.col(k)) == F.col(f"__{k}") for k in keys], "left").drop(*[f"__{k}" for k in keys])
+    n = lambda f: F.col(f"__n.{f}")
+    low = lambda f: F.lower(n(f))
+    hit = F.col("__n").isNotNull()
+    remove, single = (low("action") == "remove") | (low("recipe_valid") == "no"), (low("action") == "hide_single_tf") | (low("standalone_recipe") == NO_MEMBER)
+    twin = (low("action") == "mark_duplicate") | F.startswith(low("duplicate_status"), F.lit("duplicate"))
+    action = F.when(twin, "mark_duplicate").when(single, "hide_single_tf").when(remove, "remove").otherwise(n("action"))
+    open_ = needs_review(n("action"), n("recipe_valid"), n("standalone_recipe"), n("error_category")) | remove | single | twin
+    reason = F.when(low("duplicate_status") != "", low("duplicate_status")).otherwise("manual_validation")
+    answers = {data: F.when(hit, n(field)).otherwise(F.col(data)) for field, data in ANNOTATED.items()}
+    fixed = {f: F.when(hit & (n(f"corrected_{f}") != ""), n(f"corrected_{f}")).otherwise(F.col(f)) for f in ("source_cell", "target_cell", "factors")}
+    return both.withColumns(answers | fixed | {
+        "validation_action": F.when(hit, action).otherwise(F.col("validation_action")),
+        "validation_needs_review": F.when(hit, F.when(open_, "True").otherwise("False")).otherwise(F.col("validation_needs_review")),
+        "single_tf_flag": F.when(hit & single, "True").otherwise(F.col("single_tf_flag")),
+        "duplicate_reason": F.when(hit & twin, text.append_tag(F.col("duplicate_reason"), reason)).otherwise(F.col("duplicate_reason")),
+        "preferred_pmid": F.when(hit & twin & (n("preferred_pmid") != ""), n("preferred_pmid")).otherwise(F.col("preferred_pmid")),
+    }).drop("__n")
+
+
+def paper_type_writes(df: DataFrame, answers: DataFrame, key: str = "pmid") -> DataFrame:
+    """``df`` under answers on paper types: sure ones are written with a note, likely ones flagged for review, others left."""
+    one = answers.groupBy(key).agg(F.min(F.struct("paper_type", "confidence")).alias("__a"))
+    both = ensure_columns(df, {"validation_needs_review": "", "validation_notes": ""}).join(one, key, "left")
+    differs = F.col("__a").isNotNull() & (F.col("__a.paper_type") != F.col("paper_type"))
+    sure, likely = differs & (F.col("__a.confidence") == "high"), differs & (F.col("__a.confidence") == "medium")
+    note = F.concat(F.lit("paper_type set to "), F.col("__a.paper_type"))
+    return both.withColumns({
+        "validation_notes": F.when(sure, text.append_note(F.col("validation_notes"), note)).otherwise(F.col("validation_notes")),
+        "validation_needs_review": F.when(likely, "True").otherwise(F.col("validation_needs_review")),
+        "paper_type": F.when(sure, F.col("__a.paper_type")).otherwise(F.col("paper_type")),
+    }).drop("__a")
+
+
+def evidence_responses(df: DataFrame) -> DataFrame:
+    """``df`` (answer: evidence_sentence, quality) with the evidence written, and weak or missing evidence flagged; an answer that can't be read is none."""
+    quality = F.lower(F.trim(F.coalesce("answer.quality", F.when(F.col("answer").isNull(), "none").otherwise("good"))))
+    open_ = quality.isin("weak", "none")
+    return df.withColumns({
+        "evidence_sentence": F.coalesce("answer.evidence_sentence", F.lit("")), "evidence_quality": quality,
+        "validation_needs_review": F.when(open_, "True").otherwise(""), "validation_resolution": F.when(open_, F.concat(F.lit("evidence_quality_"), quality)).otherwise(""),
+    })
+
+
+def hide_weak_medium(df: DataFrame) -> DataFrame:
+    """``df`` with medium-confidence records hidden whose evidence cites prior work or only describes methods."""
+    active = ~F.col("is_duplicate") & ~F.col("validation_action").isin("remove", "hide_incomplete_recipe", "hide_single_tf")
+    bad = active & (F.col("confidence") == "medium") & F.col("validation_resolution").isin("evidence_cites_prior_work", "evidence_is_methods_sentence")
+    note = F.lit("Hidden: medium-confidence entry with weak/indirect evidence sentence; cannot confirm recipe from available evidence.")
+    return df.withColumns({
+        "validation_action": F.when(bad, "hide_incomplete_recipe").otherwise(F.col("validation_action")), "validation_needs_review": F.when(bad, "False").otherwise(F.col("validation_needs_review")),
+        "validation_notes": F.when(bad, text.append_note(F.col("validation_notes"), note)).otherwise(F.col("validation_notes")),
+    })

@@ -389,34 +389,63 @@ def m3_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.patch(rows, patches, ["pmid", "target_cell"], ["validation_action"]).select("row_id", "validation_action", "validation_notes")
 
 
-_DECIDED_SQL = """q AS (SELECT row_id, pmid, CASE WHEN row_id % 3 = 0 THEN 'hide' ELSE 'keep' END AS decision, confidence, CASE WHEN row_id % 2 = 0 THEN 'True' ELSE '' END AS review, validation_action FROM rec)"""
+_DECIDED_SQL = """q AS (SELECT *, CASE row_id % 4 WHEN 0 THEN 'auto_hide' WHEN 1 THEN 'auto_merge_duplicate' WHEN 2 THEN 'auto_accept' ELSE 'pending' END AS d, row_id % 13 = 0 AS manual,
+    row_id % 3 = 0 AS dup, row_id % 5 = 0 AS review, row_id % 7 = 0 AS shown, validation_action AS va FROM rec),
+    w AS (SELECT *, manual OR d = 'pending' AS open, NOT manual AND d = 'auto_hide' AS hide, NOT manual AND d = 'auto_merge_duplicate' AS merge, NOT manual AND d = 'auto_accept' AS acc FROM q),
+    y AS (SELECT *, acc AND va = 'remove' AS stale, acc AND review AS clears,
+        CASE WHEN open THEN 'manual' WHEN acc AND va = 'remove' THEN 'high' WHEN (hide AND shown) OR (merge AND NOT dup) OR (acc AND review) THEN 'medium' ELSE 'low' END AS risk FROM w)"""
 
 
 def _proposed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("row_id")
+    yes = lambda c: F.when(c, "yes").otherwise("")
     rows = records(spark, sf_dir).withColumns({
-        "decision": F.when(F.col("row_id") % 3 == 0, "hide").otherwise("keep"), "model_confidence": F.col("confidence"),
-        "validation_needs_review": F.when(F.col("row_id") % 2 == 0, "True").otherwise(""),
+        "model_decision": F.when(key % 4 == 0, "auto_hide").when(key % 4 == 1, "auto_merge_duplicate").when(key % 4 == 2, "auto_accept").otherwise("pending"),
+        "model_confidence": F.col("confidence"), "model_rationale": F.col("source_cell"), "manual_recommended": yes(key % 13 == 0), "manual_reason": F.lit(""),
+        "default_visible": yes(key % 7 == 0), "is_broad_duplicate": F.when(key % 3 == 0, "True").otherwise("False"), "validation_needs_review": F.when(key % 5 == 0, "True").otherwise(""),
+        "single_tf_status": F.lit(""), "broad_duplicate_reason": F.lit(""), "validation_notes": F.lit("seen"), "validation_resolution": F.lit(""),
     })
     return curation.proposals(rows)
 
 
-_ACTION = "CASE WHEN decision = 'hide' AND confidence = 'high' THEN 'hide' WHEN decision = 'hide' THEN 'flag_review' WHEN review = 'True' THEN 'clear_review' ELSE 'none' END"
-
-
-@query(over_records(f"""SELECT row_id, proposed_action, CASE proposed_action WHEN 'none' THEN 'none' WHEN 'hide' THEN 'high' WHEN 'flag_review' THEN 'medium' ELSE 'low' END AS write_risk,
-    CASE proposed_action WHEN 'hide' THEN '{{"validation_action":"hide_model_adjudicated","validation_needs_review":"False"}}' WHEN 'flag_review' THEN '{{"validation_needs_review":"True"}}'
-        WHEN 'clear_review' THEN '{{"validation_needs_review":"False"}}' ELSE '{{}}' END AS proposed_updates FROM (SELECT *, {_ACTION} AS proposed_action FROM q)""", _DECIDED_SQL))
+@query(over_records("""SELECT row_id, risk AS write_risk, CASE WHEN open THEN 'manual_review_required' WHEN hide AND va = 'remove' THEN 'confirm_existing_hide' WHEN hide THEN 'hide_model_adjudicated'
+    WHEN merge THEN 'confirm_broad_duplicate' ELSE coalesce(nullif(array_to_string(list_filter([CASE WHEN stale THEN 'accept_cleanup_clear_stale_validation_action' END,
+        CASE WHEN clears THEN 'accept_cleanup_clear_validation_review' END, CASE WHEN dup THEN 'accept_valid_but_duplicate_hidden' END], lambda x: x IS NOT NULL), '; '), ''), 'accept_no_change') END AS proposed_action
+    FROM y""", _DECIDED_SQL))
 def m5_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _proposed(spark, sf_dir).select("row_id", "proposed_action", "write_risk", "proposed_updates")
+    return _proposed(spark, sf_dir).select("row_id", "proposed_action", "write_risk")
 
 
-@query(over_records(f"""SELECT row_id, 'validation_needs_review' AS field, review AS before, CASE a WHEN 'flag_review' THEN 'True' ELSE 'False' END AS after,
-    CASE WHEN row_id % 11 = 0 THEN 'pmid mismatch; skipped' ELSE '' END AS error FROM (SELECT *, {_ACTION} AS a FROM q) WHERE a IN ('flag_review', 'clear_review')
-    AND (row_id % 11 = 0 OR review <> CASE a WHEN 'flag_review' THEN 'True' ELSE 'False' END)""", _DECIDED_SQL))
+@query(over_records("""SELECT row_id, field, before, after, CASE WHEN row_id % 11 = 0 THEN 'pmid mismatch; skipped' ELSE '' END AS error FROM (
+        SELECT row_id, 'validation_needs_review' AS field, CASE WHEN review THEN 'True' ELSE '' END AS before, 'False' AS after FROM y WHERE risk IN ('low', 'medium') AND (hide OR clears)
+        UNION ALL SELECT row_id, 'validation_notes', 'seen', 'seen | Model adjudication (' || confidence || '): ' || source_cell FROM y WHERE risk IN ('low', 'medium') AND hide
+        UNION ALL SELECT row_id, 'is_broad_duplicate', 'False', 'True' FROM y WHERE risk IN ('low', 'medium') AND merge AND NOT dup)""", _DECIDED_SQL))
 def m6_proposal_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _proposed(spark, sf_dir)
     wrong = rows.withColumn("pmid", F.when(F.col("row_id") % 11 == 0, "x").otherwise(F.col("pmid")))
-    return curation.proposal_changes(rows, wrong, "medium", ["validation_needs_review", "validation_action"])
+    return curation.proposal_changes(rows, wrong, "medium", ["validation_needs_review", "validation_notes", "is_broad_duplicate"])
+
+
+@query(over_records("""SELECT row_id, CASE WHEN row_id % 40 <> 1 THEN validation_action WHEN row_id % 3 = 0 THEN 'mark_duplicate' WHEN row_id % 3 = 1 THEN 'remove' ELSE 'keep' END AS validation_action,
+    CASE WHEN row_id % 40 <> 1 THEN '' WHEN row_id % 3 = 2 THEN 'False' ELSE 'True' END AS validation_needs_review,
+    CASE WHEN row_id % 40 = 1 AND row_id % 3 = 2 THEN 'fixed' ELSE factors END AS factors, CASE WHEN row_id % 40 = 1 AND row_id % 3 = 0 THEN 'duplicate of other' ELSE '' END AS duplicate_reason FROM rec"""))
+def m1_apply_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    key = F.col("row_id")
+    blank = dict.fromkeys([*curation.ANNOTATED, "preferred_pmid", "corrected_source_cell", "corrected_target_cell", "corrected_factors"], F.lit(""))
+    notes = rows.filter("row_id % 40 = 1").select("row_id", key.alias("no")).withColumns(blank | {
+        "recipe_valid": F.when(key % 3 == 1, "No").otherwise("yes"), "action": F.lit("keep"), "duplicate_status": F.when(key % 3 == 0, "Duplicate of other").otherwise(""),
+        "corrected_factors": F.when(key % 3 == 2, "fixed").otherwise(""),
+    })
+    return curation.apply_annotations(rows, notes.withColumn("row_id", key.cast("string")), ["row_id"]).select("row_id", "validation_action", "validation_needs_review", "factors", "duplicate_reason")
+
+
+@query(over_records("""SELECT row_id, CASE WHEN c % 3 = 0 AND paper_type <> 'review' THEN 'review' ELSE paper_type END AS paper_type,
+    CASE WHEN c % 3 = 1 AND paper_type <> 'review' THEN 'True' ELSE '' END AS validation_needs_review FROM (SELECT *, CAST(pmid AS BIGINT) AS c FROM rec)"""))
+def m7_paper_type_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sure = F.when(F.col("c_custkey") % 3 == 0, "high").when(F.col("c_custkey") % 3 == 1, "medium").otherwise("low")
+    answers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("pmid"), F.lit("review").alias("paper_type"), sure.alias("confidence"))
+    return curation.paper_type_writes(records(spark, sf_dir), answers).select("row_id", "paper_type", "validation_needs_review")
 
 
 @query(over_records("""SELECT row_id, CASE WHEN species = '' AND m.majority IS NOT NULL THEN m.majority ELSE species END AS species,
