@@ -248,3 +248,15 @@ def species(c: Column) -> Column:
 def percent(part: Column, whole: Column) -> Column:
     """One decimal; 0 of nothing."""
     return F.when(whole > 0, F.bround(part / whole * 100, 1)).otherwise(0.0)
+
+
+def strict_species(c: Column) -> Column:
+    """One of the species known, ``other`` or ``unclear``."""
+    low = F.replace(F.replace(F.lower(clean(c)), F.lit(" and "), F.lit(", ")), F.lit("/"), F.lit(", "))
+    known = species(low)
+    return F.when(low.isin("", "unknown", "not specified", "na", "n, a", "unclear"), "unclear").when(known.isin(*tables.STRICT_SPECIES), known).otherwise("other")
+
+
+def collapse_unspecified(c: Column) -> Column:
+    """One wording for factors that aren't given; blank stays blank."""
+    return F.when(F.lower(strip(c)).isin(*tables.UNSPECIFIED), F.lit(NOT_SPECIFIED)).otherwise(strip(c))

@@ -115,3 +115,14 @@ def changes(df: DataFrame, old: str, new: str) -> DataFrame:
 def with_group_size(df: DataFrame, key: str, name: str = "group_size") -> DataFrame:
     """``df`` with the number of rows of each key, by an aggregate and a join."""
     return df.join(df.groupBy(key).agg(F.count(F.lit(1)).alias(name)), key)
+
+
+def pass_report(df: DataFrame, method: str, column: str) -> DataFrame:
+    """(method, n) of how values were got, and how many are still blank."""
+    how = F.when(text.clean(F.col(column)) == "", "blank").when(F.col(method) == "", "unknown").otherwise(F.col(method))
+    return df.groupBy(how.alias("method")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def proposal_summary(df: DataFrame) -> DataFrame:
+    """(write_risk, updates, n): proposals by risk and whether they would change something."""
+    return df.groupBy("write_risk", (F.col("proposed_updates") != "{}").alias("updates")).agg(F.count(F.lit(1)).alias("n"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text
 from quern.operators.aggregates import majority
-from quern.operators.rules import species_in_text
+from quern.operators.rules import species_in_names, species_in_text
 from quern.operators.schema import ensure_columns
 
 
@@ -167,8 +167,7 @@ def impute_species(df: DataFrame) -> DataFrame:
     method = F.when(mine, "").otherwise(F.col("species_method"))
     reset = full.withColumns({"species": F.when(mine, "").otherwise(text.species(F.col("species"))), "species_method": method})
     reset = reset.withColumn("species_method", F.when((F.col("species") != "") & (F.col("species_method") == ""), "existing").otherwise(F.col("species_method")))
-    cells = species_in_text(text.joined(F.col("source_cell"), F.col("target_cell")))
-    voted = vote(infer(reset, cells, "cell_fields"))
+    voted = vote(infer(reset, species_in_names(F.col("source_cell"), F.col("target_cell")), "cell_fields"))
     return vote(infer(voted, species_in_text(text.joined(F.col("title"), F.col("evidence_sentence"))), "title_abstract_evidence"))
 
 

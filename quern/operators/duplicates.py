@@ -155,3 +155,21 @@ def collapse_pairs(df: DataFrame, key: str, label: str, rank: list[Column], refe
     )
     refs = F.array_join(F.array_distinct(F.transform("__refs", lambda x: x["ref"])), "; ")
     return made.select(key, "__row.*", resolve_labels(F.col("__labels")).alias(label), refs.alias(reference), (F.size("__labels") > 1).alias("conflict"), "removed")
+
+
+def protected_duplicates(df: DataFrame, keys: list[str], protected: DataFrame) -> DataFrame:
+    """``df`` with duplicates of raw keys: of a group the latest record of a protected paper stays, else the earliest research record, else the earliest."""
+    safe = protected.select(F.col("pmid").alias("__p")).distinct()
+    joined = df.join(safe, F.col("pmid") == F.col("__p"), "left").withColumn("__safe", F.col("__p").isNotNull()).drop("__p")
+    year = text.number(F.col("year"), 9999)
+    rank = F.struct(F.when(F.col("__safe"), 0).when(F.col("paper_type") == "research", 1).otherwise(2).alias("k"), F.when(F.col("__safe"), -year).otherwise(year).alias("y"), F.col("row_id").alias("r"))
+    groups = joined.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.min("row_id").alias("__first"), F.min_by(F.struct("row_id", "pmid"), rank).alias("__keep")).filter("__n > 1")
+    placed = joined.drop("__safe").join(numbered(groups, "__first", "__no").drop("__n", "__first"), keys, "left")
+    loser = F.coalesce(F.col("row_id") != F.col("__keep.row_id"), F.lit(False))
+    group_id = F.concat(F.lit("recipe_"), F.lpad(F.col("__no").cast("string"), 4, "0"))
+    add = lambda old, new: F.when(~loser, F.col(old)).when(F.col(old) == "", new).otherwise(F.concat(F.col(old), F.lit(";"), new))
+    full = ensure_columns(placed, {"duplicate_reason": "", "duplicate_group_id": "", "preferred_pmid": ""})
+    return full.withColumns({
+        "is_duplicate": loser, "duplicate_reason": add("duplicate_reason", F.lit("same_recipe")), "duplicate_group_id": add("duplicate_group_id", group_id),
+        "preferred_pmid": F.when(loser, F.col("__keep.pmid")).otherwise(F.col("preferred_pmid")),
+    }).drop("__no", "__keep")

@@ -53,3 +53,10 @@ def preprint_decisions(groups: DataFrame, papers: DataFrame, key: str) -> DataFr
     member = groups.join(papers.select(F.col(key).alias("node"), "year", "journal"), "node").withColumn("preprint", F.col("journal").rlike(tables.PREPRINTS))
     keep = member.filter(~F.col("preprint")).groupBy("component").agg(F.max_by("node", F.struct(text.number(F.col("year"), 0), "node")).alias("keep"))
     return member.filter("preprint").join(keep, "component").select(F.col("node").alias(key), "keep")
+
+
+def review_export(groups: DataFrame, papers: DataFrame, key: str) -> DataFrame:
+    """(component, key, title, year, journal, keep): all papers of title groups; a keeper is suggested where a preprint is among them."""
+    rows = groups.join(papers.select(F.col(key).alias("node"), "title", "year", "journal"), "node")
+    keep = preprint_decisions(groups, papers, key).join(groups, F.col(key) == F.col("node")).groupBy("component").agg(F.max("keep").alias("keep"))
+    return rows.join(keep, "component", "left").select("component", F.col("node").alias(key), "title", "year", "journal", "keep")

@@ -86,3 +86,19 @@ def source_agreement(df: DataFrame, key: str, source: str, value: Column, source
     distinct = F.count_distinct(F.when(F.col("__v") != "", F.col("__v")))
     agree = given.groupBy(key).agg(F.when(distinct == 0, "n/a").when(distinct == 1, "yes").otherwise("no").alias("agree"))
     return wide.join(agree, key)
+
+
+def long_enough(c: Column, least: int = 50) -> Column:
+    """Whether there is text to ask about."""
+    return F.length(text.clean(c)) >= least
+
+
+def split_answers(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose answer has records, the others); an answer that can't be read has none."""
+    has = F.coalesce(F.col("answer.has_recipe"), F.lit(False))
+    return parsed.filter(has), parsed.filter(~has)
+
+
+def merged_fields(df: DataFrame, fields: list[str]) -> DataFrame:
+    """``df`` with each field of its answer over its own, where the answer has one."""
+    return df.withColumns({f: F.coalesce(F.when(text.clean(F.col(f"answer.{f}")) != "", F.col(f"answer.{f}")), F.col(f)) for f in fields})

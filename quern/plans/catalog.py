@@ -822,3 +822,107 @@ def e8_pair_pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
     designed, antibodies = pairs.tracks(_pairs(spark, sf_dir))
     each = [pairs.pilot(pairs.resolved(t), 60).select("sequence_pair_key", "interaction_label", "confidence", "needs_review", "binder_type", F.lit(n).alias("track")) for n, t in (("designed", designed), ("antibody", antibodies))]
     return each[0].unionByName(each[1])
+
+
+_SCOPES = {"iPSC": "classical_reprogramming", "osteoblast": "lineage_conversion", "neuron": "lineage_conversion", "thing": "unclear"}
+
+
+@query(over_records(f"SELECT row_id, {_picked(list(_SCOPES.values()))} AS scope FROM rec"))
+def c1_conversion_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = lambda c: rules.conversion_scope(F.lit("kidney"), c, F.lit(""), F.lit(""))
+    return names.by_distinct(_given(spark, sf_dir, _SCOPES), "given", "scope", scope).drop("given")
+
+
+_CANONICAL = {"iPS cells": "induced pluripotent stem cell (iPSC)", "naive iPS cells": "naive iPS cells", "atrial cardiomyocyte-like cell": "atrial cardiomyocyte-like cell", "beating cardiomyocyte": "cardiomyocyte", "M2 macrophage-like": "M2 macrophage-like"}
+
+
+@query(_mapped(_CANONICAL, "target"))
+def x15_canonical_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _CANONICAL), "given", "target", rules.canonical_target)
+
+
+_STRICT = {"Human and mouse": "human, mouse", "": "unclear", "cats": "other", "murine": "mouse", "n/a": "unclear"}
+
+
+@query(_mapped(_STRICT, "species"))
+def x22_strict_species(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _STRICT), "given", "species", text.strict_species)
+
+
+_TOKENS = {"c-MYC, Sox2": "c myc sox2", "POU5F1; Sox2": "oct4 sox2", "cMYC cmyc": "myc", "": ""}
+
+
+@query(_mapped(_TOKENS, "tokens"))
+def x34_token_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _TOKENS), "given", "tokens", lambda c: F.array_join(rules.token_set(c), " "))
+
+
+_SPECIFIC = {"defined factors": "no", "OCT4, SOX2": "yes", "small molecules": "no", "n/a": "no", "miR-302": "yes", "some prose only": "no"}
+
+
+@query(_mapped(_SPECIFIC, "specific"))
+def f13_is_specific(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _SPECIFIC), "given", "specific", lambda c: F.when(rules.is_specific(c), "yes").otherwise("no"))
+
+
+_CELL_SPECIES = {"human skin fibroblasts": "human", "MEF": "mouse", "mouse": "", "neuron of the adult rat": "rat", "human and mouse fibroblast": "human, mouse", "pig islet": "porcine"}
+
+
+@query(_mapped(_CELL_SPECIES, "species"))
+def c6_species_in_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return names.by_distinct(_given(spark, sf_dir, _CELL_SPECIES), "given", "species", rules.species_in_names)
+
+
+_STATE_SQL = """s AS (SELECT *, row_id % 9 = 0 AS review, row_id % 8 = 0 AS twin, CASE row_id % 6 WHEN 0 THEN 'unclear' ELSE '' END AS single, CASE row_id % 5 WHEN 0 THEN 'unclear' ELSE 'x' END AS scope FROM rec),
+    v AS (SELECT *, confidence <> 'low' AND paper_type = 'research' AND NOT twin AND factors <> 'not specified' AND single = '' AND NOT review AND validation_action <> 'remove' AS visible FROM s)"""
+
+
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("row_id")
+    blank = dict.fromkeys(["source_cell_std", "target_cell_std", "source_cell_broad", "target_cell_broad", "validation_recipe_valid"], "")
+    return schema.ensure_columns(records(spark, sf_dir), blank).withColumns({
+        "validation_needs_review": F.when(key % 9 == 0, "True").otherwise(""), "is_broad_duplicate": F.when(key % 8 == 0, "True").otherwise("False"),
+        "single_tf_status": F.when(key % 6 == 0, "unclear").otherwise(""), "conversion_scope": F.when(key % 5 == 0, "unclear").otherwise("x"),
+    })
+
+
+@query(over_records("""SELECT row_id, visible, array_to_string(list_filter([CASE WHEN factors = 'not specified' THEN 'missing_factors' END, CASE WHEN species = '' THEN 'species_blank' END,
+    CASE WHEN scope = 'unclear' THEN 'scope_unclear' END, CASE WHEN single <> '' THEN 'single_tf_unclear' END, CASE WHEN review THEN 'validation_needs_review' END,
+    CASE WHEN validation_action = 'remove' THEN 'validation_action_remove' END, CASE WHEN twin THEN 'broad_duplicate' END, CASE WHEN confidence = 'low' THEN 'low_confidence' END,
+    CASE WHEN paper_type <> 'research' THEN 'paper_type_' || paper_type END], lambda x: x IS NOT NULL), ';') AS flags,
+    visible::INT * 40 + review::INT * 25 + (factors = 'not specified')::INT * 18 + (species = '')::INT * 14 + (single <> '')::INT * 12 + twin::INT * 8 + (confidence = 'high')::INT * 5 AS priority FROM v""", _STATE_SQL))
+def c7_f10_issue_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _state(spark, sf_dir).select("row_id", rules.visible().alias("visible"), F.array_join(rules.issue_flags(), ";").alias("flags"), rules.review_priority().alias("priority"))
+
+
+@query(over_records("""SELECT row_id, CASE WHEN row_id % 7 = 0 OR confidence = 'low' OR (twin AND row_id % 2 = 0) THEN 'yes' ELSE 'no' END AS manual FROM s""", _STATE_SQL))
+def c8_manual_recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("row_id")
+    answers = {"model_decision": F.when(key % 7 == 0, "needs_manual").otherwise("auto_accept"), "model_confidence": F.col("confidence"), "duplicate_assessment": F.when(key % 2 == 0, "unclear").otherwise("ok")}
+    return _state(spark, sf_dir).withColumns(answers).select("row_id", rules.manual_recommended().alias("manual"))
+
+
+@query(over_records("""SELECT row_id, coalesce(row_id <> keeper, false) AS is_duplicate, CASE WHEN row_id <> keeper THEN keep_pmid ELSE '' END AS preferred_pmid FROM rec LEFT JOIN
+    (SELECT source_cell, target_cell, factors, arg_min(row_id, o) AS keeper, arg_min(pmid, o) AS keep_pmid FROM (SELECT *, row_number() OVER (PARTITION BY source_cell, target_cell, factors ORDER BY
+        CASE WHEN CAST(pmid AS BIGINT) % 10 = 0 THEN 0 WHEN paper_type = 'research' THEN 1 ELSE 2 END, CASE WHEN CAST(pmid AS BIGINT) % 10 = 0 THEN -CAST(year AS INT) ELSE CAST(year AS INT) END, row_id) AS o FROM rec)
+     GROUP BY ALL HAVING count(*) > 1) USING (source_cell, target_cell, factors)"""))
+def d4_w3_protected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    safe = table(spark, sf_dir, "customer").filter("c_custkey % 10 = 0").select(F.col("c_custkey").cast("string").alias("pmid"))
+    return duplicates.protected_duplicates(records(spark, sf_dir), ["source_cell", "target_cell", "factors"], safe).select("row_id", "is_duplicate", "preferred_pmid")
+
+
+@query(over_records("SELECT CASE WHEN species = '' THEN 'blank' WHEN paper_type = 'review' THEN 'unknown' ELSE paper_type END AS method, count(*) AS n FROM rec GROUP BY 1"))
+def a18_pass_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir).withColumn("method", F.when(F.col("paper_type") == "review", "").otherwise(F.col("paper_type")))
+    return aggregates.pass_report(rows, "method", "species")
+
+
+@query(over_records("SELECT risk AS write_risk, NOT open AND (hide OR merge OR stale OR clears) AS updates, count(*) AS n FROM y GROUP BY ALL", _DECIDED_SQL))
+def a19_proposal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.proposal_summary(_proposed(spark, sf_dir))
+
+
+@query()
+def d5_title_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    papers = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pmid"), F.left("text", F.lit(80)).alias("title"), F.lit("2020").alias("year"), F.when(F.col("doc_id") % 2 == 0, "bioRxiv").otherwise("J").alias("journal"))
+    return fuzzy.review_export(fuzzy.title_groups(papers, "pmid", "title"), papers, "pmid")
