@@ -6,7 +6,7 @@ import pytest
 
 from quern.plans import catalog
 
-SF = "/root/testdata/sf0.001"
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
 def rows_of(frame: pd.DataFrame) -> list[str]:
