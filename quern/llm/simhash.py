@@ -218,7 +218,7 @@ def similar_links(links_: DataFrame, docs: DataFrame, words_per_shingle: int, si
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
 
     ends = links_.select(F.col("src").alias("doc_id")).unionByName(links_.select(F.col("dst").alias("doc_id"))).distinct()
-    needed = texts(docs, binary=True).join(ends, "doc_id", "left_semi")
+    needed = texts(docs, binary=True).join(ends.hint("merge"), "doc_id", "left_semi")  # as many ids as documents have copies: not for a broadcast
     sets = stage(needed.mapInArrow(run, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]), "shingles")
     a = sets.select(F.col("doc_id").alias("src"), F.col("shingles").alias("a"))
     b = sets.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("b"))
@@ -252,7 +252,7 @@ def keep_first(docs: DataFrame, **how) -> DataFrame:
     Rows with a null doc_id stay.
     """
     parts = stage(near_duplicates(docs, **how).filter("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    kept = docs.join(parts, "doc_id", "left_semi")
+    kept = docs.join(parts.hint("merge"), "doc_id", "left_semi")  # nearly as many ids as documents: not for a broadcast
     if not parts.filter("count > 1").isEmpty():  # only then rows share a doc_id
         kept = kept.dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
