@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -16,7 +18,7 @@ ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 IDENTIFIER = re.compile(r"""(?i:\b(access_?key_?id|client_?id|account_?id|user_?name|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{4,})""", re.ASCII)
-OPAQUE = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[^a-z]*[a-z])(?=[^A-Z]*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/=_-])")
+OPAQUE = re.compile(r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z+/_-]*[0-9])(?=[A-Z0-9+/_-]*[a-z])(?=[a-z0-9+/_-]*[A-Z])[A-Za-z0-9+/_-]{24,}={0,2}(?![A-Za-z0-9+/=_-])")
 ENDPOINT = re.compile(r"""\bhttps?://[^\x00-\x20"'<>]{4,}""")
 
 #: Kinds in the order of a span list; the first three are reported wherever they stand.
@@ -39,7 +41,9 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     weak = [(m.start(), 3, m.end()) for m in IDENTIFIER.finditer(text)] if marks else []
     if weak or any(k == 1 for _, k, _ in base):
         covered = sorted((s, e) for s, _, e in base + weak)
-        weak += [(m.start(), 4, m.end()) for m in OPAQUE.finditer(text) if not any(s < m.end() and m.start() < e for s, e in covered)]
+        starts, ends = [s for s, _ in covered], list(accumulate((e for _, e in covered), max))
+        free = lambda a, b: not (k := bisect_left(starts, b)) or ends[k - 1] <= a
+        weak += [(m.start(), 4, m.end()) for m in OPAQUE.finditer(text) if free(m.start(), m.end())]
     if "://" in text and (base or weak):
         weak += [(m.start(), 5, m.end()) for m in ENDPOINT.finditer(text)]
     return sorted(base), weak
