@@ -19,6 +19,10 @@ CUT_BITS = 4
 LEAST, MOST = 16, 1024
 #: Consecutive repeated chunks of so many bytes together are a repeated passage.
 PASSAGE = 120
+#: A chunk's place is one number: the row of its text, then so many bits for its number there.
+NUMBER_BITS = 20
+#: Its span is one as well: where it starts, then so many bits for its size.
+SIZE_BITS = 11
 
 _GEAR = np.random.Generator(np.random.PCG64(20240229)).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -53,7 +57,7 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 36
+    row = TaskContext.get().partitionId() << 24
     for batch in batches:
         for ids, body in slices(batch, 2_000_000):
             # A text's first 31 bytes must not see the text before it.
@@ -64,40 +68,45 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = np.stack([begins, begins + sizes], axis=1).ravel()
             ends = boundaries(data, np.append(spans, len(data)))[::2]
             starts = [[0, *e[:-1]] if e else [] for e in ends]
-            counts = [len(e) for e in ends]
+            counts = np.array([len(e) for e in ends])
             digests = [xxhash.xxh3_64_intdigest(t[s:e]) for t, a, b in zip(body, starts, ends, strict=True) for s, e in zip(a, b, strict=True)]
-            flat = np.fromiter((s for a in starts for s in a), np.int32, sum(counts))
-            stops = np.fromiter((e for a in ends for e in a), np.int32, sum(counts))
-            numbers = np.concatenate([np.arange(c, dtype=np.int32) for c in counts])
+            flat = np.fromiter((s for a in starts for s in a), np.int64, counts.sum())
+            stops = np.fromiter((e for a in ends for e in a), np.int64, counts.sum())
+            # A text of more chunks than a place has numbers for goes on as another row.
+            rows_each = np.maximum(1, -(-counts // (1 << NUMBER_BITS)))
+            first = row + np.cumsum(rows_each) - rows_each
+            row += int(rows_each.sum())
+            places = np.concatenate([(f << NUMBER_BITS) + np.arange(c) for f, c in zip(first, counts, strict=True)]).astype(np.int64)
             docs = pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), counts)))
-            rows = np.repeat(np.arange(row, row + len(ids)), counts)
-            row += len(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(digests, np.uint64).view(np.int64)), docs, pa.array(rows), pa.array(numbers), pa.array(flat), pa.array(stops - flat)],
-                ["digest", "doc_id", "row", "no", "start", "size"],
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(digests, np.uint64).view(np.int64)), docs, pa.array(places), pa.array((flat << SIZE_BITS) + stops - flat)], ["digest", "doc_id", "at", "span"])
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, row, no, start, size): the chunks of every row's text, places and sizes in bytes of UTF-8."""
-    return texts(docs, binary=True).mapInArrow(_chunks, "digest long, doc_id long, row long, no int, start int, size int")
+    """(digest, doc_id, at, span): the chunks of every row's text, with place and span as numbers; spans are in bytes of UTF-8."""
+    return texts(docs, binary=True).mapInArrow(_chunks, "digest long, doc_id long, at long, span long")
+
+
+def _row(c: str):
+    return F.shiftright(c, NUMBER_BITS)
 
 
 def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
     """(doc_id, start, end, first_doc_id, row): passages whose chunks all stand earlier too, in another document or in the same.
 
-    Earlier is by doc_id, then by place; a chunk's first occurrence is not reported. ``start`` and ``end`` are bytes of the
-    text's UTF-8. Passages are runs of such chunks of at least ``least_bytes`` together. Null and empty texts have none. A
-    row repeated with the same doc_id repeats the first one; null comes before all numbers. A chunk that is in a third of all
-    texts is counted in each task before it is shuffled.
+    Earlier is by place in the table as it is read; a chunk's first occurrence is not reported. ``start`` and ``end`` are bytes of
+    the text's UTF-8. Passages are runs of such chunks of at least ``least_bytes`` together. Null and empty texts have none. Of
+    rows that are alike, doc_id or not, all but the first repeat it. A chunk that is in a third of all texts is counted in each
+    task before it is shuffled.
     """
     all_chunks = stage(chunks(docs), "chunks")
-    place = F.struct("doc_id", "row", "no")
-    common = all_chunks.groupBy("digest").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    again = all_chunks.join(common, "digest").filter(~((F.col("row") == F.col("first.row")) & (F.col("no") == F.col("first.no"))))
-    run = F.col("no") - F.row_number().over(Window.partitionBy("row").orderBy("no"))
-    runs = again.withColumn("run", run).groupBy("row", "run").agg(F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.min("first.doc_id").alias("first_doc_id"))
-    return runs.filter(F.col("end") - F.col("start") >= least_bytes).select("doc_id", "start", "end", "first_doc_id", "row")
+    common = all_chunks.groupBy("digest").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
+    again = all_chunks.select("digest", "at", "span").join(common, "digest").filter(F.col("at") != F.col("first"))
+    placed = again.select(_row("at").alias("row"), "at", F.shiftright("span", SIZE_BITS).alias("start"), F.col("span").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("size"), "first")
+    run = F.col("at") - F.row_number().over(Window.partitionBy("row").orderBy("at"))
+    runs = placed.withColumn("run", run).groupBy("row", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.min("first").alias("first"))
+    long = runs.filter(F.col("end") - F.col("start") >= least_bytes).select("row", "start", "end", _row("first").alias("of"))
+    names = all_chunks.filter(F.col("at").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)) == 0).select(_row("at").alias("row"), "doc_id")
+    return long.join(names, "row").join(names.select(F.col("row").alias("of"), F.col("doc_id").alias("first_doc_id")), "of").select("doc_id", "start", "end", "first_doc_id", "row")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

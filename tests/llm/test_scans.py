@@ -102,13 +102,16 @@ def test_passages_survive_shifts(spark):
     cut = {r.doc_id: r.text for r in substrings.drop_passages(docs, substrings.repeated_passages(docs)).collect()}
     assert cut[32] == "" and len(cut[11]) < len(texts[11]) - 150
     assert substrings.repeated_passages(docs_of(spark, [])).count() == 0
+    twice = docs_of(spark, [], [(7, texts[1], None, None, None, None, None), (7, texts[1], None, None, None, None, None), (None, texts[1], None, None, None, None, None)])
+    assert [(r.doc_id, r.first_doc_id) for r in substrings.repeated_passages(twice).orderBy("row").collect()] == [(7, 7), (None, 7)]
 
 
 def test_chunks_cover_texts(spark):
     texts = ["é" * 3000, passage(1, 500), "a" * 9000, "", "x"]
     by = {}
     for r in substrings.chunks(docs_of(spark, texts)).collect():
-        by.setdefault(r.doc_id, []).append((r.no, r.start, r.size))
+        no, (start, size) = r.at & ((1 << substrings.NUMBER_BITS) - 1), divmod(r.span, 1 << substrings.SIZE_BITS)
+        by.setdefault(r.doc_id, []).append((no, start, size))
     for i, t in enumerate(texts):
         at = 0
         for no, (n, start, size) in enumerate(sorted(by.get(i, []))):
