@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import SPACE_CHARS
+from quern.llm.base import SPACE_CHARS, stage
 
 #: A line on more than this share of its site's pages is boilerplate ...
 RATIO = 0.02
@@ -40,7 +40,8 @@ def drop_boilerplate(docs: DataFrame, site: str = "source", ratio: float = RATIO
     Lines are compared without the white space around them, by a 64-bit hash within their site. Lines without a word stay.
     A null text stays null; a null site is a site. A document all of whose lines go keeps its row, with an empty text.
     """
-    listed = boilerplate(docs, site, ratio, least_pages).select(F.col("site").alias("__of"), F.col("lines").alias("__lines"))
+    # Written first, so that its size decides the join: a few sites' lists need no shuffle of the texts.
+    listed = stage(boilerplate(docs, site, ratio, least_pages).select(F.col("site").alias("__of"), F.col("lines").alias("__lines")), "boilerplate")
     joined = docs.join(listed, F.col(site).eqNullSafe(F.col("__of")), "left")
     kept = F.filter(F.split(F.col("text"), "\n"), lambda x: ~(_has_word(x) & F.array_contains("__lines", _line_key(x))))
     text = F.when(F.col("__lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
