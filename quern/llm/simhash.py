@@ -66,8 +66,8 @@ def ring_segments(count: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
-def ring_masks(radius: int, count: int, chain: int) -> list[int]:
-    """Bit masks such that two prints within ``radius`` agree on all bits of at least one mask.
+def ring_masks(radius: int, count: int, chain: int) -> list[tuple[int, int]]:
+    """(mask, start) such that two prints within ``radius`` agree on all bits of some mask and keep the chain from its start.
 
     Pigeonring: on a ring of ``count`` segments, some chain of consecutive segments keeps its cumulative
     difference within ``length * radius / count`` at every length. A segment with a difference costs one at least,
@@ -85,44 +85,49 @@ def ring_masks(radius: int, count: int, chain: int) -> list[int]:
             for k in set(range(chain)) - set(s):
                 first, width = parts[(start + k) % count]
                 mask |= ((1 << width) - 1) << first
-            masks.append(mask)
-    return list(dict.fromkeys(masks))
+            masks.append((mask, start))
+    return masks
 
 
 def ring_layout(radius: int) -> tuple[int, int]:
     """(segments, chain): the chain starts with two segments that must agree, and goes on while masks stay few."""
     count = 2 * radius + 1
-    return (count, 4) if radius <= 5 else (count, 6)
+    return count, min(count, 4 if radius <= 5 else 6)
 
 
-def chain_holds(differences: np.ndarray, radius: int, count: int) -> np.ndarray:
-    """For rows of XORed prints: whether some start on the ring keeps every cumulative difference within its budget."""
-    per = np.stack([np.bitwise_count(differences & np.uint64(((1 << w) - 1) << f)) for f, w in ring_segments(count)], axis=-1).astype(np.int16)
-    held = np.zeros(differences.shape, bool)
-    for start in range(count):
-        total, good = np.zeros(differences.shape, np.int16), np.ones(differences.shape, bool)
-        for k in range(count):
-            total = total + per[..., (start + k) % count]
-            good &= total * count <= (k + 1) * radius
-        held |= good
-    return held
+class Chains:
+    """The pigeonring test of XORed prints: cumulative differences along the chain from a start, against their budgets."""
 
+    def __init__(self, radius: int):
+        count, chain = ring_layout(radius)
+        parts = ring_segments(count)
+        self.segments = np.array([[((1 << w) - 1) << f for f, w in (parts[(start + k) % count] for k in range(chain))] for start in range(count)], np.uint64)
+        self.budgets = np.array([(k + 1) * radius // count for k in range(chain)])
+        self.radius = radius
 
-def links(prints: np.ndarray, radius: int, every: bool) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(from, to) positions of prints within ``radius``: every pair, or pairs that keep the components of all such pairs."""
-    out = []
+    def near(self, differences: np.ndarray, start) -> np.ndarray:
+        """Whether each pair is within the radius: pairs that break the chain from ``start`` are out before their full difference is counted."""
+        along = np.bitwise_count(differences[:, None] & self.segments[start]).cumsum(axis=1)
+        out = (along <= self.budgets).all(axis=1)
+        held = np.flatnonzero(out)
+        out[held] = np.bitwise_count(differences[held]) <= self.radius
+        return out
+
+
+def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(from, to) positions of prints that the chain from ``start`` and the radius hold: every pair, or pairs that keep the components of all such pairs."""
     if every:
         a, b = np.triu_indices(len(prints), 1)
-        near = np.bitwise_count(prints[a] ^ prints[b]) <= radius
+        near = chains.near(prints[a] ^ prints[b], start)
         return [(a[near], b[near])]
+    out = []
     rest, queue = np.arange(1, len(prints)), [0]
     while len(rest):
-        at = queue.pop() if queue else None
-        if at is None:
+        if queue:
+            at = queue.pop()
+        else:
             at, rest = rest[0], rest[1:]
-            if not len(rest):
-                break
-        near = np.bitwise_count(prints[rest] ^ prints[at]) <= radius
+        near = chains.near(prints[rest] ^ prints[at], start)
         if near.any():
             got = rest[near]
             out.append((np.full(len(got), at), got))
@@ -131,33 +136,29 @@ def links(prints: np.ndarray, radius: int, every: bool) -> list[tuple[np.ndarray
     return out
 
 
-def _bucket_links(radius: int, verify: bool):
+def _bucket_links(radius: int, starts_of: list[int], verify: bool):
     """Over rows sorted by bucket: the links inside each bucket. Only the bucket that is open is held, of bounded size by TILE."""
 
-    def inside(fp: np.ndarray, node: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-        order = np.argsort(node, kind="stable")
-        fp, node = fp[order], node[order]
-        return [(node[a], node[b]) for a, b in links(fp, radius, verify and len(fp) <= DENSE)]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, ...]] = []
+        chains, start_of = Chains(radius), np.array(starts_of)
+        held: list[np.ndarray] = []
 
         def closed(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-            """rows: bucket columns, fp, node; whole buckets only."""
+            """rows: bucket columns (the mask's number first), fp, node; whole buckets only."""
             *keys, fp, node = rows
             if not len(fp):
                 return
             edge = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
-            starts = np.concatenate([[0], edge])
-            ends = np.concatenate([edge, [len(fp)]])
+            begins, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(fp)]])
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
-            two = (ends - starts) == 2
-            if two.any():  # most buckets: checked all at once
-                a, b = starts[two], starts[two] + 1
-                near = np.bitwise_count(fp[a] ^ fp[b]) <= radius
-                pairs.append((node[a[near]], node[b[near]]))
-            for s, e in zip(starts[(ends - starts) > 2], ends[(ends - starts) > 2], strict=True):
-                pairs += inside(fp[s:e], node[s:e])
+            two = begins[(ends - begins) == 2]
+            if len(two):  # most buckets with a pair: checked all at once
+                near = two[chains.near(fp[two] ^ fp[two + 1], start_of[keys[0][two]])]
+                pairs.append((node[near], node[near + 1]))
+            for s, e in zip(begins[(ends - begins) > 2], ends[(ends - begins) > 2], strict=True):
+                order = s + np.argsort(node[s:e], kind="stable")
+                found = links(fp[order], chains, start_of[keys[0][s]], verify and e - s <= DENSE)
+                pairs += [(node[order[a]], node[order[b]]) for a, b in found]
             if pairs:
                 a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
                 both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
@@ -185,9 +186,8 @@ def candidate_links(nodes: DataFrame, radius: int, verify: bool = False) -> Data
 
     The links keep the components of all such pairs; with ``verify`` small buckets report every pair.
     """
-    segments, chain = ring_layout(radius)
-    masks = ring_masks(radius, segments, chain)
-    signed = [m - 2**64 if m >= 2**63 else m for m in masks]
+    masks = ring_masks(radius, *ring_layout(radius))
+    signed = [m - 2**64 if m >= 2**63 else m for m, _ in masks]
 
     def keyed(rows: DataFrame) -> DataFrame:
         keys = F.array(*[F.struct(F.lit(i).cast("short").alias("no"), F.col("fp").bitwiseAND(F.lit(m)).alias("bits")) for i, m in enumerate(signed)])
@@ -205,7 +205,7 @@ def candidate_links(nodes: DataFrame, radius: int, verify: bool = False) -> Data
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         rows = rows.withColumn("tile", F.least("own", "other") * F.col("tiles") + F.greatest("own", "other"))
     rows = rows.select("no", "bits", "tile", "fp", "node").repartition("no", "bits", "tile").sortWithinPartitions("no", "bits", "tile")
-    return rows.mapInArrow(_bucket_links(radius, verify), "src long, dst long").distinct()
+    return rows.mapInArrow(_bucket_links(radius, [start for _, start in masks], verify), "src long, dst long").distinct()
 
 
 def similar_links(links_: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:

@@ -38,16 +38,17 @@ def test_matches_brute_force(spark, radius):
 
 
 @pytest.mark.parametrize("radius", [1, 3, 4, 8])
-def test_masks_miss_no_pair(radius):
+def test_ring_misses_no_pair(radius):
+    """Some mask agrees, and from its start the chain holds."""
     rng = np.random.default_rng(1)
-    segments, chain = simhash.ring_layout(radius)
-    masks = simhash.ring_masks(radius, segments, chain)
-    for _ in range(3000):
+    masks, chains = simhash.ring_masks(radius, *simhash.ring_layout(radius)), simhash.Chains(radius)
+    for _ in range(2000):
         diff = 0
         for b in rng.choice(64, rng.integers(0, radius + 1), replace=False):
             diff |= 1 << int(b)
-        assert any(diff & m == 0 for m in masks)
-        assert simhash.chain_holds(np.array([diff], np.uint64), radius, segments)[0]
+        assert any(diff & m == 0 and chains.near(np.array([diff], np.uint64), start)[0] for m, start in masks)
+    far = np.array([2**64 - 1, sum(1 << (7 * i) for i in range(9 if radius == 8 else radius + 1))], np.uint64)
+    assert not any(chains.near(far, start).any() for _, start in masks)
 
 
 def test_edge_rows(spark):
