@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.llm.base import slices
+from quern.llm.base import stage
 
 #: The model is fitted on at most so many labelled documents of each language, and of so many languages at most.
 SAMPLE, LANGUAGES = 250, 32
@@ -113,7 +113,8 @@ def training_rows(docs: DataFrame, learn: Column, per_language: int = SAMPLE) ->
     labelled = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = labelled.select("doc_id", "lang").join(common, "lang").withColumn("no", F.row_number().over(order)).filter(F.col("no") <= per_language).select("doc_id", F.col("lang").alias("as_lang"))
+    chosen = labelled.select("doc_id", "lang").join(common, "lang").withColumn("no", F.row_number().over(order)).filter(F.col("no") <= per_language)
+    ids = stage(chosen.select("doc_id", F.col("lang").alias("as_lang")), "sample")  # few, as their written size shows the planner
     rows = labelled.select("doc_id", F.col("text").cast("binary").alias("text"), "lang").join(ids, "doc_id").filter("lang = as_lang").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     made = rows.mapInArrow(_sampled, "grams array<int>, lang string, doc_id long").toPandas().sort_values(["lang", "doc_id"])
     return [(np.asarray(g, np.int32), lang) for g, lang in zip(made["grams"], made["lang"], strict=True)]
