@@ -246,13 +246,18 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4
     return prints.join(named, ["fp", "digest"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """``docs`` with the document of each group (doc_id, component_id) that has the smallest doc_id, once. Rows with a null doc_id stay."""
+    parts = stage(groups.filter("doc_id = component_id").groupBy("doc_id").count(), "kept")
+    kept = docs.join(parts.hint("merge"), "doc_id", "left_semi")  # nearly as many ids as documents: not for a broadcast
+    if not parts.filter("count > 1").isEmpty():  # only then rows share a doc_id
+        kept = kept.dropDuplicates(["doc_id"])
+    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+
+
 def keep_first(docs: DataFrame, **how) -> DataFrame:
     """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id, once.
 
     Rows with a null doc_id stay.
     """
-    parts = stage(near_duplicates(docs, **how).filter("doc_id = component_id").groupBy("doc_id").count(), "kept")
-    kept = docs.join(parts.hint("merge"), "doc_id", "left_semi")  # nearly as many ids as documents: not for a broadcast
-    if not parts.filter("count > 1").isEmpty():  # only then rows share a doc_id
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull()))
+    return first_of_groups(docs, near_duplicates(docs, **how))
