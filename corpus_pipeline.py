@@ -14,8 +14,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source."""
-    return linededup.drop_boilerplate(docs, site="source")
+    """Documents without the boilerplate lines of their source; copies of a page are left to ``near_dedup``."""
+    return linededup.drop_boilerplate(docs, site="source", by_text=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,3 +45,15 @@ def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     fills = np.bincount(np.unique([r.sequence_id for r in rows], return_inverse=True)[1], [r.length for r in rows])
     assert fills.max() <= 2048
+
+
+def test_copies_of_a_page_leave_one(spark):
+    """A group of copies passes line dedup whole, and near dedup keeps one; a line of many unlike pages still goes."""
+    page = "\n".join(" ".join(f"w{k}x{n}" for n in range(12)) for k in range(5))
+    rows = [(i, page, "hot") for i in range(40)]
+    rows += [(100 + i, "\n".join(["home about contact", *(" ".join(f"p{i}l{k}n{n}" for n in range(9)) for k in range(4))]), "hot") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    cleaned = corpus_pipeline.line_dedup(spark, docs, SF)
+    kept = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, cleaned, SF).collect()}
+    assert kept[0] == page and set(kept) == {0, *range(100, 130)}
+    assert not any("home" in t for t in kept.values())
