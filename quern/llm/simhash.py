@@ -16,8 +16,8 @@ from quern.llm.base import connected_components, slices, stage, texts
 BITS = 64
 #: Rows of one bucket that one task compares; larger buckets are dealt out in tiles.
 TILE = 20_000
-#: In buckets up to this size every pair in reach is reported when links are verified afterwards.
-DENSE = 48
+#: Pairs that a task collects before it passes them on.
+PASSED = 1_000_000
 
 
 def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
@@ -114,13 +114,14 @@ class Chains:
         return out
 
 
-def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> list[tuple[np.ndarray, np.ndarray]]:
+def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(from, to) positions of prints that the chain from ``start`` and the radius hold: every pair, or pairs that keep the components of all such pairs."""
     if every:
-        a, b = np.triu_indices(len(prints), 1)
-        near = chains.near(prints[a] ^ prints[b], start)
-        return [(a[near], b[near])]
-    out = []
+        for at in range(len(prints) - 1):
+            near = at + 1 + np.flatnonzero(chains.near(prints[at + 1 :] ^ prints[at], start))
+            if len(near):
+                yield np.full(len(near), at), near
+        return
     rest, queue = np.arange(1, len(prints)), [0]
     while len(rest):
         if queue:
@@ -130,10 +131,9 @@ def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> list[t
         near = chains.near(prints[rest] ^ prints[at], start)
         if near.any():
             got = rest[near]
-            out.append((np.full(len(got), at), got))
+            yield np.full(len(got), at), got
             queue += got.tolist()
             rest = rest[~near]
-    return out
 
 
 def _bucket_links(radius: int, starts_of: list[int], verify: bool):
@@ -143,6 +143,11 @@ def _bucket_links(radius: int, starts_of: list[int], verify: bool):
         chains, start_of = Chains(radius), np.array(starts_of)
         held: list[np.ndarray] = []
 
+        def passed(pairs: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
+            return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["src", "dst"])
+
         def closed(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             """rows: bucket columns (the mask's number first), fp, node; whole buckets only."""
             *keys, fp, node = rows
@@ -151,18 +156,21 @@ def _bucket_links(radius: int, starts_of: list[int], verify: bool):
             edge = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
             begins, ends = np.concatenate([[0], edge]), np.concatenate([edge, [len(fp)]])
             pairs: list[tuple[np.ndarray, np.ndarray]] = []
+            count = 0
             two = begins[(ends - begins) == 2]
             if len(two):  # most buckets with a pair: checked all at once
                 near = two[chains.near(fp[two] ^ fp[two + 1], start_of[keys[0][two]])]
                 pairs.append((node[near], node[near + 1]))
             for s, e in zip(begins[(ends - begins) > 2], ends[(ends - begins) > 2], strict=True):
                 order = s + np.argsort(node[s:e], kind="stable")
-                found = links(fp[order], chains, start_of[keys[0][s]], verify and e - s <= DENSE)
-                pairs += [(node[order[a]], node[order[b]]) for a, b in found]
+                for a, b in links(fp[order], chains, start_of[keys[0][s]], verify):
+                    pairs.append((node[order[a]], node[order[b]]))
+                    count += len(a)
+                    if count >= PASSED:
+                        yield passed(pairs)
+                        pairs, count = [], 0
             if pairs:
-                a, b = (np.concatenate(x) for x in zip(*pairs, strict=True))
-                both = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["src", "dst"])
+                yield passed(pairs)
 
         for batch in batches:
             if not batch.num_rows:
@@ -184,7 +192,7 @@ def _bucket_links(radius: int, starts_of: list[int], verify: bool):
 def candidate_links(nodes: DataFrame, radius: int, verify: bool = False) -> DataFrame:
     """Links (src > dst) between rows (node, fp) of ``nodes`` at ``radius`` or fewer differing bits, found in pigeonring buckets.
 
-    The links keep the components of all such pairs; with ``verify`` small buckets report every pair.
+    The links keep the components of all such pairs; with ``verify`` every pair is reported, as some links go afterwards.
     """
     masks = ring_masks(radius, *ring_layout(radius))
     signed = [m - 2**64 if m >= 2**63 else m for m, _ in masks]
