@@ -91,7 +91,9 @@ def _row(c: str):
 
 
 def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
-    """(doc_id, start, end, first_doc_id, row): passages whose chunks all stand earlier too, in another document or in the same.
+    """(doc_id, start, end, first_doc_id, shared, row): passages whose chunks all stand earlier too, in other documents or in the same.
+
+    A passage has a row for each document in which some of its chunks stand first, and ``shared`` is the bytes of those chunks.
 
     Earlier is by place in the table as it is read; a chunk's first occurrence is not reported. ``start`` and ``end`` are bytes of
     the text's UTF-8. Passages are runs of such chunks of at least ``least_bytes`` together. Null and empty texts have none. Of
@@ -103,10 +105,14 @@ def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
     again = all_chunks.select("digest", "at", "span").join(common, "digest").filter(F.col("at") != F.col("first"))
     placed = again.select(_row("at").alias("row"), "at", F.shiftright("span", SIZE_BITS).alias("start"), F.col("span").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("size"), "first")
     run = F.col("at") - F.row_number().over(Window.partitionBy("row").orderBy("at"))
-    runs = placed.withColumn("run", run).groupBy("row", "run").agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.min("first").alias("first"))
-    long = runs.filter(F.col("end") - F.col("start") >= least_bytes).select("row", "start", "end", _row("first").alias("of"))
+    sources = placed.withColumn("run", run).groupBy("row", "run", _row("first").alias("of"))
+    sources = sources.agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.sum("size").alias("shared"))
+    whole = Window.partitionBy("row", "run")
+    spans = sources.withColumns({"start": F.min("start").over(whole), "end": F.max("end").over(whole)})
+    long = spans.filter(F.col("end") - F.col("start") >= least_bytes).select("row", "start", "end", "of", "shared")
     names = all_chunks.filter(F.col("at").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)) == 0).select(_row("at").alias("row"), "doc_id")
-    return long.join(names, "row").join(names.select(F.col("row").alias("of"), F.col("doc_id").alias("first_doc_id")), "of").select("doc_id", "start", "end", "first_doc_id", "row")
+    firsts = names.select(F.col("row").alias("of"), F.col("doc_id").alias("first_doc_id"))
+    return long.join(names, "row").join(firsts, "of").select("doc_id", "start", "end", "first_doc_id", "shared", "row")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -106,6 +106,18 @@ def test_passages_survive_shifts(spark):
     assert [(r.doc_id, r.first_doc_id) for r in substrings.repeated_passages(twice).orderBy("row").collect()] == [(7, 7), (None, 7)]
 
 
+def test_passages_of_two_sources_name_both(spark):
+    one, two = passage(70, 80), passage(71, 80)
+    texts = [passage(1, 60), one, two, passage(2, 60) + " " + one + two]
+    joined = substrings.repeated_passages(docs_of(spark, [*texts, one + two])).collect()
+    for doc in (3, 4):
+        rows = [r for r in joined if r.doc_id == doc]
+        assert {1, 2} <= {r.first_doc_id for r in rows}
+        for start, end in {(r.start, r.end) for r in rows}:
+            assert sum(r.shared for r in rows if (r.start, r.end) == (start, end)) == end - start
+    assert substrings.drop_passages(docs_of(spark, [*texts, one + two]), substrings.repeated_passages(docs_of(spark, [*texts, one + two]))).count() == 2
+
+
 def test_chunks_cover_texts(spark):
     texts = ["é" * 3000, passage(1, 500), "a" * 9000, "", "x"]
     by = {}
