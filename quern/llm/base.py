@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
+import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,3 +37,19 @@ def slices(batch, most_bytes: int = 4_000_000):
         if size >= most_bytes or i == batch.num_rows - 1:
             yield ids[start : i + 1].to_pylist(), body[start : i + 1].to_pylist()
             start, size = i + 1, 0
+
+
+def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of every word shingle of ``text``, repeats included; ASCII letters are lower-cased."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    if len(words) <= words_per_shingle:
+        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
+    shingles = map(b" ".join, zip(*(words[i:] for i in range(words_per_shingle)), strict=False))
+    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(words) - words_per_shingle + 1)
+
+
+def digest(text: bytes) -> int:
+    """Tells texts of unlike words apart."""
+    return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split())) - 2**63

@@ -1,4 +1,4 @@
-"""Near-duplicate detection by an exact similarity join of word-shingle sets."""
+"""Links of near duplicates by the similarity of their word-shingle sets: verification of candidates, and an exact join for the rest."""
 
 from __future__ import annotations
 
@@ -6,51 +6,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import connected_components, slices, stage, texts
-from quern.llm.simhash import first_of_groups, shingle_hashes
+from quern.llm.base import connected_components, digest, shingle_hashes, slices, stage, texts
 
-#: In buckets up to this size all pairs are candidates at once; in larger ones those that join components are, in a second pass.
-FEW = 8
 #: Shingles of one text in SAMPLED are counted; the HOT most frequent of them, of LEAST_HOT texts at least, come last in the order. This decides cost alone.
 SAMPLED, LEAST_HOT, HOT = 32, 4, 100_000
+#: Rows of one shingle that one task compares; more are dealt out in tiles, two of which meet in each task.
+TILE = 20_000
+#: Links of one text that meet it in one task; more are dealt out.
+LINKS = 1_000
+#: Pairs that a task collects before it passes them on.
+PASSED = 1_000_000
 
 
-def digest(text: bytes) -> int:
-    """Tells texts of unlike words apart."""
-    return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split())) - 2**63
-
-
-def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for ids, body in slices(batch):
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(list(map(digest, body)), pa.int64())], ["doc_id", "digest"])
+def prefix_size(n: int, similarity: float) -> int:
+    """Sets of which one has ``n`` members share one of its first so many, in any order of all members, if they are as similar."""
+    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
 
 
 def _sets(words_per_shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, body in slices(batch, 1_000_000):
-                sets = [np.unique(shingle_hashes(t, words_per_shingle)).view(np.int64) for t in body]
-                yield pa.RecordBatch.from_arrays([pa.array(list(map(digest, body)), pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+                yield pa.RecordBatch.from_arrays([pa.array([np.unique(shingle_hashes(t, words_per_shingle)).view(np.int64) for t in body], pa.list_(pa.int64()))], ["shingles"])
 
     return run
 
 
-def prefix_size(n: int, similarity: float) -> int:
-    """Sets of which one has ``n`` members share one of its first so many, in any order of all members, if they are as similar."""
-    return n - int(np.ceil(similarity * n - 1e-9)) + 1 if n else 0
-
-
 def _prefixes(hot: np.ndarray, counts: np.ndarray, words_per_shingle: int, similarity: float):
-    """(token, n, pos, node): the prefix of each text's set of ``n`` shingles; ``hot`` is sorted, ``counts`` are its frequencies."""
+    """(token, n, pos, node, part): the prefix of each text's set of ``n`` shingles; ``hot`` is sorted, ``counts`` are its frequencies."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, body in slices(batch, 1_000_000):
+            parts, at_row = batch.column(2).to_pylist(), 0
+            for ids, body in slices(batch, 1_000_000):
                 tokens, sizes, taken = [], [], []
                 for text in body:
                     held = np.unique(shingle_hashes(text, words_per_shingle))
@@ -60,27 +51,31 @@ def _prefixes(hot: np.ndarray, counts: np.ndarray, words_per_shingle: int, simil
                     tokens.append(held[: prefix_size(len(held), similarity)])
                     sizes.append(len(held))
                     taken.append(len(tokens[-1]))
-                nodes = np.array(list(map(digest, body)), np.int64)
+                nodes = list(map(digest, body))
+                own = [n if p is None else p for n, p in zip(nodes, parts[at_row : at_row + len(ids)], strict=True)]
+                at_row += len(ids)
                 pos = np.concatenate([np.arange(k) for k in taken]).astype(np.int32)
-                columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(sizes, np.int32), taken), pos, np.repeat(nodes, taken)]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["token", "n", "pos", "node"])
+                columns = [np.concatenate(tokens).view(np.int64), np.repeat(np.array(sizes, np.int32), taken), pos]
+                columns += [np.repeat(np.array(c, np.int64), taken) for c in (nodes, own)]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), ["token", "n", "pos", "node", "part"])
 
     return run
 
 
 def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns of rows sorted by their first column, cut so that no bucket of equal first values is divided."""
+    """The columns of rows sorted by their first two columns, cut so that no bucket of equal values in both is divided."""
     held: list[np.ndarray] = []
     for batch in batches:
         if not batch.num_rows:
             continue
         cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if held and held[0][-1] == cols[0][0] == cols[0][-1]:
+        ends = [(c[0][k], c[1][k]) for c, k in ((cols, 0), (cols, -1), *([(held, -1)] if held else []))]
+        if held and len(set(ends)) == 1:
             parts.append(cols)  # the open bucket goes on: joined once it ends
             continue
         if held:
             cols = [np.concatenate(x) for x in zip(*parts, cols, strict=True)]
-        last = np.flatnonzero(cols[0] != cols[0][-1])
+        last = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1]))
         cut = last[-1] + 1 if len(last) else 0
         if cut:
             yield [c[:cut] for c in cols]
@@ -91,55 +86,53 @@ def _whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarra
 
 
 def _reachable(n: np.ndarray, pos: np.ndarray, a, b, similarity: float) -> np.ndarray:
-    """Whether sets can still be as similar if what they share begins at these places."""
-    return np.minimum(n[a] - pos[a], n[b] - pos[b]) >= similarity / (1 + similarity) * (n[a].astype(np.int64) + n[b]) - 1e-9
+    """Whether sets can still be as similar if what they share begins at these places, and by their sizes."""
+    n = n.astype(np.int64)
+    fits = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
+    return fits & (np.minimum(n[a] - pos[a], n[b] - pos[b]) >= similarity / (1 + similarity) * (n[a] + n[b]) - 1e-9)
 
 
-_FIRST = ["src", "dst", "token", "n", "pos"]
+def _passed(found: list[np.ndarray]) -> pa.RecordBatch:
+    both = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["src", "dst"])
 
 
-def _first_pairs(similarity: float, few: int):
-    """Pairs (n = 0) of buckets up to ``few`` rows, and of rows next to each other in larger ones, whose rows are passed on."""
+def _next_pairs(similarity: float):
+    """Pairs of rows that are next to each other in a bucket, or next but one, and of two components: all pairs of small buckets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, n, pos, node in _whole_buckets(batches):
-            edge = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
-            size = np.repeat(np.diff(edge), np.diff(edge))
+        for token, tile, n, pos, node, part in _whole_buckets(batches):
             found = []
-            for d in range(1, few):
-                a = np.flatnonzero((token[d:] == token[:-d]) & ((size[d:] <= few) | (d <= 2)))
-                a = a[_reachable(n, pos, a, a + d, similarity) & (node[a] != node[a + d])]
+            for d in (1, 2):
+                a = np.flatnonzero((token[d:] == token[:-d]) & (tile[d:] == tile[:-d]) & (part[d:] != part[:-d]))
+                a = a[_reachable(n, pos, a, a + d, similarity)]
                 found.append(np.stack([np.maximum(node[a], node[a + d]), np.minimum(node[a], node[a + d])]))
-            both = np.unique(np.concatenate(found, axis=1), axis=1)
-            none = np.zeros(both.shape[1], np.int64)
-            large = np.flatnonzero(size > few)
-            columns = [(both[0], node[large]), (both[1], node[large]), (none, token[large]), (none.astype(np.int32), n[large]), (none.astype(np.int32), pos[large])]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], _FIRST)
+            yield _passed(found)
 
     return run
 
 
 def _joining_pairs(similarity: float):
-    """Every pair of a bucket that is of two components; rows are sorted by token, then size."""
+    """Every pair of a bucket that is of two components; rows are sorted by token, tile, then size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for token, n, pos, node, part in _whole_buckets(batches):
-            edge = np.concatenate([[0], np.flatnonzero(token[1:] != token[:-1]) + 1, [len(token)]])
+        for token, tile, n, pos, node, part in _whole_buckets(batches):
+            edge = np.concatenate([[0], np.flatnonzero((token[1:] != token[:-1]) | (tile[1:] != tile[:-1])) + 1, [len(token)]])
             found, count = [], 0
             for s, e in zip(edge[:-1], edge[1:], strict=True):
                 ends = s + np.searchsorted(n[s:e], n[s:e] / similarity + 1e-9, side="right")
                 for i in range(s, e):
                     b = np.arange(i + 1, ends[i - s])
-                    b = b[(part[b] != part[i]) & _reachable(n, pos, np.full(len(b), i), b, similarity)]
+                    b = b[part[b] != part[i]]
+                    b = b[_reachable(n, pos, np.full(len(b), i), b, similarity)]
                     if len(b):
                         found.append(np.stack([np.maximum(node[b], node[i]), np.minimum(node[b], node[i])]))
                         count += len(b)
-                    if count > 1_000_000:
-                        both, found, count = np.unique(np.concatenate(found, axis=1), axis=1), [], 0
-                        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["src", "dst"])
+                    if count > PASSED:
+                        yield _passed(found)
+                        found, count = [], 0
             if found:
-                both = np.unique(np.concatenate(found, axis=1), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["src", "dst"])
+                yield _passed(found)
 
     return run
 
@@ -169,61 +162,85 @@ def _alike(words_per_shingle: int, similarity: float):
     return run
 
 
-def _verified(pairs: DataFrame, first: DataFrame, docs: DataFrame, unique: bool, words_per_shingle: int, similarity: float) -> DataFrame:
-    """The pairs (src, dst) of digests whose texts are as similar. ``first`` has a doc_id for each digest.
-
-    Pairs meet their texts, not their sets: texts are smaller on disk.
-    """
-    pairs = stage(pairs.distinct(), "pairs")
-    ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
-    ids = first.join(ends, "node", "left_semi").select("doc_id").distinct()
-    needed = texts(docs, binary=True).join(ids.hint("merge"), "doc_id", "left_semi")  # as many ids as documents have candidates: not for a broadcast
-    named = needed.mapInArrow(_named, "node long, text binary")
-    named = stage(named if unique else named.dropDuplicates(["node"]), "candidates")
-    a = named.select(F.col("node").alias("src"), F.col("text").alias("a"))
-    b = named.select(F.col("node").alias("dst"), F.col("text").alias("b"))
-    both = pairs.join(a.hint("merge"), "src").join(b.hint("merge"), "dst").select("src", "dst", "a", "b")
-    return stage(both.mapInArrow(_alike(words_per_shingle, similarity), "src long, dst long"), "links")
-
-
-def near_duplicates(docs: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5) -> DataFrame:
-    """(doc_id, component_id) for every row of ``docs`` (doc_id, text).
-
-    Texts link if the sets of their word shingles have this Jaccard similarity at least, whatever the kind of edit: two such sets
-    share a shingle among the first ``prefix_size`` of each, in any order of all shingles, and every pair that does is compared in
-    full, but for pairs that are in one component already. Texts of the same words are one from the start, word-less ones too.
-    ``component_id`` is the smallest doc_id reachable. Repeated rows each get their row. A row with a null doc_id joins the
-    component of its words, and has a null component if no doc_id shares them.
+class Copies:
+    """The texts of ``docs`` by ``prints`` (doc_id, node), where a node stands for all texts of the same words."""
+
+    def __init__(self, docs: DataFrame, prints: DataFrame, words_per_shingle: int, similarity: float):
+        self.docs, self.prints, self.words, self.similarity = texts(docs, binary=True), prints, words_per_shingle, similarity
+        self.classes = stage(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes")
+        self.first = self.classes.filter(F.col("doc_id").isNotNull())
+        self.unique = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (src, dst) of nodes whose texts are as similar.
+
+        Pairs meet their texts, not their sets: texts are smaller on disk. A text of many pairs is sent to several tasks.
+        """
+        pairs = stage(pairs.distinct(), "pairs")
+        ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
+        ids = self.first.join(ends, "node", "left_semi").select("doc_id").distinct()
+        needed = self.docs.join(ids.hint("merge"), "doc_id", "left_semi")  # as many ids as documents have candidates: not for a broadcast
+        named = needed.mapInArrow(_named, "node long, text binary")
+        named = stage(named if self.unique else named.dropDuplicates(["node"]), "candidates")
+        out = pairs.withColumn("src_tile", F.lit(0)).withColumn("dst_tile", F.lit(0))
+        for end, other in (("src", "dst"), ("dst", "src")):
+            many = stage(pairs.groupBy(end).count().filter(F.col("count") > LINKS).select(end, F.ceil(F.col("count") / LINKS).cast("int").alias("tiles")), "many")
+            side = named.select(F.col("node").alias(end), F.col("text").alias("a" if end == "src" else "b"))
+            if many.isEmpty():
+                side = side.withColumn(f"{end}_tile", F.lit(0))
+            else:
+                out = out.join(many, end, "left").withColumn(f"{end}_tile", F.coalesce(F.pmod(F.xxhash64(other), F.col("tiles")).cast("int"), F.lit(0))).drop("tiles")
+                side = side.join(many, end, "left").withColumn(f"{end}_tile", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))).drop("tiles")
+            out = out.join(side.hint("merge"), [end, f"{end}_tile"])
+        return stage(out.select("src", "dst", "a", "b").mapInArrow(_alike(self.words, self.similarity), "src long, dst long"), "links")
+
+    def prefixes(self, parts: DataFrame) -> DataFrame:
+        """(token, n, pos, node, part): the prefix of each text's set, with the text's component in ``parts``; copies come once."""
+        least = self.prints.join(self.classes.withColumnRenamed("doc_id", "least"), "node").filter("doc_id > least").select("doc_id").distinct()
+        marks = least.join(self.first.select("doc_id"), "doc_id", "left_anti").select("doc_id", F.lit(True).alias("copy"), F.lit(None).cast("long").alias("part"))
+        if self.unique:  # else an id is of several texts, and each text is left in a component of its own
+            marks = marks.unionByName(parts.join(self.first, "node").select("doc_id", F.lit(False).alias("copy"), F.col("component").alias("part")))
+        marks = stage(marks, "marks")  # written, so that its size decides the join
+        single = self.docs.filter("doc_id IS NOT NULL").join(marks, "doc_id", "left").filter("copy IS NULL OR NOT copy").select("doc_id", "text", "part")
+        sample = single.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0).mapInArrow(_sets(self.words), "shingles array<long>")
+        often = sample.select(F.explode("shingles").alias("token")).groupBy("token").count().filter(F.col("count") >= LEAST_HOT).orderBy(F.desc("count"), "token").limit(HOT).toPandas()
+        hot = often["token"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(hot)
+        made = single.mapInArrow(_prefixes(hot[order], often["count"].to_numpy(np.int64)[order], self.words, self.similarity), "token long, n int, pos int, node long, part long")
+        return stage(made, "prefixes")
+
+
+def _mixed(rows: DataFrame, least: int) -> DataFrame:
+    """The rows of shingles that ``least`` texts of two components share, dealt in tiles and sorted for the pairs."""
+    sums = rows.groupBy("token").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("size"))
+    mixed = stage(sums.filter(f"low <> high AND size >= {least}").select("token", F.ceil(F.col("size") / TILE).cast("int").alias("tiles")), "mixed")
+    dealt = rows.join(mixed, "token")
+    own = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
+    return dealt.withColumn("own", own).withColumn("other", other).select("token", (F.least("own", "other") * F.col("tiles") + F.greatest("own", "other")).alias("tile"), "n", "pos", "node", "part", (F.col("own") == F.col("other")).alias("home"))
+
+
+def _pairs(rows: DataFrame, run) -> DataFrame:
+    return rows.drop("home").repartition("token", "tile").sortWithinPartitions("token", "tile", "n", "node").mapInArrow(run, "src long, dst long")
+
+
+def similar_components(docs: DataFrame, prints: DataFrame, candidates: DataFrame, similarity: float = 0.8, words_per_shingle: int = 5) -> DataFrame:
+    """(node, component_id) for every node of ``prints`` (doc_id, node: the digest of the words): component_id is the smallest doc_id reachable.
+
+    Links have the Jaccard similarity ``similarity`` at least. ``candidates`` (src, dst) that have it make the first components.
+    Two sets as similar share a shingle among the first ``prefix_size`` of each, in any order of all shingles, so a join on those
+    prefixes finds all others: first pairs next to each other by size, then every pair that is in two components still.
     """
-    prints = stage(texts(docs, binary=True).mapInArrow(_digests, "doc_id long, digest long"), "digests")
-    classes = stage(prints.groupBy(F.col("digest").alias("node")).agg(F.min("doc_id").alias("doc_id")), "classes")
-    first = classes.filter(F.col("doc_id").isNotNull())
-    copies = prints.join(classes.withColumnRenamed("doc_id", "least"), F.col("digest") == F.col("node")).filter("doc_id > least").select("doc_id").distinct()
-    unique = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
-    copies = stage(copies.join(first.select("doc_id"), "doc_id", "left_anti"), "copies")  # written, so that its size decides the join
-    single = texts(docs, binary=True).filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
-    part = single.filter(F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLED)) == 0).mapInArrow(_sets(words_per_shingle), "node long, shingles array<long>")
-    often = part.select(F.explode("shingles").alias("token")).groupBy("token").count().filter(F.col("count") >= LEAST_HOT).orderBy(F.desc("count"), "token").limit(HOT).toPandas()
-    hot = often["token"].to_numpy(np.int64).view(np.uint64)
-    order = np.argsort(hot)
-    prefix = single.mapInArrow(_prefixes(hot[order], often["count"].to_numpy(np.int64)[order], words_per_shingle, similarity), "token long, n int, pos int, node long")
-    rows = prefix.repartition("token").sortWithinPartitions("token", "n", "node")
-    found = stage(rows.mapInArrow(_first_pairs(similarity, FEW), "src long, dst long, token long, n int, pos int"), "found")
-    links = _verified(found.filter("n = 0").select("src", "dst"), first, docs, unique, words_per_shingle, similarity)
-    parts = connected_components(links)
-    large = found.filter("n > 0").select("token", "n", "pos", F.col("src").alias("node"))
-    if not large.isEmpty():
-        named = stage(large.join(parts, "node", "left").select("token", "n", "pos", "node", F.coalesce("component", "node").alias("part")), "large")
-        mixed = named.groupBy("token").agg(F.min("part").alias("a"), F.max("part").alias("b")).filter("a <> b").select("token")
-        open_ = named.join(mixed, "token", "left_semi").repartition("token").sortWithinPartitions("token", "n", "node")
-        more = _verified(open_.mapInArrow(_joining_pairs(similarity), "src long, dst long"), first, docs, unique, words_per_shingle, similarity)
-        if not more.isEmpty():
-            parts = connected_components(parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(more))
-    grouped = stage(classes.join(parts, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("part")), "parts")
-    least = grouped.groupBy("part").agg(F.min("doc_id").alias("component_id"))
-    return prints.join(grouped.join(least, "part").select(F.col("node").alias("digest"), "component_id"), "digest").select("doc_id", "component_id")
-
-
-def keep_first(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each near-duplicate group: the one with the smallest doc_id, once. Rows with a null doc_id stay."""
-    return first_of_groups(docs, near_duplicates(docs, **how))
+    copies = Copies(docs, prints, words_per_shingle, similarity)
+    parts = stage(connected_components(copies.verified(candidates)), "parts")
+    rows = copies.prefixes(parts)
+    near = stage(_mixed(rows, 2), "shared")
+    links = copies.verified(_pairs(near, _next_pairs(similarity)))
+    merge = lambda links: stage(connected_components(parts.select(F.col("node").alias("src"), F.col("component").alias("dst")).unionByName(links)), "parts")
+    parts = merge(links)
+    now = near.filter("home").join(parts.withColumnRenamed("node", "of"), F.col("part") == F.col("of"), "left").select("token", "n", "pos", "node", F.coalesce("component", "part").alias("part"))
+    more = copies.verified(_pairs(_mixed(now, 4), _joining_pairs(similarity)))
+    if not more.isEmpty():
+        parts = merge(more)
+    grouped = stage(copies.classes.join(parts, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("part")), "parts")
+    return grouped.join(grouped.groupBy("part").agg(F.min("doc_id").alias("component_id")), "part").select("node", "component_id")

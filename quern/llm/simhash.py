@@ -3,15 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import combinations, repeat
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import connected_components, slices, stage, texts
+from quern.llm import jaccard
+from quern.llm.base import connected_components, digest, shingle_hashes, slices, stage, texts
 
 BITS = 64
 #: Rows of one bucket that one task compares; larger buckets are dealt out in tiles.
@@ -20,17 +20,6 @@ TILE = 20_000
 PASSED = 1_000_000
 
 
-def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
-    """XXH64 (seed 42) of every word shingle of ``text``, repeats included; ASCII letters are lower-cased."""
-    words = text.lower().split()
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) <= words_per_shingle:
-        return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
-    shingles = map(b" ".join, zip(*(words[i:] for i in range(words_per_shingle)), strict=False))
-    return np.fromiter(map(xxhash.xxh64_intdigest, shingles, repeat(42)), np.uint64, len(words) - words_per_shingle + 1)
-
-
 def fold(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The fingerprint of each run of ``sizes`` hashes: a bit is set if it is in over half of the run's hashes."""
     out = np.zeros(len(sizes), np.uint64)
@@ -49,7 +38,7 @@ def _fingerprints(words_per_shingle: int, with_digest: bool):
             for ids, body in slices(batch, 1_000_000):
                 hashes = [shingle_hashes(t, words_per_shingle) for t in body]
                 prints = fold(np.concatenate(hashes), np.array([len(h) for h in hashes]))
-                digests = [xxhash.xxh3_64_intdigest(b" ".join(t.lower().split())) - 2**63 for t in body] if with_digest else [0] * len(ids)
+                digests = list(map(digest, body)) if with_digest else [0] * len(ids)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(prints.view(np.int64)), pa.array(digests, pa.int64())], ["doc_id", "fp", "digest"])
 
     return run
@@ -114,14 +103,8 @@ class Chains:
         return out
 
 
-def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(from, to) positions of prints that the chain from ``start`` and the radius hold: every pair, or pairs that keep the components of all such pairs."""
-    if every:
-        for at in range(len(prints) - 1):
-            near = at + 1 + np.flatnonzero(chains.near(prints[at + 1 :] ^ prints[at], start))
-            if len(near):
-                yield np.full(len(near), at), near
-        return
+def links(prints: np.ndarray, chains: Chains, start: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(from, to) positions of prints that the chain from ``start`` and the radius hold: pairs that keep the components of all such pairs."""
     rest, queue = np.arange(1, len(prints)), [0]
     while len(rest):
         if queue:
@@ -136,7 +119,7 @@ def links(prints: np.ndarray, chains: Chains, start: int, every: bool) -> Iterat
             rest = rest[~near]
 
 
-def _bucket_links(radius: int, starts_of: list[int], verify: bool):
+def _bucket_links(radius: int, starts_of: list[int]):
     """Over rows sorted by bucket: the links inside each bucket. Only the bucket that is open is held, of bounded size by TILE."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +146,7 @@ def _bucket_links(radius: int, starts_of: list[int], verify: bool):
                 pairs.append((node[near], node[near + 1]))
             for s, e in zip(begins[(ends - begins) > 2], ends[(ends - begins) > 2], strict=True):
                 order = s + np.argsort(node[s:e], kind="stable")
-                for a, b in links(fp[order], chains, start_of[keys[0][s]], verify):
+                for a, b in links(fp[order], chains, start_of[keys[0][s]]):
                     pairs.append((node[order[a]], node[order[b]]))
                     count += len(a)
                     if count >= PASSED:
@@ -189,10 +172,10 @@ def _bucket_links(radius: int, starts_of: list[int], verify: bool):
     return run
 
 
-def candidate_links(nodes: DataFrame, radius: int, verify: bool = False) -> DataFrame:
+def candidate_links(nodes: DataFrame, radius: int) -> DataFrame:
     """Links (src > dst) between rows (node, fp) of ``nodes`` at ``radius`` or fewer differing bits, found in pigeonring buckets.
 
-    The links keep the components of all such pairs; with ``verify`` every pair is reported, as some links go afterwards.
+    The links keep the components of all such pairs.
     """
     masks = ring_masks(radius, *ring_layout(radius))
     signed = [m - 2**64 if m >= 2**63 else m for m, _ in masks]
@@ -213,45 +196,38 @@ def candidate_links(nodes: DataFrame, radius: int, verify: bool = False) -> Data
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
         rows = rows.withColumn("tile", F.least("own", "other") * F.col("tiles") + F.greatest("own", "other"))
     rows = rows.select("no", "bits", "tile", "fp", "node").repartition("no", "bits", "tile").sortWithinPartitions("no", "bits", "tile")
-    return rows.mapInArrow(_bucket_links(radius, [start for _, start in masks], verify), "src long, dst long").distinct()
-
-
-def similar_links(links_: DataFrame, docs: DataFrame, words_per_shingle: int, similarity: float) -> DataFrame:
-    """The links whose texts have a Jaccard similarity of word-shingle sets of at least ``similarity``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for ids, body in slices(batch):
-                sets = [np.unique(shingle_hashes(t, words_per_shingle)).view(np.int64) for t in body]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["doc_id", "shingles"])
-
-    ends = links_.select(F.col("src").alias("doc_id")).unionByName(links_.select(F.col("dst").alias("doc_id"))).distinct()
-    needed = texts(docs, binary=True).join(ends.hint("merge"), "doc_id", "left_semi")  # as many ids as documents have copies: not for a broadcast
-    sets = stage(needed.mapInArrow(run, "doc_id long, shingles array<long>").dropDuplicates(["doc_id"]), "shingles")
-    a = sets.select(F.col("doc_id").alias("src"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("doc_id").alias("dst"), F.col("shingles").alias("b"))
-    common = F.size(F.array_intersect("a", "b"))
-    return links_.join(a, "src").join(b, "dst").filter(common >= similarity * (F.size("a") + F.size("b") - common)).select("src", "dst")
+    return rows.mapInArrow(_bucket_links(radius, [start for _, start in masks]), "src long, dst long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 4, radius: int = 4, similarity: float | None = None, verify_words: int = 5) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of ``docs`` (doc_id, text).
 
-    Prints link at ``radius`` or fewer differing bits. With ``similarity`` a link also needs that Jaccard similarity of the
-    sets of ``verify_words``-word shingles, and texts of the same words are one from the start; prints of shorter shingles then
-    find more of those links at the same radius, as a changed word changes fewer of them. ``component_id`` is the smallest
-    doc_id reachable.
-    Null and word-less texts have fingerprint zero and link like others. Repeated rows each get their row. A row with a
-    null doc_id joins the component of its fingerprint, and has a null component if no doc_id shares it.
+    Prints link at ``radius`` or fewer differing bits; ``component_id`` is the smallest doc_id reachable. Null and word-less
+    texts have fingerprint zero and link like others. Repeated rows each get their row. A row with a null doc_id joins the
+    component of its fingerprint, and has a null component if no doc_id shares it.
+
+    With ``similarity`` texts link if the sets of their ``verify_words``-word shingles have that Jaccard similarity, and texts of
+    the same words are one from the start. Links of prints are then candidates that are compared in full; they gather most
+    copies. No radius holds all such pairs, so ``jaccard.similar_components`` adds every link between texts that are not yet in one
+    component.
     """
     prints = stage(fingerprints(docs, words_per_shingle, similarity is not None), "prints")
-    classes = stage(prints.groupBy("fp", "digest").agg(F.min("doc_id").alias("node")), "classes")
-    found = candidate_links(classes.filter(F.col("node").isNotNull()).select("node", "fp"), radius, similarity is not None)
     if similarity is not None:
-        found = similar_links(stage(found, "links"), docs, verify_words, similarity)
-    parts = connected_components(found)
-    named = classes.join(parts, "node", "left").select("fp", "digest", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(named, ["fp", "digest"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        parts = jaccard.similar_components(docs, prints.select("doc_id", F.col("digest").alias("node")), candidate_links(_nodes(prints, "digest"), radius), similarity, verify_words)
+        return prints.join(parts, F.col("digest") == F.col("node")).select("doc_id", _hex("fp"), "component_id")
+    classes = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("node")), "classes")
+    parts = connected_components(candidate_links(classes.filter(F.col("node").isNotNull()).select("node", "fp"), radius))
+    named = classes.join(parts, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
+    return prints.join(named, "fp").select("doc_id", _hex("fp"), "component_id")
+
+
+def _nodes(prints: DataFrame, node: str) -> DataFrame:
+    """(node, fp), once for each node that a doc_id has."""
+    return prints.filter(F.col("doc_id").isNotNull()).groupBy(F.col(node).alias("node")).agg(F.min("fp").alias("fp"))
+
+
+def _hex(fp: str):
+    return F.lower(F.lpad(F.hex(fp), 16, "0")).alias("fingerprint")
 
 
 def first_of_groups(docs: DataFrame, groups: DataFrame) -> DataFrame:

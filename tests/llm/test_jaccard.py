@@ -60,10 +60,14 @@ def test_recall_by_kind_of_edit(spark):
     assert kept == set(range(len(texts))) - set(alike)
 
 
-@pytest.mark.parametrize("few", [2, 8])
-def test_texts_of_a_template(spark, monkeypatch, few):
-    """Buckets larger than ``few`` lose no pair: true pairs among many texts that share half of their shingles."""
-    monkeypatch.setattr(jaccard, "FEW", few)
+HOW = {"words_per_shingle": 2, "radius": 5, "similarity": 0.8}
+
+
+@pytest.mark.parametrize(("tile", "links"), [(20_000, 1_000), (50, 10)])
+def test_texts_of_a_template(spark, monkeypatch, tile, links):
+    """No bucket loses a pair, dealt in tiles or not: true pairs among many texts that share half of their shingles."""
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    monkeypatch.setattr(jaccard, "LINKS", links)
     monkeypatch.setattr(jaccard, "SAMPLED", 4)
     rng = random.Random(6)
     form = words(rng, 60)
@@ -71,13 +75,26 @@ def test_texts_of_a_template(spark, monkeypatch, few):
     texts += [t.rsplit(" ", 3)[0] for t in rng.sample(texts, 40)]
     texts += [" ".join(form[: 60 - k]) for k in range(15)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    assert {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs).collect()} == components(texts)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, **HOW).collect()} == components(texts)
+
+
+def test_bucket_of_hundreds_of_prints(spark):
+    """Hundreds of near copies of one text, some only alike by others, beside texts that are not alike enough."""
+    rng = random.Random(8)
+    base, texts = words(rng, 120), []
+    for k in range(300):
+        out = list(base)
+        for at in rng.sample(range(120), 1 + k % 5):
+            out[at] = words(rng, 1)[0]
+        texts.append(" ".join(out))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, **HOW).collect()} == components(texts)
 
 
 def test_edge_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n\t"), (None, "alpha beta"), (5, "alpha  Beta"), (5, "alpha beta"), (7, "w " * 30_000), (None, "gamma")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = sorted((r.doc_id or 0, r.component_id) for r in jaccard.near_duplicates(docs).filter("component_id IS NOT NULL").collect())
-    assert got == [(0, 5), (1, 1), (2, 1), (3, 1), (5, 5), (5, 5), (7, 7)] and jaccard.near_duplicates(docs).count() == 8
-    assert sorted(r.doc_id or 0 for r in jaccard.keep_first(docs).collect()) == [0, 0, 1, 5, 7]
-    assert jaccard.near_duplicates(docs.limit(0)).collect() == []
+    got = sorted((r.doc_id or 0, r.component_id) for r in simhash.near_duplicates(docs, **HOW).filter("component_id IS NOT NULL").collect())
+    assert got == [(0, 5), (1, 1), (2, 1), (3, 1), (5, 5), (5, 5), (7, 7)] and simhash.near_duplicates(docs, **HOW).count() == 8
+    assert sorted(r.doc_id or 0 for r in simhash.keep_first(docs, **HOW).collect()) == [0, 0, 1, 5, 7]
+    assert simhash.near_duplicates(docs.limit(0), **HOW).collect() == []

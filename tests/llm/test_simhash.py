@@ -83,12 +83,3 @@ def test_verified_groups_and_keep_first(spark):
     how = {"words_per_shingle": 2, "radius": 8, "similarity": 0.8}
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs, **how).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}
     assert sorted(r.doc_id for r in simhash.keep_first(docs, **how).collect()) == [1, 3]
-
-
-def test_links_to_verify_are_all_pairs(spark):
-    """Buckets of any size report every pair in reach: links of a forest could all be refused afterwards."""
-    rng = np.random.default_rng(3)
-    prints = [int(sum(1 << int(b) for b in rng.choice(12, 3, replace=False))) for _ in range(120)]
-    nodes = spark.createDataFrame(list(enumerate(prints)), "node long, fp long")
-    got = {(r.src, r.dst) for r in simhash.candidate_links(nodes, 4, verify=True).collect()}
-    assert got == {(a, b) for a in range(120) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 4}
