@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quern.llm import decontaminate, jaccard, linededup, packing, rules
+from quern.llm import decontaminate, linededup, packing, rules, simhash
 from quern.llm.base import stage, table
 
 
@@ -19,8 +19,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
-    return jaccard.keep_first(docs, similarity=0.8, words_per_shingle=5)
+    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more.
+
+    SimHash of two-word shingles finds most of them, as a changed word changes few of those.
+    """
+    return simhash.keep_first(docs, words_per_shingle=2, radius=5, similarity=0.8, verify_words=5)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
