@@ -137,10 +137,45 @@ def _joining_pairs(similarity: float):
     return run
 
 
-def _named(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, body in slices(batch):
-            yield pa.RecordBatch.from_arrays([pa.array(list(map(digest, body)), pa.int64()), pa.array(body, pa.binary())], ["node", "text"])
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of how many of a set's ``hashes`` fall on each of about as many places; halves can be folded on each other."""
+    width = 1 << min(16, max(8, int(len(hashes)).bit_length()))
+    return np.packbits(np.bincount((hashes & np.uint64(width - 1)).astype(np.int64), minlength=width).astype(np.uint8) & 1).tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound for the number of members that are in one of two sets alone: each changes one parity at most."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        x, y = (x[: len(x) // 2] ^ x[len(x) // 2 :], y) if len(x) > len(y) else (x, y[: len(y) // 2] ^ y[len(y) // 2 :])
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def _named(words_per_shingle: int):
+    """(node, text, n, sketch) of texts, with the size and the sketch of their sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, body in slices(batch, 1_000_000):
+                sets = [np.unique(shingle_hashes(t, words_per_shingle)) for t in body]
+                columns = [pa.array(list(map(digest, body)), pa.int64()), pa.array(body, pa.binary()), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(sketch, sets)), pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["node", "text", "n", "sketch"])
+
+    return run
+
+
+def _can_be_alike(similarity: float):
+    """(src, dst) of rows (src, dst, a, b) whose sets (n, sketch) can be as similar by what their sketches say."""
+    share = (1 - similarity) / (1 + similarity)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (n, a), (m, b) = (batch.column(k).flatten() for k in (2, 3))
+            most = ((n.to_numpy() + m.to_numpy()) * share + 1e-9).tolist()
+            held = pa.array([least_difference(x, y) <= z for x, y, z in zip(a.to_pylist(), b.to_pylist(), most, strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(held), batch.column(1).filter(held)], ["src", "dst"])
+
+    return run
 
 
 def _alike(words_per_shingle: int, similarity: float):
@@ -162,6 +197,21 @@ def _alike(words_per_shingle: int, similarity: float):
     return run
 
 
+def _with_ends(pairs: DataFrame, named: DataFrame, value) -> DataFrame:
+    """(src, dst, a, b): the pairs with ``value`` of ``named`` (node) for both ends. A node of many pairs is sent to several tasks."""
+    out = pairs.withColumn("src_tile", F.lit(0)).withColumn("dst_tile", F.lit(0))
+    for end, other, name in (("src", "dst", "a"), ("dst", "src", "b")):
+        many = stage(pairs.groupBy(end).count().filter(F.col("count") > LINKS).select(end, F.ceil(F.col("count") / LINKS).cast("int").alias("tiles")), "many")
+        side = named.select(F.col("node").alias(end), value.alias(name))
+        if many.isEmpty():
+            side = side.withColumn(f"{end}_tile", F.lit(0))
+        else:
+            out = out.join(many, end, "left").withColumn(f"{end}_tile", F.coalesce(F.pmod(F.xxhash64(other), F.col("tiles")).cast("int"), F.lit(0))).drop("tiles")
+            side = side.join(many, end, "left").withColumn(f"{end}_tile", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))).drop("tiles")
+        out = out.join(side.hint("merge"), [end, f"{end}_tile"])
+    return out.select("src", "dst", "a", "b")
+
+
 class Copies:
     """The texts of ``docs`` by ``prints`` (doc_id, node), where a node stands for all texts of the same words."""
 
@@ -172,27 +222,16 @@ class Copies:
         self.unique = prints.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").isEmpty()
 
     def verified(self, pairs: DataFrame) -> DataFrame:
-        """The pairs (src, dst) of nodes whose texts are as similar.
-
-        Pairs meet their texts, not their sets: texts are smaller on disk. A text of many pairs is sent to several tasks.
-        """
+        """The pairs (src, dst) of nodes whose texts are as similar: those that sketches do not refuse meet their texts."""
         pairs = stage(pairs.distinct(), "pairs")
         ends = pairs.select(F.col("src").alias("node")).unionByName(pairs.select(F.col("dst").alias("node"))).distinct()
         ids = self.first.join(ends, "node", "left_semi").select("doc_id").distinct()
         needed = self.docs.join(ids.hint("merge"), "doc_id", "left_semi")  # as many ids as documents have candidates: not for a broadcast
-        named = needed.mapInArrow(_named, "node long, text binary")
+        named = needed.mapInArrow(_named(self.words), "node long, text binary, n long, sketch binary")
         named = stage(named if self.unique else named.dropDuplicates(["node"]), "candidates")
-        out = pairs.withColumn("src_tile", F.lit(0)).withColumn("dst_tile", F.lit(0))
-        for end, other in (("src", "dst"), ("dst", "src")):
-            many = stage(pairs.groupBy(end).count().filter(F.col("count") > LINKS).select(end, F.ceil(F.col("count") / LINKS).cast("int").alias("tiles")), "many")
-            side = named.select(F.col("node").alias(end), F.col("text").alias("a" if end == "src" else "b"))
-            if many.isEmpty():
-                side = side.withColumn(f"{end}_tile", F.lit(0))
-            else:
-                out = out.join(many, end, "left").withColumn(f"{end}_tile", F.coalesce(F.pmod(F.xxhash64(other), F.col("tiles")).cast("int"), F.lit(0))).drop("tiles")
-                side = side.join(many, end, "left").withColumn(f"{end}_tile", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))).drop("tiles")
-            out = out.join(side.hint("merge"), [end, f"{end}_tile"])
-        return stage(out.select("src", "dst", "a", "b").mapInArrow(_alike(self.words, self.similarity), "src long, dst long"), "links")
+        sketched = _with_ends(pairs, named, F.struct("n", "sketch"))
+        left = stage(sketched.mapInArrow(_can_be_alike(self.similarity), "src long, dst long"), "left")
+        return stage(_with_ends(left, named, F.col("text")).mapInArrow(_alike(self.words, self.similarity), "src long, dst long"), "links")
 
     def prefixes(self, parts: DataFrame) -> DataFrame:
         """(token, n, pos, node, part): the prefix of each text's set, with the text's component in ``parts``; copies come once."""

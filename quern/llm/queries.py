@@ -35,7 +35,7 @@ def _held_out(parts: int):
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = classlm.score_texts(table(spark, sf_dir, "documents"), ~_held_out(7))
-    return scored.select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,48 +24,85 @@ def brute_base(texts, learned):
     return {i: (len(x), sum(w in c for w in x), n, sum(math.log10((c[w] + 1) / (n + v + 1)) for w in x)) for i, x in tokens.items()}
 
 
-@pytest.mark.parametrize("held", [50_000, 300])
-def test_base_scores(spark, held):
+@pytest.mark.parametrize("held", [200_000, 300])
+def test_scores_by_brute_force(spark, held):
+    """Base scores, and the model's score from its published parts: classes, class bigrams of the texts learned from, formulas."""
     docs = table(spark, SF, "documents")
     texts = {r.doc_id: r.text for r in docs.collect()}
     learned = [i for i in texts if zlib.crc32(str(i).encode()) % 7 != 2]
     want = brute_base(texts, learned)
-    got = {r.doc_id: r for r in classlm.score_texts(docs, ~held_out(7), clustered=200, held=held, classes=12).collect()}
+    got = {r.doc_id: r for r in classlm.score_texts(docs, ~held_out(7), seeds=200, held=held, classes=12).collect()}
     assert len(got) == len(texts)
+    train = docs.filter(~held_out(7))
+    counts = classlm.word_counts(train)
+    classes = {bytes(r.word): r["class"] for r in classlm.word_classes(train, counts, 200, 12).collect()}
+    c = Counter(w for i in learned for w in [*(texts[i] or "").encode().lower().split(), b" "])
+    assert set(classes) == set(c) - {b" "}  # every word has a class by exchange
+    of = lambda w: 12 if w == b" " else classes.get(w, 13)
+    seen, row = Counter(), Counter()
+    for i in learned:
+        line = [12, *(of(w) for w in (texts[i] or "").encode().lower().split()), 12]
+        seen.update(zip(line, line[1:], strict=False))
+    for (a, _), n in seen.items():
+        row[a] += n
+    margin = Counter()
+    for (_, b), n in seen.items():
+        margin[b] += n
+    kinds, mass = Counter(classes.values()), Counter()
+    for w, k in classes.items():
+        mass[k] += c[w]
+    alone = lambda b: (margin[b] + 1) / (sum(margin.values()) + 13)
+    after = lambda a, b: 0.9 * seen[a, b] / row[a] + 0.1 * alone(b) if row[a] else alone(b)
+
+    def p(a, w):
+        if w == b" ":
+            return after(a, 12)
+        if w not in classes:
+            return sum(after(a, k) / (mass[k] + kinds[k] + 1) for k in range(12))
+        return after(a, classes[w]) * (c[w] + 1) / (mass[classes[w]] + kinds[classes[w]] + 1)
+
+    for a in (0, 5, 12, 13):  # a distribution over all words, END and any other word
+        assert sum(p(a, w) for w in c) + p(a, b"\n") == pytest.approx(1, rel=1e-9)
     for i, r in got.items():
         assert (r.n_tokens, r.n_known, r.train_tokens) == want[i][:3]
         assert r.base_score == pytest.approx(want[i][3], rel=1e-9)
+        tokens = [*(texts[i] or "").encode().lower().split(), b" "]
+        score = sum(math.log10(p(of(a), w)) for a, w in zip([b" ", *tokens], tokens, strict=False))
+        assert r.score == pytest.approx(score, rel=1e-9) and r.perplexity == pytest.approx(10 ** (-score / len(tokens)), rel=1e-6)
     mean = lambda f: sum(f(r) for i, r in got.items() if i not in learned) / sum(r.n_tokens for i, r in got.items() if i not in learned)
     assert mean(lambda r: r.score) > mean(lambda r: r.base_score)
 
 
-def test_the_model_is_a_distribution():
-    rng = np.random.default_rng(0)
-    grid = rng.poisson(1.0, (30, 30)).astype(float)
-    where = classlm.exchange(grid, 26, 5)
-    assert np.allclose((10 ** classlm.transitions(grid, where)).sum(1), 1)
-
-
-def likelihood(grid, where):
-    m = np.zeros((len(grid), where.max() + 1))
-    m[np.arange(len(grid)), where] = 1
-    g = m.T @ grid @ m
-    f = lambda x: np.where(x > 0, x * np.log(np.maximum(x, 1e-300)), 0).sum()
-    return f(g) - f(g.sum(0)) - f(g.sum(1))
-
-
-def test_exchange_raises_the_likelihood_and_finds_classes():
+def test_exchange_finds_classes(spark):
+    """Three kinds of words that follow each other: seeds by exchange among themselves, the others by the classes beside them."""
     rng = np.random.default_rng(3)
-    kinds = np.array([i % 3 for i in range(30)] + [3])
-    rates = np.full((4, 4), 0.3)
-    rates[0, 1] = rates[1, 2] = rates[2, 0] = 25
-    grid = rng.poisson(rates[kinds][:, kinds]).astype(float)
-    scores = [likelihood(grid, classlm.exchange(grid, 30, 3, s)) for s in range(5)]
-    assert all(b >= a - 1e-6 for a, b in zip(scores, scores[1:], strict=False))
-    where = classlm.exchange(grid, 30, 3)
-    best = max(likelihood(grid, np.where(np.arange(31) == w, c, where)) for w in range(30) for c in range(3))
-    assert best <= likelihood(grid, where) + 1e-6  # no single move helps
-    assert len({(a, b) for a, b in zip(kinds[:30], where[:30], strict=True)}) == 3
+    kind = {f"{k}{i}": k for k in "abc" for i in range(40)}
+    rank = lambda k: f"{k}{min(int(rng.pareto(0.7) * 3), 39)}"
+    lines = [" ".join(rank("abc"[(start + n) % 3]) for n in range(rng.integers(5, 40))) for start in rng.integers(0, 3, 600)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    found = classlm.word_classes(docs, classlm.word_counts(docs), seeds=30, classes=3).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["class"], Counter())[kind[bytes(r.word).decode()]] += 1
+    assert len(by) == 3 and sum(max(x.values()) for x in by.values()) / len(found) > 0.95
+
+
+def test_best_class_is_the_best_single_move():
+    rng = np.random.default_rng(0)
+    pairs, where = rng.poisson(2.0, (20, 20)).astype(float), np.append(np.arange(18) % 4, [4, 5])
+
+    def grid_of(w):
+        m = np.zeros((20, 6))
+        m[np.arange(20), w] = 1
+        return m.T @ pairs @ m
+
+    for s in range(18):
+        others = np.arange(20) != s
+        right = np.bincount(where[others], pairs[s, others], 6)
+        left = np.bincount(where[others], pairs[others, s], 6)
+        best = classlm.best_class(right, left, pairs[s, s], where[s], grid_of(where), 4)
+        scores = [classlm.likelihood(grid_of(np.where(np.arange(20) == s, k, where))) for k in range(4)]
+        assert scores[best] == pytest.approx(max(scores))
 
 
 def test_lm_edges(spark):
