@@ -53,3 +53,17 @@ def shingle_hashes(text: bytes, words_per_shingle: int) -> np.ndarray:
 def digest(text: bytes) -> int:
     """Tells texts of unlike words apart."""
     return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split())) - 2**63
+
+
+def join_dealt(rows: DataFrame, side: DataFrame, on: list[str], spread: str, most: int = 1_000) -> DataFrame:
+    """``rows`` joined with ``side``, which has a row for each key ``on``; the rows of a key that has more than ``most`` are dealt by ``spread`` to copies of it.
+
+    ``rows`` is read twice: write it first.
+    """
+    many = stage(rows.groupBy(*on).count().filter(F.col("count") > most).select(*on, F.ceil(F.col("count") / most).cast("int").alias("__tiles")), "many")
+    if many.isEmpty():
+        return rows.join(side.hint("merge"), on)
+    tile = F.coalesce(F.pmod(F.xxhash64(spread), F.col("__tiles")).cast("int"), F.lit(0))
+    dealt = rows.join(many, on, "left").withColumn("__tile", tile).drop("__tiles")
+    copies = side.join(many, on, "left").withColumn("__tile", F.explode(F.sequence(F.lit(0), F.coalesce("__tiles", F.lit(1)) - 1))).drop("__tiles")
+    return dealt.join(copies.hint("merge"), [*on, "__tile"]).drop("__tile")

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import connected_components, digest, shingle_hashes, slices, stage, texts
+from quern.llm.base import connected_components, digest, join_dealt, shingle_hashes, slices, stage, texts
 
 #: Shingles of one text in SAMPLED are counted; the HOT most frequent of them, of LEAST_HOT texts at least, come last in the order. This decides cost alone.
 SAMPLED, LEAST_HOT, HOT = 32, 4, 100_000
@@ -199,17 +199,8 @@ def _alike(words_per_shingle: int, similarity: float):
 
 def _with_ends(pairs: DataFrame, named: DataFrame, value) -> DataFrame:
     """(src, dst, a, b): the pairs with ``value`` of ``named`` (node) for both ends. A node of many pairs is sent to several tasks."""
-    out = pairs.withColumn("src_tile", F.lit(0)).withColumn("dst_tile", F.lit(0))
-    for end, other, name in (("src", "dst", "a"), ("dst", "src", "b")):
-        many = stage(pairs.groupBy(end).count().filter(F.col("count") > LINKS).select(end, F.ceil(F.col("count") / LINKS).cast("int").alias("tiles")), "many")
-        side = named.select(F.col("node").alias(end), value.alias(name))
-        if many.isEmpty():
-            side = side.withColumn(f"{end}_tile", F.lit(0))
-        else:
-            out = out.join(many, end, "left").withColumn(f"{end}_tile", F.coalesce(F.pmod(F.xxhash64(other), F.col("tiles")).cast("int"), F.lit(0))).drop("tiles")
-            side = side.join(many, end, "left").withColumn(f"{end}_tile", F.explode(F.sequence(F.lit(0), F.coalesce("tiles", F.lit(1)) - 1))).drop("tiles")
-        out = out.join(side.hint("merge"), [end, f"{end}_tile"])
-    return out.select("src", "dst", "a", "b")
+    a, b = (named.select(F.col("node").alias(end), value.alias(name)) for end, name in (("src", "a"), ("dst", "b")))
+    return join_dealt(join_dealt(pairs, a, ["src"], "dst", LINKS), b, ["dst"], "src", LINKS).select("src", "dst", "a", "b")
 
 
 class Copies:

@@ -63,7 +63,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("row")
+    return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("print")
 
 
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

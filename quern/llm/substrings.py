@@ -7,22 +7,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import slices, stage, texts
+from quern.llm.base import join_dealt, slices, stage
 
 #: A boundary is where the gear hash's top bits are all zero: once in 2**CUT_BITS places.
 CUT_BITS = 4
 #: Chunks have at least so many bytes (but for a text's last one), and at most so many.
-LEAST, MOST = 16, 1024
-#: Consecutive repeated chunks of so many bytes together are a repeated passage.
-PASSAGE = 120
-#: A chunk's place is one number: the row of its text, then so many bits for its number there.
-NUMBER_BITS = 20
-#: Its span is one as well: where it starts, then so many bits for its size.
-SIZE_BITS = 11
+LEAST, MOST = 24, 1024
+#: A passage has so many bytes at least: about forty words.
+PASSAGE = 200
+#: Chunks of one text in SAMPLED are counted to find the chunks of more than HOT places; this only decides how they are dealt out.
+SAMPLED, HOT = 32, 5_000
+#: Stands for no doc_id: such rows come last.
+NO_ID = 2**63 - 1
 
 _GEAR = np.random.Generator(np.random.PCG64(20240229)).integers(0, 2**32, 256, dtype=np.uint32)
 
@@ -57,8 +56,8 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    row = TaskContext.get().partitionId() << 24
     for batch in batches:
+        prints, done = batch.column(2), 0
         for ids, body in slices(batch, 2_000_000):
             # A text's first 31 bytes must not see the text before it.
             gap = b"\0" * 32
@@ -68,51 +67,142 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = np.stack([begins, begins + sizes], axis=1).ravel()
             ends = boundaries(data, np.append(spans, len(data)))[::2]
             starts = [[0, *e[:-1]] if e else [] for e in ends]
-            counts = np.array([len(e) for e in ends])
+            owner = pa.array(np.repeat(np.arange(len(ids)), [len(e) for e in ends]))
             digests = [xxhash.xxh3_64_intdigest(t[s:e]) for t, a, b in zip(body, starts, ends, strict=True) for s, e in zip(a, b, strict=True)]
-            flat = np.fromiter((s for a in starts for s in a), np.int64, counts.sum())
-            stops = np.fromiter((e for a in ends for e in a), np.int64, counts.sum())
-            # A text of more chunks than a place has numbers for goes on as another row.
-            rows_each = np.maximum(1, -(-counts // (1 << NUMBER_BITS)))
-            first = row + np.cumsum(rows_each) - rows_each
-            row += int(rows_each.sum())
-            places = np.concatenate([(f << NUMBER_BITS) + np.arange(c) for f, c in zip(first, counts, strict=True)]).astype(np.int64)
-            docs = pa.array(ids, pa.int64()).take(pa.array(np.repeat(np.arange(len(ids)), counts)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(digests, np.uint64).view(np.int64)), docs, pa.array(places), pa.array((flat << SIZE_BITS) + stops - flat)], ["digest", "doc_id", "at", "span"])
+            flat = np.fromiter((s for a in starts for s in a), np.int64, len(digests))
+            stops = np.fromiter((e for a in ends for e in a), np.int64, len(digests))
+            columns = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(ids, pa.int64()).take(owner), prints.slice(done, len(ids)).take(owner)]
+            done += len(ids)
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(flat), pa.array((stops - flat).astype(np.int32))], ["digest", "id", "print", "start", "size"])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(id, text, print): texts that aren't null, with a hash that tells rows of one doc_id apart."""
+    text = F.col("text").cast("binary")
+    return docs.filter(F.col("text").isNotNull()).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """(digest, doc_id, at, span): the chunks of every row's text, with place and span as numbers; spans are in bytes of UTF-8."""
-    return texts(docs, binary=True).mapInArrow(_chunks, "digest long, doc_id long, at long, span long")
+    """(digest, id, print, start, size): the chunks of every text; places are in bytes of UTF-8."""
+    return _keyed(docs).mapInArrow(_chunks, "digest long, id long, print long, start long, size int")
 
 
-def _row(c: str):
-    return F.shiftright(c, NUMBER_BITS)
+_PLACE = ["id", "print", "start"]
+_FIRST = ["first_id", "first_print", "first_start"]
 
 
-def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
-    """(doc_id, start, end, first_doc_id, shared, row): passages whose chunks all stand earlier too, in other documents or in the same.
+def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (digest, tile), then place: each with the first place of its group; of tile -1 (no hot chunk) that one is left out."""
+    last, of_last = None, None
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        digest, tile, *place, size = (c.to_numpy() for c in batch.columns)
+        new = np.append(last != (digest[0], tile[0]), (digest[1:] != digest[:-1]) | (tile[1:] != tile[:-1]))
+        at = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+        first = [np.where(at < 0, 0 if of_last is None else of_last[k], c[at]) for k, c in enumerate(place)]
+        last, of_last = (digest[-1], tile[-1]), [c[-1] for c in first]
+        same = np.all([a == b for a, b in zip(place, first, strict=True)], axis=0)
+        kept = np.flatnonzero(~same | (tile >= 0))
+        yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (digest, tile, *place, size, *first)], ["digest", "tile", *_PLACE, "size", *_FIRST])
+
+
+def _seeds(docs: DataFrame) -> DataFrame:
+    """(id, print, start, size, first_id, first_print, first_start): every chunk that stands earlier, with the first place where it does."""
+    sample = chunks(docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0))
+    hot = stage(sample.groupBy("digest").count().filter(F.col("count") * SAMPLED > HOT).select("digest", F.ceil(F.col("count") * SAMPLED / HOT).cast("int").alias("tiles")), "hot")
+    rows, any_hot = chunks(docs), not hot.isEmpty()
+    if any_hot:  # dealt to tiles, which have a first place each
+        tile = F.pmod(F.xxhash64("id", "print"), F.col("tiles")).cast("int")
+        rows = rows.join(hot, "digest", "left").withColumn("tile", F.coalesce(tile, F.lit(-1)))
+    else:
+        rows = rows.withColumn("tile", F.lit(-1))
+    ordered = rows.select("digest", "tile", *_PLACE, "size").repartition("digest", "tile").sortWithinPartitions("digest", "tile", *_PLACE)
+    found = stage(ordered.mapInArrow(_with_first, "digest long, tile int, id long, print long, start long, size int, first_id long, first_print long, first_start long"), "seeds")
+    columns = [*_PLACE, "size", *_FIRST]
+    cold = found.filter("tile < 0").select(columns)
+    if not any_hot:
+        return cold
+    tiled = found.filter("tile >= 0")
+    least = tiled.groupBy("digest").agg(F.min(F.struct(*_FIRST)).alias("least"))
+    least = stage(least.select("digest", *[F.col(f"least.{c}").alias(c) for c in _FIRST]), "first")  # a row for each hot chunk, as its written size shows the planner
+    own = [F.col(a) == F.col(b) for a, b in zip(_PLACE, _FIRST, strict=True)]
+    return cold.unionByName(tiled.drop(*_FIRST).join(least, "digest").filter(~(own[0] & own[1] & own[2])).select(columns))
+
+
+def _equal(a: bytes, i: int, b: bytes, j: int) -> int:
+    """How many bytes are the same from ``a[i]`` and ``b[j]`` on."""
+    most, done, step = min(len(a) - i, len(b) - j), 0, 64
+    while done < most:
+        n = min(step, most - done)
+        x, y = a[i + done : i + done + n], b[j + done : j + done + n]
+        if x != y:
+            return done + int(np.argmax(np.frombuffer(x, np.uint8) != np.frombuffer(y, np.uint8)))
+        done, step = done + n, step * 4
+    return most
+
+
+def passages_of(text: bytes, reversed_text: bytes, other: bytes, seeds: list[tuple[int, int, int]], least_bytes: int) -> list[tuple[int, int, int]]:
+    """(start, end, start in ``other``) of the longest stretches around ``seeds`` (start, size, start in ``other``) that stand in ``other``, byte for byte."""
+    out, behind = [], other[::-1]
+    for start, size, there in sorted(seeds):
+        if any(s <= start and start + size <= e for s, e, _ in out[-4:]) or text[start : start + size] != other[there : there + size]:
+            continue
+        before = _equal(reversed_text, len(text) - start, behind, len(other) - there)
+        end = start + _equal(text, start, other, there)
+        begin = start - before
+        while begin < end and text[begin] & 0xC0 == 0x80:  # whole characters alone
+            begin += 1
+        while end > begin and end < len(text) and text[end] & 0xC0 == 0x80:
+            end -= 1
+        if end - begin >= least_bytes:
+            out.append((begin, end, there - (start - begin)))
+    return out
 
-    A passage has a row for each document in which some of its chunks stand first, and ``shared`` is the bytes of those chunks.
 
-    Earlier is by place in the table as it is read; a chunk's first occurrence is not reported. ``start`` and ``end`` are bytes of
-    the text's UTF-8. Passages are runs of such chunks of at least ``least_bytes`` together. Null and empty texts have none. Of
-    rows that are alike, doc_id or not, all but the first repeat it. A chunk that is in a third of all texts is counted in each
-    task before it is shuffled.
+def _grown(least_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out, last, text, behind = [], None, b"", b""
+            ids, prints, first_ids, seeds = (batch.column(c) for c in ("id", "print", "first_id", "seeds"))
+            for k in range(batch.num_rows):
+                key = (ids[k].as_py(), prints[k].as_py())
+                if key != last:
+                    last, text = key, batch.column("a")[k].as_py()
+                    behind = text[::-1]
+                found = [(x["start"], x["size"], x["there"]) for x in seeds[k].as_py()]
+                out += [(*key, s, e, first_ids[k].as_py(), there) for s, e, there in passages_of(text, behind, batch.column("b")[k].as_py(), found, least_bytes)]
+            columns = list(zip(*out, strict=True)) if out else [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["id", "print", "start", "end", "first_id", "first_start"])
+
+    return run
+
+
+def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
+    """(doc_id, start, end, first_doc_id, first_start, print): passages of at least ``least_bytes`` that stand earlier, in another document or in the same.
+
+    Chunks that stand earlier are the seeds: from each the passage is grown to both sides as far as its bytes are those around
+    the chunk's first place, so every passage stands in ``first_doc_id`` from ``first_start`` on as it is. A passage may be found
+    in several documents, and parts of it too. Earlier is by doc_id, then by a hash of the text, then by place; a row without a
+    doc_id is last, and its doc_id is null. Rows alike in doc_id and text are one document. ``start`` and ``end`` are bytes of the text's UTF-8 and don't cut
+    characters. ``print`` is the text's hash, which tells apart rows of one doc_id. Null and empty texts have none. A chunk in
+    a third of all texts is dealt to many tasks.
     """
-    all_chunks = stage(chunks(docs), "chunks")
-    common = all_chunks.groupBy("digest").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("digest", "first")
-    again = all_chunks.select("digest", "at", "span").join(common, "digest").filter(F.col("at") != F.col("first"))
-    placed = again.select(_row("at").alias("row"), "at", F.shiftright("span", SIZE_BITS).alias("start"), F.col("span").bitwiseAND(F.lit((1 << SIZE_BITS) - 1)).alias("size"), "first")
-    run = F.col("at") - F.row_number().over(Window.partitionBy("row").orderBy("at"))
-    sources = placed.withColumn("run", run).groupBy("row", "run", _row("first").alias("of"))
-    sources = sources.agg(F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"), F.sum("size").alias("shared"))
-    whole = Window.partitionBy("row", "run")
-    spans = sources.withColumns({"start": F.min("start").over(whole), "end": F.max("end").over(whole)})
-    long = spans.filter(F.col("end") - F.col("start") >= least_bytes).select("row", "start", "end", "of", "shared")
-    names = all_chunks.filter(F.col("at").bitwiseAND(F.lit((1 << NUMBER_BITS) - 1)) == 0).select(_row("at").alias("row"), "doc_id")
-    firsts = names.select(F.col("row").alias("of"), F.col("doc_id").alias("first_doc_id"))
-    return long.join(names, "row").join(firsts, "of").select("doc_id", "start", "end", "first_doc_id", "shared", "row")
+    seeds = _seeds(docs)
+    by = ["id", "print", "first_id", "first_print"]
+    aligned = seeds.withColumn("shift", F.col("start") - F.col("first_start")).repartition(*by)
+    aligned = aligned.groupBy(*by, "shift").agg(F.min(F.struct("start", "size", F.col("first_start").alias("there"))).alias("seed"))
+    pairs = stage(aligned.groupBy(*by).agg(F.collect_list("seed").alias("seeds")), "pairs")  # as many as a text has chunks, at most
+    ends = pairs.select("id", "print").unionByName(pairs.select(F.col("first_id").alias("id"), F.col("first_print").alias("print"))).distinct()
+    needed = _keyed(docs).join(ends.hint("merge"), ["id", "print"], "left_semi").dropDuplicates(["id", "print"])  # as many as documents have seeds: not for a broadcast
+    texts = stage(needed, "seeded")
+    there = texts.select(F.col("id").alias("first_id"), F.col("print").alias("first_print"), F.col("text").alias("b"))
+    with_b = join_dealt(pairs, there, ["first_id", "first_print"], "print")
+    with_a = with_b.join(texts.withColumnRenamed("text", "a").hint("merge"), ["id", "print"])
+    grown = with_a.select(*by[:3], "seeds", "a", "b").mapInArrow(_grown(least_bytes), "id long, print long, start long, end long, first_id long, first_start long").distinct()
+    named = lambda c: F.when(F.col(c) != NO_ID, F.col(c))
+    return grown.select(named("id").alias("doc_id"), "start", "end", named("first_id").alias("first_doc_id"), "first_start", "print")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,11 +212,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for s, e in sorted((x["start"], x["end"]) for x in r["spans"]):
                 out.append(text[last:s])
                 last = max(last, e)
-            kept = b"".join([*out, text[last:]]).decode("utf-8", "ignore")
-            yield pa.RecordBatch.from_arrays([pa.array([r["doc_id"]], pa.int64()), pa.array([kept])], ["doc_id", "text"])
+            kept = b"".join([*out, text[last:]]).decode("utf-8")
+            yield pa.RecordBatch.from_arrays([pa.array([None if r["id"] == NO_ID else r["id"]], pa.int64()), pa.array([kept])], ["doc_id", "text"])
 
 
 def drop_passages(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """(doc_id, text) of ``docs`` without ``passages``, for documents that have some; doc_id must be unique. A character cut in two goes."""
-    spans = passages.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    return texts(docs, binary=True).join(spans, "doc_id").mapInArrow(_cut, "doc_id long, text string")
+    """(doc_id, text) of ``docs`` without ``passages``, for documents that have some; rows that share a doc_id are told apart by their texts."""
+    spans = passages.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "print").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    return _keyed(docs).join(spans, ["id", "print"]).select("id", "text", "spans").mapInArrow(_cut, "doc_id long, text string")
