@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.base import join_dealt, slices, stage
@@ -18,6 +18,8 @@ CUT_BITS = 4
 LEAST, MOST = 24, 1024
 #: A passage has so many bytes at least: about forty words.
 PASSAGE = 200
+#: Chunks next to each other that stand earlier, each anywhere, are seeds if they have this share of a passage's bytes; its edges are no whole chunks.
+RUN = 0.5
 #: Chunks of one text in SAMPLED are counted to find the chunks of more than HOT places; this only decides how they are dealt out.
 SAMPLED, HOT = 32, 5_000
 #: Stands for no doc_id: such rows come last.
@@ -191,9 +193,14 @@ def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
     """
     seeds = _seeds(docs)
     by = ["id", "print", "first_id", "first_print"]
-    aligned = seeds.withColumn("shift", F.col("start") - F.col("first_start")).repartition(*by)
-    aligned = aligned.groupBy(*by, "shift").agg(F.min(F.struct("start", "size", F.col("first_start").alias("there"))).alias("seed"))
-    pairs = stage(aligned.groupBy(*by).agg(F.collect_list("seed").alias("seeds")), "pairs")  # as many as a text has chunks, at most
+    text = Window.partitionBy("id", "print").orderBy("start")
+    shifted = seeds.withColumn("shift", F.col("start") - F.col("first_start"))
+    next_to = F.col("start") == F.lag(F.col("start") + F.col("size")).over(text)
+    along = next_to & (F.struct("first_id", "first_print", "shift") == F.lag(F.struct("first_id", "first_print", "shift")).over(text))
+    marked = shifted.withColumns({"fresh": F.when(next_to, 0).otherwise(1), "along": F.coalesce(along, F.lit(False))}).withColumn("run", F.sum("fresh").over(text))
+    long = marked.withColumn("bytes", F.sum("size").over(Window.partitionBy("id", "print", "run"))).filter(F.col("bytes") >= least_bytes * RUN)
+    heads = long.filter(~F.col("along")).groupBy(*by).agg(F.collect_list(F.struct("start", "size", F.col("first_start").alias("there"))).alias("seeds"))
+    pairs = stage(heads, "pairs")  # as many seeds as a text has chunks, at most
     ends = pairs.select("id", "print").unionByName(pairs.select(F.col("first_id").alias("id"), F.col("first_print").alias("print"))).distinct()
     needed = _keyed(docs).join(ends.hint("merge"), ["id", "print"], "left_semi").dropDuplicates(["id", "print"])  # as many as documents have seeds: not for a broadcast
     texts = stage(needed, "seeded")
