@@ -13,21 +13,80 @@ from pyspark.sql import functions as F
 
 from quern.llm.base import slices, stage, texts
 
-# Phrases with their labels, and the standard notices of public licenses.
+# Phrases with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
+
+# Published notices of licenses; label, words that a match must hold, text.
 TEMPLATES = (
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
-    ("gpl", "This work is licensed under the GNU General Public License, version 3."),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    ("mit", "Released under the MIT License."),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (
+        "apache-2.0",
+        "apache",
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+        http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    ),
+    ("apache-2.0", "apache", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License."),
+    ("apache-2.0", "apache", "Licensed under the Apache License, Version 2.0."),
+    ("apache-2.0", "apache spdx", "SPDX-License-Identifier: Apache-2.0"),
+    (
+        "bsd",
+        "",
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: Redistributions of source code must
+        retain the above copyright notice, this list of conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions
+        and the following disclaimer in the documentation and/or other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY
+        EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT
+        HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+        LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE)
+        ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    ),
+    ("bsd", "redistribution", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd", "bsd", "Released under the BSD License."),
+    ("bsd", "bsd spdx", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("cc-by", "attribution", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-nc", "noncommercial", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("cc-by-nc-nd", "noncommercial noderivatives", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "noncommercial sharealike", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "noderivatives", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-sa", "sharealike", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nc", "nc", "Licensed under CC BY-NC 4.0."),
+    ("cc-by-sa", "sa", "Licensed under CC BY-SA 4.0."),
+    (
+        "gpl",
+        "gnu",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of
+        the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this
+        program. If not, see <https://www.gnu.org/licenses/>.""",
+    ),
+    ("gpl", "gnu", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License"),
+    ("gpl", "gnu", "This work is licensed under the GNU General Public License, version 3."),
+    (
+        "isc",
+        "",
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice
+        appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.""",
+    ),
+    ("isc", "fee", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    (
+        "mit",
+        "",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction,
+        including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished
+        to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS
+        PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO
+        EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION
+        WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    ("mit", "charge", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("mit", "mit", "Released under the MIT License."),
+    ("mit", "mit spdx", "SPDX-License-Identifier: MIT"),
+    (
+        "mpl-2.0",
+        "mozilla",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at
+        http://mozilla.org/MPL/2.0/.""",
+    ),
+    ("mpl-2.0", "mozilla", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
 #: The share of a template's tokens that a block must hold.
 CONTAINMENT = 0.8
@@ -58,23 +117,38 @@ def phrase_places(tokens: list[bytes]) -> tuple[int, int | None, int | None, set
     starts, labels = [], set()
     for phrase, label in PHRASES:
         mark = b" " + phrase.encode() + b" "
-        at = joined.find(mark)
+        at, word, done = joined.find(mark), 0, 0
         while at >= 0:
-            starts.append(joined.count(b" ", 0, at))
+            word, done = word + joined.count(b" ", done, at), at
+            starts.append(word)
             labels.add(label)
             at = joined.find(mark, at + 1)
     return len(starts), min(starts, default=None), max(starts, default=None), labels
 
 
+_BLOCK = pa.struct([("places", pa.list_(pa.int32())), ("ranks", pa.list_(pa.int32()))])
 _SCANNED = pa.schema(
     [("row", pa.int64()), ("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_base", pa.int64()), ("first_word", pa.int64()), ("last_word", pa.int64())]
-    + [("base_labels", pa.list_(pa.string())), ("blocks", pa.list_(pa.list_(pa.int32())))]
+    + [("base_labels", pa.list_(pa.string())), ("blocks", pa.list_(_BLOCK))]
 )
 
 
-def _scans(ranks: dict[bytes, int], prefix: frozenset, least: int):
-    """Of each text: the phrases, and of each line with a prefix token of some template its template tokens by rank."""
-    vocabulary = frozenset(ranks)
+def blocks_of(tokens: list[bytes], ranks: dict[bytes, int], prefix: frozenset, reach: int) -> list[dict]:
+    """The stretches of a text within ``reach`` words of some prefix token: places and ranks of the template tokens there."""
+    marks = [i for i, t in enumerate(tokens) if t in prefix]
+    out, k = [], 0
+    while k < len(marks):
+        first = marks[k]
+        while k + 1 < len(marks) and marks[k + 1] - marks[k] <= 2 * reach:
+            k += 1
+        places = [i for i in range(max(0, first - reach), min(len(tokens), marks[k] + reach + 1)) if tokens[i] in ranks]
+        out.append({"places": places, "ranks": [ranks[tokens[i]] for i in places]})
+        k += 1
+    return out
+
+
+def _scans(ranks: dict[bytes, int], prefix: frozenset, reach: int):
+    """Of each text: the phrases, and the blocks around prefix tokens of some template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 36
@@ -83,12 +157,7 @@ def _scans(ranks: dict[bytes, int], prefix: frozenset, least: int):
                 out = []
                 for i, text in zip(ids, body, strict=True):
                     n, first, last, labels = phrase_places(tokens := words(text))
-                    blocks = []
-                    if not prefix.isdisjoint(tokens):
-                        for line in text.split(b"\n"):
-                            held = vocabulary.intersection(words(line))
-                            if len(held) >= least and not prefix.isdisjoint(held):
-                                blocks.append(sorted(ranks[t] for t in held))
+                    blocks = [] if prefix.isdisjoint(tokens) else blocks_of(tokens, ranks, prefix, reach)
                     out.append((row, i, len(tokens), n, first, last, sorted(labels), blocks))
                     row += 1
                 yield pa.RecordBatch.from_pylist([dict(zip(_SCANNED.names, x, strict=True)) for x in out], schema=_SCANNED)
@@ -96,42 +165,93 @@ def _scans(ranks: dict[bytes, int], prefix: frozenset, least: int):
     return run
 
 
+def matches(places: list[int], ranks: list[int], tokens: frozenset, width: int, need: int, marks: frozenset) -> list[tuple[int, int, int]]:
+    """(overlap, first, last) of each window of ``width`` words that starts with a token of the template and holds ``need`` of them, ``marks`` among them.
+
+    A window whose first token comes again in it says no more than a later one. ``last`` is where the last of its tokens is first seen.
+    """
+    held = [(p, r) for p, r in zip(places, ranks, strict=True) if r in tokens]
+    times: Counter = Counter()
+    out, end = [], 0
+    for k, (start, rank) in enumerate(held):
+        while end < len(held) and held[end][0] < start + width:
+            times[held[end][1]] += 1
+            end += 1
+        if times[rank] == 1 and len(times) >= need and all(m in times for m in marks):
+            first = {r: p for p, r in reversed(held[k:end])}
+            out.append((len(times), start, max(first.values())))
+        times[rank] -= 1
+        if not times[rank]:
+            del times[rank]
+    return out
+
+
+def best_labels(found: list[tuple[str, float, int, int, int]]) -> tuple[set[str], float]:
+    """Labels and largest share of the matches (label, share, overlap, first, last) but those that a match of another label with more tokens covers by over half."""
+    kept = [
+        (label, share)
+        for label, share, n, a, b in found
+        if not any(other != label and m > n and 2 * (min(b, d) - max(a, c) + 1) > b - a + 1 for other, _, m, c, d in found)
+    ]
+    return {label for label, _ in kept}, max((share for _, share in kept), default=0.0)
+
+
+_FOUND = pa.schema([("row", pa.int64()), ("labels", pa.list_(pa.string())), ("best", pa.float64())])
+
+
+def _verified(notices: list[tuple[str, frozenset, int, int, frozenset]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                found = []
+                for k in r["templates"]:
+                    label, tokens, width, need, marks = notices[k]
+                    found += [(label, n / len(tokens), n, a, b) for n, a, b in matches(r["places"], r["ranks"], tokens, width, need, marks)]
+                labels, best = best_labels(list(set(found)))
+                out.append({"row": r["row"], "labels": sorted(labels), "best": best})
+            yield pa.RecordBatch.from_pylist(out, schema=_FOUND)
+
+    return run
+
+
 def find_licenses(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT) -> DataFrame:
     """For every row of ``docs``: doc_id, n_words, n_base, first_word, last_word, base_labels, labels (arrays, sorted), score.
 
-    A block is a line, seen as a set of words; it matches a template if it holds ``containment`` of the template's set. Tokens are
-    ordered by how rare they are in the whole corpus; only pairs that share a token in the template's prefix, are long enough and
-    can still reach the overlap from that token's place are compared in full. ``templates`` is a list of notices that fits in
-    memory. ``score`` is 1 if a phrase stands in the text, else the largest containment that reaches the threshold, else 0. A null
-    text is empty. Repeated rows each get their row.
+    A block is a window of a template's number of words, across lines, seen as a set of words; it matches the template if it holds
+    ``containment`` of the template's set, and the words that the template requires. Of matches that lie on each other by over
+    half, those of the label with most words count. Tokens are ordered by how rare they are in the whole corpus; only stretches
+    that share a token in a template's prefix, are long enough and can still reach the overlap from that token's place are
+    compared in full. ``templates`` (label, required words, text) fit in memory. ``score`` is 1 if a phrase stands in the text,
+    else the largest containment that counts, else 0. A null text is empty. Repeated rows each get their row.
     """
     spark = docs.sparkSession
-    sets = [(label, frozenset(words(text.encode()))) for label, text in templates]
-    vocabulary = frozenset().union(*(s for _, s in sets))
+    sets = [(label, frozenset(words(text.encode())), len(words(text.encode())), frozenset(words(marks.encode()))) for label, marks, text in templates]
+    vocabulary = frozenset().union(*(s[1] for s in sets))
     binary = texts(docs, binary=True)
     counts = binary.mapInArrow(_frequencies(vocabulary), "token binary, n long").groupBy("token").agg(F.sum("n").alias("n"))
     seen = {bytes(r.token): r.n for r in counts.collect()}  # a row for each template token at most
     ranks = {t: k for k, t in enumerate(sorted(vocabulary, key=lambda t: (seen.get(t, 0), t)))}
-    rows, index = [], []
-    for number, (label, tokens) in enumerate(sets):
+    rows, index, notices = [], [], []
+    for number, (label, tokens, width, marks) in enumerate(sets):
         ordered = sorted(ranks[t] for t in tokens)
         need = max(1, math.ceil(containment * len(ordered) - 1e-9))
-        rows.append((number, label, ordered, need))
+        rows.append((number, len(ordered), need))
+        notices.append((label, frozenset(ordered), width, need, frozenset(ranks[m] for m in marks)))
         index += [(t, number, k) for k, t in enumerate(ordered[: len(ordered) - need + 1])]
     by_rank = sorted(ranks, key=ranks.get)
     prefix = frozenset(by_rank[t] for t, _, _ in index)
-    scan = _scans(ranks, prefix, min((r[3] for r in rows), default=1))
-    scanned = stage(
-        binary.mapInArrow(scan, "row long, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks array<array<int>>"), "scanned"
-    )
-    notices = spark.createDataFrame(rows, "template int, label string, tokens array<int>, need int")
-    prefixes = spark.createDataFrame(index, "token int, template int, at int")
-    blocks = scanned.select("row", F.posexplode("blocks").alias("block", "held"))
-    probes = blocks.select("row", "block", "held", F.posexplode("held").alias("place", "token"))
-    pairs = probes.join(prefixes.join(notices, "template"), "token")
-    pairs = pairs.filter((F.size("held") >= F.col("need")) & (1 + F.least(F.size("tokens") - F.col("at"), F.size("held") - F.col("place")) - 1 >= F.col("need")))
-    overlap = F.size(F.array_intersect("held", "tokens"))
-    matched = pairs.filter(overlap >= F.col("need")).groupBy("row").agg(F.collect_set("label").alias("found"), F.max(overlap / F.size("tokens")).alias("best"))
+    scan = _scans(ranks, prefix, max((s[2] for s in sets), default=1))
+    block = "array<struct<places:array<int>,ranks:array<int>>>"
+    scanned = stage(binary.mapInArrow(scan, f"row long, doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels array<string>, blocks {block}"), "scanned")
+    sizes = spark.createDataFrame(rows, "template int, size int, need int")
+    prefixes = spark.createDataFrame(index, "token int, template int, at int").join(sizes, "template")
+    blocks = scanned.select("row", F.posexplode("blocks").alias("block", "b")).select("row", "block", "b.places", "b.ranks").withColumn("held", F.array_sort(F.array_distinct("ranks")))
+    probes = blocks.select("row", "block", F.size("held").alias("n"), F.posexplode("held").alias("place", "token"))
+    pairs = probes.join(prefixes, "token").filter((F.col("n") >= F.col("need")) & (F.least(F.col("size") - F.col("at"), F.col("n") - F.col("place")) >= F.col("need")))
+    pairs = pairs.groupBy("row", "block").agg(F.collect_set("template").alias("templates"))
+    verified = blocks.join(pairs, ["row", "block"]).select("row", "places", "ranks", "templates").mapInArrow(_verified(notices), "row long, labels array<string>, best double")
+    matched = verified.groupBy("row").agg(F.flatten(F.collect_set("labels")).alias("found"), F.max("best").alias("best"))
     joined = scanned.join(matched, "row", "left")
     none = F.array().cast("array<string>")
     return joined.select(

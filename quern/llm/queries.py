@@ -84,21 +84,29 @@ _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
 
 
 def _licenses_sql() -> str:
-    """Phrases by place, and each line's share of each template, over all pairs of lines and templates."""
-    quoted = lambda words: "[" + ", ".join(f"'{w.decode()}'" for w in sorted(words)) + "]"
-    notices = ", ".join(f"('{label}', {quoted(set(licenses.words(t.encode())))})" for label, t in licenses.TEMPLATES)
+    """Phrases by place, and every window of every template, over all words of all texts."""
+    quoted = lambda text: "[" + ", ".join(f"'{w.decode()}'" for w in sorted(set(licenses.words(text.encode())))) + "]::VARCHAR[]"
+    notices = ", ".join(f"({k}, '{label}', {quoted(t)}, {quoted(marks)}, {len(licenses.words(t.encode()))})" for k, (label, marks, t) in enumerate(licenses.TEMPLATES))
     places = [
         (label, "list_filter(range(len(w)), lambda i: " + " AND ".join(f"w[i + {k + 1}] = '{x}'" for k, x in enumerate(phrase.split())) + ")") for phrase, label in licenses.PHRASES
     ]
     return f"""
-        WITH d AS (SELECT doc_id, {_LOWER} AS low, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents),
-        p AS (SELECT doc_id, low, len(w) AS n_words, {", ".join(f"{sql} AS p{k}" for k, (_, sql) in enumerate(places))} FROM d),
-        b AS (SELECT doc_id, low, n_words, list_concat({", ".join(f"p{k}" for k in range(len(places)))}) AS places,
+        WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_WORDS}) AS w FROM documents),
+        p AS (SELECT doc_id, len(w) AS n_words, {", ".join(f"{sql} AS p{k}" for k, (_, sql) in enumerate(places))} FROM d),
+        b AS (SELECT doc_id, n_words, list_concat({", ".join(f"p{k}" for k in range(len(places)))}) AS places,
             list_filter([{", ".join(f"CASE WHEN len(p{k}) > 0 THEN '{label}' END" for k, (label, _) in enumerate(places))}], lambda x: x IS NOT NULL) AS base FROM p),
-        line AS (SELECT doc_id, list_distinct(regexp_extract_all(line, {_WORDS})) AS held FROM (SELECT doc_id, unnest(string_split(low, chr(10))) AS line FROM d)),
-        notice(label, tokens) AS (VALUES {notices}),
-        m AS (SELECT doc_id, list(DISTINCT label) AS found, max(len(list_intersect(held, tokens)) / len(tokens)) AS best FROM line, notice
-            WHERE len(list_intersect(held, tokens)) >= ceil({licenses.CONTAINMENT} * len(tokens) - 0.000000001) GROUP BY doc_id)
+        notice(k, label, tokens, marks, width) AS (VALUES {notices}),
+        token AS (SELECT k, label, width, len(tokens) AS size, len(marks) AS n_marks, ceil({licenses.CONTAINMENT} * len(tokens) - 0.000000001) AS need, unnest(tokens) AS word, marks FROM notice),
+        word AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+        hit AS (SELECT doc_id, k, label, width, size, need, n_marks, word, i, list_contains(marks, word) AS mark, lead(i) OVER (PARTITION BY doc_id, k, word ORDER BY i) AS again FROM word JOIN token USING (word)),
+        win AS (SELECT doc_id, k, label, size, need, n_marks, width, again, i AS a, count(DISTINCT word) OVER w AS n, count(DISTINCT CASE WHEN mark THEN word END) OVER w AS m FROM hit
+            WINDOW w AS (PARTITION BY doc_id, k ORDER BY i RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING)),
+        best AS (SELECT * FROM win WHERE n >= need AND m = n_marks AND (again IS NULL OR again >= a + width)),
+        seen AS (SELECT b.doc_id, b.k, b.a, h.word, min(h.i) AS i FROM best b JOIN hit h ON h.doc_id = b.doc_id AND h.k = b.k AND h.i BETWEEN b.a AND b.a + b.width - 1 GROUP BY ALL),
+        good AS (SELECT b.*, z FROM best b JOIN (SELECT doc_id, k, a, max(i) AS z FROM seen GROUP BY ALL) USING (doc_id, k, a)),
+        kept AS (SELECT * FROM good g WHERE NOT EXISTS (SELECT 1 FROM good o WHERE o.doc_id = g.doc_id AND o.label <> g.label AND o.n > g.n
+            AND 2 * (least(g.z, o.z) - greatest(g.a, o.a) + 1) > g.z - g.a + 1)),
+        m AS (SELECT doc_id, list(DISTINCT label) AS found, max(n / size) AS best FROM kept GROUP BY doc_id)
         SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
             array_to_string(list_sort(base), ',') AS base_labels, array_to_string(list_sort(list_distinct(list_concat(base, coalesce(found, [])))), ',') AS labels,
             CASE WHEN len(places) > 0 THEN 1.0 ELSE coalesce(best, 0.0) END::DOUBLE AS score FROM b LEFT JOIN m USING (doc_id)"""

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import textwrap
 
 from helpers import docs_of
 
@@ -51,6 +52,23 @@ def test_weak_parts_need_partners(spark):
     assert secrets.find_secrets(docs_of(spark, [])).count() == 0
 
 
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_labels(w):
+    """Labels of all windows of all templates over the words ``w``, but those that another label's better match covers by over half."""
+    found = set()
+    for label, marks, template in licenses.TEMPLATES:
+        order = WORD.findall(template.lower())
+        tokens = set(order)
+        for i in [i for i in range(len(w)) if w[i] in tokens]:
+            at = [k for k in range(i, min(len(w), i + len(order))) if w[k] in tokens]
+            held = {w[k] for k in at}
+            if len(held) >= licenses.CONTAINMENT * len(tokens) - 1e-9 and set(marks.split()) <= held and [w[k] for k in at].count(w[i]) == 1:
+                found.add((label, len(held), i, max(min(k for k in at if w[k] == x) for x in held)))
+    return {x for x, n, a, b in found if not any(y != x and m > n and 2 * (min(b, d) - max(a, c) + 1) > b - a + 1 for y, m, c, d in found)}
+
+
 def test_licenses_against_brute_force(spark):
     texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     got = {r.doc_id: r for r in queries.op3_license_scans(spark, SF).collect()}
@@ -63,12 +81,7 @@ def test_licenses_against_brute_force(spark):
         r = got[i]
         assert (r.n_words, r.n_base, r.base_labels) == (len(w), len(places), ",".join(sorted(labels)))
         assert (r.first_word, r.last_word) == (min((k for k, _ in places), default=None), max((k for k, _ in places), default=None))
-        for line in t.split("\n"):
-            held = set(word.findall(line.translate(lower)))
-            for label, template in licenses.TEMPLATES:
-                tokens = set(word.findall(template.translate(lower)))
-                if len(held & tokens) >= licenses.CONTAINMENT * len(tokens) - 1e-9:
-                    labels.add(label)
+        labels |= brute_labels(w)
         assert r.labels == ",".join(sorted(labels))
 
 
@@ -80,6 +93,25 @@ def test_license_edges(spark):
     assert licenses.find_licenses(docs_of(spark, [])).count() == 0
 
 
+def test_notices_and_what_only_looks_like_one(spark):
+    notices = {(label, t) for label, _, t in licenses.TEMPLATES}
+    wrapped = [(label, textwrap.fill(" ".join(t.split()), 60).replace("\n", "\n * ")) for label, t in sorted(notices)]
+    others = [
+        ("bsd", "Released under the BSD License."),
+        (None, "Licensed under the Eclipse Public License, Version 2.0."),
+        (None, "The film was released in May; under it the license fee doubled."),
+        ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+        ("mit", "x " * 30_000 + wrapped[-6][1] if wrapped[-6][0] == "mit" else "Released under the MIT License."),
+    ]
+    texts = [f"A tool.\n{t}\nint main() {{}}" for _, t in wrapped] + [t for _, t in others] + [f"{wrapped[0][1]}\n\nReleased under the MIT License."]
+    got = {r.doc_id: r.labels for r in licenses.find_licenses(docs_of(spark, texts)).collect()}
+    for i, (label, t) in enumerate(wrapped + others):
+        method = set(got[i]) - {x for p, x in licenses.PHRASES if f" {p} " in f" {' '.join(WORD.findall(t.lower()))} "}
+        assert method | set(got[i]) == set(got[i]) and set(got[i]) - {"gpl", "cc-by"} == ({label} if label else set()) - {"gpl", "cc-by"}, (label, t)
+        assert label is None or label in got[i]
+    assert {wrapped[0][0], "mit"} <= set(got[len(texts) - 1])
+
+
 def passage(seed, n):
     import random
 
