@@ -23,8 +23,10 @@ ENDPOINT = re.compile(r"""\bhttps?://[^\x00-\x20"'<>]{4,}""")
 
 #: Kinds in the order of a span list; the first three are reported wherever they stand.
 KINDS = ("assign", "access", "hex", "identifier", "opaque", "endpoint")
-#: For each weak kind, the kinds of which one must stand in its scope.
-PARTNERS = {"identifier": ("assign", "hex", "opaque"), "opaque": ("access", "identifier"), "endpoint": ("assign", "hex", "opaque")}
+#: For each weak kind, the kinds of which one must stand in its scope. An identifier and an opaque token complete each other; an
+#: endpoint completes a secret that is reported without it, so opaque tokens are linked first.
+PARTNERS = {"identifier": ("assign", "hex", "opaque"), "opaque": ("access", "identifier")}
+ENDPOINT_PARTNERS = {"endpoint": ("assign", "hex", "opaque")}
 #: The scope of a span: so many characters on either side.
 REACH = 200
 
@@ -61,28 +63,34 @@ def _scans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(out, schema=_SCANNED)
 
 
-def _linked(scanned: DataFrame, reach: int) -> DataFrame:
-    """(row, spans): the weak spans that have a complementary part in scope, by an interval join on stretches of ``reach`` characters."""
-    found = scanned.filter(F.size("weak") > 0)
-    part = found.select("row", F.explode(F.concat("base", "weak")).alias("p")).select("row", F.col("p.start").alias("s"), F.col("p.kind").alias("k"), F.col("p.end").alias("e"))
-    weak = found.select("row", F.explode("weak").alias("w")).select("row", F.col("w.start").alias("start"), F.col("w.kind").alias("kind"), F.col("w.end").alias("end"))
+def _in_scope(weak: DataFrame, parts: DataFrame, partners: dict, reach: int) -> DataFrame:
+    """The spans (row, start, kind, end) of ``weak`` that have one of their ``partners`` in scope, by an interval join on stretches of ``reach`` characters."""
     over = lambda a, b: F.explode(F.sequence(F.floor(a / reach).cast("long"), F.floor(b / reach).cast("long")))
-    parts = part.withColumn("stretch", over(F.col("s"), F.col("e"))).withColumnRenamed("row", "of")
-    spans = weak.withColumn("place", over(F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach))
+    laid = parts.select(F.col("row").alias("of"), F.col("start").alias("s"), F.col("kind").alias("k"), F.col("end").alias("e")).withColumn("stretch", over(F.col("s"), F.col("e")))
+    spans = weak.filter(F.col("kind").isin([KINDS.index(k) for k in partners])).withColumn("place", over(F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach))
     completes = F.lit(False)
-    for kind, partners in PARTNERS.items():
-        completes = completes | ((F.col("kind") == KINDS.index(kind)) & F.col("k").isin([KINDS.index(p) for p in partners]))
+    for kind, others in partners.items():
+        completes = completes | ((F.col("kind") == KINDS.index(kind)) & F.col("k").isin([KINDS.index(p) for p in others]))
     near = (F.col("s") < F.col("end") + reach) & (F.col("e") > F.col("start") - reach)
-    held = spans.join(parts, (F.col("row") == F.col("of")) & (F.col("place") == F.col("stretch")) & near & completes, "left_semi")
-    return held.groupBy("row").agg(F.collect_set(F.struct("start", "kind", "end")).alias("spans"))
+    return spans.join(laid, (F.col("row") == F.col("of")) & (F.col("place") == F.col("stretch")) & near & completes, "left_semi").select("row", "start", "kind", "end").distinct()
+
+
+def _linked(scanned: DataFrame, reach: int) -> DataFrame:
+    """(row, spans): the weak spans that a part in scope completes: identifiers and opaque tokens first, then endpoints beside what is reported."""
+    found = scanned.filter(F.size("weak") > 0)
+    each = lambda c: found.select("row", F.explode(c).alias("p")).select("row", "p.start", "p.kind", "p.end")
+    base, weak = each("base"), each("weak")
+    pairs = stage(_in_scope(weak, base.unionByName(weak), PARTNERS, reach), "linked")
+    ends = _in_scope(weak, base.unionByName(pairs), ENDPOINT_PARTNERS, reach)
+    return pairs.unionByName(ends).groupBy("row").agg(F.collect_set(F.struct("start", "kind", "end")).alias("spans"))
 
 
 def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """(doc_id, base, spans) for every row of ``docs``: arrays of (start, kind, end) in code points, by start, then kind.
 
     ``base`` has assignments, access identifiers and hexadecimal keys; ``spans`` has them and the weak candidates (identifiers,
-    opaque tokens, endpoints) that stand within ``reach`` characters of a part that completes a credential. A null text is
-    empty. Repeated rows each get their row.
+    opaque tokens, endpoints) that stand within ``reach`` characters of a part that completes a credential; a weak part that no
+    part in its own scope completes completes no other. A null text is empty. Repeated rows each get their row.
     """
     scanned = stage(texts(docs).mapInArrow(_scans, "row long, doc_id long, base array<struct<start:long,kind:int,end:long>>, weak array<struct<start:long,kind:int,end:long>>"), "scanned")
     joined = scanned.join(_linked(scanned, reach), "row", "left")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 import textwrap
 
@@ -55,6 +56,30 @@ def test_weak_parts_need_partners(spark):
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def weak_spans(t, reach):
+    """The weak spans of a text, by comparing each with each."""
+    base = base_spans(t)
+    ids = [(m.start(), 3, m.end()) for m in secrets.IDENTIFIER.finditer(t)]
+    free = lambda m: not any(s < m.end() and m.start() < e for s, _, e in base + ids)
+    opaque = [(m.start(), 4, m.end()) for m in secrets.OPAQUE.finditer(t) if free(m)]
+    near = lambda x, ys: any(s < x[2] + reach and e > x[0] - reach for s, _, e in ys)
+    kind = lambda *ks: [x for x in base if x[1] in ks]
+    linked = [x for x in opaque if near(x, kind(1) + ids)]
+    out = linked + [x for x in ids if near(x, kind(0, 2) + opaque)]
+    return sorted(out + [(m.start(), 5, m.end()) for m in secrets.ENDPOINT.finditer(t) if near((m.start(), 5, m.end()), kind(0, 2) + linked)])
+
+
+def test_linking_against_brute_force(spark):
+    rng = random.Random(12)
+    parts = ["login: somebody", "aB3" * 10, "https://host.example/path", "token: abcdefgh12", f"AKIA{'Q' * 16}", "0123456789abcdef" * 2, "client_id=me.you", "wörd"]
+    texts = [" ".join(rng.choice(parts) + " x" * rng.choice([0, 3, 20, 60, 99, 101, 130]) for _ in range(rng.randint(1, 9))) for _ in range(300)]
+    texts += [f"login: x{' y' * 3000}{'aB3' * 10} https://host.example/path", f"{'aB3' * 10} https://host.example/path", f"login: somebody {'aB3' * 10} https://host.example/path"]
+    found = {r.doc_id: r for r in secrets.find_secrets(docs_of(spark, texts)).collect()}
+    for i, t in enumerate(texts):
+        assert [(s.start, s.kind, s.end) for s in found[i].spans] == sorted(base_spans(t) + weak_spans(t, secrets.REACH))
+    assert not found[300].spans and not found[301].spans and len(found[302].spans) == 3
+
+
 def brute_labels(w):
     """Labels of all windows of all templates over the words ``w``, but those that another label's better match covers by over half."""
     found = set()
@@ -113,8 +138,6 @@ def test_notices_and_what_only_looks_like_one(spark):
 
 
 def passage(seed, n):
-    import random
-
     rng = random.Random(seed)
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
 
