@@ -6,7 +6,7 @@ from itertools import repeat
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.operators.graph import connected_components, shared_folder  # noqa: F401
@@ -67,3 +67,25 @@ def join_dealt(rows: DataFrame, side: DataFrame, on: list[str], spread: str, mos
     dealt = rows.join(many, on, "left").withColumn("__tile", tile).drop("__tiles")
     copies = side.join(many, on, "left").withColumn("__tile", F.explode(F.sequence(F.lit(0), F.coalesce("__tiles", F.lit(1)) - 1))).drop("__tiles")
     return dealt.join(copies.hint("merge"), [*on, "__tile"]).drop("__tile")
+
+
+def window_hashes(words: Column, size: int) -> Column:
+    """Hashes of the windows of ``size`` elements of an array, of which there are so many at least.
+
+    Elements are hashed once; hashes of longer windows are made of two shorter ones, so no window is built.
+    """
+    let = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def beside(a: Column, b: Column, step: int) -> Column:
+        n = F.greatest(F.size(b) - step, F.lit(0))
+        return F.zip_with(F.slice(a, 1, n), F.slice(b, step + 1, n), lambda x, y: F.xxhash64(x, y))
+
+    def grown(single: Column, made: Column, width: int, bits: str) -> Column:
+        """``made`` has the hashes of windows of ``width``; each further bit of the size doubles them, and a one adds an element."""
+        if not bits:
+            return made
+        if bits[0] == "1":
+            return let(beside(made, made, width), lambda two: let(beside(two, single, 2 * width), lambda more: grown(single, more, 2 * width + 1, bits[1:])))
+        return let(beside(made, made, width), lambda two: grown(single, two, 2 * width, bits[1:]))
+
+    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda single: grown(single, single, 1, bin(size)[3:]))

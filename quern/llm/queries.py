@@ -57,9 +57,22 @@ def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger with the verdict of the current policy. Null and empty texts have no words and fail ``few_words``."""
     found = rules.ledger(table(spark, sf_dir, "documents"))
     base = F.col("failed").bitwiseAND(F.lit(rules.mask(rules.BASE))) != 0
-    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & rules.keeps()).alias("kept"))
+    return found.select(
+        *["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base.alias("base_failed"), (~base & rules.keeps()).alias("kept")],
+        *["n_letters", "n_lines", "failed", F.lit(rules.CURRENT).alias("policy")],
+    )
+
+
+def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every policy and each of its rules: how many documents it fails, and how many it alone fails, from one stored ledger."""
+    kept, out = rules.stored(table(spark, sf_dir, "documents")), None
+    for policy in rules.POLICIES:
+        one = rules.ablations(kept, policy).select(F.lit(policy).alias("policy"), "rule", "n_failed", "n_only")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,7 +90,7 @@ QUERIES = {
         *(op1_line_dedup, op2_best_fit_packing, op3_license_scans, op4_benchmark_decontamination, op5_lm_scoring),
         *(op6_language_id, op7_secret_scans, op8_quality_rules, op9_substring_dedup, op10_simhash_near_dedup),
     )
-}
+} | {"quality_ablations": quality_ablations}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _WORDS = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
@@ -114,6 +127,23 @@ def _licenses_sql() -> str:
 
 _TRIMMED = "trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 
+_MEASURED = r"""d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
+        word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM d),
+        win AS (SELECT doc_id, i, i + 7 <= n AS whole, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS s FROM word),
+        rep AS (SELECT doc_id, i, whole AND count(*) OVER (PARTITION BY doc_id, whole, s) > 1 AS again FROM win),
+        cov AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM rep),
+        r AS (SELECT doc_id, count(*) FILTER (WHERE covered) AS n_repeat_words FROM cov GROUP BY doc_id),
+        m AS (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+            (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+            length(regexp_replace(text, '[^\pL]+', '', 'g'))::BIGINT AS n_letters, len(lines)::BIGINT AS n_lines,
+            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+            FROM d LEFT JOIN r USING (doc_id))"""
+_FAILED = """v AS (SELECT *, (CASE WHEN n_words < 20 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 30 * n_words THEN 2 ELSE 0 END + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END
+            + CASE WHEN word_chars < 2 * greatest(n_words, 1) THEN 8 ELSE 0 END + CASE WHEN word_chars > 15 * greatest(n_words, 1) THEN 16 ELSE 0 END
+            + CASE WHEN n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines THEN 32 ELSE 0 END + CASE WHEN n_letters * 5 < word_chars * 3 THEN 64 ELSE 0 END
+            + CASE WHEN n_lines <= 1 AND n_words > 10000 THEN 128 ELSE 0 END)::BIGINT AS failed FROM m)"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_line_dedup": f"""
         WITH split AS (SELECT doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
@@ -130,21 +160,13 @@ ORACLE_SQL: dict[str, str] = {
             CASE WHEN d.text IS NULL THEN NULL ELSE length(coalesce(k.text, '')) END AS n_chars
         FROM documents d LEFT JOIN kept k USING (doc_id)""",
     "op3_license_scans": _licenses_sql(),
-    "op8_quality_rules": r"""
-        WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
-            list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM documents),
-        word AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i, len(words) AS n FROM d),
-        win AS (SELECT doc_id, i, i + 7 <= n AS whole, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 7 FOLLOWING) AS s FROM word),
-        rep AS (SELECT doc_id, i, whole AND count(*) OVER (PARTITION BY doc_id, whole, s) > 1 AS again FROM win),
-        cov AS (SELECT doc_id, bool_or(again) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 7 PRECEDING AND CURRENT ROW) AS covered FROM rep),
-        r AS (SELECT doc_id, count(*) FILTER (WHERE covered) AS n_repeat_words FROM cov GROUP BY doc_id),
-        m AS (SELECT d.doc_id, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
-            (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
-            length(regexp_replace(text, '[^\pL]+', '', 'g'))::BIGINT AS n_letters, len(lines) AS n_lines,
-            (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
-            FROM d LEFT JOIN r USING (doc_id)),
-        v AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
-        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-            NOT base_failed AND NOT (10 * n_symbols > n_words) AND word_chars >= 2 * greatest(n_words, 1) AND word_chars <= 15 * greatest(n_words, 1)
-            AND NOT (n_dup_lines >= 3 AND 10 * n_dup_lines > 3 * n_lines) AND NOT (n_letters * 5 < word_chars * 3) AS kept FROM v""",
+    "op8_quality_rules": f"""
+        WITH {_MEASURED}, {_FAILED}
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 127 = 0 AS kept, n_letters, n_lines, failed, 'v2' AS policy FROM v""",
+    "quality_ablations": f"""
+        WITH {_MEASURED}, {_FAILED},
+        policy(policy, mask) AS (VALUES ('v1', 3), ('v2', 127)),
+        rule(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('short_words', 8), ('long_words', 16), ('repeated_lines', 32), ('few_letters', 64))
+        SELECT policy, rule, count(*) FILTER (WHERE failed & bit <> 0) AS n_failed, count(*) FILTER (WHERE failed & mask = bit) AS n_only
+        FROM v, policy, rule WHERE mask & bit <> 0 GROUP BY policy, rule""",
 }

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.base import SPACE_CHARS, SPACES
+from quern.llm.base import SPACE_CHARS, SPACES, stage, window_hashes
 
 WINDOW = 8
 
@@ -70,12 +70,12 @@ def measure(docs: DataFrame, carry: Sequence[Column] = ()) -> DataFrame:
         F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
         F.size("lines").cast("long").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(F.size("words") > WINDOW, F.transform(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.array().cast("array<long>")).alias("windows"),
+        F.when(F.size("words") > WINDOW, window_hashes(F.col("words"), WINDOW)).otherwise(F.array().cast("array<long>")).alias("windows"),
     )
     flagged = counted.withColumn("repeats", F.size("windows") > F.size(F.array_distinct("windows")))
-    placed = flagged.withColumn("placed", F.when(F.col("repeats"), F.array_sort(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
+    placed = flagged.withColumn("placed", F.when(F.col("repeats"), F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("at"))))))
     same = lambda x, k, step: F.coalesce(F.get(F.col("placed"), k + step)["h"] == x["h"], F.lit(False))
-    found = placed.withColumn("starts", F.when(F.col("repeats"), F.array_sort(F.transform(F.filter("placed", lambda x, k: same(x, k, -1) | same(x, k, 1)), lambda x: x["at"]))))
+    found = placed.withColumn("starts", F.when(F.col("repeats"), F.sort_array(F.transform(F.filter("placed", lambda x, k: same(x, k, -1) | same(x, k, 1)), lambda x: x["at"]))))
     steps = F.zip_with(F.slice("starts", 2, F.size("starts")), F.slice("starts", 1, F.size("starts") - 1), lambda b, a: F.least(b - a, F.lit(WINDOW)))
     covered = F.when(F.col("repeats"), F.aggregate(steps, F.lit(WINDOW), lambda total, x: total + x)).otherwise(0).cast("long")
     return found.withColumn("n_repeat_words", covered).drop("windows", "repeats", "placed", "starts")
@@ -92,6 +92,11 @@ def ledger(docs: DataFrame, carry: Sequence[Column] = ()) -> DataFrame:
     return made.select(F.explode(F.array(F.struct(*made.columns))).alias("__m")).select("__m.*")
 
 
+def stored(docs: DataFrame) -> DataFrame:
+    """The ledger, written to the shared folder: every policy and every ablation reads it, and nothing is measured again."""
+    return stage(ledger(docs), "ledger")
+
+
 def keeps(policy: str = CURRENT) -> Column:
     """Whether a ledger row passes every rule that ``policy`` enforces."""
     return F.col("failed").bitwiseAND(F.lit(mask(POLICIES[policy]))) == 0

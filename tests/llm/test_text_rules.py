@@ -1,12 +1,14 @@
 import pytest
 from helpers import assert_same, docs_of
 
+from pyspark.sql import functions as F
 from quern.llm import linededup, queries, rules
+from quern.llm.base import window_hashes
 
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_license_scans", "op8_quality_rules"])
+@pytest.mark.parametrize("name", ["op1_line_dedup", "op3_license_scans", "op8_quality_rules", "quality_ablations"])
 def test_oracle(spark, name):
     assert_same(queries.QUERIES[name](spark, SF), queries.ORACLE_SQL[name])
 
@@ -21,6 +23,14 @@ def test_ledger_on_edge_rows(spark):
     assert got[0].failed & 1 and got[8].failed & 2
 
 
+def test_window_hashes_tell_windows_apart(spark):
+    words = [str(i % 7 + i // 20) for i in range(60)]
+    for size in (1, 2, 3, 5, 8, 13):
+        got = spark.createDataFrame([(words,)], "w array<string>").select(window_hashes(F.col("w"), size).alias("h")).first().h
+        windows = [tuple(words[i : i + size]) for i in range(60 - size + 1)]
+        assert len(got) == len(windows) and len(set(zip(got, windows, strict=True))) == len(set(got)) == len(set(windows))
+
+
 def test_filter_keeps_columns_and_rows(spark):
     good = " ".join(f"plain{i} text" for i in range(30))
     docs = docs_of(spark, [good, "bad", good, None], [(0, good, None, None, None, None, None)])
