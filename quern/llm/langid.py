@@ -10,37 +10,39 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from quern.llm.base import stage
+from quern.llm.base import slices, stage
 
-#: The model is fitted on at most so many labelled documents of each language, and of so many languages at most.
-SAMPLE, LANGUAGES = 250, 32
+#: The model is fitted on at most so many labelled documents of each language, and on so many in all, dealt evenly to all languages.
+SAMPLE, IN_ALL = 250, 8_000
 #: So many of each language's sample are landmarks.
 LANDMARKS = 40
 RIDGE = 0.05
 UNKNOWN = "und"
 
-#: n-grams are of 1 to 3 symbols of 6 bits: small ASCII letters, UTF-8's other bytes by their low 5 bits (which folds the case of
-#: most accented letters), and one symbol for all else.
-_SYMBOL = np.array([b - 96 if 97 <= b <= 122 else b - 64 if 65 <= b <= 90 else 27 + (b & 31) if b >= 128 else 0 for b in range(256)], np.int32)
-GRAMS = 64 + 64**2 + 64**3
+#: n-grams of 1 to 3 characters are hashed to so many places.
+GRAMS = 1 << 18
+#: Odd factors of the first, second and third character.
+_FACTORS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 
 
-def grams(text: bytes) -> np.ndarray:
-    """The distinct n-grams of ``text``, as numbers in order."""
-    s = _SYMBOL[np.frombuffer(text, np.uint8)]
-    two = (s[:-1] << 6) | s[1:]
-    three = (two[:-1] << 6) | s[2:]
+def grams(text: str) -> np.ndarray:
+    """The hashes of the distinct n-grams of lower-cased ``text``, in order."""
+    s = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
     present = np.zeros(GRAMS, bool)
-    present[s] = True
-    present[two + 64] = True
-    present[three + 64 + 64**2] = True
+    for n in (1, 2, 3):
+        if len(s) >= n:
+            made = np.full(len(s) - n + 1, n, np.uint32)
+            for k in range(n):
+                made = (made ^ s[k : len(s) - n + 1 + k]) * _FACTORS[k]
+                made ^= made >> np.uint32(15)
+            present[made >> np.uint32(14)] = True
     return np.flatnonzero(present).astype(np.int32)
 
 
 def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
-            yield pa.RecordBatch.from_arrays([pa.array([grams(batch.column(1)[i].as_py())], pa.list_(pa.int32())), batch.column(2).slice(i, 1), batch.column(0).slice(i, 1)], ["grams", "lang", "doc_id"])
+            yield pa.RecordBatch.from_arrays([pa.array([grams(batch.column(1)[i].as_py().decode("utf-8", "replace"))], pa.list_(pa.int32())), batch.column(2).slice(i, 1), batch.column(0).slice(i, 1)], ["grams", "lang", "doc_id"])
 
 
 def fit(sample: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -86,34 +88,33 @@ def _predictions(names: list[str], features: np.ndarray, weights: np.ndarray):
         rows = 128
         x = np.zeros((rows, len(features)), np.float32)
         for batch in batches:
-            langs, scores = [], []
-            for start in range(0, batch.num_rows, rows):
-                body = batch.column(1).slice(start, rows).to_pylist()
-                norms, known = np.ones(len(body), np.float32), np.zeros(len(body), bool)
-                for k, text in enumerate(body):
-                    present = np.zeros(GRAMS, bool)
-                    if text is not None:
-                        own = grams(text)
+            for ids, whole in slices(batch):
+                langs, scores = [], []
+                for start in range(0, len(whole), rows):
+                    body = whole[start : start + rows]
+                    norms, known = np.ones(len(body), np.float32), np.zeros(len(body), bool)
+                    for k, data in enumerate(body):
+                        text = "" if data is None else data.decode("utf-8", "replace")
+                        present, own = np.zeros(GRAMS, bool), grams(text)
                         present[own] = True
-                        norms[k] = max(1, len(own))
-                        known[k] = present[1:27].any() or any(map(str.isalpha, text.decode("utf-8", "replace")))
-                    x[k] = present[features]
-                got = (x[: len(body)] @ weights) / np.sqrt(norms)[:, None]
-                best = got.argmax(axis=1) if names else np.zeros(len(body), int)
-                langs += [names[b] if ok else UNKNOWN for b, ok in zip(best, known & bool(names), strict=True)]
-                top = got.max(axis=1) if names else np.zeros(len(body))
-                scores += np.where(known & bool(names), np.clip((top + 1) / 2, 0, 1), 0).astype(float).tolist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
+                        norms[k], known[k] = max(1, len(own)), any(map(str.isalpha, text))
+                        x[k] = present[features]
+                    got = (x[: len(body)] @ weights) / np.sqrt(norms)[:, None]
+                    best = got.argmax(axis=1) if names else np.zeros(len(body), int)
+                    langs += [names[b] if ok else UNKNOWN for b, ok in zip(best, known & bool(names), strict=True)]
+                    top = got.max(axis=1) if names else np.zeros(len(body))
+                    scores += np.where(known & bool(names), np.clip((top + 1) / 2, 0, 1), 0).astype(float).tolist()
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
     return run
 
 
 def training_rows(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> list[tuple[np.ndarray, str]]:
-    """The n-grams of up to ``per_language`` documents of each of the ``LANGUAGES`` most frequent languages, chosen by a hash of doc_id."""
+    """The n-grams of up to ``per_language`` documents of every language, and about ``IN_ALL`` in all, chosen by a hash of doc_id."""
     labelled = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    common = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).select("lang")
+    each = min(per_language, max(1, IN_ALL // max(1, labelled.select("lang").distinct().count())))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = labelled.select("doc_id", "lang").join(common, "lang").withColumn("no", F.row_number().over(order)).filter(F.col("no") <= per_language)
+    chosen = labelled.select("doc_id", "lang").withColumn("no", F.row_number().over(order)).filter(F.col("no") <= each)
     ids = stage(chosen.select("doc_id", F.col("lang").alias("as_lang")), "sample")  # few, as their written size shows the planner
     rows = labelled.select("doc_id", F.col("text").cast("binary").alias("text"), "lang").join(ids, "doc_id").filter("lang = as_lang").select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
     made = rows.mapInArrow(_sampled, "grams array<int>, lang string, doc_id long").toPandas().sort_values(["lang", "doc_id"])
@@ -123,7 +124,8 @@ def training_rows(docs: DataFrame, learn: Column, per_language: int = SAMPLE) ->
 def identify(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> DataFrame:
     """(doc_id, lang_pred, score) for every row of ``docs``, from whole texts alone.
 
-    The model is fitted on labelled rows for which ``learn`` holds; their number is bounded by ``per_language``. A text that is
+    The model is fitted on labelled rows for which ``learn`` holds; their number is bounded by ``per_language`` and ``IN_ALL``, and
+    every language has its share. A text that is
     null or has no letter is ``und`` with score 0, as is every text if nothing can be learned. Rows with a null doc_id are not
     learned from. Repeated rows each get their row.
     """

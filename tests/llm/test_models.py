@@ -121,6 +121,39 @@ def test_languages_of_held_out_documents(spark):
     assert right / total > 0.97
 
 
+def test_scores_are_those_of_kernel_ridge_regression():
+    """The folded matrix against kernels of every pair: Nystroem features, ridge regression in their dual form."""
+    rng = np.random.default_rng(2)
+    alphabets = {"aa": "abcdefg ", "bb": "defghij ", "cc": "жзиклмн ", "dd": "語学漢字 "}
+    texts = [("".join(rng.choice(list(letters), 60)), lang) for lang, letters in alphabets.items() for _ in range(15)]
+    sample = [(langid.grams(t), lang) for t, lang in texts]
+    names, features, weights = langid.fit(sample, landmarks=6, ridge=0.05)
+    sets = [set(g.tolist()) for g, _ in sample]
+    kernel = lambda a, b: len(a & b) / math.sqrt(len(a) * len(b))
+    marks = [i for lang in alphabets for i in [k for k, (_, x) in enumerate(texts) if x == lang][:6]]
+    inner = np.array([[kernel(sets[i], sets[j]) for j in marks] for i in marks])
+    whole = np.array([[kernel(s, sets[j]) for j in marks] for s in sets])
+    approximate = whole @ np.linalg.inv(inner) @ whole.T
+    target = np.array([[1.0 if lang == n else -1.0 for n in names] for _, lang in texts])
+    dual = np.linalg.solve(approximate + 0.05 * np.eye(len(sets)), target)
+    fresh = [set(langid.grams("".join(rng.choice(list(a), 40))).tolist()) for a in alphabets.values()]
+    want = np.array([[kernel(s, sets[j]) for j in marks] for s in fresh]) @ np.linalg.inv(inner) @ whole.T @ dual
+    got = np.array([np.isin(features, list(s)) @ weights / math.sqrt(len(s)) for s in fresh])
+    assert np.allclose(got, want, atol=2e-3) and [names[k] for k in got.argmax(1)] == list(alphabets)
+
+
+def test_many_languages(spark):
+    """No language is left out, however many there are."""
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(45):
+        letters = [chr(0x4E00 + 12 * k + j) for j in range(12)]
+        rows += [(100 * k + i, " ".join("".join(rng.choice(letters, 5)) for _ in range(20)), f"l{k:02}") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identify(docs, F.col("doc_id") % 100 < 6).join(docs, "doc_id").filter("doc_id % 100 >= 6")
+    assert got.filter("lang = lang_pred").count() == got.count() == 90
+
+
 def test_language_edges(spark):
     docs = docs_of(spark, [None, "", "123 . !", "the cat and the dog " * 20, "ß", "x" * 100_000, "漢字"])
     docs = docs.withColumn("lang", F.when(F.col("doc_id") == 3, "en").when(F.col("doc_id") == 5, "xx"))
