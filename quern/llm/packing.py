@@ -21,7 +21,7 @@ CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Items of one sub-problem: what one genetic search packs.
 SHARD = 2_000
-ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 8, 4
+ISLANDS, EPOCHS, GENERATIONS, POPULATION = 3, 2, 6, 4
 #: A level of packing keeps the bins filled at least so far; what is in the others goes on to the next level, with fewer shards.
 FROZEN = (0.995, 0.97, 0.0)
 #: Words whose ids one Python worker remembers.
@@ -166,21 +166,28 @@ def crossover(a: np.ndarray, b: np.ndarray, lengths: np.ndarray, capacity: int,
     return best_fit(lengths.tolist(), order.tolist(), capacity, out.astype(np.int32), np.bincount(numbers, lengths[placed], len(names)).astype(np.int64))
 
 
+def complete(assigned: np.ndarray, lengths: np.ndarray, capacity: int) -> bool:
+    """Whether no packing can be better: all bins but one are full."""
+    fills = np.bincount(assigned, lengths)
+    return int((fills < capacity).sum()) <= 1
+
+
 def evolve(lengths: np.ndarray, population: list[np.ndarray], capacity: int, seed: int, generations: int = GENERATIONS) -> list[np.ndarray]:
-    """The population after ``generations``, best first. It ends early when no packing can have fewer bins."""
+    """The population after ``generations``, best first.
+
+    It starts from best fit by falling length and, with ``seed``, by lengths with more and more noise, down to chance. Packings of
+    as few bins as can be are bred on: the emptier the last bins, the fewer sequences all shards take together.
+    """
     rng = random.Random(seed)
-    least = -(-int(lengths.sum()) // capacity)
     sizes = lengths.tolist()
     population = list(population)
     while len(population) < POPULATION:
-        noise = np.array([rng.random() for _ in sizes]) * (0.0 if not population else 0.15 * len(population))
+        noise = np.array([rng.random() for _ in sizes]) * (0.0 if not population else 4.0 ** len(population) / 40)
         population.append(best_fit(sizes, np.argsort(-lengths * (1 + noise), kind="stable").tolist(), capacity))
-        if population[-1].max() + 1 <= least:
-            break
     score = lambda x: fitness(x, lengths, capacity)
     population.sort(key=score, reverse=True)
     for _ in range(generations):
-        if population[0].max() + 1 <= least or len(population) < 2:
+        if complete(population[0], lengths, capacity):
             break
         a, b = rng.sample(range(len(population)), 2)
         child = crossover(population[a], population[b], lengths, capacity, rng)

@@ -68,3 +68,13 @@ def test_crossover_keeps_every_item_and_evolution_helps():
         assert len(np.unique(child)) == child.max() + 1
     best = packing.evolve(lengths, [a], 2048, 1, 30)[0]
     assert best.max() <= b.max()
+
+
+def test_search_saves_bins_where_best_fit_does_not_suffice():
+    """Triples that fill a bin exactly, for which best fit by falling length needs bins more."""
+    rng, saved = random.Random(1), 0
+    for seed in range(3):
+        pairs = [(rng.randint(500, 800), rng.randint(500, 700)) for _ in range(100)]
+        lengths = np.array([x for a, b in pairs for x in (a, b, 2048 - a - b)])
+        saved += packing.best_fit(lengths.tolist(), np.argsort(-lengths), 2048).max() - packing.evolve(lengths, [], 2048, seed, 60)[0].max()
+    assert saved >= 3
