@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from quern.llm.base import slices, stage, texts
 
 #: The most frequent words: so many exchange classes among themselves first, and the classes of so many are held by each task.
-SEEDS, HELD = 4_096, 200_000
+SEEDS, HELD = 2_048, 100_000
 CLASSES = 48
 #: Sweeps over the seeds, each in so many steps, and sweeps over all other words.
-SWEEPS, STEPS, REST_SWEEPS = 4, 2, 2
+SWEEPS, STEPS, REST_SWEEPS = 3, 2, 2
 #: Weight of the class bigram against the class's own frequency.
 BIGRAM_WEIGHT = 0.9
 #: Words counted by one task before it passes counts on.
@@ -209,7 +209,7 @@ def _rest_contexts(class_of: dict[bytes, int], classes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, body in slices(batch, 12_000_000):
+            for _, body in slices(batch):
                 flat = tokens_of(body)
                 now = np.fromiter(map(known.get, flat, repeat(other)), np.int64, len(flat))
                 at = np.flatnonzero(now == other)
@@ -326,15 +326,15 @@ def model_of(grid: np.ndarray, mass: np.ndarray, kinds: np.ndarray, weight: floa
     return Model(np.log10(after), np.append(-np.log10(room), 0.0), unknown)
 
 
-def _scanned(held: dict[bytes, tuple[int, int]], end_count: int, end: int):
+def _scanned(held: list[bytes], of_held: np.ndarray, counts: np.ndarray, end_count: int, end: int):
     """A row for each text (its classes, with ``unknown`` for words that aren't held) and one for each such word."""
-    numbers = {w: i for i, w in enumerate(held)} | {END: len(held)}
-    classes = np.array([k for k, _ in held.values()] + [end, end + 1], np.uint8)
-    logs = np.array([math.log10(c + 1) for _, c in held.values()] + [math.log10(end_count + 1), 0.0])
+    classes = np.append(of_held, [end, end + 1]).astype(np.uint8)
+    logs = np.log10(np.append(counts, [end_count, 0]) + 1.0)
     known = np.array([True] * len(held) + [end_count > 0, False])
     rest = len(held) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers = {w: i for i, w in enumerate(held)} | {END: len(held)}
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             learn, done = batch.column(2), 0
@@ -438,11 +438,11 @@ def score_texts(docs: DataFrame, learn: Column, seeds: int = SEEDS, held: int =
     mass, words = np.zeros(classes), np.zeros(classes)
     for r in sums:
         mass[r["class"]], words[r["class"]] = r.c, r.n
-    known = {bytes(r.word): (r["class"], r.c) for r in most_frequent(classed, held).collect()}
-    least = min((c for _, c in known.values()), default=None)
+    top = most_frequent(classed, held).toPandas()
+    known, least = list(map(bytes, top["word"])), None if top.empty else int(top["c"].min())
     others = classed if least is None else classed.filter(F.col("c") < least)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).cast("binary").alias("text"), F.coalesce(learn, F.lit(False)).alias("learn"))
-    scanned = rows.mapInArrow(_scanned(known, end_count, classes), "row long, doc_id long, learn boolean, word binary, pos long, classes binary, known long, logs double")
+    scanned = rows.mapInArrow(_scanned(known, top["class"].to_numpy(np.uint8), top["c"].to_numpy(np.int64), end_count, classes), "row long, doc_id long, learn boolean, word binary, pos long, classes binary, known long, logs double")
     joined = scanned.join(others, "word", "left")
     packed = F.when(F.col("pos") >= 0, F.shiftleft("pos", CLASS_BITS) + F.coalesce("class", F.lit(classes + 1)))
     whole = joined.groupBy("row").agg(
