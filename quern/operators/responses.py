@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from quern.functions import text
 
-ENTRY = "struct<source_cell:string,target_cell:string,factors:string,confidence:string,recipe_status:string>"
+FIELDS = ("source_cell", "target_cell", "factors", "factor_type", "species", "culture_condition", "confidence", "recipe_status", "notes")
+ENTRY = f"struct<{','.join(f'{x}:string' for x in FIELDS)}>"
 ANSWER = f"struct<has_recipe:boolean,paper_type:string,entries:array<{ENTRY}>>"
 SKIPPED = ("failed", "prior_work", "method_only", "enhancer_only")
 
@@ -30,10 +31,15 @@ def parse(df: DataFrame, raw: str, schema: str = ANSWER) -> DataFrame:
 
 
 def entries(parsed: DataFrame, key: str) -> DataFrame:
-    """A row for each usable entry of answers that have some; an unclear status makes it of low confidence."""
-    rows = parsed.filter("answer.has_recipe").select(key, "answer.paper_type", F.explode("answer.entries").alias("e")).select(key, "paper_type", "e.*")
-    status = F.coalesce("recipe_status", F.lit("unclear"))
-    return rows.filter(~status.isin(*SKIPPED)).withColumn("confidence", F.when(status == "unclear", "low").otherwise(F.coalesce("confidence", F.lit("low"))))
+    """A row for each usable entry of answers that have some, with all ``FIELDS``; an unclear status makes it of low confidence and asks for a review.
+
+    A field that the answer leaves out is empty, and a status left out is ``successful``.
+    """
+    rows = parsed.filter("answer.has_recipe").select(key, F.coalesce("answer.paper_type", F.lit("")).alias("paper_type"), F.explode("answer.entries").alias("e")).select(key, "paper_type", "e.*")
+    status = F.trim(F.lower(F.coalesce("recipe_status", F.lit("successful"))))
+    rows = rows.withColumns({c: F.coalesce(c, F.lit("")) for c in FIELDS if c != "recipe_status"} | {"recipe_status": status}).filter(~F.col("recipe_status").isin(*SKIPPED))
+    unclear = F.col("recipe_status") == "unclear"
+    return rows.withColumn("needs_review", unclear).withColumn("confidence", F.when(unclear, "low").otherwise(F.col("confidence")))
 
 
 def clamp(c: Column, allowed: tuple[str, ...], default: str) -> Column:

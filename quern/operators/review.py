@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions import tables
+from quern.operators import rules
 from quern.operators.joins import membership
 from quern.operators.rules import flags
 
@@ -35,3 +36,35 @@ def options(df: DataFrame, column: str, preferred: list[str]) -> DataFrame:
     """(value, place): the values that there are, preferred ones first in their order, then the rest by name."""
     place = F.coalesce(F.nullif(F.array_position(F.array(*map(F.lit, preferred)), F.col("value")), F.lit(0)), F.lit(999)) if preferred else F.lit(999)
     return df.select(F.col(column).alias("value")).filter("value <> ''").distinct().withColumn("place", place.cast("int")).orderBy("place", "value")
+
+
+#: Fields of an answer, with what stands for them where there is none.
+ANSWERED = {"model_decision": "pending", "model_confidence": "", "manual_reason": "not yet adjudicated", "model_rationale": "", "duplicate_assessment": ""}
+
+
+def adjudication_table(df: DataFrame, answers: DataFrame, key: str) -> DataFrame:
+    """``df`` with the answer to each record, if any, who should decide, and how its state looks: visibility, topic, priority and flags.
+
+    A record without an answer is pending, and for people to decide.
+    """
+    held = answers.select(key, *ANSWERED).withColumn("__answered", F.lit(True))
+    joined = df.join(held, key, "left").withColumns({c: F.coalesce(c, F.lit(v)) for c, v in ANSWERED.items()})
+    yes = lambda c: F.when(c, "yes").otherwise("no")
+    made = {
+        "manual_recommended": F.when(F.col("__answered"), rules.manual_recommended()).otherwise("yes"),
+        "review_priority": rules.review_priority(),
+        "default_visible": yes(rules.visible()),
+        "topic_focused": yes(rules.on_topic(tables.T_CELL, False)),
+        "issue_flags": F.array_join(rules.issue_flags(), "; "),
+    }
+    return joined.withColumns(made).drop("__answered")
+
+
+def adjudication_order() -> list:
+    """Records for people first, then by confidence of the model, priority and topic."""
+    return [F.desc("manual_recommended"), F.asc("model_confidence"), F.desc("review_priority"), F.desc("topic_focused")]
+
+
+def known_issues(df: DataFrame, notes: DataFrame, key: str) -> DataFrame:
+    """The records that ``notes`` (key, known_issue_note) names, each with its note in front."""
+    return notes.select(key, "known_issue_note").join(df, key).select("known_issue_note", *df.columns)

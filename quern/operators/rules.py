@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from quern.functions import tables, text
 
 
+def _whole(names: tuple[str, ...]) -> str:
+    """One pattern for any of the names as a whole, so that a text is scanned once."""
+    return f"^({'|'.join(names)})$"
+
+
 def factor_type(name: Column) -> Column:
     """The type of a factor by its name: families of names first, then known genes."""
     low = F.lower(text.strip(name))
@@ -17,8 +22,8 @@ def factor_type(name: Column) -> Column:
     gene = F.regexp_replace(F.regexp_replace(gene, "c-MYC|cMYC|C-MYC", "MYC"), "OCT3/4|POU5F1", "OCT4")
     gene = F.upper(F.regexp_replace(gene, r"[^A-Za-z0-9]", ""))
     return (
-        F.when(low.rlike(tables.MIRNA), "miRNA").when(low.rlike(tables.KNOCKDOWN), "knockdown").when(low.rlike(tables.CYTOKINES), "cytokine")
-        .when(low.rlike(tables.SMALL_MOLECULES), "small_molecule").when(gene.isin(*tables.KNOWN_TF), "TF").otherwise("other")
+        F.when(low.rlike(tables.MIRNA), "miRNA").when(low.rlike(tables.KNOCKDOWN), "knockdown").when(low.rlike(_whole(tables.CYTOKINES)), "cytokine")
+        .when(low.rlike(_whole(tables.SMALL_MOLECULES)), "small_molecule").when(gene.isin(*tables.KNOWN_TF), "TF").otherwise("other")
     )
 
 
@@ -48,7 +53,7 @@ def is_single_tf(factors: Column, types: Column) -> Column:
 def species_in_text(c: Column) -> Column:
     """The species that a text is about; blank if it names none, or several that don't go together."""
     body = text.clean(c)
-    found = {name: body.rlike("(?i)" + p) for name, p in tables.SPECIES_IN_TEXT.items()}
+    found = {name: body.rlike("(?i)" + "|".join(p)) for name, p in tables.SPECIES_IN_TEXT.items()}
     found["human"] = found["human"] | body.rlike("(?i)" + tables.HUMAN_DERIVED)
     hits = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in found.items()]))
     both = body.rlike("(?i)" + tables.HUMAN_AND_MOUSE)
@@ -63,7 +68,7 @@ def species_in_names(*cells: Column) -> Column:
     near = lambda w: rf"\b(?:{w})\b(?:\W+\w+){{0,6}}\W+(?:{context})\b|\b(?:{context})\b(?:\W+\w+){{0,6}}\W+\b(?:{w})\b"
     found = {}
     for name, word in tables.SPECIES_WORDS.items():
-        patterns = ([near(word)] if name != "zebrafish" else []) + ([tables.SPECIES_LINES[name]] if name in tables.SPECIES_LINES else [])
+        patterns = ([near(word)] if name != "zebrafish" else []) + list(tables.SPECIES_LINES.get(name, ()))
         found[name] = body.rlike("(?i)" + "|".join(patterns))
     found["human"] = found["human"] | body.rlike("(?i)" + tables.HUMAN_DERIVED)
     hits = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in found.items()]))
@@ -78,8 +83,8 @@ def conversion_scope(source: Column, target: Column, title: Column, evidence: Co
     both = (text.strip(s) != "") & (text.strip(t) != "")
     unlike = both & (F.lower(text.strip(s)) != F.lower(text.strip(t)))
     return (
-        F.when(has(t, tables.PLURIPOTENT_TARGET), "classical_reprogramming").when(has(s, tables.STEM_SOURCE), "directed_differentiation")
-        .when(has(everything, tables.LINEAGE_WORDS), "lineage_conversion").when(has(everything, tables.STATE_WORDS), "cell_state_modulation")
+        F.when(has(t, "|".join(tables.PLURIPOTENT_TARGET)), "classical_reprogramming").when(has(s, tables.STEM_SOURCE), "directed_differentiation")
+        .when(has(everything, tables.LINEAGE_WORDS), "lineage_conversion").when(has(everything, "|".join(tables.STATE_WORDS)), "cell_state_modulation")
         .when(has(s, tables.TUMOUR_SOURCE) & has(t, tables.TUMOUR_TARGET), "cell_state_modulation").when(has(t, tables.SKELETAL_TARGET) & has(s, tables.SKELETAL_SOURCE), "directed_differentiation")
         .when(has(t, tables.BONE_TARGET) & both, "lineage_conversion").when(has(everything, tables.INNER_EAR) & unlike, "lineage_conversion")
         .when(has(everything, tables.RETINA) & both, "lineage_conversion").when(has(everything, tables.GERMLINE) & unlike, "lineage_conversion")
@@ -158,15 +163,6 @@ def manual_recommended() -> Column:
     return F.when((F.col("model_decision") == "needs_manual") | (F.col("model_confidence") == "low") | focus | doubtful, "yes").otherwise("no")
 
 
-#: What evidence flags say, in the order in which notes are added.
-EVIDENCE_NOTES = {
-    "evidence_cites_prior_work": "Evidence sentence cites prior work rather than this paper's own result.",
-    "evidence_is_methods_sentence": "Evidence sentence describes methods/setup, not a result.",
-    "possible_negative_needs_review": "Evidence sentence may describe a failed/negative result — requires manual confirmation before removal.",
-    "medium_abstract_vague_factors": "Medium-confidence abstract entry with unspecified factors; hidden from default view.",
-}
-
-
 def is_vague(factors: Column) -> Column:
     """One item alone, and that no name."""
     parts = F.split(factors, ",")
@@ -183,10 +179,10 @@ def evidence_flags(df: DataFrame) -> DataFrame:
     prior, negative = active & text.any_found(evidence, tables.PRIOR_WORK), active & text.any_found(evidence, tables.NEGATIVE)
     methods = active & ~prior & text.any_found(evidence, tables.METHODS_ONLY)
     vague = active & ~prior & ~methods & ~negative & (F.col("confidence") == "medium") & (F.col("source") == "abstract") & is_vague(F.col("factors"))
-    marks = dict(zip(EVIDENCE_NOTES, (prior, methods, negative, vague), strict=True))
+    marks = dict(zip(tables.EVIDENCE_NOTES, (prior, methods, negative, vague), strict=True))
     notes = F.col("validation_notes")
     for name, hit in marks.items():
-        notes = F.when(hit, text.append_note(notes, F.lit(EVIDENCE_NOTES[name]), by=" | ", repeat=True)).otherwise(notes)
+        notes = F.when(hit, text.append_note(notes, F.lit(tables.EVIDENCE_NOTES[name]), by=" | ", repeat=True)).otherwise(notes)
     resolution = reduce(lambda other, kv: F.when(kv[1], F.lit(kv[0])).otherwise(other), marks.items(), F.col("validation_resolution"))
     return df.withColumns({
         "validation_needs_review": F.when(prior | methods | negative, "True").when(vague, "False").otherwise(F.col("validation_needs_review")),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.operators.schema import blank_columns
+
 
 def order(seed: int, key: str = "row_id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
@@ -27,13 +29,23 @@ def equal_allocation(df: DataFrame, stratum: str, total: int, seed: int = 1, key
     """``total`` rows: equally many of each stratum, filled up by hash order from what is left."""
     share = df.select(stratum).distinct().count()
     each = max(1, total // share) if share else 0
+    # Only the first rows of a stratum are kept in each task, and the rest is a top-k: no stratum is sorted whole.
     ranked = df.withColumn("__n", F.row_number().over(Window.partitionBy(stratum).orderBy(order(seed, key), key)))
     first = ranked.filter(F.col("__n") <= each).drop("__n")
-    rest = ranked.filter(F.col("__n") > each).drop("__n").orderBy(order(seed + 1, key), key).limit(total)
+    rest = df.join(first.select(key), key, "left_anti").select(df.columns).orderBy(order(seed + 1, key), key).limit(total)
     both = first.withColumn("__first", F.lit(0)).unionByName(rest.withColumn("__first", F.lit(1)))
     return both.orderBy("__first", order(seed + 1, key), key).limit(total).drop("__first")
 
 
+def review_sample(tracks: dict[str, DataFrame], stratum: str, each: int, blanks: list[str], seed: int = 1, key: str = "row_id") -> DataFrame:
+    """``each`` rows of every track, allocated equally to its strata, with ``track`` and empty columns for people to fill in."""
+    out = None
+    for name, rows in tracks.items():
+        one = blank_columns(equal_allocation(rows, stratum, each, seed, key).withColumn("track", F.lit(name)), blanks)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def simple(df: DataFrame, n: int, seed: int = 1, key: str = "row_id") -> DataFrame:
     return df.orderBy(order(seed, key), key).limit(n)
 

@@ -473,15 +473,18 @@ def m13_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.preview(rows, new, ["species", "confidence"])
 
 
-@query(over_records("""SELECT row_id, 'research' AS paper_type, source_cell, CASE WHEN row_id % 5 = 0 THEN 'low' ELSE confidence END AS confidence
-    FROM rec WHERE row_id % 7 NOT IN (0, 1) AND row_id % 5 <> 1"""))
+@query(over_records("""SELECT row_id, 'research' AS paper_type, source_cell, target_cell, factors, CASE WHEN row_id % 3 = 0 THEN 'TF' ELSE '' END AS factor_type, species, '' AS culture_condition,
+    CASE WHEN row_id % 5 = 0 THEN 'low' ELSE confidence END AS confidence, CASE WHEN row_id % 5 = 0 THEN 'unclear' WHEN row_id % 5 = 2 THEN 'successful' ELSE 'positive' END AS recipe_status,
+    'note ' || row_id % 4 AS notes, row_id % 5 = 0 AS needs_review FROM rec WHERE row_id % 7 NOT IN (0, 1) AND row_id % 5 <> 1"""))
 def r3_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    status = F.when(F.col("row_id") % 5 == 0, "unclear").when(F.col("row_id") % 5 == 1, "failed").otherwise("positive")
-    entry = F.struct("source_cell", "target_cell", "factors", "confidence", status.alias("recipe_status"))
+    key = F.col("row_id")
+    status = F.when(key % 5 == 0, " Unclear").when(key % 5 == 1, "failed").when(key % 5 != 2, "positive")
+    more = [F.when(key % 3 == 0, "TF").alias("factor_type"), "species", F.concat(F.lit("note "), key % 4).alias("notes"), status.alias("recipe_status")]
+    entry = F.struct("source_cell", "target_cell", "factors", "confidence", *more)
     body = F.to_json(F.struct((F.col("row_id") % 7 != 0).alias("has_recipe"), F.lit("research").alias("paper_type"), F.array(entry).alias("entries")))
     raw = F.when(F.col("row_id") % 7 == 1, "no answer {").otherwise(F.concat(F.lit("```json\n"), body, F.lit("\n```")))
     parsed = responses.parse(records(spark, sf_dir).select("row_id", raw.alias("raw")), "raw")
-    return responses.entries(parsed, "row_id").select("row_id", "paper_type", "source_cell", "confidence")
+    return responses.entries(parsed, "row_id")
 
 
 @query(over_records("SELECT row_id FROM rec WHERE factors = 'not specified' AND row_id % 2 = 0"))
@@ -513,14 +516,14 @@ def x27_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.strip_html(F.col("html")).alias("body"))
 
 
-@query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(left(text, 80)), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\s+', ' ', 'g')), '^(a|an|the) ', '') AS title FROM documents")
+@query(r"SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(text), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\s+', ' ', 'g')), '^(a|an|the) ', '') AS title FROM documents")
 def x8_title_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.title_key(F.left("text", F.lit(80))).alias("title"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.title_key(F.col("text")).alias("title"))
 
 
-@query(r"SELECT doc_id, trim(regexp_replace(lower(left(text, 200)), '[^a-z0-9]+', ' ', 'g')) AS normal FROM documents")
+@query(r"SELECT doc_id, trim(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g')) AS normal FROM documents")
 def x6_search_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", text.search_text(F.left("text", F.lit(200))).alias("normal"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.search_text(F.col("text")).alias("normal"))
 
 
 @query(over_records("SELECT row_id, fk AS factor_key, CASE WHEN fk = 'not specified' THEN 0 ELSE len(string_split(factors, ',')) END AS factor_count FROM kr", _KEYED))
@@ -555,7 +558,7 @@ def d6_collapse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.collapse_pairs(pairs, "pair", "label", [F.col("q")], "reference").drop("reference")
 
 
-_TITLES = "t AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(left(text, 80)), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents)"
+_TITLES = "t AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(text), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents)"
 
 
 @query(f"""WITH {_TITLES} SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON left(a.t, 1) = left(b.t, 1) AND a.doc_id < b.doc_id AND a.t <> '' AND b.t <> ''
@@ -895,6 +898,35 @@ def c7_f10_issue_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _state(spark, sf_dir).select("row_id", rules.visible().alias("visible"), F.array_join(rules.issue_flags(), ";").alias("flags"), rules.review_priority().alias("priority"))
 
 
+@query(over_records("""SELECT row_id, CASE WHEN row_id % 3 > 0 THEN 'pending' WHEN row_id % 7 = 0 THEN 'needs_manual' ELSE 'auto_accept' END AS model_decision,
+    CASE WHEN row_id % 3 > 0 THEN '' ELSE confidence END AS model_confidence, CASE WHEN row_id % 3 > 0 THEN 'not yet adjudicated' ELSE 'as read' END AS manual_reason,
+    CASE WHEN row_id % 3 > 0 OR row_id % 7 = 0 OR confidence = 'low' OR (twin AND row_id % 2 = 0) THEN 'yes' ELSE 'no' END AS manual_recommended, CASE WHEN visible THEN 'yes' ELSE 'no' END AS default_visible,
+    'no' AS topic_focused, visible::INT * 40 + review::INT * 25 + (factors = 'not specified')::INT * 18 + (species = '')::INT * 14 + (single <> '')::INT * 12 + twin::INT * 8
+    + (confidence = 'high')::INT * 5 AS review_priority FROM v""", _STATE_SQL))
+def r6_adjudication_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, key = _state(spark, sf_dir), F.col("row_id")
+    fields = {"model_decision": F.when(key % 7 == 0, "needs_manual").otherwise("auto_accept"), "model_confidence": F.col("confidence"), "manual_reason": F.lit("as read"), "model_rationale": F.lit("")}
+    answers = rows.filter(key % 3 == 0).withColumns(fields | {"duplicate_assessment": F.when(key % 2 == 0, "unclear").otherwise("ok")})
+    made = review.adjudication_table(rows.drop(*review.ANSWERED), answers, "row_id")
+    return made.select("row_id", "model_decision", "model_confidence", "manual_reason", "manual_recommended", "default_visible", "topic_focused", "review_priority")
+
+
+@query(over_records("SELECT 'issue ' || CAST(pmid AS BIGINT) % 3 AS known_issue_note, row_id, pmid, title, factors, confidence FROM rec WHERE CAST(pmid AS BIGINT) % 40 = 7"))
+def e5_known_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    notes = table(spark, sf_dir, "customer").filter(key % 40 == 7).select(key.cast("string").alias("pmid"), F.concat(F.lit("issue "), key % 3).alias("known_issue_note"))
+    return review.known_issues(records(spark, sf_dir), notes, "pmid").select("known_issue_note", "row_id", "pmid", "title", "factors", "confidence")
+
+
+@query(over_records("""SELECT row_id, track, '' AS manual_label, '' AS manual_notes FROM (SELECT *, row_number() OVER (PARTITION BY track ORDER BY CASE WHEN n > e THEN 1 ELSE 0 END, md5('10:' || row_id), row_id) AS place FROM r) WHERE place <= 25""",
+    """t AS (SELECT row_id, source_cell, CASE WHEN row_id % 2 = 0 THEN 'one' ELSE 'two' END AS track FROM rec)""",
+    """r AS (SELECT *, row_number() OVER (PARTITION BY track, source_cell ORDER BY md5('9:' || row_id), row_id) AS n, 25 // (SELECT count(DISTINCT source_cell) FROM t AS o WHERE o.track = t.track) AS e FROM t)"""))
+def e3_review_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = records(spark, sf_dir)
+    tracks = {"one": rows.filter("row_id % 2 = 0"), "two": rows.filter("row_id % 2 <> 0")}
+    return sampling.review_sample(tracks, "source_cell", 25, ["manual_label", "manual_notes"], seed=9).select("row_id", "track", "manual_label", "manual_notes")
+
+
 @query(over_records("""SELECT row_id, CASE WHEN row_id % 7 = 0 OR confidence = 'low' OR (twin AND row_id % 2 = 0) THEN 'yes' ELSE 'no' END AS manual FROM s""", _STATE_SQL))
 def c8_manual_recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("row_id")
