@@ -58,11 +58,12 @@ def test_running_edges(spark, tmp_path):
 
 def test_responses(spark):
     raw = ['```json\n{"has_recipe": true, "paper_type": "research", "entries": [{"factors": "A", "recipe_status": "positive", "confidence": "high"}, {"factors": "B", "recipe_status": "failed"}]}\n```',
-           '{"has_recipe": false, "entries": []}', "nothing", '{"has_recipe": true, "entries": [{"factors": "C"}]} thanks', None]
+           '{"has_recipe": false, "entries": []}', "nothing", '{"has_recipe": true, "entries": [{"factors": "C"}, {"factors": "D", "species": "mouse", "recipe_status": " Unclear", "confidence": "high", "notes": "n"}]} thanks', None]
     rows = spark.createDataFrame(list(enumerate(raw)), "row_id int, raw string")
     parsed = responses.parse(rows, "raw")
     assert [r.parsed for r in parsed.orderBy("row_id").collect()] == [True, True, False, True, False]
-    assert sorted((r.row_id, r.factors, r.confidence) for r in responses.entries(parsed, "row_id").collect()) == [(0, "A", "high"), (3, "C", "low")]
+    got = sorted(tuple(r[c] for c in ("row_id", "factors", "confidence", "recipe_status", "needs_review", "species", "notes")) for r in responses.entries(parsed, "row_id").collect())
+    assert got == [(0, "A", "high", "positive", False, "", ""), (3, "C", "", "successful", False, "", ""), (3, "D", "low", "unclear", True, "mouse", "n")]
     yes, no = responses.split_answers(parsed)
     assert (yes.count(), no.count()) == (2, 3)
 
