@@ -236,6 +236,16 @@ def tolerant_number(c: Column) -> Column:
     return F.coalesce(strip(c).try_cast("double"), F.regexp_extract(c, r"[-+]?\d*\.?\d+(?:[eE][-+]?\d+)?", 0).try_cast("double"))
 
 
+def number_text(c: Column, digits: int = 8) -> Column:
+    """``tolerant_number`` as text of so many significant digits, without zeros at the end; small and large ones with an exponent; blank where there is none."""
+    value = tolerant_number(c)
+    science = F.format_string(f"%.{digits - 1}e", value)
+    power = F.regexp_extract(science, r"e(.*)$", 1).cast("int")
+    bare = lambda x: F.when(F.contains(x, F.lit(".")), F.regexp_replace(x, r"\.?0+$", "")).otherwise(x)
+    plain = bare(science.cast(f"decimal(38,{digits + 3})").cast("string"))
+    return F.when(value.isNull(), "").when(value == 0, "0").when(power.between(-4, digits - 1), plain).otherwise(F.concat(bare(F.regexp_extract(science, "^(.*)e", 1)), F.regexp_extract(science, "(e.*)$", 1)))
+
+
 def species(c: Column) -> Column:
     """Species under their usual names, each once, in a fixed order; others follow as they come."""
     known = F.transform(split_flat(F.replace(F.lower(clean(c)), F.lit(";"), F.lit(",")), "[,/]"), lambda x: F.coalesce(literal_map(tables.SPECIES_ALIASES)[x], x))

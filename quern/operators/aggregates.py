@@ -123,6 +123,18 @@ def pass_report(df: DataFrame, method: str, column: str) -> DataFrame:
     return df.groupBy(how.alias("method")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def proposal_counts(df: DataFrame) -> DataFrame:
+    """One row: proposals by what their action says, and writes that are left, by risk."""
+    action, writes = F.col("proposed_action"), F.col("proposed_updates") != "{}"
+    says = lambda p: F.count_if(action.rlike(p))
+    left = {f"{r}_risk_writes": F.count_if((F.col("write_risk") == r) & writes) for r in ("low", "medium", "high")}
+    made = {
+        "rows": F.count(F.lit(1)), "manual": F.count_if(action == "manual_review_required"), "hides": says("hide"), "merges": says("confirm_broad_duplicate"),
+        "accepts": says("accept_no_change"), "cleanups": says("accept_cleanup"), **left, "confirmed": F.count_if((F.col("write_risk") == "low") & ~writes & (action != "accept_no_change")),
+    }
+    return df.agg(*[c.alias(n) for n, c in made.items()])
+
+
 def proposal_summary(df: DataFrame) -> DataFrame:
     """(write_risk, updates, n): proposals by risk and whether they would change something."""
     return df.groupBy("write_risk", (F.col("proposed_updates") != "{}").alias("updates")).agg(F.count(F.lit(1)).alias("n"))

@@ -42,6 +42,15 @@ def unmatched_patches(df: DataFrame, patches: DataFrame, keys: list[str], unique
     return found.filter("records <> 1" if unique else "records = 0")
 
 
+def must_match(df: DataFrame, patches: DataFrame, keys: list[str], unique: bool = False) -> DataFrame:
+    """The patches; the job that reads them fails if a selector fits no record, or with ``unique`` not exactly one."""
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__records"))
+    n = F.coalesce("__records", F.lit(0))
+    wrong = (n != 1) if unique else (n == 0)
+    stop = F.raise_error(F.concat_ws(" ", F.lit("records of"), *[F.col(k).cast("string") for k in keys], F.lit(":"), n.cast("string")))
+    return patches.join(sizes, keys, "left").filter(F.when(wrong, stop.cast("boolean")).otherwise(True)).select(patches.columns)
+
+
 def close_out(df: DataFrame, decided: tuple[str, ...], default: str = "resolved_by_action") -> DataFrame:
     """Decided actions need no review unless their resolution says so; a blank resolution gets a default."""
     done = F.col("validation_action").isin(*decided) & ~F.contains("validation_resolution", F.lit("needs_review"))
@@ -172,9 +181,66 @@ def impute_species(df: DataFrame) -> DataFrame:
     return vote(infer(voted, species_in_text(text.joined(F.col("title"), F.col("evidence_sentence"))), "title_abstract_evidence"))
 
 
-def release(df: DataFrame, *criteria: Column) -> DataFrame:
-    """``df`` with ``released``: whether a staged record meets every criterion."""
-    return df.withColumn("released", reduce(lambda a, b: a & b, criteria))
+def release(df: DataFrame, staged: Column, note: str = "released") -> DataFrame:
+    """``df`` with ``release``: ``released`` or ``held`` for staged records under review, else blank.
+
+    A record is released if it is research, names factors, has evidence, a species and a clear scope, and isn't a single factor
+    that waits for its class. It then needs no review, and resolution and notes say why.
+    """
+    value = lambda c: text.clean(F.col(c))
+    waiting = staged & text.is_true(F.col("validation_needs_review"), ("true",))
+    fit = (F.col("paper_type") == "research") & ~text.is_unspecified(F.col("factors")) & (value("evidence_sentence") != "") & (value("species") != "")
+    fit = fit & ~text.is_true(F.col("single_tf_flag"), ("true",)) & (value("conversion_scope") != "unclear")
+    out = waiting & fit
+    return df.withColumns({
+        "release": F.when(out, "released").when(waiting, "held").otherwise(""),
+        "validation_needs_review": F.when(out, "False").otherwise(F.col("validation_needs_review")),
+        "validation_resolution": F.when(out, "curated_coverage_expansion").otherwise(F.col("validation_resolution")),
+        "validation_notes": F.when(out, text.append_note(F.col("validation_notes"), F.lit(note), by=" | ")).otherwise(F.col("validation_notes")),
+    })
+
+
+def apply_sure(df: DataFrame, answers: DataFrame, key: str = "row_id") -> tuple[DataFrame, DataFrame]:
+    """(``df`` with factors from sure answers, and how they were got in the notes; the answers applied).
+
+    ``answers`` has one row for each key: extracted_factors, extracted_factor_type (blank: the record's own stays), confidence and reasoning.
+    """
+    sure = answers.filter((F.col("confidence") == "high") & (text.clean(F.col("extracted_factors")) != "") & (F.lower("extracted_factors") != text.NOT_SPECIFIED))
+    named = sure.select(key, F.struct("extracted_factors", "extracted_factor_type", "reasoning").alias("__a"))
+    hit = F.col("__a").isNotNull()
+    applied = df.join(named, key, "left").withColumns({
+        "factors": F.when(hit, F.col("__a.extracted_factors")).otherwise(F.col("factors")),
+        "factor_type": F.when(hit & (text.clean(F.col("__a.extracted_factor_type")) != ""), F.col("__a.extracted_factor_type")).otherwise(F.col("factor_type")),
+        "validation_needs_review": F.when(hit, "").otherwise(F.col("validation_needs_review")),
+        "validation_notes": F.when(hit, F.concat(F.lit("fulltext_auto:"), F.left(F.coalesce("__a.reasoning", F.lit("")), F.lit(80)))).otherwise(F.col("validation_notes")),
+    })
+    return applied.drop("__a"), sure
+
+
+def better_evidence(sentence: Column, quality: Column, other: Column, other_quality: Column) -> tuple[Column, Column]:
+    """(sentence, quality): the second answer where the first isn't good and the second is, or is weak where the first is none."""
+    take = (quality != "good") & ((other_quality == "good") | ((other_quality == "weak") & (quality == "none")))
+    return F.when(take, other).otherwise(sentence), F.when(take, other_quality).otherwise(quality)
+
+
+def known_issues(df: DataFrame, patches: DataFrame, key: str = "pmid") -> DataFrame:
+    """``df`` under a table of known issues, at most one for each key (key, action, tag, note).
+
+    The note is kept and appended, the tag added; an action is written and asks for a review. ``keep`` is written only where there is no action yet,
+    and then, as where review is blank, needs none.
+    """
+    one = patches.select(key, F.struct("action", "tag", "note").alias("__k"))
+    hit, action = F.col("__k").isNotNull(), F.col("__k.action")
+    keep = hit & (action == "keep")
+    full = ensure_columns(df, dict.fromkeys(["validation_known_issue", "validation_notes", "validation_action", "validation_error_category", "validation_needs_review"], ""))
+    review, now = F.col("validation_needs_review"), F.col("validation_action")
+    return full.join(one, key, "left").withColumns({
+        "validation_known_issue": F.when(hit, F.col("__k.note")).otherwise(F.col("validation_known_issue")),
+        "validation_notes": F.when(hit, text.append_note(F.col("validation_notes"), F.col("__k.note"))).otherwise(F.col("validation_notes")),
+        "validation_error_category": F.when(hit, text.append_tag(F.col("validation_error_category"), F.col("__k.tag"))).otherwise(F.col("validation_error_category")),
+        "validation_action": F.when(hit & (action != "") & (~keep | (text.clean(now) == "")), action).otherwise(now),
+        "validation_needs_review": F.when(keep, F.when(text.clean(review) == "", "False").otherwise(review)).when(hit & (action != ""), "True").otherwise(review),
+    }).drop("__k")
 
 
 def evidence_update(df: DataFrame) -> DataFrame:

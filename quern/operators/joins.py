@@ -28,6 +28,11 @@ def unseen(df: DataFrame, key: str, *known: DataFrame) -> DataFrame:
     return df
 
 
+def known(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key is in ``keys``, each once."""
+    return df.join(keys.select(key), key, "left_semi")
+
+
 def membership(df: DataFrame, key: str, tables_: dict[str, DataFrame]) -> DataFrame:
     """``df`` with a flag for each table: whether it has the key."""
     for name, t in tables_.items():

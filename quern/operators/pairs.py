@@ -65,6 +65,12 @@ def track_metrics(df: DataFrame) -> DataFrame:
     return df.agg(n.alias("rows"), valid.alias("valid_rows"), share(valid).alias("valid_pct"), both.alias("both_rows"), share(both).alias("both_pct"), review.alias("review_rows"), share(review).alias("review_pct"))
 
 
+def track_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(field, value, n): how often each value of each column occurs."""
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).cast("string").alias("value")) for c in columns]))
+    return df.select(each.alias("x")).groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def pilot(df: DataFrame, most: int, seed: int = 1) -> DataFrame:
     """At most ``most`` pairs, equally many of each source, label and type where there are enough."""
     stratum = F.concat_ws("|", F.coalesce(F.col("source_rank").cast("string"), F.lit("")), "interaction_label", "binder_type")

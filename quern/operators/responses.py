@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions import text
+from quern.functions import tables, text
 
 FIELDS = ("source_cell", "target_cell", "factors", "factor_type", "species", "culture_condition", "confidence", "recipe_status", "notes")
 ENTRY = f"struct<{','.join(f'{x}:string' for x in FIELDS)}>"
@@ -48,6 +48,28 @@ def clamp(c: Column, allowed: tuple[str, ...], default: str) -> Column:
     return F.when(low.isin(*allowed), low).otherwise(default)
 
 
+#: Values of an adjudication, with what stands for others.
+DECISIONS = ("auto_accept", "auto_hide", "auto_merge_duplicate", "needs_manual")
+LEVELS = ("high", "medium", "low")
+
+
+def adjudication(parsed: DataFrame) -> DataFrame:
+    """``parsed`` (answer: decision, confidence, assessments, suggestions, reasons) with plain columns of allowed values.
+
+    Unknown decisions are for people, unknown confidence is low, and a suggestion of factors without a known type lowers it. Blank
+    assessments are unclear; reasons are cut.
+    """
+    given = lambda f: text.clean(F.col(f"answer.{f}"))
+    kinds = F.filter(text.split_flat(given("suggested_factor_type")), lambda x: x.isin(*tables.FACTOR_TYPES))
+    typed = F.array_join(kinds, ", ")
+    sure = F.when((given("suggested_factors") != "") & (typed == ""), "low").otherwise(clamp(F.col("answer.confidence"), LEVELS, "low"))
+    assessed = {f: F.when(given(f) == "", "unclear").otherwise(F.lower(given(f))) for f in ("recipe_valid", "factor_assessment", "cell_assessment", "duplicate_assessment")}
+    return parsed.withColumns(assessed | {
+        "decision": clamp(F.col("answer.decision"), DECISIONS, "needs_manual"), "confidence": sure, "suggested_factors": given("suggested_factors"), "suggested_factor_type": typed,
+        "manual_reason": text.truncate(given("manual_reason"), 160), "rationale": text.truncate(given("rationale"), 240),
+    })
+
+
 def context(**fields: Column) -> Column:
     """Labelled lines of a prompt, blank fields left out."""
     lines = F.array(*[F.when(text.clean(c) != "", F.concat(F.lit(f"{name}: "), c)) for name, c in fields.items()])

@@ -499,17 +499,6 @@ def r2_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).select("row_id", responses.context(Title=F.col("title"), Species=F.col("species")).alias("context"))
 
 
-@query()
-def w11_excerpt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select("doc_id", responses.excerpt(F.col("text"), ["the", "of", "que", "und"], 5, 400).alias("excerpt"))
-
-
-@query()
-def s6_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = sources.sections(table(spark, sf_dir, "pages"), block="p", limit=10_000, special=r"[%$*#]", plain=r".")
-    return made.select("page_id", "special", "plain")
-
-
 @query(r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(html, '<[^>]+>', ' ', 'g'), '&amp;', '&'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '),
     '\s+', ' ', 'g')) AS body FROM pages""")
 def x27_strip_html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -612,13 +601,6 @@ def s3_text_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.text_lookup(rows, "pmid", ["source_cell", "short"])
 
 
-@query()
-def c4_evidence_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = schema.ensure_columns(records(spark, sf_dir).withColumn("is_duplicate", F.lit(False)), {"validation_needs_review": "", "validation_resolution": "", "validation_notes": ""})
-    said = F.when(F.col("row_id") % 4 == 0, "We previously reported this.").when(F.col("row_id") % 4 == 1, "It did not convert cells.").otherwise(F.col("evidence_sentence"))
-    return rules.evidence_flags(rows.withColumn("evidence_sentence", said)).select("row_id", "validation_needs_review", "validation_action", "validation_resolution", "validation_notes")
-
-
 @query()
 def m12_impute_species(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.impute_species(records(spark, sf_dir)).select("row_id", "species", "species_method")

@@ -41,6 +41,12 @@ def requested(spark: SparkSession, keys: list[str]) -> DataFrame:
     return spark.createDataFrame([(k, i) for i, k in enumerate(dict.fromkeys(k.strip() for k in keys if k.strip()))], "key string, pos int")
 
 
+def requested_from(lines: DataFrame, key: str, place: str) -> DataFrame:
+    """(key, pos) from a table of keys (read from a text file or a CSV) and their places: each once, where it first stands."""
+    trimmed = lines.select(text.clean(F.col(key)).alias("key"), F.col(place).alias("pos")).filter("key <> ''")
+    return trimmed.groupBy("key").agg(F.min("pos").alias("pos"))
+
+
 def sections(pages: DataFrame, block: str = "p", limit: int = 10_000, **titles: str) -> DataFrame:
     """``pages`` (html) with a column for each kind of section: the text of its blocks, in order, cut to ``limit`` characters.
 
@@ -63,6 +69,20 @@ def write_version(df: DataFrame, folder: str, version: str) -> str:
     return path
 
 
+def write_first(df: DataFrame, folder: str, version: str) -> str:
+    """A version that is written once: where it is there already, it stays."""
+    path = f"{folder.rstrip('/')}/version={version}"
+    df.write.mode("ignore").parquet(path)
+    return path
+
+
+def current(spark: SparkSession, folder: str) -> DataFrame:
+    """The last version by name; its folder alone is read."""
+    every = spark.read.option("recursiveFileLookup", False).parquet(folder)
+    last = every.select(F.max("version")).first()[0]
+    return every.filter(F.col("version") == last).drop("version")
+
+
 def append_rows(df: DataFrame, path: str, columns: list[str], exact: bool = False) -> None:
     """Append rows of known columns; missing ones are an error, and with ``exact`` extra ones too."""
     missing, extra = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]
@@ -85,6 +105,16 @@ def sheets(views: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def write_sheets(views: dict[str, DataFrame], path: str) -> None:
+    """A folder for each view."""
+    sheets(views).write.partitionBy("sheet").parquet(path)
+
+
+def export_csv(df: DataFrame, path: str) -> None:
+    """As text that ``scan_text`` reads back: quotes doubled, white space kept."""
+    df.write.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+
+
 def union_filled(*frames: DataFrame) -> DataFrame:
     """All rows; a column that a table lacks is blank in its rows."""
     out = frames[0]
