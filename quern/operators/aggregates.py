@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import text
@@ -62,11 +62,12 @@ def papers_represented(df: DataFrame, column: str) -> DataFrame:
 def group_summary(df: DataFrame, key: str, first: str, listed: str, limit: int = 8) -> DataFrame:
     """For each key: the first row's value, how many rows, and the first distinct values of ``listed`` in row order.
 
-    Values are made distinct with their first place before they are listed, so a group's list has no repeats to hold.
+    Values are made distinct with their first place, and only the first ``limit`` of a key are collected.
     """
     heads = df.groupBy(key).agg(F.min_by(first, "row_id").alias(first), F.count(F.lit(1)).alias("n"))
     places = df.groupBy(key, listed).agg(F.min("row_id").alias("at"))
-    lists = places.groupBy(key).agg(F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct("at", listed))), 1, limit), lambda x: x[listed]), "; ").alias(listed))
+    first_ones = places.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy("at", listed))).filter(F.col("__n") <= limit)
+    lists = first_ones.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__n", listed))), lambda x: x[listed]), "; ").alias(listed))
     return heads.join(lists, key)
 
 
@@ -77,9 +78,9 @@ def category_sums(df: DataFrame, category: str, measure: str) -> DataFrame:
 def majority(df: DataFrame, key: str, value: Column) -> DataFrame:
     """(key, majority) where one value is most frequent alone; blank values don't vote."""
     votes = df.select(key, value.alias("v")).filter("v <> ''").groupBy(key, "v").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy(key).agg(F.max("n").alias("top"))
-    tops = votes.join(best, key).filter("n = top")
-    return tops.groupBy(key).agg(F.count(F.lit(1)).alias("tied"), F.min("v").alias("majority")).filter("tied = 1").select(key, "majority")
+    # Of the values with most votes the first and the last are the same only if there is one.
+    ends = votes.groupBy(key).agg(F.min(F.struct((-F.col("n")).alias("less"), "v")).alias("first"), F.max(F.struct("n", "v")).alias("last"))
+    return ends.filter("first.v = last.v").select(key, F.col("first.v").alias("majority"))
 
 
 def agreement(df: DataFrame, key: str, value: Column) -> DataFrame:

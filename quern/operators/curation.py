@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import tables, text
 from quern.operators.aggregates import majority
+from quern.operators.graph import written
 from quern.operators.rules import species_in_names, species_in_text
 from quern.operators.schema import ensure_columns
 
@@ -167,8 +168,8 @@ def infer(df: DataFrame, found: Column, method: str, column: str = "species") ->
     return df.withColumns({f"{column}_method": F.when(take, method).otherwise(F.col(f"{column}_method")), column: F.when(take, found).otherwise(F.col(column))})
 
 
-def impute_species(df: DataFrame) -> DataFrame:
-    """``df`` with ``species`` filled in passes (names of cells, vote, text, vote) and ``species_method``.
+def impute_species(df: DataFrame, fulltexts: DataFrame | None = None) -> DataFrame:
+    """``df`` with ``species`` filled in passes (names of cells, vote, text, vote; with ``fulltexts`` (pmid, text) those, vote) and ``species_method``.
 
     What earlier runs filled in is first taken back.
     """
@@ -177,8 +178,18 @@ def impute_species(df: DataFrame) -> DataFrame:
     method = F.when(mine, "").otherwise(F.col("species_method"))
     reset = full.withColumns({"species": F.when(mine, "").otherwise(text.species(F.col("species"))), "species_method": method})
     reset = reset.withColumn("species_method", F.when((F.col("species") != "") & (F.col("species_method") == ""), "existing").otherwise(F.col("species_method")))
-    voted = vote(infer(reset, species_in_names(F.col("source_cell"), F.col("target_cell")), "cell_fields"))
-    return vote(infer(voted, species_in_text(text.joined(F.col("title"), F.col("evidence_sentence"))), "title_abstract_evidence"))
+    found = reset.withColumns({"__names": species_in_names(F.col("source_cell"), F.col("target_cell")), "__text": species_in_text(text.joined(F.col("title"), F.col("evidence_sentence")))})
+    if fulltexts is not None:
+        # Only what a text says of species is joined, not the text.
+        said = fulltexts.select("pmid", species_in_text(F.col("text")).alias("__full")).filter("__full <> ''").groupBy("pmid").agg(F.min("__full").alias("__full"))
+        found = found.join(said, "pmid", "left").withColumn("__full", F.coalesce("__full", F.lit("")))
+    # Every vote reads the rows twice, so what the rules find is written before the first.
+    made = written(found, "species")
+    made = vote(infer(made, F.col("__names"), "cell_fields"))
+    made = vote(infer(made, F.col("__text"), "title_abstract_evidence"))
+    if fulltexts is not None:
+        made = vote(infer(made, F.col("__full"), "fulltext"))
+    return made.drop("__names", "__text", "__full")
 
 
 def release(df: DataFrame, staged: Column, note: str = "released") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import tables, text
@@ -118,13 +118,15 @@ def broad_duplicates(df: DataFrame) -> DataFrame:
 def support(df: DataFrame, source: str, target: str, shown_ids: int = 12, shown_papers: int = 6) -> DataFrame:
     """(row_id, supporting_paper_count, supporting_pmids, pmids_preview, papers_preview): the papers of each record's cluster, by year and id.
 
-    Papers are first made distinct within a cluster; only those lists are joined back to the records.
+    Papers are first made distinct within a cluster; only those lists are joined back to the records. A list holds every id, as it
+    is asked for, but titles of the papers shown alone.
     """
     keyed = df.withColumn("cluster", F.struct(text.key_text(F.col(source)).alias("s"), text.key_text(F.col(target)).alias("t"), text.factor_key(F.col("factors")).alias("f")))
     year = text.number(F.col("year"), 9999)
     papers = keyed.groupBy("cluster", "pmid").agg(F.min(F.struct(year.alias("y"), F.col("row_id").alias("r"), "year", "title")).alias("p"))
     name = F.concat(F.col("pmid"), F.when(~F.col("p.year").isin("", "0"), F.concat(F.lit(" ("), F.col("p.year"), F.lit(")"))).otherwise(""), F.when(F.col("p.title") != "", F.concat(F.lit(": "), F.left("p.title", F.lit(140)))).otherwise(""))
-    listed = papers.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct(F.col("p.y").alias("y"), "pmid", name.alias("name")))).alias("papers"))
+    placed = papers.withColumn("n", F.row_number().over(Window.partitionBy("cluster").orderBy("p.y", "pmid")))
+    listed = placed.groupBy("cluster").agg(F.array_sort(F.collect_list(F.struct("n", "pmid", F.when(F.col("n") <= shown_papers, name).alias("name")))).alias("papers"))
     ids, names = F.transform("papers", lambda x: x["pmid"]), F.transform("papers", lambda x: x["name"])
     lists = listed.select("cluster", F.size("papers").cast("long").alias("supporting_paper_count"), F.array_join(ids, ", ").alias("supporting_pmids"), text.preview(ids, shown_ids).alias("pmids_preview"), text.preview(names, shown_papers).alias("papers_preview"))
     return keyed.select("row_id", "cluster").join(lists, "cluster").drop("cluster")

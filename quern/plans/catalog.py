@@ -75,12 +75,13 @@ def d2_broad_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(over_records("""SELECT kr.row_id, n AS supporting_paper_count, ids AS supporting_pmids,
-        CASE WHEN n > 12 THEN array_to_string(l[1:12], '; ') || '; ... (+' || (n - 12) || ' more)' ELSE array_to_string(l, '; ') END AS pmids_preview
+        CASE WHEN n > 12 THEN array_to_string(l[1:12], '; ') || '; ... (+' || (n - 12) || ' more)' ELSE array_to_string(l, '; ') END AS pmids_preview,
+        CASE WHEN n > 6 THEN array_to_string(names[1:6], '; ') || '; ... (+' || (n - 6) || ' more)' ELSE array_to_string(names, '; ') END AS papers_preview
         FROM kr JOIN c USING (sk, tk, fk)""",
-    _KEYED, "p AS (SELECT sk, tk, fk, pmid, min(CAST(year AS INT)) AS y FROM kr GROUP BY ALL)",
-    "c AS (SELECT sk, tk, fk, count(*) AS n, string_agg(pmid, ', ' ORDER BY y, pmid) AS ids, list(pmid ORDER BY y, pmid) AS l FROM p GROUP BY ALL)"))
+    _KEYED, "p AS (SELECT sk, tk, fk, pmid, min(CAST(year AS INT)) AS y, arg_min(pmid || ' (' || year || ')' || CASE WHEN title = '' THEN '' ELSE ': ' || title END, CAST(year AS HUGEINT) * 10000000000000 + row_id) AS name FROM kr GROUP BY sk, tk, fk, pmid)",
+    "c AS (SELECT sk, tk, fk, count(*) AS n, string_agg(pmid, ', ' ORDER BY y, pmid) AS ids, list(pmid ORDER BY y, pmid) AS l, list(name ORDER BY y, pmid) AS names FROM p GROUP BY ALL)"))
 def w5_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates.support(records(spark, sf_dir), "source_cell", "target_cell").drop("papers_preview")
+    return duplicates.support(records(spark, sf_dir), "source_cell", "target_cell")
 
 
 @query(over_records("SELECT pmid, row_id, factors, title FROM (SELECT *, row_number() OVER (PARTITION BY pmid ORDER BY row_id) AS n FROM rec) WHERE n = 1"))

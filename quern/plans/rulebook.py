@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import names, tables, text
-from quern.operators import duplicates, rules
+from quern.operators import curation, duplicates, rules
 from quern.plans.catalog import query
 from quern.plans.records import table
 
@@ -265,3 +265,44 @@ def _scope_sql() -> str:
 def c1_scope_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("l_orderkey") % 3 == 0, F.expr(_pick(_TITLES, "l_orderkey"))).otherwise("")
     return _names(spark, sf_dir, CELLS).withColumn("scope", rules.conversion_scope(F.col("given"), F.expr(_TARGET), title, F.lit("")))
+
+
+_SAID = ("cells of the human and mouse embryo", "transplanted hESC in a mouse model", "murine tissue", "rats and pigs", "bovine", "a study of cells", "patient-derived cells", "cow", "")
+_READ = ("swine", "no species", "zebrafish larvae", "human donors")
+_GIVEN = "CASE WHEN l_linenumber = 1 AND l_orderkey % 3 = 0 THEN 'Mice' WHEN l_linenumber = 2 AND l_orderkey % 5 = 0 THEN 'cow' ELSE '' END"
+_EARLIER = "CASE WHEN l_orderkey % 15 = 0 THEN 'fulltext' ELSE '' END"
+
+
+def _species_in_text_sql(column: str) -> str:
+    found = {n: _has(column, "|".join(p)) for n, p in tables.SPECIES_IN_TEXT.items()}
+    found["human"] = f"({found['human']} OR {_has(column, tables.HUMAN_DERIVED)})"
+    hits = "list_filter([" + ", ".join(f"CASE WHEN {c} THEN '{n}' END" for n, c in found.items()) + "], lambda x: x IS NOT NULL)"
+    pair, graft = f"array_to_string({hits}, ',') = 'human,mouse'", f"{_has(column, tables.HUMAN_CELLS)} AND {_has(column, tables.GRAFTS)}"
+    return f"CASE WHEN len({hits}) = 1 THEN ({hits})[1] WHEN {pair} AND {_has(column, tables.HUMAN_AND_MOUSE)} THEN 'human, mouse' WHEN {pair} AND {graft} THEN 'human' ELSE '' END"
+
+
+def _voted_sql(of: str, to: str) -> str:
+    """A view ``to`` of ``of`` after a vote."""
+    return f"""{to}_v AS (SELECT pmid, species AS v, count(*) AS n FROM {of} WHERE species <> '' GROUP BY ALL), {to}_m AS (SELECT pmid, CASE WHEN count(*) = 1 THEN min(v) END AS won FROM {to}_v
+        WHERE n = (SELECT max(n) FROM {to}_v o WHERE o.pmid = {to}_v.pmid) GROUP BY pmid),
+    {to} AS (SELECT {of}.* REPLACE (CASE WHEN species = '' AND won IS NOT NULL THEN 'same_pmid_vote' ELSE method END AS method, CASE WHEN species = '' AND won IS NOT NULL THEN won ELSE species END AS species) FROM {of} LEFT JOIN {to}_m USING (pmid))"""
+
+
+def _inferred_sql(of: str, to: str, value: str, method: str) -> str:
+    return f"{to} AS (SELECT * REPLACE (CASE WHEN species = '' AND {value} <> '' THEN '{method}' ELSE method END AS method, CASE WHEN species = '' AND {value} <> '' THEN {value} ELSE species END AS species) FROM {of})"
+
+
+@query(f"""WITH a AS (SELECT l_orderkey, l_linenumber, l_orderkey AS pmid, given, CASE WHEN {_EARLIER} <> '' THEN '' WHEN {_GIVEN} = 'Mice' THEN 'mouse' WHEN {_GIVEN} = 'cow' THEN 'bovine' ELSE '' END AS species,
+        CASE WHEN {_EARLIER} = '' AND {_GIVEN} <> '' THEN 'existing' ELSE '' END AS method, CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE {_pick(_SAID, "l_orderkey")} END AS title, {_pick(_READ, "l_orderkey")} AS body
+        FROM ({_over(CELLS, "given", "name")})), n AS (SELECT *, {_species_in_names_sql()[1]} AS in_names, {_species_in_text_sql("title")} AS in_title, CASE WHEN l_orderkey % 2 = 0 THEN {_species_in_text_sql("body")} ELSE '' END AS in_body
+        FROM (SELECT *, {_species_in_names_sql()[0]} FROM a)),
+    {_inferred_sql("n", "b", "in_names", "cell_fields")}, {_voted_sql("b", "c")}, {_inferred_sql("c", "d", "in_title", "title_abstract_evidence")}, {_voted_sql("d", "e")},
+    {_inferred_sql("e", "f", "in_body", "fulltext")}, {_voted_sql("f", "g")} SELECT l_orderkey, l_linenumber, species, method AS species_method FROM g""")
+def m12_species_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passes, full texts too; what an earlier run filled in is taken back."""
+    rows = _names(spark, sf_dir, CELLS).withColumns({
+        "pmid": F.col("l_orderkey"), "source_cell": F.col("given"), "target_cell": F.lit(""), "evidence_sentence": F.lit(""), "species": F.expr(_GIVEN), "species_method": F.expr(_EARLIER),
+        "title": F.when(F.col("l_linenumber") % 2 == 0, "").otherwise(F.expr(_pick(_SAID, "l_orderkey"))),
+    })
+    texts = table(spark, sf_dir, "lineitem").filter("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("pmid"), F.expr(_pick(_READ, "l_orderkey")).alias("text")).distinct()
+    return curation.impute_species(rows, texts).select("l_orderkey", "l_linenumber", "species", "species_method")
