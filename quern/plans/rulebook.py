@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import names, tables, text
-from quern.operators import curation, duplicates, rules
+from quern.operators import curation, duplicates, filters, rules
 from quern.plans.catalog import query
 from quern.plans.records import table
 
@@ -306,3 +306,24 @@ def m12_species_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     })
     texts = table(spark, sf_dir, "lineitem").filter("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("pmid"), F.expr(_pick(_READ, "l_orderkey")).alias("text")).distinct()
     return curation.impute_species(rows, texts).select("l_orderkey", "l_linenumber", "species", "species_method")
+
+
+_BLOB = r"trim(regexp_replace(k, '[^a-z0-9]+', ' ', 'g')) AS n"
+
+
+@query(_over(CELLS, r"regexp_matches(blob, '\bt\s+cell|\bt\s+lymphocyte|\bcd4|\bcd8|\btreg|\bth1|\bth17|\btcell') AS t_cell, "
+    r"regexp_matches(blob, '\bcardiomyocyte|\bcardiac|\bheart\s+muscle') AND regexp_matches(blob, '\bfibroblast') AS two_units, regexp_matches(blob, '\bips|\binduced\s+pluripotent|\bipsc') AS ips, "
+    r"regexp_matches(blob, '\bmotor\s+neuron')", "phrase", " ", _KEY_TEXT, _BLOB, "n || ' ' || replace(n, ' ', '') AS blob"))
+def q1_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches by a word's synonyms, by two of them at once, and by words that stay together."""
+    asked = {"t_cell": "T-cells", "two_units": "cardiomyocytes Fibroblasts", "ips": "iPS", "phrase": "motor neurons"}
+    rows = _names(spark, sf_dir, CELLS).withColumn("blob", text.search_blob(F.col("given")))
+    return rows.select("l_orderkey", "l_linenumber", "given", *[filters.search(q, F.col("blob")).alias(n) for n, q in asked.items()])
+
+
+@query(_over(CELLS, f"regexp_matches(lower(given), {_Q(tables.T_CELL)}) AS strict, regexp_matches(lower(given || ' ' || {_pick(_SAID, 'l_orderkey')}), {_Q(tables.IMMUNE)}) AS broad, l_orderkey % 2 = 0", "even"))
+def f12_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The strict topic looks at the names of cells, the broad one at titles as well."""
+    blank = {c: F.lit("") for c in ("target_cell", "source_cell_std", "target_cell_std", "source_cell_broad", "target_cell_broad", "evidence_sentence")}
+    rows = _names(spark, sf_dir, CELLS).withColumns(blank | {"source_cell": F.col("given"), "title": F.expr(_pick(_SAID, "l_orderkey"))})
+    return rows.select("l_orderkey", "l_linenumber", "given", rules.on_topic(tables.T_CELL, False).alias("strict"), rules.on_topic(tables.IMMUNE, True).alias("broad"), (F.col("l_orderkey") % 2 == 0).alias("even"))
