@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import classlm, decontaminate, langid, licenses, linededup, packing, rules, secrets, simhash, substrings
-from quern.llm.base import table
+from quern.llm import classlm, decontaminate, langid, licenses, linededup, mixing, packing, periodic, rules, search, secrets, simhash, substrings
+from quern.llm.base import SPACES, table
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +84,50 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words_per_shingle=4, radius=4)
 
 
+def _with_repeats(docs: DataFrame) -> DataFrame:
+    """One document in ten, by the CRC of its doc_id, with its words from some place on replaced by repeats of the first few of them."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", SPACES), lambda w: w != "")
+    held = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"), F.when(F.pmod(h, F.lit(10)) == 0, words).alias("words"))
+    placed = held.withColumn("a", F.expr("if(size(words) > 0, g % size(words), null)")).withColumn("p", F.expr("1 + (size(words) - a) div (3 + g % 8)"))
+    again = F.expr("array_join(transform(sequence(0L, size(words) - 1L), i -> words[cast(if(i < a, i, a + (i - a) % p) as int)]), ' ')")
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), again).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of 12 words or more. Texts without words and those without runs have no longest run (nulls); a null doc_id has no repeats put in."""
+    found = periodic.periodic_runs(_with_repeats(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic.longest(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.back")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.less")).alias("period"),
+        F.expr("1000L * best.length div -best.less").alias("exponent_milli"),
+        F.sha2(periodic.run_list(F.col("runs")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources weigh 5, 2, 1 in turn; no document is taken more than three times. Null texts have no words; a null source is the last one."""
+    mixed = mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item. Items and documents without terms list nothing and are not listed."""
+    return search.ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         *(op1_line_dedup, op2_best_fit_packing, op3_license_scans, op4_benchmark_decontamination, op5_lm_scoring),
         *(op6_language_id, op7_secret_scans, op8_quality_rules, op9_substring_dedup, op10_simhash_near_dedup),
+        *(op11_periodic_runs, op12_mixing, op13_ranked_search),
     )
 } | {"quality_ablations": quality_ablations}
 
@@ -163,6 +202,20 @@ ORACLE_SQL: dict[str, str] = {
     "op8_quality_rules": f"""
         WITH {_MEASURED}, {_FAILED}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed, failed & 127 = 0 AS kept, n_letters, n_lines, failed, 'v2' AS policy FROM v""",
+    "op13_ranked_search": r"""
+        WITH word AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM documents),
+        asked AS (SELECT item_id, translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM benchmark),
+        item AS (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM word GROUP BY ALL),
+        doc AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM doc),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+        w AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, total),
+        m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM doc, total),
+        scored AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+            FROM item JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id),
+        placed AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM scored WHERE score > 0)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM placed WHERE rank <= 20""",
     "quality_ablations": f"""
         WITH {_MEASURED}, {_FAILED},
         policy(policy, mask) AS (VALUES ('v1', 3), ('v2', 127)),
