@@ -1,35 +1,82 @@
-"""Fuzzy title groups: a blocked similarity join, its components, and which record of a group to keep."""
+"""Fuzzy title groups: an exact similarity join over a segment index, its components, and which record of a group to keep."""
 
 from __future__ import annotations
 
 from difflib import SequenceMatcher
+from math import log
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions import tables, text
-from quern.operators.graph import connected_components
+from quern.operators.graph import connected_components, written
 
 SIMILARITY = 0.92
+#: Against rounding where a bound is a whole number.
+_EPS = 1e-9
+
+
+def distinct_titles(titles: DataFrame, key: str, title: str) -> DataFrame:
+    """(t, a, z): each normal form of a title that is not empty, with the first and the last id that has it."""
+    named = titles.select(F.col(key).alias("id"), text.title_key(F.col(title)).alias("t")).filter("t <> ''")
+    return named.groupBy("t").agg(F.min("id").alias("a"), F.max("id").alias("z"))
+
+
+def _pieces(length: str, slack: float) -> str:
+    """Pieces of a title of ``length``: one more than a title no longer can differ in and still be alike."""
+    return f"(cast(floor({2 * slack:.9f} * {length} + {_EPS}) as int) + 1)"
+
+
+def _stretch(length: str, slack: float) -> str:
+    """Place of a length on a logarithmic scale whose step is the largest ratio of lengths that can be alike."""
+    return f"cast(floor(ln({length}) / {_step(slack)!r} + {_EPS}) as int)"
+
+
+def _step(slack: float) -> float:
+    return log((1 + slack) / (1 - slack))
+
+
+def piece_index(titles: DataFrame, slack: float) -> DataFrame:
+    """(k, at, id, length): the pieces of each title (id, t), by a hash of first character, stretch of length and letters."""
+    cut = titles.withColumn("length", F.length("t")).withColumn("n", F.expr(_pieces("length", slack))).withColumn("stretch", F.expr(_stretch("length", slack)))
+    each = cut.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    placed = each.withColumns({"at": F.expr("cast((cast(i as long) * length) div n as int)"), "end": F.expr("cast((cast(i + 1 as long) * length) div n as int)")})
+    return placed.select(F.expr("xxhash64(substring(t, 1, 1), stretch, substring(t, at + 1, end - at))").alias("k"), "at", "id", "length")
+
+
+def piece_probes(titles: DataFrame, slack: float) -> DataFrame:
+    """(k, place, of, size): every stretch of letters of each title (id, t) that can be a piece of a title that is as long or longer, and alike."""
+    ratio = (1 + slack) / (1 - slack)
+    sized = titles.withColumn("size", F.length("t"))
+    widths = f"transform(sequence(size, cast(floor(size * {ratio!r} + {_EPS}) as int)), l -> struct({_stretch('l', slack)} as stretch, l div {_pieces('l', slack)} as low, (l + {_pieces('l', slack)} - 1) div {_pieces('l', slack)} as high))"
+    both = f"array_distinct(flatten(transform({widths}, x -> array(struct(x.stretch as stretch, x.low as width), struct(x.stretch as stretch, x.high as width)))))"
+    wide = sized.withColumn("w", F.explode(F.expr(both))).filter("w.width <= size")
+    each = wide.withColumn("place", F.explode(F.expr("sequence(0, cast(size - w.width as int))")))
+    return each.select(F.expr("xxhash64(substring(t, 1, 1), w.stretch, substring(t, place + 1, cast(w.width as int)))").alias("k"), "place", F.col("id").alias("of"), "size")
 
 
 def candidates(titles: DataFrame, key: str, title: str, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b, ta, tb): pairs of titles of the same first character that can reach ``similarity``, a before b.
+    """(a, b, ta, tb, za, zb): pairs of unlike titles of the same first character that can reach ``similarity``.
 
-    If matching blocks reach that share of both lengths, the edit distance is at most (1 - similarity) of their sum. Within a
-    first character, titles meet by length: two stretches of lengths that may differ so much at most, so a block is no square.
+    A title stands once, under the first id that has it; a is the smaller id of the two, za and zb are the last ids. If matching
+    blocks reach that share of both lengths, all letters outside them, d of both titles together, are at most (1 - similarity) of
+    their sum. A letter outside spoils one piece of the longer title, so of d + 1 pieces one stands unchanged in the shorter one,
+    moved by no more than the letters outside on either side. Pieces meet by equality, so the work of a title is a few rows for
+    each of its letters; then the edit distance, which is at most d as well, decides.
     """
     slack = 1 - similarity
-    t = titles.select(F.col(key).alias("id"), text.title_key(F.col(title)).alias("t")).filter("t <> ''").withColumn("first", F.left("t", F.lit(1)))
-    # Lengths that are alike enough lie in the same or in neighbouring stretches of a logarithmic scale.
-    ratio = (1 + slack) / (1 - slack)
-    t = t.withColumn("stretch", F.floor(F.log(F.length("t")) / F.log(F.lit(ratio))))
-    a = t.select(F.col("id").alias("a"), F.col("t").alias("ta"), "first", "stretch")
-    b = t.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("first").alias("of"), F.explode(F.array(F.col("stretch") - 1, F.col("stretch"), F.col("stretch") + 1)).alias("at"))
-    near = F.expr(f"levenshtein(ta, tb, cast(floor({slack:.6f} * (length(ta) + length(tb)) + 1e-9) as int))") >= 0
-    return a.join(b, (F.col("first") == F.col("of")) & (F.col("stretch") == F.col("at")) & (F.col("a") < F.col("b")) & near).select("a", "b", "ta", "tb")
+    named = written(distinct_titles(titles, key, title), "titles")
+    single = named.select(F.col("a").alias("id"), F.col("t").cast("binary").alias("t"))  # letters are bytes: pieces are cut without counting from the start
+    outside = f"({slack:.9f} * (length + size) + {_EPS})"
+    moved = F.expr(f"place - at between -floor(({outside} + length - size) / 2) and floor(({outside} - length + size) / 2)")
+    longer = (F.col("length") > F.col("size")) | ((F.col("length") == F.col("size")) & (F.col("id") > F.col("of")))
+    met = piece_index(single, slack).join(piece_probes(single, slack), "k").filter(longer & moved & F.expr(f"length - size <= {outside}"))
+    pairs = met.select(F.least("id", "of").alias("a"), F.greatest("id", "of").alias("b")).distinct()
+    full = pairs.join(named.select("a", F.col("t").alias("ta"), F.col("z").alias("za")), "a").join(named.select(F.col("a").alias("b"), F.col("t").alias("tb"), F.col("z").alias("zb")), "b")
+    near = F.expr(f"levenshtein(ta, tb, cast(floor({slack:.9f} * (length(ta) + length(tb)) + {_EPS}) as int))") >= 0
+    return full.filter((F.left("ta", F.lit(1)) == F.left("tb", F.lit(1))) & near).select("a", "b", "ta", "tb", "za", "zb")
 
 
 @F.pandas_udf(T.DoubleType())
@@ -38,25 +85,48 @@ def matched_share(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype=float)
 
 
-def similar_titles(titles: DataFrame, key: str, title: str, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) at ``similarity`` or more."""
-    return candidates(titles, key, title, similarity).filter(matched_share("ta", "tb") >= similarity).select("a", "b")
+def similar_titles(titles: DataFrame, key: str, title: str, similarity: float = SIMILARITY, blocks: bool = True) -> DataFrame:
+    """(a, b): the first ids of unlike titles that are alike: at ``similarity`` or more by matching blocks, or by edit distance alone.
+
+    Matching blocks depend on which title comes first; a title with records on both sides of the other's is tried both ways.
+    """
+    found = candidates(titles, key, title, similarity)
+    if not blocks:
+        return found.select("a", "b")
+    tried = found.select("a", "b", F.explode(F.expr("if(b < za, array(struct(ta as x, tb as y), struct(tb as x, ta as y)), array(struct(ta as x, tb as y)))")).alias("p"))
+    return tried.filter(matched_share("p.x", "p.y") >= similarity).select("a", "b").distinct()
 
 
-def title_groups(titles: DataFrame, key: str, title: str, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of titles that are alike, directly or through others; ids must be of one comparable type."""
-    return connected_components(similar_titles(titles, key, title, similarity).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+def title_groups(titles: DataFrame, key: str, title: str, similarity: float = SIMILARITY, blocks: bool = True) -> DataFrame:
+    """(node, component) of ids whose titles are alike, directly or through others, or the same; ids must be of one comparable type.
+
+    Titles of the same letters are one node until the end, so copies are never paired.
+    """
+    parts = connected_components(similar_titles(titles, key, title, similarity, blocks).select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    names = written(titles.select(F.col(key).alias("node"), text.title_key(F.col(title)).alias("t")).filter("t <> ''"), "named")
+    first = names.groupBy("t").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n"))
+    grouped = first.join(parts, F.col("a") == F.col("node"), "left").select("t", F.coalesce("component", "a").alias("component"), (F.col("n") > 1).alias("again"), F.col("component").isNotNull().alias("linked"))
+    return names.join(grouped.filter("again or linked"), "t").select("node", "component")
+
+
+def _preprint() -> Column:
+    return F.coalesce(F.col("journal").rlike(tables.PREPRINTS), F.lit(False))
 
 
 def preprint_decisions(groups: DataFrame, papers: DataFrame, key: str) -> DataFrame:
     """(key, keep): for each preprint in a group that has reviewed papers, the latest of those, then the one of the largest id."""
-    member = groups.join(papers.select(F.col(key).alias("node"), "year", "journal"), "node").withColumn("preprint", F.col("journal").rlike(tables.PREPRINTS))
+    member = groups.join(papers.select(F.col(key).alias("node"), "year", "journal"), "node").withColumn("preprint", _preprint())
     keep = member.filter(~F.col("preprint")).groupBy("component").agg(F.max_by("node", F.struct(text.number(F.col("year"), 0), "node")).alias("keep"))
     return member.filter("preprint").join(keep, "component").select(F.col("node").alias(key), "keep")
 
 
 def review_export(groups: DataFrame, papers: DataFrame, key: str) -> DataFrame:
-    """(component, key, title, year, journal, keep): all papers of title groups; a keeper is suggested where a preprint is among them."""
-    rows = groups.join(papers.select(F.col(key).alias("node"), "title", "year", "journal"), "node")
-    keep = preprint_decisions(groups, papers, key).join(groups, F.col(key) == F.col("node")).groupBy("component").agg(F.max("keep").alias("keep"))
-    return rows.join(keep, "component", "left").select("component", F.col("node").alias(key), "title", "year", "journal", "keep")
+    """(component, key, title, year, journal, preprint, keep): all papers of title groups, to be decided by hand.
+
+    In a group with a preprint a keeper is suggested: the latest reviewed paper, then the one of the largest id; where all are
+    preprints, the latest of those.
+    """
+    rows = groups.join(papers.select(F.col(key).alias("node"), "title", "year", "journal"), "node").withColumn("preprint", _preprint())
+    latest = F.struct((~F.col("preprint")).alias("reviewed"), text.number(F.col("year"), 0).alias("year"), F.col("node").alias("node"))
+    keep = rows.groupBy("component").agg(F.max_by("node", latest).alias("keep"), F.bool_or("preprint").alias("any")).filter("any").select("component", "keep")
+    return rows.join(keep, "component", "left").select("component", F.col("node").alias(key), "title", "year", "journal", "preprint", "keep")

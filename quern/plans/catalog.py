@@ -548,19 +548,49 @@ def d6_collapse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicates.collapse_pairs(pairs, "pair", "label", [F.col("q")], "reference").drop("reference")
 
 
-_TITLES = "t AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(left(text, 80)), ' ' || chr(10)), '[^a-z0-9 ]', '', 'g'), '\\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents)"
-
-
-@query(f"""WITH {_TITLES} SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON left(a.t, 1) = left(b.t, 1) AND a.doc_id < b.doc_id AND a.t <> '' AND b.t <> ''
-    AND levenshtein(a.t, b.t) <= floor(0.08 * (length(a.t) + length(b.t)) + 0.000000001)""")
+_TITLES = r"""n AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(split_part(coalesce(text, ''), chr(10), 1)), ' ' || chr(13) || chr(9)), '[^a-z0-9 ]', '', 'g'), '\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents),
+    t AS (SELECT t, min(doc_id) AS a, max(doc_id) AS z, count(*) AS copies FROM n WHERE t <> '' GROUP BY t),
+    e AS (SELECT least(x.a, y.a) AS a, greatest(x.a, y.a) AS b FROM t x JOIN t y ON left(x.t, 1) = left(y.t, 1) AND (length(x.t) > length(y.t) OR (length(x.t) = length(y.t) AND x.a > y.a))
+        AND CASE WHEN length(x.t) - length(y.t) > 0.08 * (length(x.t) + length(y.t)) + 0.000000001 THEN false ELSE levenshtein(x.t, y.t) <= floor(0.08 * (length(x.t) + length(y.t)) + 0.000000001) END)"""
+_TITLE_GROUPS = f"""{_TITLES}, pair AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+    reach(node, other) AS (SELECT a, a FROM pair UNION SELECT r.node, b.b FROM reach r JOIN pair b ON b.a = r.other),
+    low AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
+    g AS (SELECT doc_id AS node, coalesce(component, t.a) AS component FROM n JOIN t USING (t) LEFT JOIN low ON low.node = t.a WHERE copies > 1 OR component IS NOT NULL),
+    p AS (SELECT doc_id AS pmid, split_part(coalesce(text, ''), chr(10), 1) AS title, CAST(1990 + doc_id % 31 AS VARCHAR) AS year, CASE doc_id % 3 WHEN 0 THEN 'bioRxiv' WHEN 1 THEN 'Journal' ELSE 'Preprints.org' END AS journal FROM documents),
+    m AS (SELECT component, pmid, title, year, journal, doc_id % 3 <> 1 AS preprint FROM g JOIN p ON pmid = node JOIN documents ON doc_id = node)"""
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles are the first lines of texts."""
+    key = F.col("doc_id")
+    journal = F.when(key % 3 == 0, "bioRxiv").when(key % 3 == 1, "Journal").otherwise("Preprints.org")
+    return table(spark, sf_dir, "documents").select(key.alias("pmid"), F.substring_index(F.coalesce("text", F.lit("")), "\n", 1).alias("title"), (key % 31 + 1990).cast("string").alias("year"), journal.alias("journal"))
+
+
+@query(f"WITH {_TITLES} SELECT a, b FROM e")
 def j13_title_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title"))
-    return fuzzy.candidates(titles, "doc_id", "title").select("a", "b")
+    return fuzzy.candidates(_titles(spark, sf_dir), "pmid", "title").select("a", "b")
 
 
 @query()
 def d3_title_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fuzzy.title_groups(table(spark, sf_dir, "documents").select("doc_id", F.left("text", F.lit(80)).alias("title")), "doc_id", "title")
+    return fuzzy.title_groups(_titles(spark, sf_dir), "pmid", "title")
+
+
+@query(f"""WITH RECURSIVE {_TITLE_GROUPS}, k AS (SELECT component, arg_max(pmid, CAST(year AS BIGINT) * 10000000000 + pmid) AS keep FROM m WHERE NOT preprint GROUP BY component)
+    SELECT pmid, keep FROM m JOIN k USING (component) WHERE preprint""")
+def d3_edit_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which reviewed paper stands for a preprint, over groups by edit distance."""
+    papers = _titles(spark, sf_dir)
+    return fuzzy.preprint_decisions(fuzzy.title_groups(papers, "pmid", "title", blocks=False), papers, "pmid")
+
+
+@query(f"""WITH RECURSIVE {_TITLE_GROUPS}, k AS (SELECT component, arg_max(pmid, CASE WHEN preprint THEN 0 ELSE 100000000000000 END + CAST(year AS BIGINT) * 10000000000 + pmid) AS keep, bool_or(preprint) AS mixed FROM m GROUP BY component)
+    SELECT component, pmid, title, year, journal, preprint, CASE WHEN mixed THEN keep END AS keep FROM m JOIN k USING (component)""")
+def d5_edit_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sheet for review by hand, over groups by edit distance."""
+    papers = _titles(spark, sf_dir)
+    return fuzzy.review_export(fuzzy.title_groups(papers, "pmid", "title", blocks=False), papers, "pmid")
 
 
 @query("SELECT DISTINCT user_id FROM events")
@@ -939,5 +969,5 @@ def a19_proposal_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def d5_title_review(spark: SparkSession, sf_dir: str) -> DataFrame:
-    papers = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("pmid"), F.left("text", F.lit(80)).alias("title"), F.lit("2020").alias("year"), F.when(F.col("doc_id") % 2 == 0, "bioRxiv").otherwise("J").alias("journal"))
+    papers = _titles(spark, sf_dir)
     return fuzzy.review_export(fuzzy.title_groups(papers, "pmid", "title"), papers, "pmid")

@@ -1,5 +1,6 @@
 from difflib import SequenceMatcher
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -47,24 +48,81 @@ def test_number_text(spark):
     assert {r.s: r.n for r in rows.collect()} == cases
 
 
-def test_title_groups_against_all_pairs(spark):
-    """Every pair of titles of one first character by its ratio, and the components of those; titles with changed words and letters are added."""
-    base = [r.t for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select(F.left("text", F.lit(70)).alias("t")).limit(120).collect() if r.t]
-    titles = base + [t + "s" for t in base[:40:2]] + [t.replace("e", "", 2) for t in base[1:40:3]] + [t[:30] + t[45:] for t in base[:20]]
-    df = spark.createDataFrame(list(enumerate(titles)), "id int, title string").repartition(3)
-    keys = {r.id: r.t for r in df.select("id", text.title_key(F.col("title")).alias("t")).collect()}
-    want = {(a, b) for a in keys for b in keys if a < b and keys[a] and keys[a][:1] == keys[b][:1] and SequenceMatcher(None, keys[a], keys[b]).ratio() >= fuzzy.SIMILARITY}
-    got = {(r.a, r.b) for r in fuzzy.similar_titles(df, "id", "title").collect()}
-    assert len(want) > 30 and got == want
-    low = {n: n for p in want for n in p}
+def _components(pairs):
+    low = {n: n for p in pairs for n in p}
     while True:
         new = dict(low)
-        for a, b in want:
+        for a, b in pairs:
             new[a] = new[b] = min(new[a], new[b])
         if new == low:
-            break
+            return low
         low = new
-    assert {r.node: r.component for r in fuzzy.title_groups(df, "id", "title").collect()} == low
+
+
+def _made_titles(spark):
+    """First lines of documents, and the same with changed words and letters, moved and cut parts, and copies."""
+    base = [r.t for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").select(F.substring_index("text", "\n", 1).alias("t")).collect() if r.t][:110]
+    more = [t + "s" for t in base[:40:2]] + [t.replace("e", "", 2) for t in base[1:40:3]] + [t[:30] + t[33:] for t in base[:40]] + [t[:10] + "xy" + t[10:50] + t[52:] for t in base[:60]]
+    return base + more + [t[: len(t) - len(t) // 9] for t in base[:60]] + base[:50:5] + [t[: len(t) // 2] + "q" + t[len(t) // 2 + 1 :] for t in base[:30]] + ["The " + base[3], "", "?!", None, "a", "b", "a", "to be", "to bee"]
+
+
+def test_title_groups_against_all_pairs(spark):
+    """Every pair of titles of one first character by its ratio, in the order of their ids, and the components of those."""
+    df = spark.createDataFrame(list(enumerate(_made_titles(spark))), "id int, title string").repartition(3)
+    keys = {r.id: r.t for r in df.select("id", text.title_key(F.col("title")).alias("t")).collect() if r.t}
+    first, last = {}, {}
+    for i in sorted(keys):
+        first.setdefault(keys[i], i)
+        last[keys[i]] = i
+    alike = lambda x, y: SequenceMatcher(None, x, y).ratio() >= fuzzy.SIMILARITY
+    want = {(i, j) for x, i in first.items() for y, j in first.items() if i < j and x[0] == y[0] and (alike(x, y) or (j < last[x] and alike(y, x)))}
+    got = {(r.a, r.b) for r in fuzzy.similar_titles(df, "id", "title").collect()}
+    assert len(want) > 100 and got == want
+    copies = {(first[t], i) for i, t in keys.items() if first[t] != i}
+    assert {r.node: r.component for r in fuzzy.title_groups(df, "id", "title").collect()} == _components(want | copies)
+
+
+def test_title_candidates_are_all_within_the_edit_bound(spark):
+    df = spark.createDataFrame(list(enumerate(_made_titles(spark))), "id int, title string")
+    for similarity in (0.92, 0.8):
+        bound = F.floor((1 - similarity) * (F.length("x") + F.length("y")) + 1e-9)
+        one = fuzzy.distinct_titles(df, "id", "title")
+        every = one.select(F.col("a").alias("i"), F.col("t").alias("x")).join(one.select(F.col("a").alias("j"), F.col("t").alias("y")), (F.col("i") < F.col("j")) & (F.left("x", F.lit(1)) == F.left("y", F.lit(1))) & (F.levenshtein("x", "y") <= bound))
+        want = {(r.i, r.j) for r in every.collect()}
+        assert {(r.a, r.b) for r in fuzzy.candidates(df, "id", "title", similarity).collect()} == want and len(want) > 100
+
+
+def test_pieces_share_no_hot_first_letter(spark):
+    """Titles of one first letter and length meet by their pieces alone."""
+    rows = [(i, "t " + " ".join(str((i * 7919 + k * 104729) % 99991) for k in range(9))) for i in range(400)]
+    titles = fuzzy.distinct_titles(spark.createDataFrame(rows, "id int, title string"), "id", "title").select(F.col("a").alias("id"), F.col("t").cast("binary").alias("t"))
+    met = fuzzy.piece_index(titles, 0.08).join(fuzzy.piece_probes(titles, 0.08), "k").filter("id <> of").select("id", "of").distinct().count()
+    assert met < 400 * 399 / 20
+
+
+def test_decisions_and_export_over_written_pairs(spark):
+    """Groups, keepers and the sheet by SQL of another engine over the pairs that Spark found."""
+    titles = _made_titles(spark)
+    rows = [(i, t, None if i % 11 == 0 else str(2000 + i % 9) if i % 7 else "n/a", ("bioRxiv", "Cell", "medRxiv preprint", None)[i % 4]) for i, t in enumerate(titles)]
+    papers = spark.createDataFrame(rows, "pmid int, title string, year string, journal string")
+    groups = fuzzy.title_groups(papers, "pmid", "title")
+    con = duckdb.connect()
+    con.register("pairs", fuzzy.similar_titles(papers, "pmid", "title").toPandas())
+    con.register("papers", papers.select("*", text.title_key(F.col("title")).alias("t")).toPandas())
+    con.execute("""CREATE TABLE m AS WITH RECURSIVE copy AS (SELECT min(pmid) OVER (PARTITION BY t) AS a, pmid AS b FROM papers WHERE t <> ''),
+        e AS (SELECT a, b FROM pairs UNION SELECT a, b FROM copy WHERE a <> b), pair AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+        reach(node, other) AS (SELECT a, a FROM pair UNION SELECT r.node, p.b FROM reach r JOIN pair p ON p.a = r.other),
+        g AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+        SELECT component::INT AS component, pmid, title, year, journal, coalesce(regexp_matches(lower(journal), 'biorxiv|medrxiv|research square|preprint'), false) AS preprint, coalesce(try_cast(year AS INT), 0) AS y FROM g JOIN papers ON pmid = node""")
+    key = lambda r: tuple(None if v is None or v != v else v for v in r)
+    want = con.sql("SELECT m.pmid, k.pmid FROM m JOIN (SELECT component, pmid, row_number() OVER (PARTITION BY component ORDER BY y DESC, pmid DESC) AS n FROM m WHERE NOT preprint) k USING (component) WHERE n = 1 AND preprint").fetchall()
+    assert sorted(map(tuple, fuzzy.preprint_decisions(groups, papers, "pmid").collect())) == sorted(want) and len(want) > 20
+    want = con.sql("""WITH k AS (SELECT component, pmid, bool_or(preprint) OVER (PARTITION BY component) AS mixed, row_number() OVER (PARTITION BY component ORDER BY preprint, y DESC, pmid DESC) AS n FROM m)
+        SELECT component, m.pmid, title, year, journal, preprint, CASE WHEN mixed THEN k.pmid END FROM m JOIN k USING (component) WHERE n = 1""").fetchall()
+    got = fuzzy.review_export(groups, papers, "pmid")
+    assert got.columns == ["component", "pmid", "title", "year", "journal", "preprint", "keep"]
+    assert sorted(map(key, got.collect()), key=repr) == sorted(map(key, want), key=repr)
+    assert fuzzy.review_export(fuzzy.title_groups(papers.limit(0), "pmid", "title"), papers, "pmid").count() == 0
 
 
 def test_better_evidence(spark):
