@@ -16,6 +16,7 @@ from quern.operators.graph import connected_components, written
 SIMILARITY = 0.92
 #: Against rounding where a bound is a whole number.
 _EPS = 1e-9
+_CODE = 1 << 32
 
 
 def distinct_titles(titles: DataFrame, key: str, title: str) -> DataFrame:
@@ -50,9 +51,11 @@ def piece_probes(titles: DataFrame, slack: float) -> DataFrame:
     """(k, place, of, size): every stretch of letters of each title (id, t) that can be a piece of a title that is as long or longer, and alike."""
     ratio = (1 + slack) / (1 - slack)
     sized = titles.withColumn("size", F.length("t"))
-    widths = f"transform(sequence(size, cast(floor(size * {ratio!r} + {_EPS}) as int)), l -> struct({_stretch('l', slack)} as stretch, l div {_pieces('l', slack)} as low, (l + {_pieces('l', slack)} - 1) div {_pieces('l', slack)} as high))"
-    both = f"array_distinct(flatten(transform({widths}, x -> array(struct(x.stretch as stretch, x.low as width), struct(x.stretch as stretch, x.high as width)))))"
-    wide = sized.withColumn("w", F.explode(F.expr(both))).filter("w.width <= size")
+    # (stretch, width) as one number: distinct numbers are found by hash, distinct structs by comparing all
+    lengths = f"sequence(size, cast(floor(size * {ratio!r} + {_EPS}) as int))"
+    pieces, code = _pieces("l", slack), f"cast({_stretch('l', slack)} as long) * {_CODE} +"
+    both = f"array_distinct(flatten(transform({lengths}, l -> array({code} l div {pieces}, {code} (l + {pieces} - 1) div {pieces}))))"
+    wide = sized.withColumn("w", F.explode(F.expr(both))).withColumn("w", F.expr(f"struct(cast(w div {_CODE} as int) as stretch, cast(w % {_CODE} as int) as width)")).filter("w.width <= size")
     each = wide.withColumn("place", F.explode(F.expr("sequence(0, cast(size - w.width as int))")))
     return each.select(F.expr("xxhash64(substring(t, 1, 1), w.stretch, substring(t, place + 1, cast(w.width as int)))").alias("k"), "place", F.col("id").alias("of"), "size")
 
@@ -68,7 +71,9 @@ def candidates(titles: DataFrame, key: str, title: str, similarity: float = SIMI
     """
     slack = 1 - similarity
     named = written(distinct_titles(titles, key, title), "titles")
-    single = named.select(F.col("a").alias("id"), F.col("t").cast("binary").alias("t"))  # letters are bytes: pieces are cut without counting from the start
+    # Few rows make many: dealt to all tasks first. Letters are bytes, so pieces are cut without counting from the start.
+    spread = int(titles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    single = named.select(F.col("a").alias("id"), F.col("t").cast("binary").alias("t")).repartition(spread, "id")
     outside = f"({slack:.9f} * (length + size) + {_EPS})"
     moved = F.expr(f"place - at between -floor(({outside} + length - size) / 2) and floor(({outside} - length + size) / 2)")
     longer = (F.col("length") > F.col("size")) | ((F.col("length") == F.col("size")) & (F.col("id") > F.col("of")))

@@ -586,11 +586,11 @@ def d3_edit_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH RECURSIVE {_TITLE_GROUPS}, k AS (SELECT component, arg_max(pmid, CASE WHEN preprint THEN 0 ELSE 100000000000000 END + CAST(year AS BIGINT) * 10000000000 + pmid) AS keep, bool_or(preprint) AS mixed FROM m GROUP BY component)
-    SELECT component, pmid, title, year, journal, preprint, CASE WHEN mixed THEN keep END AS keep FROM m JOIN k USING (component)""")
+    SELECT component, pmid, title, year, journal, preprint, CASE WHEN mixed THEN CAST(keep AS VARCHAR) END AS keep FROM m JOIN k USING (component)""")
 def d5_edit_review(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The sheet for review by hand, over groups by edit distance."""
     papers = _titles(spark, sf_dir)
-    return fuzzy.review_export(fuzzy.title_groups(papers, "pmid", "title", blocks=False), papers, "pmid")
+    return fuzzy.review_export(fuzzy.title_groups(papers, "pmid", "title", blocks=False), papers, "pmid").withColumn("keep", F.col("keep").cast("string"))
 
 
 @query("SELECT DISTINCT user_id FROM events")
@@ -599,8 +599,40 @@ def i1_i2_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
     events = table(spark, sf_dir, "events").select("user_id")
     events.write.parquet(f"{at}/landed")
-    ingest.ingest(spark, f"{at}/landed", "user_id long", f"{at}/target", "user_id", f"{at}/checkpoint")
-    return spark.read.schema("user_id long").parquet(f"{at}/target")
+    return ingest.ingest(spark, f"{at}/landed", "user_id long", f"{at}/target", "user_id", f"{at}/checkpoint").rows()
+
+
+@query("""WITH e AS (SELECT CAST(user_id AS BIGINT) AS user_id, min(event_id) AS event_id, min(event_id) % 3 AS third FROM events GROUP BY user_id)
+    SELECT user_id, event_id, CASE WHEN event_id % 7 = 3 THEN 'no answer' END AS reason FROM e WHERE NOT (third = 0 AND event_id % 5 = 2)
+    UNION ALL SELECT user_id, event_id, NULL FROM e WHERE third = 0 AND event_id % 5 = 2""")
+def i1_remembered_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users land in three files; each is processed in the first run that has it.
+
+    Of those, some give no answer and are not tried again, though they come again; some are busy in the first run and are kept in a later one.
+    """
+    at = f"{shared_folder(spark)}/ingest-{uuid.uuid4().hex}"
+    users = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("long").alias("user_id")).agg(F.min("event_id").alias("event_id"))
+    schema, out = "user_id long, event_id long, run int", None
+    for run in range(3):
+        came = users.filter(F.col("event_id") % 3 <= run).withColumn("run", F.lit(run))
+        came.write.mode("append").parquet(f"{at}/landed")
+        none = F.when((F.col("event_id") % 3 == 0) & (F.col("event_id") % 5 == 2) & (F.col("run") == 0), ingest.AGAIN).when((F.col("event_id") % 7 == 3) & ~((F.col("event_id") % 3 == 0) & (F.col("event_id") % 5 == 2)), "no answer")
+        out = ingest.ingest(spark, f"{at}/landed", schema, f"{at}/target", "user_id", f"{at}/checkpoint", lambda rows, none=none: rows.withColumn(ingest.FAILED, none))
+    failed = out.failures().join(users, "user_id")
+    return out.rows().select("user_id", "event_id", F.lit(None).cast("string").alias("reason")).unionByName(failed.select("user_id", "event_id", "reason"))
+
+
+@query("SELECT DISTINCT l_partkey AS part, CASE WHEN l_suppkey % 10 <> 0 THEN CAST(l_suppkey AS VARCHAR) END AS supplier FROM lineitem")
+def i3_running_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which supplier delivers which part, as lines come in three runs; some suppliers are not given."""
+    at = f"{shared_folder(spark)}/edges-{uuid.uuid4().hex}"
+    supplier = F.when(F.col("l_suppkey") % 10 != 0, F.col("l_suppkey").cast("string"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("part"), supplier.alias("supplier"), "l_linenumber")
+    out, schema = None, ", ".join(f"{c} {t}" for c, t in lines.drop("l_linenumber").dtypes)
+    for run in range(3):
+        lines.filter(F.col("l_linenumber") % 3 == run).drop("l_linenumber").write.mode("append").parquet(f"{at}/landed")
+        out = ingest.running_edges(spark, f"{at}/landed", schema, f"{at}/target", f"{at}/checkpoint", compact=2)
+    return out.rows()
 
 
 @query("SELECT user_id AS id FROM events UNION SELECT o_custkey FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quern.functions import text
+from quern.sources.manifest import Conflict, Versions, current, write_first, write_version  # noqa: F401
 
 
 def scan_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
@@ -62,27 +63,6 @@ def sections(pages: DataFrame, block: str = "p", limit: int = 10_000, **titles:
     return made.withColumns({name: of(name) for name in titles}).drop("__parts")
 
 
-def write_version(df: DataFrame, folder: str, version: str) -> str:
-    """A new version of a table beside the others; a version is never overwritten."""
-    path = f"{folder.rstrip('/')}/version={version}"
-    df.write.mode("error").parquet(path)
-    return path
-
-
-def write_first(df: DataFrame, folder: str, version: str) -> str:
-    """A version that is written once: where it is there already, it stays."""
-    path = f"{folder.rstrip('/')}/version={version}"
-    df.write.mode("ignore").parquet(path)
-    return path
-
-
-def current(spark: SparkSession, folder: str) -> DataFrame:
-    """The last version by name; its folder alone is read."""
-    every = spark.read.option("recursiveFileLookup", False).parquet(folder)
-    last = every.select(F.max("version")).first()[0]
-    return every.filter(F.col("version") == last).drop("version")
-
-
 def append_rows(df: DataFrame, path: str, columns: list[str], exact: bool = False) -> None:
     """Append rows of known columns; missing ones are an error, and with ``exact`` extra ones too."""
     missing, extra = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]

@@ -32,6 +32,7 @@ def test_answers_that_are_not_allowed_end_the_job(spark):
 
 
 def test_versions(spark, tmp_path):
+    """The last version published is current, whatever its name."""
     at = f"{tmp_path}/v"
     one, two = (spark.createDataFrame([(n,)], "n int") for n in (1, 2))
     sources.write_first(one, at, "1")
@@ -39,7 +40,7 @@ def test_versions(spark, tmp_path):
     assert sources.current(spark, at).first().n == 1
     sources.write_version(two, at, "10")
     sources.write_version(one, at, "9")
-    assert sources.current(spark, at).collect() == [(2,)]
+    assert sources.current(spark, at).collect() == [(1,)]
 
 
 def test_number_text(spark):

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from quern.operators import curation, duplicates, responses, review, rules, sampling
 from quern.sources import tables as sources
-from quern.streaming import ingest
 
 
 def test_text_scan_keeps_every_cell_as_text(spark, tmp_path):
@@ -38,24 +37,6 @@ def test_sections(spark):
     assert got == {1: ("first x second", "r" * 20), 2: ("", ""), 3: ("", "")}
 
 
-def test_stream_adds_each_key_once_over_runs(spark, tmp_path):
-    args = (spark, f"{tmp_path}/in", "id long, v string", f"{tmp_path}/out", "id", f"{tmp_path}/cp")
-    put = lambda rows: spark.createDataFrame(rows, "id long, v string").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-    put([(1, "a"), (1, "a"), (2, "b")])
-    ingest.ingest(*args)
-    put([(2, "c"), (3, "d")])
-    ingest.ingest(*args)
-    ingest.ingest(*args)
-    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect())) == [(1, "a"), (2, "b"), (3, "d")]
-
-
-def test_running_edges(spark, tmp_path):
-    spark.createDataFrame([("r", "1"), ("r", "1"), ("s", "2")], "a string, b string").write.parquet(f"{tmp_path}/in")
-    for _ in range(2):
-        ingest.running_edges(spark, f"{tmp_path}/in", "a string, b string", f"{tmp_path}/out", f"{tmp_path}/cp")
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 2
-
-
 def test_responses(spark):
     raw = ['```json\n{"has_recipe": true, "paper_type": "research", "entries": [{"factors": "A", "recipe_status": "positive", "confidence": "high"}, {"factors": "B", "recipe_status": "failed"}]}\n```',
            '{"has_recipe": false, "entries": []}', "nothing", '{"has_recipe": true, "entries": [{"factors": "C"}, {"factors": "D", "species": "mouse", "recipe_status": " Unclear", "confidence": "high", "notes": "n"}]} thanks', None]
