@@ -29,7 +29,26 @@ def s5_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers written as lines of JSON and read back."""
     at, columns = _fresh(spark, "json"), ["c_custkey", "c_name", "c_mktsegment", "c_acctbal"]
     table(spark, sf_dir, "customer").select(*columns).write.json(at)
-    return sources.scan_json(spark, at, "c_custkey long, c_name string, c_mktsegment string, c_acctbal double", array=False)
+    return sources.scan_json(spark, at, "c_custkey long, c_name string, c_mktsegment string, c_acctbal double")
+
+
+@query("SELECT page_id, url, md5(html) AS digest FROM pages")
+def s5_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as arrays of objects, one on a line of its own in each file, and read back."""
+    at = _fresh(spark, "array")
+    rows = F.array_join(F.collect_list(F.to_json(F.struct("page_id", "url", "html"))), ", ")
+    table(spark, sf_dir, "pages").groupBy(F.floor(F.col("page_id") / 100).alias("file")).agg(F.concat(F.lit("["), rows, F.lit("]")).alias("value")).select("value").write.text(at)
+    return sources.scan_json(spark, at, "page_id long, url string, html string", "array").select("page_id", "url", F.md5("html").alias("digest"))
+
+
+@query("SELECT 'page \"' || page_id || '\" {' AS name, page_id, url, md5(html) AS digest FROM pages")
+def s5_json_object(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as objects of objects, by names that need escapes, and read back."""
+    at = _fresh(spark, "object")
+    name = F.concat(F.lit('"page \\"'), F.col("page_id").cast("string"), F.lit('\\" {": '))
+    rows = F.array_join(F.collect_list(F.concat(name, F.to_json(F.struct("page_id", "url", "html")))), ",\n ")
+    table(spark, sf_dir, "pages").groupBy(F.floor(F.col("page_id") / 100).alias("file")).agg(F.concat(F.lit("{"), rows, F.lit("}")).alias("value")).select("value").write.text(at)
+    return sources.scan_json(spark, at, "page_id long, url string, html string", "object", "name").select("name", "page_id", "url", F.md5("html").alias("digest"))
 
 
 @query(r"SELECT CAST(doc_id AS VARCHAR) AS doc_id, coalesce(lang, '') AS lang, md5(coalesce(regexp_replace(text, '\r\n?', chr(10), 'g'), '')) AS digest FROM documents WHERE doc_id % 2 = 0 OR lang = 'en'")

@@ -5,16 +5,26 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from quern.functions import text
 from quern.sources.manifest import Conflict, Versions, current, write_first, write_version  # noqa: F401
+from quern.sources.splits import csv_records, json_records
 
 
 def scan_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """A CSV of which every column is text and none is null; quoted cells may hold line ends."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return spark.read.schema(schema).options(header=True, multiLine=True, escape='"', enforceSchema=False).csv(path).na.fill("")
+    """A CSV of which every column is text and none is null; quoted cells may hold line ends, and a file is read by any number of tasks.
+
+    Each file has a header, which must name ``columns``; empty lines are no rows.
+    """
+    record = F.when((F.col("split") == 0) & (F.col("at") == 0), F.regexp_replace("record", "^\ufeff", "")).otherwise(F.col("record"))
+    cells = F.from_csv(record, ", ".join(f"`{c}` string" for c in columns), {"escape": '"', "maxCharsPerColumn": "-1"})
+    rows = csv_records(spark, path).filter("record <> ''").select("split", "at", cells.alias("c")).select("split", "at", *[F.coalesce(F.col(f"c.`{c}`"), F.lit("")).alias(c) for c in columns])
+    header = (F.col("split") == 0) & (F.col("at") == 0)
+    named = F.lit(True)
+    for c in columns:
+        named = named & (F.col(f"`{c}`") == c)
+    checked = rows.filter(F.when(header, F.when(named, False).otherwise(F.raise_error(F.lit(f"a file of {path} has no header of {columns}")).cast("boolean"))).otherwise(True))
+    return checked.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def scan_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -27,8 +37,21 @@ def scan_optional(spark: SparkSession, path: str, schema: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def scan_json(spark: SparkSession, path: str, schema: str, array: bool = True) -> DataFrame:
-    return spark.read.schema(schema).json(path, multiLine=array)
+def scan_json(spark: SparkSession, path: str, schema: str, form: str = "lines", key: str = "key") -> DataFrame:
+    """Rows of JSON files: an object a line, one ``array`` of objects, or one ``object`` of objects by ``key``, which becomes the first column.
+
+    Arrays and objects are read by any number of tasks a file. An entry that is no object, or can't be read, has no row.
+    """
+    if form == "lines":
+        return spark.read.schema(schema).json(path)
+    found = json_records(spark, path, level=1 if form == "object" else 0)
+    named = F.regexp_extract("record", r'(?s)^(?:\s*\{)?\s*,?\s*("(?:[^"\\]|\\.)*")\s*:\s*\{', 1) if form == "object" else F.lit("")
+    parsed = found.select(named.alias("k"), "record")
+    start = F.when(F.col("k") != "", F.expr("substring(record, locate('{', record, locate(k, record) + length(k)))")).otherwise(F.regexp_replace("record", r"(?s)^[^{]*", ""))
+    rows = parsed.select("k", F.from_json(start, schema).alias("r")).filter("r is not null")
+    if form == "array":
+        return rows.select("r.*")
+    return rows.filter("k <> ''").select(F.get(F.from_json(F.concat(F.lit("["), "k", F.lit("]")), "array<string>"), F.lit(0)).alias(key), "r.*")
 
 
 def text_lookup(df: DataFrame, key: str, fields: list[str], limit: int | None = None, order: str = "row_id") -> DataFrame:
