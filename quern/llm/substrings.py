@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -16,10 +17,14 @@ from quern.llm.base import join_dealt, slices, stage
 CUT_BITS = 4
 #: Chunks have at least so many bytes (but for a text's last one), and at most so many.
 LEAST, MOST = 24, 1024
+#: Bytes on either side without a boundary, after which the hash's smallest value makes one; a power of two.
+CALM = 32
 #: A passage has so many bytes at least: about forty words.
 PASSAGE = 200
+#: How often a chunk stands in a row for the stretches of it that are compared.
+TIMES = np.unique(np.append(np.arange(1, 17), (16 * 1.25 ** np.arange(1, 80)).astype(np.int64)))
 #: Chunks next to each other that stand earlier, each anywhere, are seeds if they have this share of a passage's bytes; its edges are no whole chunks.
-RUN = 0.5
+RUN = 0.25
 #: Chunks of one text in SAMPLED are counted to find the chunks of more than HOT places; this only decides how they are dealt out.
 SAMPLED, HOT = 32, 5_000
 #: Stands for no doc_id: such rows come last.
@@ -38,9 +43,31 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
+def _around(values: np.ndarray, reach: int, of) -> np.ndarray:
+    """``of`` (a ufunc such as minimum) over each value and ``reach`` (a power of two) more on either side."""
+    wide = np.pad(values, reach, mode="edge")
+    step = 1
+    while step < 2 * reach:
+        wide = of(wide[:-step], wide[step:])
+        step *= 2
+    return of(wide[:-1], wide[1:])
+
+
+def cuts(data: np.ndarray) -> np.ndarray:
+    """Places after which a chunk may end: where the gear hash's top bits are zero; where no such place is within CALM bytes, where it is smallest within CALM bytes.
+
+    A word or phrase repeated on and on has few values of the hash, or none with a boundary; its smallest value comes back each time, so chunks begin
+    at the same letter of it wherever the stretch begins and ends.
+    """
+    h = gear(data)
+    usual = h >> np.uint32(32 - CUT_BITS) == 0
+    low = (_around(h, CALM, np.minimum) == h) & ~_around(usual, CALM, np.logical_or)
+    return np.flatnonzero(usual | low) + 1
+
+
 def boundaries(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     """For each text of ``data`` (they lie end to end, from ``offsets[i]`` to ``offsets[i + 1]``): the ends of its chunks, from its start."""
-    places = np.flatnonzero(gear(data) >> np.uint32(32 - CUT_BITS) == 0) + 1
+    places = cuts(data)
     firsts = np.searchsorted(places, offsets, side="right")
     out = []
     for i, (start, stop) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
@@ -57,7 +84,28 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> list[list[int]]:
     return out
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def repeated(digests: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first, times, keys): of each stretch of one chunk again and again, which chunk is its first, and a key for it so many times in a row.
+
+    A chunk that stands alone has its digest for a key. A stretch has keys for all small numbers of times that it holds, and for larger ones a
+    quarter apart, so one meets the first place of a stretch that is as long; a single chunk of it may stand first in a short one. One key more, from
+    its second chunk on, finds the stretch in itself.
+    """
+    new = np.append(True, (digests[1:] != digests[:-1]) | (owner[1:] != owner[:-1])) if len(digests) else np.zeros(0, bool)
+    begin = np.flatnonzero(new)
+    length = np.diff(np.append(begin, len(digests)))
+    many = np.searchsorted(TIMES, length, side="right")
+    first = np.repeat(begin, many)
+    times = TIMES[np.arange(len(first)) - np.repeat(np.cumsum(many) - many, many)]
+    long = np.flatnonzero(length >= 4)
+    first = np.append(first, begin[long] + 1)
+    times = np.append(times, TIMES[np.searchsorted(TIMES, length[long] - 1, side="right") - 1])
+    with np.errstate(over="ignore"):
+        keys = digests[first] ^ ((times - 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return first, times, keys
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], in_rows: bool = False) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints, done = batch.column(2), 0
         for ids, body in slices(batch, 2_000_000):
@@ -69,13 +117,17 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans = np.stack([begins, begins + sizes], axis=1).ravel()
             ends = boundaries(data, np.append(spans, len(data)))[::2]
             starts = [[0, *e[:-1]] if e else [] for e in ends]
-            owner = pa.array(np.repeat(np.arange(len(ids)), [len(e) for e in ends]))
+            owner = np.repeat(np.arange(len(ids)), [len(e) for e in ends])
             digests = [xxhash.xxh3_64_intdigest(t[s:e]) for t, a, b in zip(body, starts, ends, strict=True) for s, e in zip(a, b, strict=True)]
             flat = np.fromiter((s for a in starts for s in a), np.int64, len(digests))
             stops = np.fromiter((e for a in ends for e in a), np.int64, len(digests))
-            columns = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(ids, pa.int64()).take(owner), prints.slice(done, len(ids)).take(owner)]
+            keys, sizes = np.array(digests, np.uint64), stops - flat
+            if in_rows:
+                first, times, keys = repeated(keys, owner)
+                owner, flat, sizes = owner[first], flat[first], sizes[first] * times
+            columns = [pa.array(keys.view(np.int64)), pa.array(ids, pa.int64()).take(pa.array(owner)), prints.slice(done, len(ids)).take(pa.array(owner))]
             done += len(ids)
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(flat), pa.array((stops - flat).astype(np.int32))], ["digest", "id", "print", "start", "size"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(flat), pa.array(sizes.astype(np.int32))], ["digest", "id", "print", "start", "size"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -84,9 +136,9 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.filter(F.col("text").isNotNull()).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), text.alias("text"), F.xxhash64(text).alias("print"))
 
 
-def chunks(docs: DataFrame) -> DataFrame:
-    """(digest, id, print, start, size): the chunks of every text; places are in bytes of UTF-8."""
-    return _keyed(docs).mapInArrow(_chunks, "digest long, id long, print long, start long, size int")
+def chunks(docs: DataFrame, in_rows: bool = False) -> DataFrame:
+    """(digest, id, print, start, size): the chunks of every text; places are in bytes of UTF-8. With ``in_rows`` chunks that stand again and again are put together (``repeated``)."""
+    return _keyed(docs).mapInArrow(partial(_chunks, in_rows=in_rows), "digest long, id long, print long, start long, size int")
 
 
 _PLACE = ["id", "print", "start"]
@@ -112,9 +164,9 @@ def _with_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _seeds(docs: DataFrame) -> DataFrame:
     """(id, print, start, size, first_id, first_print, first_start): every chunk that stands earlier, with the first place where it does."""
-    sample = chunks(docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0))
+    sample = chunks(docs.filter(F.pmod(F.xxhash64("text"), F.lit(SAMPLED)) == 0), True)
     hot = stage(sample.groupBy("digest").count().filter(F.col("count") * SAMPLED > HOT).select("digest", F.ceil(F.col("count") * SAMPLED / HOT).cast("int").alias("tiles")), "hot")
-    rows, any_hot = chunks(docs), not hot.isEmpty()
+    rows, any_hot = chunks(docs, True), not hot.isEmpty()
     if any_hot:  # dealt to tiles, which have a first place each
         tile = F.pmod(F.xxhash64("id", "print"), F.col("tiles")).cast("int")
         rows = rows.join(hot, "digest", "left").withColumn("tile", F.coalesce(tile, F.lit(-1)))
@@ -193,12 +245,14 @@ def repeated_passages(docs: DataFrame, least_bytes: int = PASSAGE) -> DataFrame:
     """
     seeds = _seeds(docs)
     by = ["id", "print", "first_id", "first_print"]
-    text = Window.partitionBy("id", "print").orderBy("start")
+    text = Window.partitionBy("id", "print").orderBy("start", "size", *_FIRST)
     shifted = seeds.withColumn("shift", F.col("start") - F.col("first_start"))
-    next_to = F.col("start") == F.lag(F.col("start") + F.col("size")).over(text)
-    along = next_to & (F.struct("first_id", "first_print", "shift") == F.lag(F.struct("first_id", "first_print", "shift")).over(text))
-    marked = shifted.withColumns({"fresh": F.when(next_to, 0).otherwise(1), "along": F.coalesce(along, F.lit(False))}).withColumn("run", F.sum("fresh").over(text))
-    long = marked.withColumn("bytes", F.sum("size").over(Window.partitionBy("id", "print", "run"))).filter(F.col("bytes") >= least_bytes * RUN)
+    behind = F.max(F.col("start") + F.col("size")).over(text.rowsBetween(Window.unboundedPreceding, -1))
+    along = F.struct("first_id", "first_print", "shift") == F.lag(F.struct("first_id", "first_print", "shift")).over(text)
+    marked = shifted.withColumns({"fresh": F.when(F.col("start") <= behind, 0).otherwise(1), "along": along}).withColumn("run", F.sum("fresh").over(text))
+    marked = marked.withColumn("along", F.coalesce(F.col("along") & (F.col("fresh") == 0), F.lit(False)))
+    run = Window.partitionBy("id", "print", "run")
+    long = marked.withColumn("bytes", F.max(F.col("start") + F.col("size")).over(run) - F.min("start").over(run)).filter(F.col("bytes") >= least_bytes * RUN)
     heads = long.filter(~F.col("along")).groupBy(*by).agg(F.collect_list(F.struct("start", "size", F.col("first_start").alias("there"))).alias("seeds"))
     pairs = stage(heads, "pairs")  # as many seeds as a text has chunks, at most
     ends = pairs.select("id", "print").unionByName(pairs.select(F.col("first_id").alias("id"), F.col("first_print").alias("print"))).distinct()
