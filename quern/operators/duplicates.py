@@ -145,17 +145,19 @@ def resolve_labels(labels: Column) -> Column:
     return F.when(F.size(labels) == 1, labels[0]).when(has("binder") & has("non-binder"), "unclear").when(has("binder"), "binder").when(has("non-binder"), "non-binder").otherwise("unclear")
 
 
-def collapse_pairs(df: DataFrame, key: str, label: str, rank: list[Column], reference: str) -> DataFrame:
+def collapse_pairs(df: DataFrame, key: str, label: str, rank: list[Column], reference: str, between: str = "; ") -> DataFrame:
     """One row for each pair: the best by ``rank``, its label resolved over the group, references joined in that order; ``removed`` counts the others."""
-    order = F.struct(*rank, F.col("row_id"))
+    order = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col("row_id"))
     row = F.struct(*[c for c in df.columns if c not in (key, label, reference)])
-    made = df.groupBy(key).agg(
-        F.min_by(row, order).alias("__row"),
-        F.collect_set(label).alias("__labels"),
-        F.array_sort(F.collect_set(F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank)], F.col(reference).alias("ref")))).alias("__refs"),
-        (F.count(F.lit(1)) - 1).alias("removed"),
+    # First by reference, so that a pair's list has each once, where it first stands.
+    by_reference = df.groupBy(key, reference).agg(F.min_by(row, order).alias("__row"), F.min(order).alias("__order"), F.collect_set(label).alias("__labels"), F.count(F.lit(1)).alias("__n"))
+    made = by_reference.groupBy(key).agg(
+        F.min_by("__row", "__order").alias("__row"),
+        F.array_distinct(F.flatten(F.collect_set("__labels"))).alias("__labels"),
+        F.array_sort(F.collect_list(F.struct("__order", F.col(reference).alias("ref")))).alias("__refs"),
+        (F.sum("__n") - 1).alias("removed"),
     )
-    refs = F.array_join(F.array_distinct(F.transform("__refs", lambda x: x["ref"])), "; ")
+    refs = F.array_join(F.filter(F.transform("__refs", lambda x: x["ref"]), lambda x: x != ""), between)
     return made.select(key, "__row.*", resolve_labels(F.col("__labels")).alias(label), refs.alias(reference), (F.size("__labels") > 1).alias("conflict"), "removed")
 
 

@@ -42,12 +42,83 @@ def checked(df: DataFrame) -> DataFrame:
     }).drop("__flags")
 
 
+#: Columns of a normalised pair, in order, behind ``row_id`` and ``source_rank``.
+COLUMNS = (
+    *("source_type", "binder_name", "binder_type", "binder_sequence", "target_name", "target_sequence", "interaction_label", "affinity_value", "affinity_unit"),
+    *("evidence_text", "source_reference", "confidence", "needs_review", "source_id", "design_class", "qa_flags", "duplicate_group_id", "sequence_pair_key"),
+)
+
+
+def target_name(c: Column) -> Column:
+    """Lower-case words of letters and digits."""
+    return F.trim(F.regexp_replace(F.lower(text.clean(c)), "[^a-z0-9]+", " "))
+
+
+def _given(c: Column) -> Column:
+    return F.when(c == "", "not reported").otherwise(c)
+
+
+def _normalised(df: DataFrame, source: str, rank: int, flagged: dict[str, Column], **made: Column) -> DataFrame:
+    rows = df.select("row_id", F.lit(rank).alias("source_rank"), F.lit(source).alias("source_type"), F.lit("").alias("duplicate_group_id"), *[c.alias(n) for n, c in made.items()], flags(**flagged).alias("__before"))
+    out = checked(rows)
+    return out.withColumn("qa_flags", F.array_join(F.concat("__before", F.filter(F.split("qa_flags", ";"), lambda x: x != "")), ";")).select("row_id", "source_rank", *COLUMNS)
+
+
+def from_designs(raw: DataFrame, source: str = "designs") -> DataFrame:
+    """Rows of a table of designed binders (design_id, binder_name, binder_sequence, target, target_sequence, label, binding_strength, value, design_class) as normalised pairs.
+
+    Their affinities have no unit, which is flagged, as is one that had to be read out of a text.
+    """
+    c = lambda n: text.clean(F.col(n))
+    affinity = text.number_text(F.col("value"))
+    flagged = {"affinity_parse_from_text": (affinity != "") & c("value").try_cast("double").isNull(), "affinity_unit_unverified": affinity != ""}
+    said = F.concat(F.lit("Strength: "), _given(c("binding_strength")), F.lit(" | label: "), _given(c("label")), F.lit(" | class: "), _given(c("design_class")))
+    return _normalised(
+        raw, source, 0, flagged,
+        binder_name=F.when(c("binder_name") == "", c("design_id")).otherwise(c("binder_name")), binder_type=binder_type(F.col("design_class"), F.col("binder_name")), binder_sequence=F.col("binder_sequence"),
+        target_name=target_name(F.col("target")), target_sequence=F.col("target_sequence"), interaction_label=binder_label(F.col("label")), affinity_value=affinity,
+        affinity_unit=F.when(affinity != "", "source_KD").otherwise(""), evidence_text=said, source_reference=c("design_id"), confidence=F.lit("high"), source_id=c("design_id"), design_class=c("design_class"),
+    )
+
+
+def from_literature(raw: DataFrame, source: str = "literature") -> DataFrame:
+    """Rows of a table of published binders (binder_id, binder_sequence, target, target_sequence, label, binding_affinity_nm, source_publication) as normalised pairs."""
+    c = lambda n: text.clean(F.col(n))
+    affinity = text.number_text(F.col("binding_affinity_nm"))
+    said = F.concat(F.lit("Label by the authors: "), _given(c("label")), F.lit(" | published in: "), _given(c("source_publication")))
+    return _normalised(
+        raw, source, 1, {"none": F.lit(False)},
+        binder_name=c("binder_id"), binder_type=binder_type(F.lit(""), F.concat_ws(" ", c("source_publication"), c("binder_id"))), binder_sequence=F.col("binder_sequence"),
+        target_name=target_name(F.col("target")), target_sequence=F.col("target_sequence"), interaction_label=binder_label(F.col("label")), affinity_value=affinity,
+        affinity_unit=F.when(affinity != "", "nM").otherwise(""), evidence_text=said, source_reference=c("source_publication"), confidence=F.lit("medium"), source_id=c("binder_id"), design_class=F.lit(""),
+    )
+
+
 def resolved(df: DataFrame) -> DataFrame:
-    """One row for each pair of sequences, the best by source, label and names; conflicting labels lower confidence and ask for review."""
+    """One row for each pair of sequences: the best by source, label and names, with the references of all in that order.
+
+    A label that the group decides otherwise than the best row lowers confidence and asks for review; both that and the
+    collapse are flagged.
+    """
     source = F.when(F.col("source_rank").isNull(), 9).otherwise(F.col("source_rank"))
     label = F.when(F.col("interaction_label") == "binder", 0).when(F.col("interaction_label") == "non-binder", 1).otherwise(2)
-    one = collapse_pairs(df, "sequence_pair_key", "interaction_label", [source, label], "source_reference")
-    return one.withColumns({"confidence": F.when(F.col("conflict"), "medium").otherwise(F.col("confidence")), "needs_review": F.col("conflict") | F.col("needs_review")})
+    names = [F.col(c) for c in ("target_name", "binder_name") if c in df.columns]
+    one = collapse_pairs(df.withColumn("__own", F.col("interaction_label")), "sequence_pair_key", "interaction_label", [source, label, *names], "source_reference", "; ")
+    other = F.col("interaction_label") != F.col("__own")
+    more = F.concat(F.when(F.col("removed") > 0, F.array(F.lit("duplicate_sequence_pair_collapsed"))).otherwise(F.array().cast("array<string>")), F.when(other, F.array(F.lit("conflicting_duplicate_labels"))).otherwise(F.array().cast("array<string>")))
+    out = one.withColumns({
+        "qa_flags": F.array_join(F.concat(F.filter(F.split("qa_flags", ";"), lambda x: x != ""), more), ";"),
+        "confidence": F.when(other, "medium").otherwise(F.col("confidence")), "needs_review": other | F.col("needs_review"), "conflict": other,
+    })
+    if "duplicate_group_id" in df.columns:
+        out = out.withColumn("duplicate_group_id", F.when(F.col("removed") > 0, F.concat(F.lit("seqpair_"), "sequence_pair_key")).otherwise(F.col("duplicate_group_id")))
+    return out.drop("__own")
+
+
+def pilot_tracks(designs: DataFrame, literature: DataFrame, most: int, seed: int = 1) -> dict[str, DataFrame]:
+    """The pilot table of each track: both sources normalised, in one table, split by type of binder, collapsed and sampled."""
+    designed, antibodies = tracks(from_designs(designs).unionByName(from_literature(literature)))
+    return {"designed": pilot(resolved(designed), most, seed), "antibody": pilot(resolved(antibodies), most, seed)}
 
 
 def tracks(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -57,12 +128,14 @@ def tracks(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def track_metrics(df: DataFrame) -> DataFrame:
-    """One row: how many pairs are whole, valid and under review, in numbers and percentages."""
+    """One row: how many pairs are whole, valid and under review, in numbers and percentages; and how many have an affinity, where there is one."""
     b, t = F.col("binder_sequence"), F.col("target_sequence")
     n = F.count(F.lit(1))
     valid, both, review = F.count_if(text.valid_sequence(b) & text.valid_sequence(t)), F.count_if((b != "") & (t != "")), F.count_if(F.col("needs_review"))
     share = lambda c: text.percent(c, n)
-    return df.agg(n.alias("rows"), valid.alias("valid_rows"), share(valid).alias("valid_pct"), both.alias("both_rows"), share(both).alias("both_pct"), review.alias("review_rows"), share(review).alias("review_pct"))
+    parsed = [] if "affinity_value" not in df.columns else [F.count_if(F.trim("affinity_value") != "")]
+    parsed = [x for p in parsed for x in (p.alias("affinity_rows"), share(p).alias("affinity_pct"))]
+    return df.agg(n.alias("rows"), valid.alias("valid_rows"), share(valid).alias("valid_pct"), both.alias("both_rows"), share(both).alias("both_pct"), review.alias("review_rows"), share(review).alias("review_pct"), *parsed)
 
 
 def track_counts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -535,8 +535,8 @@ _PAIRS_SQL = """l AS (SELECT left(sha1(l_partkey || '|' || l_suppkey), 16) AS pa
     l_orderkey * 10 + l_linenumber AS row_id, CAST(l_orderkey AS VARCHAR) AS reference, CAST(l_quantity AS BIGINT) AS q FROM lineitem)"""
 
 
-@query(f"""WITH {_PAIRS_SQL}, k AS (SELECT pair, list(DISTINCT label) AS labels, arg_min(row_id, q * 1000000000 + row_id) AS row_id, arg_min(q, q * 1000000000 + row_id) AS q, count(*) - 1 AS removed FROM l GROUP BY pair)
-    SELECT pair, row_id, q, removed, len(labels) > 1 AS conflict, CASE WHEN len(labels) = 1 THEN labels[1] WHEN list_contains(labels, 'binder') AND list_contains(labels, 'non-binder') THEN 'unclear'
+@query(f"""WITH {_PAIRS_SQL}, k AS (SELECT pair, list(DISTINCT label) AS labels, arg_min(row_id, q * 1000000000 + row_id) AS row_id, arg_min(q, q * 1000000000 + row_id) AS q, count(*) - 1 AS removed, (SELECT string_agg(reference, '; ' ORDER BY first) FROM (SELECT reference, min(q * 1000000000 + row_id) AS first FROM l o WHERE o.pair = l.pair GROUP BY reference)) AS refs FROM l GROUP BY pair)
+    SELECT pair, row_id, q, removed, refs AS reference, len(labels) > 1 AS conflict, CASE WHEN len(labels) = 1 THEN labels[1] WHEN list_contains(labels, 'binder') AND list_contains(labels, 'non-binder') THEN 'unclear'
         WHEN list_contains(labels, 'binder') THEN 'binder' WHEN list_contains(labels, 'non-binder') THEN 'non-binder' ELSE 'unclear' END AS label FROM k""")
 def d6_collapse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
@@ -545,7 +545,7 @@ def d6_collapse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
         text.pair_key(F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("pair"), label.alias("label"),
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_id"), F.col("l_orderkey").cast("string").alias("reference"), F.col("l_quantity").cast("int").alias("q"),
     )
-    return duplicates.collapse_pairs(pairs, "pair", "label", [F.col("q")], "reference").drop("reference")
+    return duplicates.collapse_pairs(pairs, "pair", "label", [F.col("q")], "reference")
 
 
 _TITLES = r"""n AS (SELECT doc_id, regexp_replace(trim(regexp_replace(regexp_replace(trim(lower(split_part(coalesce(text, ''), chr(10), 1)), ' ' || chr(13) || chr(9)), '[^a-z0-9 ]', '', 'g'), '\s+', ' ', 'g')), '^(a|an|the) ', '') AS t FROM documents),
@@ -865,10 +865,65 @@ def a17_track_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.track_metrics(_pairs(spark, sf_dir))
 
 
-@query()
+_RAW_PAIRS = """raw AS (SELECT l_orderkey * 10 + l_linenumber AS row_id, CASE WHEN l_orderkey % 10 = 0 THEN '' ELSE translate('acd ef' || l_partkey % 40, '0123456789', 'GHIKLMNPQR') END AS bs,
+        CASE WHEN l_orderkey % 25 = 0 THEN 'AJC' ELSE translate('CDEFG' || l_suppkey % 7, '0123456789', 'GHIKLMNPQR') END AS ts,
+        CASE l_returnflag WHEN 'R' THEN 'Strong' WHEN 'A' THEN ' no' ELSE '?' END AS given, l_linenumber % 2 AS side, 'P' || l_orderkey AS id, CASE WHEN l_orderkey % 7 = 0 THEN ' ' ELSE 'binder ' || l_partkey % 9 END AS name,
+        'T-' || l_suppkey % 5 || ' (x)' AS target, CASE l_orderkey % 3 WHEN 0 THEN '<' || CAST(l_quantity AS INT) || ' nM' WHEN 1 THEN CAST(l_quantity AS INT) || '.50' ELSE '' END AS affinity,
+        CASE WHEN l_quantity > 40 THEN 'VHH' WHEN l_quantity > 30 THEN 'mini' ELSE '' END AS class, CASE WHEN l_quantity < 10 THEN 'mAb journal' WHEN l_orderkey % 9 = 0 THEN '' ELSE 'Journal ' || l_suppkey % 4 END AS paper FROM lineitem),
+    m AS (SELECT row_id, side, CASE WHEN side = 0 THEN 'designs' ELSE 'literature' END AS source_type, CASE WHEN side = 1 THEN id WHEN trim(name) = '' THEN id ELSE name END AS binder_name,
+        CASE WHEN side = 0 THEN CASE class WHEN 'VHH' THEN 'nanobody' WHEN 'mini' THEN 'miniprotein' ELSE 'other' END WHEN paper LIKE 'mAb%' THEN 'antibody' ELSE 'other' END AS binder_type,
+        upper(replace(bs, ' ', '')) AS b, ts AS t, trim(regexp_replace(lower(target), '[^a-z0-9]+', ' ', 'g')) AS target_name, CASE trim(given) WHEN 'Strong' THEN 'binder' WHEN 'no' THEN 'non-binder' ELSE 'unclear' END AS label,
+        regexp_replace(regexp_replace(affinity, '[<a-zA-Z ]', '', 'g'), '0$', '') AS parsed, affinity, CASE WHEN side = 0 THEN id ELSE paper END AS ref, class, trim(given) AS given, paper FROM raw),
+    p0 AS (SELECT *, CASE WHEN parsed = '' THEN '' WHEN affinity LIKE '<%' THEN regexp_extract(affinity, '[0-9]+') ELSE parsed END AS affinity_value, left(sha1(b || '|' || t), 16) AS pair, b = '' OR t = 'AJC' AS broken FROM m),
+    n AS (SELECT *, CASE WHEN affinity_value = '' THEN '' WHEN side = 0 THEN 'source_KD' ELSE 'nM' END AS affinity_unit, broken OR label = 'unclear' AS review, CASE WHEN broken THEN 'low' WHEN label = 'unclear' OR side = 1 THEN 'medium' ELSE 'high' END AS conf,
+        CASE WHEN side = 0 THEN 'Strength: not reported | label: ' || given || ' | class: ' || CASE class WHEN '' THEN 'not reported' ELSE class END ELSE 'Label by the authors: ' || given || ' | published in: ' || CASE paper WHEN '' THEN 'not reported' ELSE paper END END AS evidence_text,
+        list_filter([CASE WHEN side = 0 AND affinity LIKE '<%' THEN 'affinity_parse_from_text' END, CASE WHEN side = 0 AND affinity_value <> '' THEN 'affinity_unit_unverified' END, CASE WHEN b = '' THEN 'missing_binder_sequence' END,
+            CASE WHEN t = 'AJC' THEN 'invalid_target_sequence' END, CASE WHEN label = 'unclear' THEN 'unclear_interaction_label' END, CASE WHEN t = 'AJC' THEN 'target_sequence_too_short' END], lambda x: x IS NOT NULL) AS marks,
+        CASE WHEN binder_type IN ('nanobody', 'antibody') THEN 'antibody' ELSE 'designed' END AS track, CASE label WHEN 'binder' THEN 0 WHEN 'non-binder' THEN 1 ELSE 2 END AS rank FROM p0)"""
+
+
+def _raw_pairs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Lines of orders as rows of two tables of binders, each in the format of its source."""
+    digits = lambda prefix, c, n: F.translate(F.concat(F.lit(prefix), (F.col(c) % n).cast("string")), "0123456789", "GHIKLMNPQR")
+    key, quantity, whole = F.col("l_orderkey"), F.col("l_quantity"), F.col("l_quantity").cast("int").cast("string")
+    rows = table(spark, sf_dir, "lineitem").select(
+        (key * 10 + F.col("l_linenumber")).alias("row_id"), F.when(key % 10 == 0, "").otherwise(digits("acd ef", "l_partkey", 40)).alias("binder_sequence"),
+        F.when(key % 25 == 0, "AJC").otherwise(digits("CDEFG", "l_suppkey", 7)).alias("target_sequence"), F.when(F.col("l_returnflag") == "R", "Strong").when(F.col("l_returnflag") == "A", " no").otherwise("?").alias("label"),
+        (F.col("l_linenumber") % 2).alias("side"), F.concat(F.lit("P"), key.cast("string")).alias("id"), F.when(key % 7 == 0, " ").otherwise(F.concat(F.lit("binder "), (F.col("l_partkey") % 9).cast("string"))).alias("binder_name"),
+        F.concat(F.lit("T-"), (F.col("l_suppkey") % 5).cast("string"), F.lit(" (x)")).alias("target"),
+        F.when(key % 3 == 0, F.concat(F.lit("<"), whole, F.lit(" nM"))).when(key % 3 == 1, F.concat(whole, F.lit(".50"))).otherwise("").alias("value"), F.lit("").alias("binding_strength"),
+        F.when(quantity > 40, "VHH").when(quantity > 30, "mini").otherwise("").alias("design_class"),
+        F.when(quantity < 10, "mAb journal").when(key % 9 == 0, "").otherwise(F.concat(F.lit("Journal "), (F.col("l_suppkey") % 4).cast("string"))).alias("source_publication"),
+    )
+    return rows.filter("side = 0").withColumnRenamed("id", "design_id"), rows.filter("side = 1").withColumnsRenamed({"id": "binder_id", "value": "binding_affinity_nm"})
+
+
+@query(f"""WITH {_RAW_PAIRS}, o AS (SELECT *, row_number() OVER (PARTITION BY track, pair ORDER BY side, rank, target_name, binder_name, row_id) AS pos FROM n),
+    r AS (SELECT track, pair, ref, row_number() OVER (PARTITION BY track, pair ORDER BY min(pos)) AS k FROM o GROUP BY track, pair, ref),
+    refs AS (SELECT track, pair, string_agg(ref, '; ' ORDER BY k) AS refs FROM r WHERE ref <> '' GROUP BY ALL),
+    g AS (SELECT track, pair, count(*) AS size, count(DISTINCT label) AS kinds, bool_or(label = 'binder') AS yes, bool_or(label = 'non-binder') AS no FROM o GROUP BY ALL),
+    c AS (SELECT o.*, size, coalesce(refs, '') AS refs, CASE WHEN kinds = 1 THEN label WHEN yes AND no THEN 'unclear' WHEN yes THEN 'binder' WHEN no THEN 'non-binder' ELSE 'unclear' END AS final FROM o JOIN g USING (track, pair) LEFT JOIN refs USING (track, pair) WHERE pos = 1),
+    s AS (SELECT *, side || '|' || final || '|' || binder_type AS stratum FROM c),
+    e AS (SELECT track, greatest(1, 60 // count(DISTINCT stratum)) AS each FROM s GROUP BY track),
+    q AS (SELECT s.*, row_number() OVER (PARTITION BY s.track, stratum ORDER BY md5('1:' || pair), pair) <= each AS early FROM s JOIN e USING (track)),
+    z AS (SELECT *, row_number() OVER (PARTITION BY track ORDER BY (NOT early)::INT, md5('2:' || pair), pair) AS place FROM q)
+    SELECT track, source_type, binder_name, binder_type, b AS binder_sequence, target_name, t AS target_sequence, final AS interaction_label, affinity_value, affinity_unit, evidence_text, refs AS source_reference,
+        CASE WHEN final <> label THEN 'medium' ELSE conf END AS confidence, review OR final <> label AS needs_review, CASE WHEN size > 1 THEN 'seqpair_' || pair ELSE '' END AS duplicate_group_id, pair AS sequence_pair_key,
+        array_to_string(list_concat(list_concat(marks, CASE WHEN size > 1 THEN ['duplicate_sequence_pair_collapsed'] ELSE [] END), CASE WHEN final <> label THEN ['conflicting_duplicate_labels'] ELSE [] END), ';') AS qa_flags FROM z WHERE place <= 60""")
 def e8_pair_pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    designed, antibodies = pairs.tracks(_pairs(spark, sf_dir))
-    each = [pairs.pilot(pairs.resolved(t), 60).select("sequence_pair_key", "interaction_label", "confidence", "needs_review", "binder_type", F.lit(n).alias("track")) for n, t in (("designed", designed), ("antibody", antibodies))]
+    """Two sources of binders in their own formats, normalised, flagged, split, collapsed and sampled."""
+    made = pairs.pilot_tracks(*_raw_pairs(spark, sf_dir), 60)
+    columns = [c for c in pairs.COLUMNS if c not in ("source_id", "design_class")]
+    each = [rows.select(F.lit(name).alias("track"), *columns) for name, rows in made.items()]
+    return each[0].unionByName(each[1])
+
+
+@query(f"""WITH {_RAW_PAIRS}, s AS (SELECT track, count(*) AS n, count(*) FILTER (WHERE NOT broken) AS v, count(*) FILTER (WHERE b <> '') AS o, count(*) FILTER (WHERE review) AS r, count(*) FILTER (WHERE affinity_value <> '') AS a FROM n GROUP BY track)
+    SELECT track, n AS rows, v AS valid_rows, {_pct_sql('v', 'n')} AS valid_pct, o AS both_rows, {_pct_sql('o', 'n')} AS both_pct, r AS review_rows, {_pct_sql('r', 'n')} AS review_pct, a AS affinity_rows, {_pct_sql('a', 'n')} AS affinity_pct FROM s""")
+def a17_parsed_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    designs, literature = _raw_pairs(spark, sf_dir)
+    both = pairs.tracks(pairs.from_designs(designs).unionByName(pairs.from_literature(literature)))
+    each = [pairs.track_metrics(rows).withColumn("track", F.lit(name)) for name, rows in zip(("designed", "antibody"), both, strict=True)]
     return each[0].unionByName(each[1])
 
 
