@@ -12,6 +12,7 @@ from quern.operators.aggregates import majority
 from quern.operators.graph import written
 from quern.operators.rules import species_in_names, species_in_text
 from quern.operators.schema import ensure_columns
+from quern.sources.manifest import Versions, current, write_version
 
 
 def preview(old: DataFrame, new: DataFrame, fields: list[str], key: str = "row_id") -> DataFrame:
@@ -121,27 +122,69 @@ def proposals(df: DataFrame) -> DataFrame:
 RISKS = ("low", "medium", "high")
 
 
+def record_hash(fields: list[str]) -> Column:
+    """Of a record as it is read: what a later writer may not find changed."""
+    return F.xxhash64("pmid", *[c for f in fields for c in (F.col(f).cast("string"), F.col(f).isNull())])
+
+
+def stamped(proposed: DataFrame, fields: list[str]) -> DataFrame:
+    """Proposals with ``record_hash``, the hash of the record's ``fields`` that they were made from; the record's columns are still there."""
+    return proposed.withColumn("record_hash", record_hash(fields))
+
+
 def proposal_changes(df: DataFrame, proposed: DataFrame, most_risk: str, allowed: list[str]) -> DataFrame:
     """(row_id, field, before, after, error): what proposals of at most ``most_risk`` would change in allowed fields.
 
-    A field named with ``_append`` gets the text after what it holds, once. A proposal whose pmid isn't the record's is an error
-    and changes nothing; a value that is there already is no change.
+    A field named with ``_append`` gets the text after what it holds, once. A proposal whose pmid isn't the record's, or that was
+    ``stamped`` with another state of the allowed fields than the record has now, is an error and changes nothing; a value that is there already
+    is no change.
     """
     taken = proposed.filter(F.col("write_risk").isin(*RISKS[: RISKS.index(most_risk) + 1]))
-    each = taken.select("row_id", F.col("pmid").alias("__pmid"), F.explode(F.from_json("proposed_updates", "map<string,string>")).alias("named", "value"))
+    stamp = F.col("record_hash") if "record_hash" in proposed.columns else F.lit(None).cast("long")
+    each = taken.select("row_id", F.col("pmid").alias("__pmid"), stamp.alias("__stamp"), F.explode(F.from_json("proposed_updates", "map<string,string>")).alias("named", "value"))
     each = each.withColumn("field", F.regexp_replace("named", "_append$", "")).filter(F.col("field").isin(*allowed))
     now = F.create_map(*[x for f in allowed for x in (F.lit(f), F.col(f).cast("string"))])
-    both = each.join(df.select("row_id", "pmid", now.alias("__now")), "row_id").withColumn("before", F.element_at("__now", F.col("field")))
+    both = each.join(df.select("row_id", "pmid", record_hash(allowed).alias("__hash"), now.alias("__now")), "row_id").withColumn("before", F.element_at("__now", F.col("field")))
     after = F.when(F.col("named") != F.col("field"), text.append_note(F.col("before"), F.col("value"), by=" | ")).otherwise(F.col("value"))
-    made = both.select("row_id", "field", "before", after.alias("after"), F.when(F.col("pmid") != F.col("__pmid"), "pmid mismatch; skipped").otherwise("").alias("error"))
+    changed = F.col("__stamp").isNotNull() & (F.col("__stamp") != F.col("__hash"))
+    error = F.when(F.col("pmid") != F.col("__pmid"), "pmid mismatch; skipped").when(changed, "record changed; skipped").otherwise("")
+    made = both.select("row_id", "field", "before", after.alias("after"), error.alias("error"))
     return made.filter((F.col("error") != "") | ~F.col("before").eqNullSafe(F.col("after")))
 
 
+def _written_over(df: DataFrame, values: DataFrame, fields: list[str]) -> DataFrame:
+    """``df`` with the values (row_id, field, value) in its fields; a value may be null."""
+    given = values.groupBy("row_id").agg(F.map_from_entries(F.collect_list(F.struct("field", "value"))).alias("__given"))  # a field once a row
+    put = lambda f: F.when(F.coalesce(F.map_contains_key("__given", F.lit(f)), F.lit(False)), F.element_at("__given", F.lit(f))).otherwise(F.col(f).cast("string"))
+    return df.join(given, "row_id", "left").withColumns({f: put(f) for f in fields}).drop("__given")
+
+
 def apply_changes(df: DataFrame, changes: DataFrame, fields: list[str]) -> DataFrame:
-    """``df`` with the changes that have no error."""
-    wide = changes.filter("error = ''").groupBy("row_id").pivot("field", fields).agg(F.max("after"))
-    renamed = wide.withColumnsRenamed({f: f"__{f}" for f in fields})
-    return df.join(renamed, "row_id", "left").withColumns({f: F.coalesce(f"__{f}", f) for f in fields}).drop(*[f"__{f}" for f in fields])
+    """``df`` with the changes that have no error. ``changes`` without those that have one is the audit table that ``undo_changes`` reads."""
+    once = changes.filter("error = ''").groupBy("row_id", "field").agg(F.max("after").alias("value"))
+    return _written_over(df, once, fields)
+
+
+def undo_changes(df: DataFrame, audit: DataFrame, fields: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(``df`` with each audited change taken back, the changes that can't be): a field that holds something else by now stays as it is."""
+    now = F.create_map(*[x for f in fields for x in (F.lit(f), F.col(f).cast("string"))])
+    held = audit.filter("error = ''").join(df.select("row_id", now.alias("__now")), "row_id").withColumn("now", F.element_at("__now", F.col("field"))).drop("__now")
+    same = F.col("now").eqNullSafe(F.col("after"))
+    back = held.filter(same).groupBy("row_id", "field").agg(F.max("before").alias("value"))
+    return _written_over(df, back, fields), held.filter(~same).select("row_id", "field", "before", "after", "now")
+
+
+def apply_version(folder: str, proposed: DataFrame, most_risk: str, allowed: list[str], version: str) -> dict:
+    """Apply proposals to the current version of a table, and publish the result and its audit table as ``version``.
+
+    Nothing is locked: where another writer has published since the version that was read, nothing is published and ``Conflict`` is raised.
+    """
+    spark = proposed.sparkSession
+    head = Versions(spark, folder).head()
+    rows = current(spark, folder)
+    changes = written(proposal_changes(rows, proposed, most_risk, allowed), "changes")
+    write_version(changes, f"{folder}/_audit", version)
+    return write_version(apply_changes(rows, changes, allowed), folder, version, head)
 
 
 def gated_fill(df: DataFrame, fills: DataFrame, key: str, column: str, accept: tuple[str, ...] = ("high",), method: str = "model") -> DataFrame:

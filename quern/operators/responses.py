@@ -116,6 +116,33 @@ def source_agreement(df: DataFrame, key: str, source: str, value: Column, source
     return wide.join(agree, key)
 
 
+def field_agreement(df: DataFrame, key: str, fields: dict[str, Column], sets: dict[str, Column]) -> DataFrame:
+    """(key, is_recipe_agree, ``<name>_agree``): whether several models' answers (is_recipe, error) to one record agree, in all and field by field.
+
+    Answers with an error don't count. Of those with a recipe, ``fields`` agree if all that are given are the same, ``sets`` if all are, blank ones
+    too; with fewer than two recipes there is nothing to compare, unless the only one is given.
+    """
+    recipe = F.coalesce(F.col("is_recipe"), F.lit(False))
+    sound = F.coalesce(F.col("error"), F.lit("")) == ""
+    said = F.count_distinct(F.when(sound, F.coalesce(F.col("is_recipe").cast("string"), F.lit("none"))))
+    recipes = F.count_if(recipe)
+
+    def agree(value: Column, given: bool) -> Column:
+        shown = F.coalesce(value, F.lit(""))
+        values = F.count_distinct(F.when(recipe & ((shown != "") if given else F.lit(True)), shown))
+        return F.when((values == 1) & (recipes > 0), "yes").when(recipes < 2, "n/a").otherwise("no")
+
+    made = [agree(c, True).alias(f"{n}_agree") for n, c in fields.items()] + [agree(c, False).alias(f"{n}_agree") for n, c in sets.items()]
+    return df.groupBy(key).agg(F.when(said == 1, "yes").otherwise("no").alias("is_recipe_agree"), *made)
+
+
+def agreement_totals(agreed: DataFrame) -> DataFrame:
+    """(field, value, n): how often each field is agreed on."""
+    columns = [c for c in agreed.columns if c.endswith("_agree")]
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in columns]))
+    return agreed.select(each.alias("x")).groupBy("x.field", "x.value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def long_enough(c: Column, least: int = 50) -> Column:
     """Whether there is text to ask about."""
     return F.length(text.clean(c)) >= least

@@ -57,13 +57,15 @@ def by_risk(df: DataFrame, score: Column, n: int, seed: int = 1, key: str = "row
 
 
 def checked_answers(df: DataFrame, column: str, allowed: tuple[str, ...], required: list[str]) -> DataFrame:
-    """Annotated rows, answers in lower case. A column that is missing is an error at once, an answer that isn't allowed when it is read."""
+    """Annotated rows, answers in lower case. A column that is missing, or a sheet without any answer, is an error at once, an answer that isn't allowed when it is read."""
     missing = [c for c in [column, *required] if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}")
     low = {c: F.lower(F.trim(F.coalesce(F.col(c).cast("string"), F.lit("")))) for c in [column, *required]}
     wrong = F.raise_error(F.concat(F.lit("unexpected answer: "), F.col(column)))
     given = df.withColumns(low).filter(F.col(column) != "")
+    if given.isEmpty():
+        raise ValueError(f"no row has an answer in {column}")
     return given.withColumn(column, F.when(F.col(column).isin(*allowed), F.col(column)).otherwise(wrong.cast("string")))
 
 

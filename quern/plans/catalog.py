@@ -427,6 +427,70 @@ def m6_proposal_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curation.proposal_changes(rows, wrong, "medium", ["validation_needs_review", "validation_notes", "is_broad_duplicate"])
 
 
+_APPLIED = ["validation_needs_review", "validation_notes", "is_broad_duplicate"]
+#: What is written where notes of every 17th record have changed since the proposal, and what is taken back where every 19th has changed again.
+_APPLY_SQL = """c AS (SELECT *, risk IN ('low', 'medium') AND row_id % 11 <> 0 AS able, CASE WHEN row_id % 17 = 0 THEN 'late' ELSE 'seen' END AS notes FROM y),
+    a AS (SELECT *, able AND notes = 'seen' AS ok FROM c),
+    d AS (SELECT *, CASE WHEN review THEN 'True' ELSE '' END AS r0, CASE WHEN dup THEN 'True' ELSE 'False' END AS b0, CASE WHEN ok AND hide THEN 'seen | Model adjudication (' || confidence || '): ' || source_cell ELSE notes END AS n1 FROM a),
+    fin AS (SELECT *, CASE WHEN ok AND (hide OR clears) THEN 'False' ELSE r0 END AS r1, CASE WHEN ok AND merge AND NOT dup THEN 'True' ELSE b0 END AS b1 FROM d)"""
+
+
+def _applied(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Proposals are stamped and some name a wrong paper; then notes of some records change; (the records as they are now, changes)."""
+    rows = _proposed(spark, sf_dir)
+    stamped = curation.stamped(rows, _APPLIED).withColumn("pmid", F.when(F.col("row_id") % 11 == 0, "x").otherwise(F.col("pmid")))
+    now = rows.withColumn("validation_notes", F.when(F.col("row_id") % 17 == 0, "late").otherwise(F.col("validation_notes")))
+    return now, curation.proposal_changes(now, stamped, "medium", _APPLIED)
+
+
+@query(over_records("SELECT row_id, r1 AS validation_needs_review, n1 AS validation_notes, b1 AS is_broad_duplicate FROM fin", _DECIDED_SQL, _APPLY_SQL))
+def m6_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records after the sound changes."""
+    now, changes = _applied(spark, sf_dir)
+    return curation.apply_changes(now, changes, _APPLIED).select("row_id", *_APPLIED)
+
+
+@query(over_records("""SELECT row_id, field, CASE WHEN row_id % 11 = 0 THEN 'pmid mismatch; skipped' ELSE 'record changed; skipped' END AS error FROM (
+        SELECT row_id, 'validation_needs_review' AS field FROM c WHERE risk IN ('low', 'medium') AND (hide OR clears)
+        UNION ALL SELECT row_id, 'validation_notes' FROM c WHERE risk IN ('low', 'medium') AND hide
+        UNION ALL SELECT row_id, 'is_broad_duplicate' FROM c WHERE risk IN ('low', 'medium') AND merge AND NOT dup) WHERE row_id % 11 = 0 OR row_id % 17 = 0""", _DECIDED_SQL, _APPLY_SQL))
+def m6_conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes that were refused, and why."""
+    return _applied(spark, sf_dir)[1].filter("error <> ''").select("row_id", "field", "error")
+
+
+@query(over_records("""SELECT row_id, r0 AS validation_needs_review, CASE WHEN row_id % 19 = 0 THEN 'newer' WHEN n1 = notes THEN notes ELSE 'seen' END AS validation_notes, b0 AS is_broad_duplicate, row_id % 19 = 0 AND n1 <> notes AS left_as_is FROM fin""", _DECIDED_SQL, _APPLY_SQL))
+def m6_undone(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records after the changes were taken back; notes that have changed since stay."""
+    now, changes = _applied(spark, sf_dir)
+    applied = curation.apply_changes(now, changes, _APPLIED)
+    later = applied.withColumn("validation_notes", F.when(F.col("row_id") % 19 == 0, "newer").otherwise(F.col("validation_notes")))
+    undone, stayed = curation.undo_changes(later, changes, _APPLIED)
+    kept = stayed.select("row_id", F.lit(True).alias("left_as_is")).distinct()
+    return undone.join(kept, "row_id", "left").select("row_id", *_APPLIED, F.coalesce("left_as_is", F.lit(False)).alias("left_as_is"))
+
+
+_ANSWERS_SQL = """w AS (SELECT l_orderkey AS pmid, CASE WHEN l_tax > 0.07 THEN 'timeout' ELSE '' END AS error, CASE WHEN l_tax > 0.07 THEN NULL ELSE l_quantity > 20 END AS is_recipe, l_returnflag AS s,
+        CASE WHEN l_quantity < 30 THEN '' ELSE 't' || l_partkey % 2 END AS t, l_linestatus AS f FROM lineitem),
+    g AS (SELECT pmid, count(DISTINCT CASE WHEN error = '' THEN coalesce(CAST(is_recipe AS VARCHAR), 'none') END) AS said, count(*) FILTER (WHERE is_recipe) AS recipes, count(DISTINCT CASE WHEN is_recipe AND s <> '' THEN s END) AS s,
+        count(DISTINCT CASE WHEN is_recipe AND t <> '' THEN t END) AS t, count(DISTINCT CASE WHEN is_recipe THEN f END) AS f FROM w GROUP BY pmid),
+    a AS (SELECT pmid, CASE WHEN said = 1 THEN 'yes' ELSE 'no' END AS is_recipe_agree, CASE WHEN s = 1 AND recipes > 0 THEN 'yes' WHEN recipes < 2 THEN 'n/a' ELSE 'no' END AS source_agree,
+        CASE WHEN t = 1 AND recipes > 0 THEN 'yes' WHEN recipes < 2 THEN 'n/a' ELSE 'no' END AS target_agree, CASE WHEN f = 1 AND recipes > 0 THEN 'yes' WHEN recipes < 2 THEN 'n/a' ELSE 'no' END AS factors_agree FROM g)"""
+
+
+@query(f"WITH {_ANSWERS_SQL} SELECT * FROM a")
+def r7_field_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of an order as several models' answers on one paper."""
+    bad = F.col("l_tax") > 0.07
+    answers = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("pmid"), F.when(bad, "timeout").otherwise("").alias("error"), F.when(~bad, F.col("l_quantity") > 20).alias("is_recipe"), "l_returnflag", F.when(F.col("l_quantity") >= 30, F.concat(F.lit("t"), (F.col("l_partkey") % 2).cast("string"))).alias("t"), "l_linestatus")
+    return responses.field_agreement(answers, "pmid", {"source": F.col("l_returnflag"), "target": F.col("t")}, {"factors": F.col("l_linestatus")})
+
+
+@query(f"WITH {_ANSWERS_SQL} " + " UNION ALL ".join(f"SELECT '{c}' AS field, {c} AS value, count(*) AS n FROM a GROUP BY {c}" for c in ("is_recipe_agree", "source_agree", "target_agree", "factors_agree")))
+def r7_field_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return responses.agreement_totals(r7_field_agreement(spark, sf_dir))
+
+
 @query(over_records("""SELECT row_id, CASE WHEN row_id % 40 <> 1 THEN validation_action WHEN row_id % 3 = 0 THEN 'mark_duplicate' WHEN row_id % 3 = 1 THEN 'remove' ELSE 'keep' END AS validation_action,
     CASE WHEN row_id % 40 <> 1 THEN '' WHEN row_id % 3 = 2 THEN 'False' ELSE 'True' END AS validation_needs_review,
     CASE WHEN row_id % 40 = 1 AND row_id % 3 = 2 THEN 'fixed' ELSE factors END AS factors, CASE WHEN row_id % 40 = 1 AND row_id % 3 = 0 THEN 'duplicate of other' ELSE '' END AS duplicate_reason FROM rec"""))

@@ -3,6 +3,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
+from quern.operators import curation
 from quern.sources import manifest
 from quern.sources import tables as sources
 from quern.streaming import ingest
@@ -120,3 +121,26 @@ def test_edges_with_nulls_over_runs(spark, tmp_path):
     run()
     _put(spark, tmp_path, [("s", None), (None, "2"), (None, None), ("t", "3")], schema)
     assert sorted(map(tuple, run().rows().collect()), key=repr) == sorted([("r", "1"), ("s", None), (None, "2"), (None, None), ("t", "3")], key=repr)
+
+
+def test_proposals_are_published_once_and_undone(spark, tmp_path):
+    """A stale proposal is refused, a second writer conflicts, and the audit table restores what it changed, nulls too."""
+    at, fields = f"{tmp_path}/t", ["note", "flag"]
+    rows = spark.createDataFrame([(1, "p1", None, "a"), (2, "p2", "old", "b"), (3, "p3", "old", "c")], "row_id int, pmid string, note string, flag string")
+    sources.write_version(rows, at, "1")
+    updates = [(1, "p1", "low", '{"note": "new", "flag": ""}'), (2, "p2", "low", '{"note_append": "more", "flag": "b"}'), (3, "p3", "low", '{"note": "new"}'), (3, "p3", "high", '{"flag": "z"}')]
+    made = spark.createDataFrame(updates, "row_id int, __p string, write_risk string, proposed_updates string")
+    proposed = curation.stamped(rows.join(made, "row_id"), fields)
+    stale = rows.withColumn("note", F.when(F.col("row_id") == 3, "changed").otherwise(F.col("note")))
+    sources.write_version(stale, at, "2")
+    head = curation.apply_version(at, proposed, "low", fields, "3")
+    assert head["number"] == 2
+    got = {r.row_id: (r.note, r.flag) for r in sources.current(spark, at).collect()}
+    assert got == {1: ("new", ""), 2: ("old | more", "b"), 3: ("changed", "c")}
+    audit = sources.current(spark, f"{at}/_audit")
+    assert sorted((r.row_id, r.field, r.error) for r in audit.collect()) == [(1, "flag", ""), (1, "note", ""), (2, "note", ""), (3, "note", "record changed; skipped")]
+    back, stayed = curation.undo_changes(sources.current(spark, at), audit, fields)
+    assert {r.row_id: (r.note, r.flag) for r in back.collect()} == {1: (None, "a"), 2: ("old", "b"), 3: ("changed", "c")} and stayed.count() == 0
+    edited = sources.current(spark, at).withColumn("note", F.lit("edited"))
+    back, stayed = curation.undo_changes(edited, audit, fields)
+    assert {r.row_id: r.note for r in back.collect()} == {1: "edited", 2: "edited", 3: "edited"} and stayed.count() == 2
