@@ -99,12 +99,29 @@ _STRIPPED = "trim(regexp_replace(replace(replace(replace(replace(replace(replace
         array_to_string(list_transform(regexp_extract_all(p, '(?is)<p[\s>].*?</p>'), lambda x: {_STRIPPED.format("x")}), ' ') AS body FROM s),
     k AS (SELECT *, CASE WHEN regexp_matches(title, '[%$*#]') THEN 'special' WHEN regexp_matches(title, '.') THEN 'plain' ELSE '' END AS kind FROM b)
     SELECT page_id, left(coalesce(string_agg(body, ' ' ORDER BY i) FILTER (WHERE kind = 'special'), ''), 10000) AS special,
-        left(coalesce(string_agg(body, ' ' ORDER BY i) FILTER (WHERE kind = 'plain'), ''), 10000) AS plain FROM pages LEFT JOIN k USING (page_id) GROUP BY page_id""")
+        left(coalesce(string_agg(body, ' ' ORDER BY i) FILTER (WHERE kind = 'plain'), ''), 10000) AS plain FROM k WHERE body <> '' GROUP BY page_id HAVING bool_or(kind <> '')""")
 def s6_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = sources.sections(table(spark, sf_dir, "pages"), block="p", limit=10_000, special=r"[%$*#]", plain=r".")
     return made.select("page_id", "special", "plain")
 
 
+_ARTICLE = ("<article id=''{0}''><title>An article</title><sec><title>Materials and <i>methods</i></title><p>First {0}.</p><!-- <sec><p>no</p></sec> --><sec><title>Cells</title><p>Grown &amp; kept {1}.</p></sec>"
+    "<sec><title>Findings {1}</title><p>Seen early.</p></sec><p>Last of methods.</p></sec><sec><title>{2}</title><sec><p>Nested <b>twice</b> {0}.</p></sec></sec></article>")
+
+
+@query("""SELECT CAST(page_id AS VARCHAR) AS id, 'First ' || page_id || '. Grown & kept ' || page_id % 7 || '. Last of methods.' AS methods,
+    'Seen early.' || CASE WHEN page_id % 2 = 0 THEN ' Nested twice ' || page_id || '.' ELSE '' END AS results FROM pages""")
+def s6_nested_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Articles with sections in sections, many in a file, written and scanned again; a section without a kind has that of the one around it."""
+    at, key = _fresh(spark, "articles"), F.col("page_id")
+    text_ = _ARTICLE.replace("''", "'")
+    for place, what in (("{0}", key), ("{1}", key % 7), ("{2}", F.when(key % 2 == 0, "Results").otherwise("Discussion"))):
+        text_ = F.replace(F.lit(text_) if isinstance(text_, str) else text_, F.lit(place), what.cast("string"))
+    table(spark, sf_dir, "pages").select(text_.alias("value")).write.text(at)
+    found = sources.sections(sources.scan_articles(spark, at), methods="method", results="result|finding")
+    return found.select(F.regexp_extract("html", "<article id='([0-9]+)'", 1).alias("id"), "methods", "results")
+
+
 # Columns and scalars
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import text
 from quern.sources.manifest import Conflict, Versions, current, write_first, write_version  # noqa: F401
+from quern.sources.markup import scan_articles, sections  # noqa: F401
 from quern.sources.splits import csv_records, json_records
 
 
@@ -71,21 +72,6 @@ def requested_from(lines: DataFrame, key: str, place: str) -> DataFrame:
     return trimmed.groupBy("key").agg(F.min("pos").alias("pos"))
 
 
-def sections(pages: DataFrame, block: str = "p", limit: int = 10_000, **titles: str) -> DataFrame:
-    """``pages`` (html) with a column for each kind of section: the text of its blocks, in order, cut to ``limit`` characters.
-
-    A section starts with a heading and ends at the next; its kind is the first of ``titles`` whose pattern the heading has.
-    """
-    parts = F.filter(F.split(F.coalesce("html", F.lit("")), r"(?i)(?=<h[1-6][\s>])"), lambda p: p.rlike(r"(?i)^<h[1-6][\s>]"))
-    heading = lambda p: F.lower(text.strip_html(F.regexp_extract(p, r"(?is)^<h[1-6][^>]*>(.*?)</h[1-6]>", 1)))
-    body = lambda p: F.array_join(F.transform(F.regexp_extract_all(p, F.lit(rf"(?is)<{block}[\s>].*?</{block}>"), 0), text.strip_html), " ")
-    cut = F.transform(parts, lambda p: F.struct(heading(p).alias("title"), body(p).alias("body")))
-    kind = lambda title: text.first_found(title, [(p, n) for n, p in titles.items()], F.lit(""))
-    made = pages.withColumn("__parts", F.transform(cut, lambda x: F.struct(kind(x["title"]).alias("kind"), x["body"].alias("body"))))
-    of = lambda name: F.left(F.array_join(F.transform(F.filter("__parts", lambda x: x["kind"] == name), lambda x: x["body"]), " "), F.lit(limit))
-    return made.withColumns({name: of(name) for name in titles}).drop("__parts")
-
-
 def append_rows(df: DataFrame, path: str, columns: list[str], exact: bool = False) -> None:
     """Append rows of known columns; missing ones are an error, and with ``exact`` extra ones too."""
     missing, extra = [c for c in columns if c not in df.columns], [c for c in df.columns if c not in columns]

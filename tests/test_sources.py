@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import curation, duplicates, responses, review, rules, sampling
+from quern.sources import markup
 from quern.sources import tables as sources
 
 
@@ -32,9 +33,30 @@ def test_requested_keys_keep_their_order(spark):
 
 def test_sections(spark):
     html = "<h1>Intro</h1><p>no</p><h2>Materials &amp; <i>Methods</i></h2><p>first <b>x</b></p><div><p>second</p></div><h2>Results</h2><p>" + "r" * 50 + "</p>"
-    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>loose</p>")], "page_id int, html string")
+    pages = spark.createDataFrame([(1, html), (2, None), (3, "<p>loose</p>"), (4, "<h2>Methods</h2><p></p>")], "page_id int, html string")
     got = {r.page_id: (r.methods, r.results) for r in sources.sections(pages, limit=20, methods="method", results="result").collect()}
-    assert got == {1: ("first x second", "r" * 20), 2: ("", ""), 3: ("", "")}
+    assert got == {1: ("first x second", "r" * 20)}
+
+
+def test_nested_sections():
+    of = lambda html: [(t, b.strip()) for t, b in markup.blocks_of(html, "p")]
+    assert of("<sec><title>A</title><p>1</p><sec id='x'><title>B <i>b</i></title><p>2</p></sec><p>3</p></sec><p>4</p>") == [(["A"], "1"), (["B  b ", "A"], "2"), (["A"], "3")]
+    assert of("<sec><p>1</p><title>late</title><title>second</title><p>2</p></sec>") == [([""], "1"), (["late"], "2")]
+    assert of("<h1>One</h1><p>1</p><h3>Two</h3><p>2</p><h2>Three</h2><p>3</p><h1>Four</h1><p>4</p>") == [(["One"], "1"), (["Two", "One"], "2"), (["Three", "One"], "3"), (["Four"], "4")]
+    assert of("<h1>A</h1><p>x<!-- </p><h1>no</h1> --> y<script>'</p>'</script></p><P CLASS='q'>up</P>") == [(["A"], "x y"), (["A"], "up")]
+    assert of("</sec></p><sec><title>A</title><p>open<sec><title>B</title><p>in</p></sec></p><p/><p>end") == [(["B", "A"], "in")]
+    assert of("<sec><title>A</title><sec><p>1</p></sec></sec></sec><sec/><sec><title>C</title><p>a<p>b</p></sec>") == [(["", "A"], "1"), (["C"], "a b")]
+    assert of("") == [] and of("< p > a < b <p") == []
+
+
+def test_articles_of_a_file(spark, tmp_path):
+    body = "".join(f"<article id='{i}'>\n<sec><title>Methods</title><p>{'x' * i}</p></sec>\n</article>\n" for i in range(1, 200))
+    (tmp_path / "a.xml").write_text(f"<?xml version='1.0'?><set><articles>{body}</articles></set>")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    rows = sources.sections(sources.scan_articles(spark, f"{tmp_path}/a.xml"), methods="method").collect()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sorted(len(r.methods) for r in rows) == list(range(1, 200))
 
 
 def test_responses(spark):
