@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import names, tables, text
-from quern.operators import aggregates, curation, duplicates, filters, fuzzy, joins, pairs, responses, review, rules, sampling, schema, windows
+from quern.operators import aggregates, curation, duplicates, filters, fuzzy, inverted, joins, pairs, responses, review, rules, sampling, schema, windows
 from quern.operators.graph import shared_folder
 from quern.plans.records import over_records, records, table
 from quern.sources import tables as sources
@@ -256,6 +256,13 @@ def q1_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return part.filter(filters.search("Small WID", F.col("blob")) & ~filters.search("promo", F.col("blob"))).select("p_partkey")
 
 
+@query(ORACLE_SQL["q1_search"])
+def q1_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search over an inverted index."""
+    index = inverted.build(table(spark, sf_dir, "part"), "p_partkey", "p_name", "p_type")
+    return inverted.search(index, "Small WID").join(inverted.search(index, "promo"), "key", "left_anti").withColumnRenamed("key", "p_partkey")
+
+
 @query(over_records("SELECT row_id, pmid FROM rec WHERE pmid = '85'"))
 def q2_id_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records(spark, sf_dir).filter(filters.search(" 85 ", F.lit(""))).select("row_id", "pmid")

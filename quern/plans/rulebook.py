@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions import names, tables, text
-from quern.operators import curation, duplicates, filters, rules
-from quern.plans.catalog import query
+from quern.operators import curation, duplicates, filters, inverted, rules
+from quern.plans.catalog import ORACLE_SQL, query
 from quern.plans.records import table
 
 CELLS = (
@@ -321,6 +321,20 @@ def q1_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "given", *[filters.search(q, F.col("blob")).alias(n) for n, q in asked.items()])
 
 
+_ASKED = {"t_cell": "T-cells", "two_units": "cardiomyocytes Fibroblasts", "ips": "iPS", "phrase": "motor neurons"}
+
+
+@query(" UNION ALL ".join(f"SELECT DISTINCT '{name}' AS asked, l_orderkey, l_linenumber, given FROM ({ORACLE_SQL['q1_synonyms']}) WHERE {name}" for name in _ASKED))
+def q1_indexed_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same searches over an inverted index: synonyms, two units, beginnings of words, and phrases by their places."""
+    rows = _names(spark, sf_dir, CELLS).withColumn("key", F.struct("l_orderkey", "l_linenumber", "given"))  # a line of an order comes several times
+    index, out = inverted.build(rows, "key", "given"), None
+    for name, query_ in _ASKED.items():
+        one = inverted.search(index, query_).select(F.lit(name).alias("asked"), "key.*")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query(_over(CELLS, f"regexp_matches(lower(given), {_Q(tables.T_CELL)}) AS strict, regexp_matches(lower(given || ' ' || {_pick(_SAID, 'l_orderkey')}), {_Q(tables.IMMUNE)}) AS broad, l_orderkey % 2 = 0", "even"))
 def f12_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict topic looks at the names of cells, the broad one at titles as well."""
