@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -87,7 +88,76 @@ TEMPLATES = (
         http://mozilla.org/MPL/2.0/.""",
     ),
     ("mpl-2.0", "mozilla", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    (
+        "lgpl",
+        "lesser",
+        """This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version
+        2.1 of the License, or (at your option) any later version. This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser General Public License along
+        with this library; if not, see <https://www.gnu.org/licenses/>.""",
+    ),
+    ("lgpl", "lesser", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License"),
+    (
+        "agpl",
+        "affero",
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3
+        of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of
+        MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details. You should have received a copy of the GNU Affero General Public License
+        along with this program. If not, see <https://www.gnu.org/licenses/>.""",
+    ),
+    ("agpl", "affero", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License"),
+    (
+        "ofl-1.1",
+        "font",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of the Font Software, to use, study, copy, merge, embed, modify, redistribute, and sell modified and unmodified copies
+        of the Font Software, subject to the following conditions""",
+    ),
+    ("ofl-1.1", "font ofl", "This Font Software is licensed under the SIL Open Font License, Version 1.1. This license is available with a FAQ at: https://openfontlicense.org OFL"),
+    (
+        "font-permission",
+        "font",
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of the fonts accompanying this license ("Fonts") and associated documentation files (the "Font Software"), to reproduce
+        and distribute the Font Software, including without limitation the rights to use, copy, merge, publish, distribute, and/or sell copies of the Font Software, and to permit persons to whom the
+        Font Software is furnished to do so, subject to the following conditions""",
+    ),
+    ("font-permission", "font charge", "Permission is hereby granted, free of charge, to any person obtaining a copy of this font software and associated documentation files"),
+    (
+        "unlicense",
+        "unencumbered",
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a
+        compiled binary, for any purpose, commercial or non-commercial, and by any means.""",
+    ),
+    (
+        "cc0-1.0",
+        "cc0",
+        """To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide. This software is distributed without
+        any warranty. You should have received a copy of the CC0 Public Domain Dedication along with this software.""",
+    ),
+    (
+        "zlib",
+        "misrepresented",
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to
+        anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: The origin of this software must
+        not be misrepresented; you must not claim that you wrote the original software.""",
+    ),
+    ("epl-2.0", "eclipse", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    (
+        "bsl-1.0",
+        "organization",
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce,
+        display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so""",
+    ),
+    ("bsl-1.0", "boost", "Distributed under the Boost Software License, Version 1.0."),
 )
+
+# Identifiers of the public list of licenses, with the label of each.
+IDENTIFIERS = (
+    ("agpl", "AGPL-3.0-only"), ("agpl", "AGPL-3.0-or-later"), ("bsd", "BSD-2-Clause"), ("bsl-1.0", "BSL-1.0"), ("cc-by", "CC-BY-4.0"), ("cc-by-nc", "CC-BY-NC-4.0"), ("cc-by-nd", "CC-BY-ND-4.0"),
+    ("cc-by-sa", "CC-BY-SA-4.0"), ("cc0-1.0", "CC0-1.0"), ("epl-2.0", "EPL-2.0"), ("gpl", "GPL-2.0-only"), ("gpl", "GPL-2.0-or-later"), ("gpl", "GPL-3.0-only"), ("gpl", "GPL-3.0-or-later"), ("isc", "ISC"),
+    ("lgpl", "LGPL-2.1-only"), ("lgpl", "LGPL-2.1-or-later"), ("lgpl", "LGPL-3.0-only"), ("lgpl", "LGPL-3.0-or-later"), ("mpl-2.0", "MPL-2.0"), ("ofl-1.1", "OFL-1.1"), ("unlicense", "Unlicense"), ("zlib", "Zlib"),
+)
+# A line that names a license must hold every word of the identifier.
+TEMPLATES += tuple((label, f"spdx identifier {re.sub('[^a-z0-9]+', ' ', name.lower())}", f"SPDX-License-Identifier: {name}") for label, name in IDENTIFIERS)
 #: The share of a template's tokens that a block must hold.
 CONTAINMENT = 0.8
 

@@ -137,6 +137,26 @@ def test_notices_and_what_only_looks_like_one(spark):
     assert {wrapped[0][0], "mit"} <= set(got[len(texts) - 1])
 
 
+def method_labels(text):
+    """What the notices alone give, without the phrases."""
+    return brute_labels(WORD.findall(text.lower()))
+
+
+def test_neighbours_of_licenses(spark):
+    """Each notice and identifier has its own label, not that of the license whose words it shares."""
+    for label, _, text in licenses.TEMPLATES:
+        assert method_labels(text) == {label}, text
+    said = {
+        "SPDX-License-Identifier: GPL-2.0-only": {"gpl"}, "SPDX-License-Identifier: LGPL-2.1-only": {"lgpl"}, "// SPDX-License-Identifier: LGPL-3.0-or-later": {"lgpl"}, "SPDX-License-Identifier: CC-BY-SA-4.0": {"cc-by-sa"},
+        "SPDX-License-Identifier: BSD-2-Clause": {"bsd"}, "SPDX-License-Identifier: Nothing-1.0": set(), "Permission is hereby granted to the library to lend this font.": set(), "This library is free; everybody can modify it.": set(),
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this font software and associated documentation files": {"font-permission"},
+    }
+    rows = licenses.find_licenses(docs_of(spark, list(said))).collect()
+    for (t, labels), r in zip(said.items(), sorted(rows, key=lambda r: r.doc_id), strict=True):
+        assert set(r.labels) == labels | set(r.base_labels), t
+    assert all(method_labels(t) == labels for t, labels in said.items())
+
+
 def passage(seed, n):
     rng = random.Random(seed)
     return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 9))) for _ in range(n))
