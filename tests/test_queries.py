@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quern.plans import catalog, rulebook, upkeep  # noqa: F401
+from quern.plans import catalog, parts, rulebook, upkeep  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
