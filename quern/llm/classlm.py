@@ -17,14 +17,16 @@ from pyspark.sql import functions as F
 from quern.llm.base import slices, stage, texts
 
 #: The most frequent words: so many exchange classes among themselves first, and the classes of so many are held by each task.
-SEEDS, HELD = 2_048, 100_000
+SEEDS, HELD = 4_096, 200_000
 CLASSES = 48
 #: Sweeps over the seeds, each in so many steps, and sweeps over all other words.
-SWEEPS, STEPS, REST_SWEEPS = 3, 2, 2
+SWEEPS, STEPS, REST_SWEEPS = 4, 2, 2
 #: Weight of the class bigram against the class's own frequency.
 BIGRAM_WEIGHT = 0.9
 #: Words counted by one task before it passes counts on.
 COUNTED = 300_000
+#: Bytes of text whose words a task holds at a time.
+SLICE = 1_000_000
 
 #: The token that ends a text. It can't be a word, as it holds a space.
 END = b" "
@@ -39,7 +41,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
 
     for batch in batches:
-        for _, body in slices(batch):
+        for _, body in slices(batch, SLICE):
             for text in body:
                 counts.update(text.lower().split())
             counts[END] += len(body)
@@ -109,16 +111,16 @@ def _seed_pairs(numbers: dict[bytes, int]):
     known = numbers | {END: end}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size * size, np.int64)
+        total = np.zeros(size * size, np.int32)  # of one task
         for batch in batches:
-            for _, body in slices(batch):
+            for _, body in slices(batch, SLICE):
                 flat = tokens_of(body)
                 now = np.fromiter(map(known.get, flat, repeat(other)), np.int64, len(flat))
                 before = np.concatenate([[end], now[:-1]])  # each text follows an END
                 pairs, n = np.unique(before * size + now, return_counts=True)
                 total[pairs] += n
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at].astype(np.int64))], ["pair", "n"])
 
     return run
 
@@ -209,7 +211,7 @@ def _rest_contexts(class_of: dict[bytes, int], classes: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, body in slices(batch):
+            for _, body in slices(batch, SLICE):
                 flat = tokens_of(body)
                 now = np.fromiter(map(known.get, flat, repeat(other)), np.int64, len(flat))
                 at = np.flatnonzero(now == other)
@@ -338,7 +340,7 @@ def _scanned(held: list[bytes], of_held: np.ndarray, counts: np.ndarray, end_cou
         row = TaskContext.get().partitionId() << 36
         for batch in batches:
             learn, done = batch.column(2), 0
-            for ids, body in slices(batch):
+            for ids, body in slices(batch, SLICE):
                 flat = tokens_of(body)
                 number = np.fromiter(map(numbers.get, flat, repeat(rest)), np.int64, len(flat))
                 stops = np.flatnonzero(number == len(held)) + 1
