@@ -14,8 +14,9 @@ from quern.llm.base import slices, stage
 
 #: The model is fitted on at most so many labelled documents of each language, and on so many in all, dealt evenly to all languages.
 SAMPLE, IN_ALL = 250, 8_000
-#: So many of each language's sample are landmarks.
-LANDMARKS = 40
+#: So many of each language's sample are landmarks, and so many in all, dealt evenly; so many of their n-grams, those that most landmarks hold, are features.
+#: They bound the matrix of features and languages, which tasks are sent, and the fit's memory.
+LANDMARKS, MARKS, FEATURES = 40, 2_000, 1 << 16
 RIDGE = 0.05
 UNKNOWN = "und"
 
@@ -53,34 +54,54 @@ def fit(sample: list[tuple[np.ndarray, str]], landmarks: int = LANDMARKS, ridge:
     the landmarks, and those are linear in a text's presence vector, so both products are folded into one matrix.
     """
     names = sorted({lang for _, lang in sample})
+    each = min(landmarks, max(1, MARKS // max(1, len(names))))
     chosen, taken = [], dict.fromkeys(names, 0)
     for i, (_, lang) in enumerate(sample):
-        if taken[lang] < landmarks:
+        if taken[lang] < each:
             taken[lang] += 1
             chosen.append(i)
-    features = np.unique(np.concatenate([sample[i][0] for i in chosen]))
+    found, n = np.unique(np.concatenate([sample[i][0] for i in chosen]), return_counts=True)
+    features = np.sort(found[np.argsort(-n, kind="stable")[:FEATURES]])
     column = np.full(GRAMS, -1, np.int32)
     column[features] = np.arange(len(features))
 
-    def presence(rows):
-        x = np.zeros((len(rows), len(features)), np.float32)
+    def held(i: int) -> np.ndarray:
+        at = column[sample[i][0]]
+        return at[at >= 0]
+
+    # Presence rows are sparse: of each feature the landmarks that hold it, one after another.
+    owned = [held(i) for i in chosen]
+    norms = np.array([1 / np.sqrt(max(1, len(sample[i][0]))) for i in chosen])
+    place = np.concatenate(owned)
+    mark = np.repeat(np.arange(len(chosen)), [len(x) for x in owned])[np.argsort(place, kind="stable")]
+    first = np.searchsorted(np.sort(place), np.arange(len(features) + 1))
+
+    def kernels(rows) -> np.ndarray:
+        """Of sample rows with all landmarks."""
+        out = np.zeros((len(rows), len(chosen)))
         for k, i in enumerate(rows):
-            at = column[sample[i][0]]
-            x[k, at[at >= 0]] = 1 / np.sqrt(max(1, len(sample[i][0])))
-        return x
+            at = held(i)
+            many = first[at + 1] - first[at]
+            where = np.repeat(first[at] - np.cumsum(many) + many, many) + np.arange(many.sum())
+            out[k] = np.bincount(mark[where], minlength=len(chosen)) * norms / np.sqrt(max(1, len(sample[i][0])))
+        return out
 
-    marks = presence(chosen)
-    values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
+    values, vectors = np.linalg.eigh(kernels(chosen))
     root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
     inner, target = np.zeros((len(chosen), len(chosen))), np.zeros((len(chosen), len(names)))
+    number = {n: k for k, n in enumerate(names)}
     for start in range(0, len(sample), 128):
         rows = range(start, min(start + 128, len(sample)))
-        mapped = (presence(rows) @ marks.T).astype(np.float64) @ root
-        wanted = np.array([[1.0 if sample[i][1] == n else -1.0 for n in names] for i in rows])
+        mapped = kernels(rows) @ root
+        wanted = np.full((len(rows), len(names)), -1.0)
+        wanted[np.arange(len(rows)), [number[sample[i][1]] for i in rows]] = 1.0
         inner += mapped.T @ mapped
         target += mapped.T @ wanted
-    weights = root @ np.linalg.solve(inner + ridge * np.eye(len(chosen)), target)
-    return names, features, (marks.T.astype(np.float64) @ weights).astype(np.float32)
+    solved = root @ np.linalg.solve(inner + ridge * np.eye(len(chosen)), target)
+    weights = np.zeros((len(features), len(names)), np.float32)
+    for k, at in enumerate(owned):
+        weights[at] += (norms[k] * solved[k]).astype(np.float32)
+    return names, features, weights
 
 
 def _predictions(names: list[str], features: np.ndarray, weights: np.ndarray):

@@ -1,4 +1,5 @@
 import math
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -154,6 +155,22 @@ def test_many_languages(spark):
     assert got.filter("lang = lang_pred").count() == got.count() == 90
 
 
+def test_fit_of_many_languages_is_bounded():
+    """Two hundred languages of their own letters and words, forty texts each: under a gigabyte, and none is left out."""
+    rng = np.random.default_rng(6)
+    sample = []
+    for k in range(200):
+        letters = [chr(0x4E00 + 40 * k + j) for j in range(60)]  # neighbours share a third of theirs
+        sample += [(langid.grams(" ".join("".join(rng.choice(letters, 6)) for _ in range(120))), f"l{k:03}") for _ in range(40)]
+    tracemalloc.start()
+    names, features, weights = langid.fit(sample)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1e9 and len(names) == 200 and len(features) <= langid.FEATURES and weights.nbytes < 60e6
+    hit = sum(names[int((np.isin(features, g) @ weights).argmax())] == lang for g, lang in sample[::13])
+    assert hit == len(sample[::13])
+
+
 def test_language_edges(spark):
     docs = docs_of(spark, [None, "", "123 . !", "the cat and the dog " * 20, "ß", "x" * 100_000, "漢字"])
     docs = docs.withColumn("lang", F.when(F.col("doc_id") == 3, "en").when(F.col("doc_id") == 5, "xx"))
