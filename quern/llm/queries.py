@@ -15,16 +15,19 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequences of 2,048 tokens. Null and empty texts are one piece of id 0; rows that share a doc_id, or a null one, each get their pieces."""
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
 def op3_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of phrases and notices in whole texts. Null and empty texts have no words, no labels and score 0; each row has its own."""
     found = licenses.find_licenses(table(spark, sf_dir, "documents"))
     joined = {c: F.array_join(c, ",") for c in ("base_labels", "labels")}
     return found.withColumns(joined)
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items of which a window is a copy. Null, empty and word-less texts match nothing; rows that share a doc_id, or a null one, are one document."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
@@ -34,16 +37,19 @@ def _held_out(parts: int):
 
 
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class bigram scores, learned from the rows that are not held out. Null and empty texts have one token, their end; a null doc_id is learned from."""
     scored = classlm.score_texts(table(spark, sf_dir, "documents"), ~_held_out(7))
     return scored.select("doc_id", _held_out(7).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages by string kernels, learned from labelled rows that are not held out. Null texts and those without a letter are ``und`` with score 0; a null doc_id is not learned from."""
     found = langid.identify(table(spark, sf_dir, "documents"), ~_held_out(4))
     return found.select("doc_id", _held_out(4).alias("held_out"), "lang_pred", "score")
 
 
 def op7_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in whole texts. Null and empty texts have none, and the digest of an empty list; each row has its own."""
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
@@ -76,6 +82,7 @@ def quality_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 200 bytes and more that stand earlier. Null and empty texts have none; rows alike in doc_id and text are one document, and a null doc_id is last and stays null."""
     return substrings.repeated_passages(table(spark, sf_dir, "documents")).drop("print")
 
 

@@ -57,3 +57,25 @@ def test_copies_of_a_page_leave_one(spark):
     kept = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, cleaned, SF).collect()}
     assert kept[0] == page and set(kept) == {0, *range(100, 130)}
     assert not any("home" in t for t in kept.values())
+
+
+def test_odd_documents_through_all_stages(spark, tmp_path):
+    """Nulls in every column, repeated rows, clashing columns, an empty table, and one text of five megabytes."""
+    rng = np.random.default_rng(8)
+    prose = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(3, 9))) for _ in range(n))
+    plain = [prose(60) for _ in range(6)]
+    vocabulary = prose(500).split()
+    long = "\n".join(" ".join(f"{x}" for x in rng.choice(vocabulary, 12)) for _ in range(70_000))
+    rows = [(i, t, "en", "s", len(t), "x", 1) for i, t in enumerate(plain)] + [(0, plain[0], "en", "s", len(plain[0]), "x", 1)]
+    rows += [(20, None, None, None, None, None, None), (21, "", "en", "s", 0, None, None), (None, plain[1], None, None, None, None, None), (22, prose(80), None, None, None, None, None), (23, long, "en", "s", len(long), "y", 2)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, node string, failed long"
+    benchmark = table(spark, SF, "benchmark")
+    for name, docs in (("odd", rows), ("none", [])):
+        spark.createDataFrame(docs, schema).write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        benchmark.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()
+    assert {r.doc_id for r in got} == {*range(6), None, 22, 23}
+    assert len([r for r in got if r.doc_id == 0]) == 1 and len(long) > 4_000_000
+    fills = np.bincount(np.unique([r.sequence_id for r in got], return_inverse=True)[1], [r.length for r in got])
+    assert fills.max() <= 2048
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
