@@ -25,8 +25,8 @@ SWEEPS, STEPS, REST_SWEEPS = 4, 2, 2
 BIGRAM_WEIGHT = 0.9
 #: Words counted by one task before it passes counts on.
 COUNTED = 300_000
-#: Bytes of text whose words a task holds at a time.
-SLICE = 1_000_000
+#: Bytes of text whose words a task holds, and counts together, at a time.
+SLICE = 2_000_000
 
 #: The token that ends a text. It can't be a word, as it holds a space.
 END = b" "
