@@ -101,6 +101,13 @@ def test_pieces_share_no_hot_first_letter(spark):
     assert met < 400 * 399 / 20
 
 
+def test_pieces_are_never_sent_whole(spark):
+    """Written titles are small, their pieces are not: no side of a join that grows with the letters goes through the driver."""
+    df = spark.createDataFrame(list(enumerate(_made_titles(spark))), "id int, title string")
+    plan = fuzzy.candidates(df, "id", "title")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_decisions_and_export_over_written_pairs(spark):
     """Groups, keepers and the sheet by SQL of another engine over the pairs that Spark found."""
     titles = _made_titles(spark)
