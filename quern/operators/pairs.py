@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import tables, text
 from quern.operators.duplicates import collapse_pairs
+from quern.operators.graph import written
 from quern.operators.rules import flags
 from quern.operators.sampling import equal_allocation
 
@@ -117,25 +118,31 @@ def resolved(df: DataFrame) -> DataFrame:
 
 def pilot_tracks(designs: DataFrame, literature: DataFrame, most: int, seed: int = 1) -> dict[str, DataFrame]:
     """The pilot table of each track: both sources normalised, in one table, split by type of binder, collapsed and sampled."""
-    designed, antibodies = tracks(from_designs(designs).unionByName(from_literature(literature)))
-    return {"designed": pilot(resolved(designed), most, seed), "antibody": pilot(resolved(antibodies), most, seed)}
+    # A sample reads its pairs several times: the sources are normalised once, and each track is collapsed once.
+    made = tracks(written(from_designs(designs).unionByName(from_literature(literature)), "pairs"))
+    return {name: pilot(written(resolved(rows), "resolved"), most, seed) for name, rows in zip(("designed", "antibody"), made, strict=True)}
 
 
 def tracks(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(designed binders, antibodies)."""
+    return df.filter(track() == "designed"), df.filter(track() == "antibody")
+
+
+def track() -> Column:
+    """The track of a pair by its type of binder; null has none."""
     antibody = F.col("binder_type").isin(*tables.ANTIBODY_TYPES)
-    return df.filter(~antibody), df.filter(antibody)
+    return F.when(antibody, "antibody").when(~antibody, "designed")
 
 
-def track_metrics(df: DataFrame) -> DataFrame:
-    """One row: how many pairs are whole, valid and under review, in numbers and percentages; and how many have an affinity, where there is one."""
+def track_metrics(df: DataFrame, *by: Column) -> DataFrame:
+    """One row (or one for each ``by``): how many pairs are whole, valid and under review, in numbers and percentages; and how many have an affinity, where there is one."""
     b, t = F.col("binder_sequence"), F.col("target_sequence")
     n = F.count(F.lit(1))
     valid, both, review = F.count_if(text.valid_sequence(b) & text.valid_sequence(t)), F.count_if((b != "") & (t != "")), F.count_if(F.col("needs_review"))
     share = lambda c: text.percent(c, n)
     parsed = [] if "affinity_value" not in df.columns else [F.count_if(F.trim("affinity_value") != "")]
     parsed = [x for p in parsed for x in (p.alias("affinity_rows"), share(p).alias("affinity_pct"))]
-    return df.agg(n.alias("rows"), valid.alias("valid_rows"), share(valid).alias("valid_pct"), both.alias("both_rows"), share(both).alias("both_pct"), review.alias("review_rows"), share(review).alias("review_pct"), *parsed)
+    return df.groupBy(*by).agg(n.alias("rows"), valid.alias("valid_rows"), share(valid).alias("valid_pct"), both.alias("both_rows"), share(both).alias("both_pct"), review.alias("review_rows"), share(review).alias("review_pct"), *parsed)
 
 
 def track_counts(df: DataFrame, columns: list[str]) -> DataFrame:
