@@ -68,34 +68,56 @@ def weighted_similarity(a: str, b: str) -> Column:
     return common / (F.size(a) + F.size(b) - common)
 
 
+def _shared(width: Column, share: float) -> Column:
+    return F.greatest(F.ceil(width * share - 1e-9).cast("int"), F.lit(1))
+
+
+def window_starts() -> Column:
+    """Where windows of ``width`` begin that hold ``least`` or more of the sorted ``places``, each once, none behind ``last``.
+
+    Those that hold the i-th place and so many from it on begin at or before it; those that hold the one before it too are left to that one.
+    """
+
+    def of(i: Column) -> Column:
+        low = F.greatest(F.get("places", i + F.col("least") - 1) - F.col("width") + 1, F.coalesce(F.get("places", i - 1) + 1, F.lit(0)))
+        high = F.least(F.get("places", i), F.col("last"))
+        return F.when(low <= high, F.sequence(low, high)).otherwise(F.array().cast("array<int>"))
+
+    firsts = F.size("places") - F.col("least")
+    return F.flatten(F.transform(F.when(firsts >= 0, F.sequence(F.lit(0), firsts)).otherwise(F.array().cast("array<int>")), of))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity, first_shingle, n_windows): documents of which some window is like a benchmark item.
 
-    Windows have an item's size and are taken wherever a shingle of an item of that size stands in a document, so that it
-    comes to lie as in the item. Windows whose SimHash is within ``radius`` of an item's, which the block index finds
+    Windows have an item's size and are taken at every place where so many shingles stand that any item of that size has as
+    one like it must share; no other window can be alike, wherever its shingles stand in the item. Windows whose SimHash is
+    within ``radius`` of an item's, which the block index finds
     whole, are compared with it exactly. Items and documents of null, empty or word-less text match nothing; texts of fewer
     words than a shingle match as a whole. Rows that share a doc_id, or a null one, are taken as one document.
+    ``first_shingle`` is where the best window begins, the first of those; ``n_windows`` counts all that are alike.
     """
     items = stage(benchmark.select(F.col("item_id").cast("long").alias("item_id"), shingles(F.col("text")).alias("item")).filter(F.size("item") > 0), "items")
-    index = items.select(F.size("item").alias("width"), F.posexplode("item").alias("at", "h")).distinct()
+    index = items.select(F.size("item").alias("width"), F.explode("item").alias("h")).distinct()
     places = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(shingles(F.col("text"))).alias("place", "h")).join(index, "h")
-    starts = places.select("doc_id", "width", F.greatest(F.col("place") - F.col("at"), F.lit(0)).alias("start")).distinct()
-    wanted = stage(starts.groupBy("doc_id").agg(F.collect_set(F.struct("width", "start")).alias("wanted")), "windows").withColumnRenamed("doc_id", "of")
+    held_by = places.groupBy("doc_id", "width").agg(F.sort_array(F.collect_set("place")).alias("places")).filter(F.size("places") >= _shared(F.col("width"), similarity))
+    wanted = stage(held_by.groupBy("doc_id").agg(F.collect_list(F.struct("width", "places")).alias("wanted")), "windows").withColumnRenamed("doc_id", "of")
     # First the few documents that have windows, by ids whose written size decides the join; then their windows.
     having = stage(wanted.select(F.col("of").alias("has")), "having")
     some = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(having, F.col("doc_id").eqNullSafe(F.col("has")), "left_semi")
     held = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("of")))
     cut = held.select("doc_id", shingles(F.col("text")).alias("all"), "wanted").select("doc_id", "all", F.explode("wanted").alias("w"))
-    last = F.greatest(F.size("all") - F.col("w.width"), F.lit(0))
-    begin = F.least(F.col("w.start"), last)
-    window = cut.select("doc_id", F.col("w.width").alias("width"), begin.alias("start"), F.slice("all", begin + 1, F.col("w.width")).alias("window"))
+    least = F.when(F.size("all") < F.col("w.width"), _shared(F.col("w.width"), similarity)).otherwise(_shared(F.col("w.width"), 2 * similarity / (1 + similarity)))
+    begins = cut.select("doc_id", "all", F.col("w.width").alias("width"), F.col("w.places").alias("places"), least.alias("least"), F.greatest(F.size("all") - F.col("w.width"), F.lit(0)).alias("last"))
+    cut = begins.select("doc_id", "all", "width", F.explode(window_starts()).alias("begin"))
+    window = cut.select("doc_id", "width", F.col("begin").alias("start"), F.slice("all", F.col("begin") + 1, F.col("width")).alias("window"))
     prints = stage(window.filter(F.size("window") > 0).distinct().select("*", print_of("window").alias("fp")), "prints")
     sides = block_neighbours(items.select("item_id", "item", F.size("item").alias("of_width"), print_of("item").alias("fp")), radius).withColumnsRenamed({"fp": "item_fp", "block": "of_block", "value": "of_value"})
     met = (F.col("width") == F.col("of_width")) & (F.col("block") == F.col("of_block")) & (F.col("value") == F.col("of_value"))
     near = block_keys(prints).join(sides, met & (F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius))
     once = near.dropDuplicates(["doc_id", "start", "width", "item_id", "window"])
     alike = once.select("doc_id", "item_id", "start", weighted_similarity("window", "item").alias("similarity")).filter(F.col("similarity") >= similarity)
-    return alike.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.min("start").alias("first_shingle"), F.count(F.lit(1)).alias("n_windows"))
+    return alike.groupBy("doc_id", "item_id").agg(F.max("similarity").alias("similarity"), F.min_by("start", F.struct(-F.col("similarity"), "start")).alias("first_shingle"), F.count(F.lit(1)).alias("n_windows"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

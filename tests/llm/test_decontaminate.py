@@ -76,3 +76,16 @@ def test_edges(spark):
     assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == sorted(set(range(9)) - {3, 6} - {k for k, _ in got if k is not None})
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     assert decontaminate.contaminated(docs.limit(0), bench).count() == 0
+
+
+def test_parts_in_another_order_are_one_window(spark):
+    """No shingle of such a copy lies as in the item, but the window over both parts shares nine in ten; brute force sees every window."""
+    item = " ".join(f"item{i}" for i in range(80))
+    swapped = " ".join([f"before{i}" for i in range(50)] + item.split()[40:] + item.split()[:40] + [f"after{i}" for i in range(50)])
+    thirds = " ".join([f"x{i}" for i in range(99)] + item.split()[50:] + ["gap"] + item.split()[25:50] + item.split()[:25])
+    texts = [swapped, thirds, f"{item} {swapped}", item[: len(item) // 2]]
+    want = brute(list(enumerate(texts)), [(1, item)])
+    got = {(r.doc_id, r.item_id): r for r in decontaminate.contaminated(docs_of(spark, texts), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert got.keys() == want.keys() == {(0, 1), (2, 1)}  # three parts share too little
+    assert all(got[k].similarity == pytest.approx(want[k]) for k in want)
+    assert got[0, 1].first_shingle == 50 and got[2, 1].first_shingle == 0
