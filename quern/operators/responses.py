@@ -124,16 +124,18 @@ def field_agreement(df: DataFrame, key: str, fields: dict[str, Column], sets: di
     """
     recipe = F.coalesce(F.col("is_recipe"), F.lit(False))
     sound = F.coalesce(F.col("error"), F.lit("")) == ""
-    said = F.count_distinct(F.when(sound, F.coalesce(F.col("is_recipe").cast("string"), F.lit("none"))))
+    # The least and the greatest are the same if all are: one row a record is shuffled, not one for each distinct answer to each field.
+    same = lambda c: F.coalesce(F.min(c) == F.max(c), F.lit(False))
+    said = same(F.when(sound, F.coalesce(F.col("is_recipe").cast("int"), F.lit(2))))
     recipes = F.count_if(recipe)
 
     def agree(value: Column, given: bool) -> Column:
         shown = F.coalesce(value, F.lit(""))
-        values = F.count_distinct(F.when(recipe & ((shown != "") if given else F.lit(True)), shown))
-        return F.when((values == 1) & (recipes > 0), "yes").when(recipes < 2, "n/a").otherwise("no")
+        one = same(F.when(recipe & ((shown != "") if given else F.lit(True)), shown))
+        return F.when(one & (recipes > 0), "yes").when(recipes < 2, "n/a").otherwise("no")
 
     made = [agree(c, True).alias(f"{n}_agree") for n, c in fields.items()] + [agree(c, False).alias(f"{n}_agree") for n, c in sets.items()]
-    return df.groupBy(key).agg(F.when(said == 1, "yes").otherwise("no").alias("is_recipe_agree"), *made)
+    return df.groupBy(key).agg(F.when(said, "yes").otherwise("no").alias("is_recipe_agree"), *made)
 
 
 def agreement_totals(agreed: DataFrame) -> DataFrame:
