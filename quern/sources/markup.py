@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,12 +67,26 @@ def blocks_of(markup: str, block: str) -> list[tuple[list[str], str]]:
     return out
 
 
+def pieces(pages: pa.Array, most_bytes: int = 1_000_000) -> Iterator[pa.Array]:
+    """A batch in pieces of bounded size, so that memory doesn't follow the rows of a batch; one page is never split."""
+    start = size = 0
+    for i, page in enumerate(pages):
+        size += len(page.as_buffer()) if page.is_valid else 0
+        if size >= most_bytes or i == len(pages) - 1:
+            yield pages.slice(start, i + 1 - start)
+            start, size = i + 1, 0
+
+
 def section_blocks(markup: Column, block: str = "p") -> Column:
     """``blocks_of`` a column, as an array of (titles, body)."""
 
-    @F.pandas_udf("array<struct<titles: array<string>, body: string>>")
-    def cut(pages: pd.Series) -> pd.Series:
-        return pages.map(lambda p: [{"titles": t, "body": b} for t, b in blocks_of(p, block)])
+    kind = pa.list_(pa.struct([("titles", pa.list_(pa.string())), ("body", pa.string())]))
+
+    @F.arrow_udf("array<struct<titles: array<string>, body: string>>")
+    def cut(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            for few in pieces(pages):
+                yield pa.array([[{"titles": t, "body": b} for t, b in blocks_of(p, block)] for p in few.to_pylist()], kind)
 
     return cut(F.coalesce(markup, F.lit("")))
 
