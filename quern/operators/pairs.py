@@ -71,7 +71,7 @@ def from_designs(raw: DataFrame, source: str = "designs") -> DataFrame:
     Their affinities have no unit, which is flagged, as is one that had to be read out of a text.
     """
     c = lambda n: text.clean(F.col(n))
-    affinity = text.number_text(F.col("value"))
+    raw, affinity = raw.withColumn("__affinity", text.number_text(F.col("value"))), F.col("__affinity")
     flagged = {"affinity_parse_from_text": (affinity != "") & c("value").try_cast("double").isNull(), "affinity_unit_unverified": affinity != ""}
     said = F.concat(F.lit("Strength: "), _given(c("binding_strength")), F.lit(" | label: "), _given(c("label")), F.lit(" | class: "), _given(c("design_class")))
     return _normalised(
@@ -85,7 +85,7 @@ def from_designs(raw: DataFrame, source: str = "designs") -> DataFrame:
 def from_literature(raw: DataFrame, source: str = "literature") -> DataFrame:
     """Rows of a table of published binders (binder_id, binder_sequence, target, target_sequence, label, binding_affinity_nm, source_publication) as normalised pairs."""
     c = lambda n: text.clean(F.col(n))
-    affinity = text.number_text(F.col("binding_affinity_nm"))
+    raw, affinity = raw.withColumn("__affinity", text.number_text(F.col("binding_affinity_nm"))), F.col("__affinity")
     said = F.concat(F.lit("Label by the authors: "), _given(c("label")), F.lit(" | published in: "), _given(c("source_publication")))
     return _normalised(
         raw, source, 1, {"none": F.lit(False)},

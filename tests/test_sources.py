@@ -1,7 +1,8 @@
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import curation, duplicates, responses, review, rules, sampling
+from quern.operators import curation, duplicates, pairs, responses, review, rules, sampling
 from quern.sources import markup
 from quern.sources import tables as sources
 
@@ -104,3 +105,27 @@ def test_labels_of_groups(spark):
 def test_options_put_preferred_first(spark):
     rows = spark.createDataFrame([("b",), ("a",), ("z",), ("",), ("z",)], "v string")
     assert [r.value for r in review.options(rows, "v", ["z", "none"]).collect()] == ["z", "a", "b"]
+
+
+def test_a_batch_of_pages_is_cut_into_pieces_of_bounded_size():
+    pages = pa.array(["a" * 10, None, "b" * 30, "", "c" * 5, "d" * 5, "e" * 10])
+    cut = list(markup.pieces(pages, 20))
+    assert [x for p in cut for x in p.to_pylist()] == pages.to_pylist() and [len(p) for p in cut] == [3, 4]
+    assert list(markup.pieces(pages.slice(0, 0))) == []
+
+
+def test_agreement_is_one_row_a_record_in_the_shuffle(spark):
+    rows = spark.createDataFrame([(1, "", True, "a", "x"), (1, "", True, None, "x"), (1, "late", False, "b", None), (2, "", True, "a", "x"), (2, None, None, "b", "x"), (3, "", True, "a", ""), (3, "", True, "b", "y"), (4, "e", None, None, None)], "k int, error string, is_recipe boolean, s string, f string")
+    got = responses.field_agreement(rows, "k", {"s": F.col("s")}, {"f": F.col("f")})
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.collect())) == [(1, "yes", "yes", "yes"), (2, "no", "yes", "yes"), (3, "yes", "no", "no"), (4, "no", "n/a", "n/a")]
+
+
+def test_a_sample_of_pairs_reads_them_collapsed(spark):
+    """Neither the rules of the sources nor the collapse stand in the plan of a sample, which reads its pairs several times."""
+    designs = spark.createDataFrame([(1, "d1", "", "ACD", "T", "CDE", "strong", "x", "<5 nM", "VHH"), (2, "d2", "n", "ACD", "T", "CDE", "no", "", "7.50", "VHH")], "row_id long, design_id string, binder_name string, binder_sequence string, target string, target_sequence string, label string, binding_strength string, value string, design_class string")
+    papers = spark.createDataFrame([(3, "b1", "ACD", "T", "CDE", "no", "12", "mAb")], "row_id long, binder_id string, binder_sequence string, target string, target_sequence string, label string, binding_affinity_nm string, source_publication string")
+    found = pairs.pilot_tracks(designs, papers, 5)["antibody"]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan.lower() and "collect_list" not in plan
+    assert [r.source_reference for r in found.collect()] == ["d1; d2; mAb"]

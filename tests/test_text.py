@@ -48,3 +48,10 @@ def test_notes_and_tags(spark):
         text.valid_sequence(F.lit("ACDJ")).alias("bad"),
     ).first()
     assert tuple(row) == ("a;b", "x", "old || new", "old new", "old new | new", "mine", "tag", "a; b; c; ... (+2 more)", "abc ...", 12.5, 5.0, False)
+
+
+def test_strip_knows_the_white_space_of_all_scripts(spark):
+    """One character at both ends: trimmed where the pattern's Unicode class trims it."""
+    chars = spark.range(1, 0x3100).filter("id not between 55296 and 57343").select(F.expr("decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE')").alias("c")).withColumn("t", F.concat("c", "c", F.lit("a b"), "c"))
+    assert chars.filter(~text.strip(F.col("t")).eqNullSafe(F.regexp_replace("t", r"(?U)^\s+|\s+$", ""))).count() == 0
+    assert chars.filter(text.sequence(F.col("t")) != F.upper(F.regexp_replace("t", r"(?U)\s+", ""))).count() == 0
