@@ -43,15 +43,23 @@ def _pick(of: tuple[str, ...], at: str) -> str:
 
 
 def _names_sql(of: tuple[str, ...], beside: str = " ") -> str:
-    """The names of order lines; the same in both dialects."""
+    """The names of order lines, for the oracle."""
     name, other = _pick(of, "l_partkey"), _pick(of, "(l_partkey + l_suppkey * 7 + l_orderkey)")
     return f"CASE l_suppkey % 5 WHEN 0 THEN {name} WHEN 1 THEN upper({name}) WHEN 2 THEN concat({name}, ' ', lower(p_type)) WHEN 3 THEN concat(p_name, ' ', {name}) ELSE concat({name}, '{beside}', {other}) END"
 
 
+def _picked(of: tuple[str, ...], at: Column) -> Column:
+    """``_pick`` as an array's item: a CASE of so many branches makes code that is compiled late or not at all, and asks every branch of a row."""
+    return F.get(F.array(*map(F.lit, of)), (at % len(of)).cast("int"))
+
+
 def _names(spark: SparkSession, sf_dir: str, of: tuple[str, ...], beside: str = " ") -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     joined = lines.join(table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-    return joined.select("l_orderkey", "l_linenumber", F.expr(_names_sql(of, beside)).alias("given"))
+    name, other = _picked(of, F.col("l_partkey")), _picked(of, F.col("l_partkey") + F.col("l_suppkey") * 7 + F.col("l_orderkey"))
+    kind, space = F.col("l_suppkey") % 5, F.lit(" ")
+    given = F.when(kind == 0, name).when(kind == 1, F.upper(name)).when(kind == 2, F.concat(name, space, F.lower("p_type"))).when(kind == 3, F.concat("p_name", space, name))
+    return joined.select("l_orderkey", "l_linenumber", given.otherwise(F.concat(name, F.lit(beside), other)).alias("given"))
 
 
 def _over(of: tuple[str, ...], value: str, name: str, beside: str = " ", *steps: str) -> str:
@@ -224,9 +232,14 @@ def _status_sql() -> str:
 _TARGET = _pick(CELLS, "(l_orderkey + l_linenumber)")
 
 
+def _target() -> Column:
+    return _picked(CELLS, F.col("l_orderkey") + F.col("l_linenumber"))
+
+
+
 @query(_over(FACTORS, _status_sql(), "status", " ", rf"replace(upper(trim(regexp_replace(given, '\s+', ' ', 'g'))), 'Α', 'QALPHA') AS up, {_TARGET} AS target"))
 def c3_status_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _names(spark, sf_dir, FACTORS).withColumn("status", names.single_status(F.col("given"), F.expr(_TARGET)))
+    return _names(spark, sf_dir, FACTORS).withColumn("status", names.single_status(F.col("given"), _target()))
 
 
 def _species_in_names_sql() -> tuple[str, str]:
@@ -263,8 +276,8 @@ def _scope_sql() -> str:
 
 @query(_over(CELLS, _scope_sql(), "scope", " ", _SCOPED))
 def c1_scope_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    title = F.when(F.col("l_orderkey") % 3 == 0, F.expr(_pick(_TITLES, "l_orderkey"))).otherwise("")
-    return _names(spark, sf_dir, CELLS).withColumn("scope", rules.conversion_scope(F.col("given"), F.expr(_TARGET), title, F.lit("")))
+    title = F.when(F.col("l_orderkey") % 3 == 0, _picked(_TITLES, F.col("l_orderkey"))).otherwise("")
+    return _names(spark, sf_dir, CELLS).withColumn("scope", rules.conversion_scope(F.col("given"), _target(), title, F.lit("")))
 
 
 _SAID = ("cells of the human and mouse embryo", "transplanted hESC in a mouse model", "murine tissue", "rats and pigs", "bovine", "a study of cells", "patient-derived cells", "cow", "")
@@ -302,9 +315,9 @@ def m12_species_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All passes, full texts too; what an earlier run filled in is taken back."""
     rows = _names(spark, sf_dir, CELLS).withColumns({
         "pmid": F.col("l_orderkey"), "source_cell": F.col("given"), "target_cell": F.lit(""), "evidence_sentence": F.lit(""), "species": F.expr(_GIVEN), "species_method": F.expr(_EARLIER),
-        "title": F.when(F.col("l_linenumber") % 2 == 0, "").otherwise(F.expr(_pick(_SAID, "l_orderkey"))),
+        "title": F.when(F.col("l_linenumber") % 2 == 0, "").otherwise(_picked(_SAID, F.col("l_orderkey"))),
     })
-    texts = table(spark, sf_dir, "lineitem").filter("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("pmid"), F.expr(_pick(_READ, "l_orderkey")).alias("text")).distinct()
+    texts = table(spark, sf_dir, "lineitem").filter("l_orderkey % 2 = 0").select(F.col("l_orderkey").alias("pmid"), _picked(_READ, F.col("l_orderkey")).alias("text")).distinct()
     return curation.impute_species(rows, texts).select("l_orderkey", "l_linenumber", "species", "species_method")
 
 
@@ -339,5 +352,5 @@ def q1_indexed_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f12_topics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The strict topic looks at the names of cells, the broad one at titles as well."""
     blank = {c: F.lit("") for c in ("target_cell", "source_cell_std", "target_cell_std", "source_cell_broad", "target_cell_broad", "evidence_sentence")}
-    rows = _names(spark, sf_dir, CELLS).withColumns(blank | {"source_cell": F.col("given"), "title": F.expr(_pick(_SAID, "l_orderkey"))})
+    rows = _names(spark, sf_dir, CELLS).withColumns(blank | {"source_cell": F.col("given"), "title": _picked(_SAID, F.col("l_orderkey"))})
     return rows.select("l_orderkey", "l_linenumber", "given", rules.on_topic(tables.T_CELL, False).alias("strict"), rules.on_topic(tables.IMMUNE, True).alias("broad"), (F.col("l_orderkey") % 2 == 0).alias("even"))
