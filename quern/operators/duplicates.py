@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions import tables, text
-from quern.operators.graph import numbered
+from quern.operators.graph import numbered, written
 from quern.operators.schema import ensure_columns
 
 
@@ -46,14 +46,22 @@ _DEFAULTS = {
 }
 
 
-def _groups(df: DataFrame, order: list[Column]) -> DataFrame:
-    """``df`` (with ``key``) and for rows of groups of two or more: ``group_no`` by first appearance, ``keeper``, ``keep_pmid``, ``keep_hidden``.
+def _groups(df: DataFrame, raw: list[str], key: dict[str, Column], order: list[Column]) -> DataFrame:
+    """``df`` with the columns of ``key``, which are made of ``raw``, and for rows of groups of two or more: ``group_no`` by first appearance, ``keeper``, ``keep_pmid``, ``keep_hidden``.
 
-    One aggregate over the keys and one over the groups; no list of a group's rows is made, so groups may be large.
+    Rows are first aggregated as they are written, so a key is made once for each writing; null is written as blank. One more aggregate
+    over the keys and one over the groups; no list of a group's rows is made, so groups may be large.
     """
-    first = F.struct(*order)
-    members = df.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("row_id").alias("first_row"), F.min_by(F.struct("row_id", "pmid", hidden().alias("hid")), first).alias("keep")).filter("members > 1")
-    return df.join(numbered(members, "first_row", "group_no").select("key", "group_no", F.col("keep.row_id").alias("keeper"), F.col("keep.pmid").alias("keep_pmid"), F.col("keep.hid").alias("keep_hidden")), "key", "left")
+    first, blank = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)]), lambda c: F.coalesce(F.col(c), F.lit(""))
+    writings = df.groupBy(*[blank(c).alias(c) for c in raw]).agg(
+        F.count(F.lit(1)).alias("members"), F.min("row_id").alias("first_row"),
+        F.min_by(F.struct(first.alias("order"), F.col("row_id"), F.col("pmid"), hidden().alias("hid")), first).alias("keep"),
+    )
+    keyed = written(writings.select(*[F.col(c).alias(f"__{c}") for c in raw], *[k.alias(n) for n, k in key.items()], "members", "first_row", "keep"), "keys")
+    members = keyed.groupBy(*key).agg(F.sum("members").alias("members"), F.min("first_row").alias("first_row"), F.min_by("keep", "keep.order").alias("keep")).filter("members > 1")
+    numbers = numbered(members, "first_row", "group_no").select(*key, "group_no", F.col("keep.row_id").alias("keeper"), F.col("keep.pmid").alias("keep_pmid"), F.col("keep.hid").alias("keep_hidden"))
+    placed = keyed.drop("members", "first_row", "keep").join(numbers, list(key), "left")
+    return df.drop(*key).join(placed, [blank(c) == F.col(f"__{c}") for c in raw], "left").drop(*[f"__{c}" for c in raw])
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
@@ -64,8 +72,8 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     their own; records that are no duplicates lose theirs unless people marked them.
     """
     full = ensure_columns(df, _DEFAULTS)
-    parts = [text.cell_key(F.col("source_cell_std"), F.col("source_cell")), text.cell_key(F.col("target_cell_std"), F.col("target_cell")), text.factor_key(F.col("factors"))]
-    grouped = _groups(full.withColumn("key", F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])), keeper_order())
+    key = {f"__key_{r}": text.cell_key(F.col(f"{r}_cell_std"), F.col(f"{r}_cell")) for r in ("source", "target")} | {"__key_factors": text.factor_key(F.col("factors"))}
+    grouped = _groups(full, ["source_cell_std", "source_cell", "target_cell_std", "target_cell", "factors"], key, keeper_order())
     marked = F.lower("validation_action") == "mark_duplicate"
     manual = marked | F.col("duplicate_reason").rlike(tables.SUPERSEDED)
     in_group = F.col("keeper").isNotNull()
@@ -83,7 +91,7 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     fallback = {"duplicate_reason": F.lit("manual_adjudication"), "duplicate_group_id": F.lit("manual"), "preferred_pmid": text.clean(F.col("pmid"))}
     drop = ~F.col("is_duplicate") & ~marked
     settled = now.withColumns({c: F.when(drop, "").when(F.col("is_duplicate") & blank(c), v).otherwise(F.col(c)) for c, v in fallback.items()})
-    return settled.drop("key", "group_no", "keeper", "keep_pmid", "keep_hidden")
+    return settled.drop(*key, "group_no", "keeper", "keep_pmid", "keep_hidden")
 
 
 AUTO_TAG = "same_broad_cell_recipe"
@@ -96,8 +104,8 @@ def broad_duplicates(df: DataFrame) -> DataFrame:
     keeper is never a duplicate.
     """
     full = ensure_columns(df, _DEFAULTS)
-    classed = full.withColumns({f"{r}_cell_broad": broad_class(F.col(f"{r}_cell_std"), r) for r in ("source", "target")})
-    grouped = _groups(classed.withColumn("key", F.struct("source_cell_broad", "target_cell_broad", text.factor_key(F.col("factors")).alias("k"))), keeper_order(review=True))
+    key = {f"{r}_cell_broad": broad_class(F.col(f"{r}_cell_std"), r) for r in ("source", "target")} | {"__key_factors": text.factor_key(F.col("factors"))}
+    grouped = _groups(full, ["source_cell_std", "target_cell_std", "factors"], key, keeper_order(review=True))
     manual = (F.lower("validation_action") == "mark_duplicate") | F.col("duplicate_reason").rlike(tables.SUPERSEDED)
     in_group = F.col("keeper").isNotNull()
     loser = F.coalesce(in_group & (F.col("row_id") != F.col("keeper")), F.lit(False))
@@ -112,7 +120,7 @@ def broad_duplicates(df: DataFrame) -> DataFrame:
         "broad_duplicate_reason": F.when(loser, text.with_auto_tag(note, AUTO_TAG)).when(orphan & (note == ""), or_else("duplicate_reason", F.lit("manual_adjudication"))).otherwise(note),
         "broad_preferred_pmid": F.when(loser, F.col("keep_pmid")).when(orphan, preferred).otherwise(""),
         "broad_duplicate_group_id": F.when(loser, F.concat(F.lit("broad_recipe_"), number)).when(orphan, or_else("duplicate_group_id", F.concat(F.lit("broad_manual_"), preferred))).otherwise(""),
-    }).drop("key", "group_no", "keeper", "keep_pmid", "keep_hidden")
+    }).drop("__key_factors", "group_no", "keeper", "keep_pmid", "keep_hidden")
 
 
 def support(df: DataFrame, source: str, target: str, shown_ids: int = 12, shown_papers: int = 6) -> DataFrame:
