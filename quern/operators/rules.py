@@ -52,44 +52,65 @@ def is_single_tf(factors: Column, types: Column) -> Column:
 
 def species_in_text(c: Column) -> Column:
     """The species that a text is about; blank if it names none, or several that don't go together."""
-    body = text.clean(c)
-    found = {name: body.rlike("(?i)" + "|".join(p)) for name, p in tables.SPECIES_IN_TEXT.items()}
-    found["human"] = found["human"] | body.rlike("(?i)" + tables.HUMAN_DERIVED)
-    hits = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in found.items()]))
-    both = body.rlike("(?i)" + tables.HUMAN_AND_MOUSE)
-    graft = body.rlike("(?i)" + tables.HUMAN_CELLS) & body.rlike("(?i)" + tables.GRAFTS)
-    pair = F.array_join(hits, ",") == "human,mouse"
-    return F.when(F.size(hits) == 1, hits[0]).when(pair & both, "human, mouse").when(pair & graft, "human").otherwise("")
+
+    def said(x: Column) -> Column:
+        body, low = x["body"], x["low"]
+        hits = {name: text.found(body, low, "|".join(p), "(?i)") for name, p in tables.SPECIES_IN_TEXT.items()}
+        hits["human"] = hits["human"] | text.found(body, low, tables.HUMAN_DERIVED, "(?i)")
+        both = body.rlike("(?i)" + tables.HUMAN_AND_MOUSE)
+        graft = body.rlike("(?i)" + tables.HUMAN_CELLS) & body.rlike("(?i)" + tables.GRAFTS)
+        return text.let(_names_of(hits), lambda n: F.when(F.size(n) == 1, F.get(n, F.lit(0))).when((F.array_join(n, ",") == "human,mouse") & both, "human, mouse").when((F.array_join(n, ",") == "human,mouse") & graft, "human").otherwise(""))
+
+    return text.let(text.clean(c), lambda body: text.let(_with_low(body), said))
+
+
+def _names_of(hits: dict[str, Column]) -> Column:
+    return F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in hits.items()]))
+
+
+def _with_low(body: Column) -> Column:
+    return F.struct(body.alias("body"), text.folded(body).alias("low"))
 
 
 def species_in_names(*cells: Column) -> Column:
     """The species that the names of cells give: a word for it near a word for cells, or a cell line's name."""
-    body, context = text.joined(*[text.clean(c) for c in cells]), tables.CELL_CONTEXT
+    context = tables.CELL_CONTEXT
     near = lambda w: rf"\b(?:{w})\b(?:\W+\w+){{0,6}}\W+(?:{context})\b|\b(?:{context})\b(?:\W+\w+){{0,6}}\W+\b(?:{w})\b"
-    found = {}
-    for name, word in tables.SPECIES_WORDS.items():
-        patterns = ([near(word)] if name != "zebrafish" else []) + list(tables.SPECIES_LINES.get(name, ()))
-        found[name] = body.rlike("(?i)" + "|".join(patterns))
-    found["human"] = found["human"] | body.rlike("(?i)" + tables.HUMAN_DERIVED)
-    hits = F.array_compact(F.array(*[F.when(hit, F.lit(name)) for name, hit in found.items()]))
-    return F.when(F.size(hits) == 1, hits[0]).when(F.array_join(hits, ",") == "human,mouse", "human, mouse").otherwise("")
+
+    def given(x: Column) -> Column:
+        body, low = x["body"], x["low"]
+        hits = {}
+        for name, word in tables.SPECIES_WORDS.items():
+            lines = [text.found(body, low, p, "(?i)") for p in tables.SPECIES_LINES.get(name, ())]
+            # Words are looked for before the patterns around them, which are tried at every word.
+            beside = [text.found(body, low, word, "(?i)") & body.rlike("(?i)" + near(word))] if name != "zebrafish" else []
+            hits[name] = reduce(lambda a, b: a | b, lines + beside)
+        hits["human"] = hits["human"] | text.found(body, low, tables.HUMAN_DERIVED, "(?i)")
+        return text.let(_names_of(hits), lambda n: F.when(F.size(n) == 1, F.get(n, F.lit(0))).when(F.array_join(n, ",") == "human,mouse", "human, mouse").otherwise(""))
+
+    return text.let(text.joined(*[text.clean(c) for c in cells]), lambda body: text.let(_with_low(body), given))
 
 
 def conversion_scope(source: Column, target: Column, title: Column, evidence: Column) -> Column:
     """The scope of a conversion: the first rule that fits, over names first and over all text then."""
+
+    def scope(x: Column) -> Column:
+        has = lambda c, p: text.found(x[c], x[f"{c}_low"], p)
+        both = (text.strip(x["s"]) != "") & (text.strip(x["t"]) != "")
+        unlike = both & (F.lower(text.strip(x["s"])) != F.lower(text.strip(x["t"])))
+        return (
+            F.when(has("t", "|".join(tables.PLURIPOTENT_TARGET)), "classical_reprogramming").when(has("s", tables.STEM_SOURCE), "directed_differentiation")
+            .when(has("all", tables.LINEAGE_WORDS), "lineage_conversion").when(has("all", "|".join(tables.STATE_WORDS)), "cell_state_modulation")
+            .when(has("s", tables.TUMOUR_SOURCE) & has("t", tables.TUMOUR_TARGET), "cell_state_modulation").when(has("t", tables.SKELETAL_TARGET) & has("s", tables.SKELETAL_SOURCE), "directed_differentiation")
+            .when(has("t", tables.BONE_TARGET) & both, "lineage_conversion").when(has("all", tables.INNER_EAR) & unlike, "lineage_conversion")
+            .when(has("all", tables.RETINA) & both, "lineage_conversion").when(has("all", tables.GERMLINE) & unlike, "lineage_conversion")
+            .when(has("all", tables.IN_VIVO), "lineage_conversion").when(has("all", f"{tables.INNATE}|{tables.COMMON_CELLS}") & unlike, "lineage_conversion").otherwise("unclear")
+        )
+
     s, t = F.coalesce(source, F.lit("")), F.coalesce(target, F.lit(""))
     everything = F.lower(F.concat_ws(" ", s, t, F.coalesce(title, F.lit("")), F.coalesce(evidence, F.lit(""))))
-    has = lambda c, p: c.rlike("(?iu)" + p)
-    both = (text.strip(s) != "") & (text.strip(t) != "")
-    unlike = both & (F.lower(text.strip(s)) != F.lower(text.strip(t)))
-    return (
-        F.when(has(t, "|".join(tables.PLURIPOTENT_TARGET)), "classical_reprogramming").when(has(s, tables.STEM_SOURCE), "directed_differentiation")
-        .when(has(everything, tables.LINEAGE_WORDS), "lineage_conversion").when(has(everything, "|".join(tables.STATE_WORDS)), "cell_state_modulation")
-        .when(has(s, tables.TUMOUR_SOURCE) & has(t, tables.TUMOUR_TARGET), "cell_state_modulation").when(has(t, tables.SKELETAL_TARGET) & has(s, tables.SKELETAL_SOURCE), "directed_differentiation")
-        .when(has(t, tables.BONE_TARGET) & both, "lineage_conversion").when(has(everything, tables.INNER_EAR) & unlike, "lineage_conversion")
-        .when(has(everything, tables.RETINA) & both, "lineage_conversion").when(has(everything, tables.GERMLINE) & unlike, "lineage_conversion")
-        .when(has(everything, tables.IN_VIVO), "lineage_conversion").when(has(everything, f"{tables.INNATE}|{tables.COMMON_CELLS}") & unlike, "lineage_conversion").otherwise("unclear")
-    )
+    looked_at = {"s": s, "t": t, "all": everything}
+    return text.let(F.struct(*[c.alias(n) for n, c in looked_at.items()]), lambda x: text.let(F.struct(*[x[n].alias(n) for n in looked_at], *[text.folded(x[n]).alias(f"{n}_low") for n in looked_at]), scope))
 
 
 def canonical_target(name: Column) -> Column:
@@ -121,7 +142,7 @@ _CELLS = ("source_cell", "target_cell", "source_cell_std", "target_cell_std", "s
 def on_topic(pattern: str, with_text: bool) -> Column:
     """Whether a record's cells (``with_text``: or its title or evidence) are about a topic."""
     fields = _CELLS + (("title", "evidence_sentence") if with_text else ())
-    return F.lower(F.concat_ws(" ", *[text.clean(F.col(f)) for f in fields])).rlike(pattern)
+    return text.let(F.lower(F.concat_ws(" ", *[text.clean(F.col(f)) for f in fields])), lambda low: text.found(low, low, pattern, ""))
 
 
 def visible(rejected_answers: bool = False, broad: bool = True, missing: tuple[str, ...] = tables.UNSPECIFIED) -> Column:
