@@ -111,9 +111,9 @@ def units(query: str) -> list[tuple[str, bool]]:
 def _variant(blob: Column, words: str, phrase: bool) -> Column:
     tokens = normal_query(words).split()
     if tokens and (phrase or " ".join(tokens) in tables.SEARCH_PHRASES):
-        return blob.rlike(r"\b" + r"\s+".join(tokens))
+        return text.found(blob, blob, r"\b" + r"\s+".join(tokens), "")
     long = [t for t in tokens if len(t) > 1 or t.isdigit()]
-    return reduce(lambda a, b: a & b, [blob.rlike(r"\b" + t) for t in long]) if long else F.lit(False)
+    return reduce(lambda a, b: a & b, [text.found(blob, blob, r"\b" + t, "") for t in long]) if long else F.lit(False)
 
 
 def search(query: str, blob: Column, key: str = "pmid") -> Column:
