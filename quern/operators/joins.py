@@ -81,10 +81,11 @@ def optional_match(df: DataFrame, notes: DataFrame, key: str, optional: list[str
     return df.join(n, condition).drop("__key", *[f"__{c}" for c in optional])
 
 
-def restore(df: DataFrame, old: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """``df`` with a blank column filled from an older table, the last of its rows for each key."""
+def restore(df: DataFrame, old: DataFrame, keys: list[str], column: str, where: Column | None = None) -> DataFrame:
+    """``df`` with a blank column filled from an older table, the last of its rows for each key; with ``where``, in those rows alone, whatever they have."""
     kept = first_rows(old.select(*keys, "row_id", F.col(column).alias("__old")), keys, last=True).drop("row_id")
-    return df.join(kept, keys, "left").withColumn(column, F.when(text.clean(F.col(column)) == "", F.coalesce("__old", F.lit(""))).otherwise(F.col(column))).drop("__old")
+    empty = text.clean(F.col(column)) == "" if where is None else where
+    return df.join(kept, keys, "left").withColumn(column, F.when(empty, F.coalesce("__old", F.lit(""))).otherwise(F.col(column))).drop("__old")
 
 
 def choose_text(df: DataFrame, abstracts: DataFrame, fulltexts: DataFrame, key: str = "pmid", always_full: bool = False) -> DataFrame:
